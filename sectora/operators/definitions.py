@@ -1,27 +1,35 @@
 """Report definitions: intake, requests, validation, upserts, read-back and status.
 
 Definition management is expressed as set-based jobs over a table of requests
-``(request_id, org_id, report_id, body)`` instead of one request at a time.
+``(request_id, org_id, report_id, body)`` (``report_id`` null = create) instead of one
+request at a time: bodies are parsed with ``from_json``, flattened with ``posexplode``,
+validated with anti joins against the tenant's catalog, and applied to snapshots of the
+five definition tables (old child rows of edited reports are replaced).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sectora.operators.predicates import OPERATORS
+from sectora.schemas import REQUEST_BODY
+
+# Accepted sort directions.
+DIRECTIONS = ("asc", "desc")
+
 
 def load_definitions(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Normalise stored definition tables: org, section and attribute ids become long."""
-    def ids(df: DataFrame, *extra: str) -> DataFrame:
+    def ids(df: DataFrame, *extra) -> DataFrame:
         cols = [F.col("report_id").cast("long").alias("report_id"), F.col("org_id").cast("long").alias("org_id")]
         for c in ("section_id", "attribute_id"):
             if c in df.columns:
                 cols.append(F.col(c).cast("long").alias(c))
         return df.select(*cols, *extra)
 
-    reports = raw["reports"]
     return {
-        "reports": ids(reports, "name", "description", "status", "created_at", "updated_at", "last_run_date"),
+        "reports": ids(raw["reports"], "name", "description", "status", "created_at", "updated_at", "last_run_date"),
         "report_sections": ids(raw["report_sections"]),
         "report_section_attributes": ids(raw["report_section_attributes"]),
         "report_filters": ids(raw["report_filters"], "operator", "value"),
@@ -32,3 +40,340 @@ def load_definitions(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def pending_reports(reports: DataFrame) -> DataFrame:
     """Reports awaiting a (re)build: status ``created``."""
     return reports.where(F.col("status") == F.lit("created"))
+
+
+# ---------------------------------------------------------------------------
+# Requests → rows
+# ---------------------------------------------------------------------------
+
+
+def parse_requests(requests: DataFrame) -> DataFrame:
+    """Add ``doc`` (the typed body). Ids are parsed as text and cast later."""
+    return requests.withColumn("doc", F.from_json("body", REQUEST_BODY))
+
+
+def flatten_sections(parsed: DataFrame) -> DataFrame:
+    """``request_id, org_id, pos, section_id`` (one row per config item)."""
+    return parsed.select("request_id", "org_id", F.posexplode("doc.config").alias("pos", "item")).select(
+        "request_id", "org_id", F.col("pos").cast("int").alias("pos"),
+        F.col("item.sectionId").try_cast("long").alias("section_id"),
+    )
+
+
+def flatten_attributes(parsed: DataFrame) -> DataFrame:
+    """``request_id, org_id, pos, attr_pos, section_id, attribute_id``."""
+    items = parsed.select("request_id", "org_id", F.posexplode("doc.config").alias("pos", "item"))
+    return items.select(
+        "request_id", "org_id", "pos", "item.sectionId", F.posexplode("item.attributeIds").alias("attr_pos", "aid")
+    ).select(
+        "request_id", "org_id", F.col("pos").cast("int").alias("pos"), F.col("attr_pos").cast("int").alias("attr_pos"),
+        F.col("sectionId").try_cast("long").alias("section_id"), F.col("aid").try_cast("long").alias("attribute_id"),
+    )
+
+
+def _list_value(v: Column) -> Column:
+    """A JSON list sent as a filter value is stored as its items joined with commas."""
+    return F.when(F.trim(v).startswith("["), F.array_join(F.from_json(v, "array<string>"), ",")).otherwise(v)
+
+
+def flatten_filters(parsed: DataFrame) -> DataFrame:
+    """``request_id, org_id, pos, section_id, attribute_id, operator, value`` (value defaults to '')."""
+    return parsed.select("request_id", "org_id", F.posexplode("doc.filters").alias("pos", "f")).select(
+        "request_id", "org_id", F.col("pos").cast("int").alias("pos"),
+        F.col("f.sectionId").try_cast("long").alias("section_id"),
+        F.col("f.attributeId").try_cast("long").alias("attribute_id"),
+        F.trim(F.col("f.operator")).alias("operator"),
+        F.coalesce(_list_value(F.col("f.value")), F.lit("")).alias("value"),
+    )
+
+
+def flatten_sorts(parsed: DataFrame) -> DataFrame:
+    """``request_id, org_id, pos, section_id, attribute_id, direction, sort_order`` (asc / 1 by default)."""
+    return parsed.select("request_id", "org_id", F.posexplode("doc.sorts").alias("pos", "s")).select(
+        "request_id", "org_id", F.col("pos").cast("int").alias("pos"),
+        F.col("s.sectionId").try_cast("long").alias("section_id"),
+        F.col("s.attributeId").try_cast("long").alias("attribute_id"),
+        F.lower(F.coalesce(F.col("s.direction"), F.lit("asc"))).alias("direction"),
+        F.coalesce(F.col("s.sortOrder").try_cast("int"), F.lit(1)).alias("sort_order"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# Validation: every violation as a row; ``first_error`` picks the one the source reports.
+# Order key: stage (0 shape, 1 report exists, 2 config, 3 filters, 4 sorts), item position,
+# check within the item, attribute position.
+# ---------------------------------------------------------------------------
+
+ERROR_COLUMNS = ["request_id", "org_id", "stage", "pos", "step", "attr_pos", "message"]
+
+
+def _err(df: DataFrame, stage: int, pos: Column | int, step: int, attr_pos: Column | int, message: Column) -> DataFrame:
+    def c(v):
+        return v if isinstance(v, Column) else F.lit(v)
+    return df.select(
+        "request_id", "org_id", F.lit(stage).alias("stage"), c(pos).cast("int").alias("pos"), F.lit(step).alias("step"),
+        c(attr_pos).cast("int").alias("attr_pos"), message.alias("message"),
+    )
+
+
+def _is_list_or_missing(body: Column, key: str) -> Column:
+    raw = F.get_json_object(body, f"$.{key}")
+    return raw.isNull() | F.trim(raw).startswith("[")
+
+
+def catalog_keys(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Valid ``(org_id, section_id)`` and ``(org_id, section_id, attribute_id)`` from the catalog."""
+    keys = catalog.where(F.col("section_id").isNotNull() & F.col("org_id").isNotNull()).select(
+        "org_id", "section_id", "attribute_id"
+    )
+    return keys.select("org_id", "section_id").distinct(), keys.where(F.col("attribute_id").isNotNull()).distinct()
+
+
+def _raw_items(parsed: DataFrame, key: str) -> DataFrame:
+    """Items of a list as raw JSON maps, to tell a missing key from a null value."""
+    return parsed.where(_is_list_or_missing(F.col("body"), key)).select(
+        "request_id", "org_id",
+        F.posexplode(F.from_json(F.get_json_object("body", f"$.{key}"), "array<map<string,string>>")).alias("pos", "m"),
+    )
+
+
+def validate_definitions(requests: DataFrame, catalog: DataFrame, reports: DataFrame | None = None) -> DataFrame:
+    """All violations of a batch of requests: ``request_id, org_id, stage, pos, step, attr_pos, message``."""
+    parsed = parse_requests(requests)
+    sections_ok, attrs_ok = catalog_keys(catalog)
+    org = F.col("org_id").cast("string")
+    body = F.col("body")
+    errors = [
+        _err(parsed.where(F.coalesce(F.col("doc.name"), F.lit("")) == ""), 0, 0, 0, 0, F.lit("name is required")),
+        _err(parsed.where(~_is_list_or_missing(body, "config")), 0, 0, 1, 0, F.lit("config must be a list")),
+        _err(parsed.where(~_is_list_or_missing(body, "filters")), 0, 0, 2, 0, F.lit("filters must be a list")),
+        _err(parsed.where(~_is_list_or_missing(body, "sorts")), 0, 0, 3, 0, F.lit("sorts must be a list")),
+    ]
+    if reports is not None:
+        edits = requests.where(F.col("report_id").isNotNull())
+        missing = edits.join(reports.select("report_id", "org_id"), ["report_id", "org_id"], "left_anti")
+        errors.append(_err(missing, 1, 0, 0, 0, F.concat(
+            F.lit("Report "), F.col("report_id").cast("string"), F.lit(" not found for org_id "), org)))
+
+    # config
+    cfg = _raw_items(parsed, "config")
+    errors.append(_err(cfg.where(~F.map_contains_key("m", "sectionId")), 2, F.col("pos"), 0, 0,
+                       F.lit("sectionId is required in each config item")))
+    cfg_sec = cfg.where(F.map_contains_key("m", "sectionId")).select(
+        "request_id", "org_id", "pos", F.col("m")["sectionId"].alias("sid"),
+        F.col("m")["sectionId"].try_cast("long").alias("section_id"),
+    )
+    bad_sec = cfg_sec.join(sections_ok, ["org_id", "section_id"], "left_anti")
+    errors.append(_err(bad_sec, 2, F.col("pos"), 1, 0, F.concat(
+        F.lit("Invalid sectionId for org_id "), org, F.lit(": "), F.col("sid"))))
+    attrs = (
+        parsed.select("request_id", "org_id", F.posexplode("doc.config").alias("pos", "item"))
+        .where(F.col("item.sectionId").isNotNull())
+        .select("request_id", "org_id", "pos", F.col("item.sectionId").alias("sid"),
+                F.posexplode("item.attributeIds").alias("attr_pos", "aid"))
+        .withColumn("section_id", F.col("sid").try_cast("long"))
+        .withColumn("attribute_id", F.col("aid").try_cast("long"))
+    )
+    bad_attr = attrs.join(attrs_ok, ["org_id", "section_id", "attribute_id"], "left_anti")
+    errors.append(_err(bad_attr, 2, F.col("pos"), 2, F.col("attr_pos"), F.concat(
+        F.lit("Invalid attributeId "), F.col("aid"), F.lit(" for sectionId "), F.col("sid"),
+        F.lit(" and org_id "), org)))
+
+    # filters and sorts share the key/section/attribute checks
+    def item_checks(key: str, stage: int, required: list[str], missing_msg: str, label: str) -> DataFrame:
+        items = _raw_items(parsed, key)
+        has_all = F.lit(True)
+        for k in required:
+            has_all = has_all & F.map_contains_key("m", k)
+        out = [_err(items.where(~has_all), stage, F.col("pos"), 0, 0, F.lit(missing_msg))]
+        ok = items.where(has_all).select(
+            "request_id", "org_id", "pos", "m",
+            F.col("m")["sectionId"].alias("sid"), F.col("m")["attributeId"].alias("aid"),
+            F.col("m")["sectionId"].try_cast("long").alias("section_id"),
+            F.col("m")["attributeId"].try_cast("long").alias("attribute_id"),
+        )
+        out.append(_err(ok.join(sections_ok, ["org_id", "section_id"], "left_anti"), stage, F.col("pos"), 1, 0,
+                        F.concat(F.lit(f"Invalid {label} sectionId for org_id "), org, F.lit(": "), F.col("sid"))))
+        out.append(_err(ok.join(attrs_ok, ["org_id", "section_id", "attribute_id"], "left_anti"), stage, F.col("pos"), 2, 0,
+                        F.concat(F.lit(f"Invalid {label} attributeId "), F.col("aid"), F.lit(" for sectionId "),
+                                 F.col("sid"), F.lit(" and org_id "), org)))
+        return out, ok
+
+    f_errs, f_ok = item_checks("filters", 3, ["sectionId", "attributeId", "operator"],
+                               "Each filter must contain sectionId, attributeId, and operator", "filter")
+    errors += f_errs
+    op = F.trim(F.col("m")["operator"])
+    errors.append(_err(f_ok.where(~F.upper(op).isin(list(OPERATORS))), 3, F.col("pos"), 3, 0,
+                       F.concat(F.lit("Invalid filter operator: "), op)))
+    s_errs, s_ok = item_checks("sorts", 4, ["sectionId", "attributeId"],
+                               "Each sort must contain sectionId and attributeId", "sort")
+    errors += s_errs
+    direction = F.lower(F.coalesce(F.col("m")["direction"], F.lit("asc")))
+    errors.append(_err(s_ok.where(~direction.isin(list(DIRECTIONS))), 4, F.col("pos"), 3, 0,
+                       F.concat(F.lit("Invalid sort direction: "), direction)))
+
+    out = errors[0]
+    for e in errors[1:]:
+        out = out.unionByName(e)
+    return out
+
+
+def first_error(errors: DataFrame) -> DataFrame:
+    """Per request, the violation the source system raises first: ``request_id, org_id, message``."""
+    return errors.groupBy("request_id", "org_id").agg(
+        F.min_by("message", F.struct("stage", "pos", "step", "attr_pos")).alias("message")
+    )
+
+
+# ---------------------------------------------------------------------------
+# Apply valid requests to the definition snapshots
+# ---------------------------------------------------------------------------
+
+
+def apply_definitions(
+    state: dict[str, DataFrame],
+    requests: DataFrame,
+    errors: DataFrame,
+    now: Column,
+    new_id: Column | None = None,
+) -> dict[str, DataFrame]:
+    """New snapshots of the five tables after applying the batch's valid requests.
+
+    Creates get ``new_id`` (default: a hash of org, request and time) and status ``created``;
+    edits replace name, description, status (``created``) and ``updated_at`` of their report and
+    all its child rows. When several requests of a batch edit one report the latest request wins.
+    """
+    rid = new_id if new_id is not None else F.abs(F.xxhash64("org_id", "request_id", now))
+    valid = requests.join(errors.select("request_id").distinct(), "request_id", "left_anti")
+    valid = valid.withColumn("target_id", F.coalesce(F.col("report_id"), rid))
+    latest = valid.groupBy("target_id", "org_id").agg(F.max("request_id").alias("request_id"))
+    valid = parse_requests(valid.join(latest, ["target_id", "org_id", "request_id"], "left_semi"))
+
+    old = state["reports"]
+    touched = valid.select(F.col("target_id").alias("report_id"), "org_id")
+    prev = old.join(touched, ["report_id", "org_id"], "inner").select(
+        "report_id", "org_id", F.col("created_at").alias("_created"), F.col("last_run_date").alias("_last")
+    )
+    upserted = (
+        valid.select(F.col("target_id").alias("report_id"), "org_id", F.col("doc.name").alias("name"),
+                     F.coalesce(F.col("doc.description"), F.lit("")).alias("description"))
+        .join(prev, ["report_id", "org_id"], "left")
+        .select(
+            "report_id", "org_id", "name", "description", F.lit("created").alias("status"),
+            F.coalesce(F.col("_created"), now).alias("created_at"), now.alias("updated_at"),
+            F.col("_last").alias("last_run_date"),
+        )
+    )
+    reports = old.join(touched, ["report_id", "org_id"], "left_anti").unionByName(upserted.select(*old.columns))
+
+    def children(name: str, rows: DataFrame, cols: list[str]) -> DataFrame:
+        rows = rows.join(valid.select("request_id", F.col("target_id").alias("report_id")), "request_id")
+        kept = state[name].join(touched, ["report_id", "org_id"], "left_anti")
+        return kept.unionByName(rows.select("report_id", "org_id", *cols).select(*state[name].columns))
+
+    return {
+        "reports": reports,
+        "report_sections": children("report_sections", flatten_sections(valid), ["section_id"]),
+        "report_section_attributes": children(
+            "report_section_attributes", flatten_attributes(valid), ["section_id", "attribute_id"]),
+        "report_filters": children(
+            "report_filters", flatten_filters(valid), ["section_id", "attribute_id", "operator", "value"]),
+        "report_sorts": children(
+            "report_sorts", flatten_sorts(valid), ["section_id", "attribute_id", "direction", "sort_order"]),
+    }
+
+
+# ---------------------------------------------------------------------------
+# Read-back and status
+# ---------------------------------------------------------------------------
+
+
+def definition_config(state: dict[str, DataFrame]) -> DataFrame:
+    """Sections of each report left-joined with their attributes on (report, org, section)."""
+    return state["report_sections"].join(
+        state["report_section_attributes"], ["report_id", "org_id", "section_id"], "left"
+    ).select("report_id", "org_id", "section_id", "attribute_id")
+
+
+def nest_config(state: dict[str, DataFrame]) -> DataFrame:
+    """``report_id, org_id, config`` with config = [{sectionId, attributeIds[]}] in numeric order;
+    a section without attributes has an empty list."""
+    per_section = definition_config(state).groupBy("report_id", "org_id", "section_id").agg(
+        F.array_sort(F.collect_list("attribute_id")).alias("ids")
+    )
+    return per_section.groupBy("report_id", "org_id").agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("section_id", "ids"))),
+            lambda x: F.struct(x["section_id"].cast("string").alias("sectionId"),
+                               F.transform(x["ids"], lambda a: a.cast("string")).alias("attributeIds")),
+        ).alias("config")
+    )
+
+
+def nest_filters(state: dict[str, DataFrame]) -> DataFrame:
+    """``report_id, org_id, filters`` ordered by section then attribute id as text."""
+    f = state["report_filters"].select(
+        "report_id", "org_id",
+        F.struct(
+            F.col("section_id").cast("string").alias("sectionId"), F.col("attribute_id").cast("string").alias("attributeId"),
+            "operator", "value",
+        ).alias("f"),
+    )
+    return f.groupBy("report_id", "org_id").agg(F.array_sort(F.collect_list("f")).alias("filters"))
+
+
+def nest_sorts(state: dict[str, DataFrame]) -> DataFrame:
+    """``report_id, org_id, sorts`` ordered by sort order, then section and attribute id as text."""
+    s = state["report_sorts"].select(
+        "report_id", "org_id",
+        F.struct(
+            F.col("sort_order").alias("k"), F.col("section_id").cast("string").alias("sectionId"),
+            F.col("attribute_id").cast("string").alias("attributeId"), "direction",
+            F.col("sort_order").alias("sortOrder"),
+        ).alias("s"),
+    )
+    return s.groupBy("report_id", "org_id").agg(
+        F.transform(F.array_sort(F.collect_list("s")), lambda x: x.dropFields("k")).alias("sorts")
+    )
+
+
+def get_definition(state: dict[str, DataFrame], org_id: int | None = None) -> DataFrame:
+    """One nested definition document per report (optionally of one org)."""
+    reports = state["reports"]
+    if org_id is not None:
+        reports = reports.where(F.col("org_id") == F.lit(int(org_id)))
+    empty = F.array().cast
+    doc = (
+        reports.join(nest_config(state), ["report_id", "org_id"], "left")
+        .join(nest_filters(state), ["report_id", "org_id"], "left")
+        .join(nest_sorts(state), ["report_id", "org_id"], "left")
+    )
+    return doc.select(
+        "report_id", "org_id", "name", "description", "status", "created_at", "updated_at",
+        F.coalesce("config", empty("array<struct<sectionId:string,attributeIds:array<string>>>")).alias("config"),
+        F.coalesce("filters", empty(
+            "array<struct<sectionId:string,attributeId:string,operator:string,value:string>>")).alias("filters"),
+        F.coalesce("sorts", empty(
+            "array<struct<sectionId:string,attributeId:string,direction:string,sortOrder:int>>")).alias("sorts"),
+    )
+
+
+def set_status(reports: DataFrame, changes: DataFrame, now: Column) -> DataFrame:
+    """Apply ``changes(report_id, org_id, status)``: ``updated_at = now``; ``last_run_date = now``
+    only for ``completed``."""
+    ch = changes.select("report_id", "org_id", F.col("status").alias("_new"))
+    j = reports.join(ch, ["report_id", "org_id"], "left")
+    changed = F.col("_new").isNotNull()
+    return j.select(
+        "report_id", "org_id", "name", "description",
+        F.coalesce("_new", "status").alias("status"), "created_at",
+        F.when(changed, now).otherwise(F.col("updated_at")).alias("updated_at"),
+        F.when(F.col("_new") == "completed", now).otherwise(F.col("last_run_date")).alias("last_run_date"),
+    )
+
+
+def existing_targets(requests: DataFrame, reports: DataFrame) -> DataFrame:
+    """Edit requests whose report exists for the requesting org: ``request_id, org_id, report_id``."""
+    return requests.where(F.col("report_id").isNotNull()).join(
+        reports.select("report_id", "org_id"), ["report_id", "org_id"], "left_semi"
+    ).select("request_id", "org_id", "report_id")

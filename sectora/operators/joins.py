@@ -46,11 +46,14 @@ def skew_join(
     max_splits: int = 64,
     left_tiebreak: Sequence[str] | None = None,
     right_tiebreak: Sequence[str] | None = None,
+    check_first: bool = True,
 ) -> DataFrame:
     """Equi-join on ``key`` (same name on both sides) that splits hot keys; ``how`` is inner or left.
 
     ``*_tiebreak`` name columns that make rows of a key distinct (e.g. ``record_id``); their hash
     picks a row's bucket, so the split is deterministic and survives task retries.
+    With ``check_first`` the hot-key table is probed once (a key-column scan with map-side
+    counting); when it is empty the join is planned as a plain equi-join.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports inner and left joins")
@@ -65,6 +68,9 @@ def skew_join(
     hot = hot_l.join(hot_r, "_hk", "full_outer").select(
         "_hk", F.coalesce("_sl", F.lit(1)).alias("_sl"), F.coalesce("_sr", F.lit(1)).alias("_sr")
     )
+    if check_first and not hot.take(1):
+        # No hot key: a plain join (AQE still coalesces and splits moderately skewed partitions).
+        return left.join(right, key, how)
 
     def tag(df: DataFrame, own: str, other: str, tiebreak: Sequence[str] | None, own_col: str, other_col: str) -> DataFrame:
         cols = list(tiebreak) if tiebreak else [c for c in df.columns if c != key]

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sectora.operators.records import for_section, section_context
+from sectora.session import scratch_path
 from sectora.sources.eav import Eav
 
 
@@ -131,3 +132,20 @@ def records_as_json(records: DataFrame) -> DataFrame:
         "org_id", "section_id", "section_name", "record_id", "provider_id",
         F.to_json("attrs").alias("attrs_json"), F.size("attrs").alias("n_attrs"),
     )
+
+
+def snapshot(records: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``section_records`` partitioned by org and section and read it back.
+
+    Reports then read only their (org, section) partitions, and the lineage of the build is
+    cut by a table in the shared checkpoint folder (``spark.checkpoint.dir``), so a lost
+    executor never forces the whole EAV fold to be recomputed.
+    """
+    spark = records.sparkSession
+    target = path or scratch_path(spark, "section_records")
+    (
+        records.repartition("org_id", "section_id", "record_id")
+        .write.mode("overwrite").partitionBy("org_id", "section_id")
+        .option("compression", "snappy").parquet(target)
+    )
+    return spark.read.parquet(target).select(*records.columns)

@@ -167,3 +167,122 @@ def wide_cte(name: str, org: int, section: int, attribute_ids: list[int]) -> str
   WHERE c.org_id = {org} AND c.section_id = {section}
   GROUP BY c.record_id, c.provider_id
 )"""
+
+
+def _sql_text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def requests_cte() -> str:
+    """``req(request_id, org_id, report_id, body)``: the same JSON texts as the Spark fixture."""
+    from sectora.sources.fixtures import REQUEST_TEMPLATES
+
+    cases = "\n".join(
+        f"    WHEN {j} THEN printf({_sql_text(t)}, r_name, 101 + org_id * 1000, 102 + org_id * 1000, "
+        f"201 + org_id * 1000, 203 + org_id * 1000)"
+        for j, _target, t in REQUEST_TEMPLATES
+    )
+    targets = ", ".join(f"({j}::BIGINT, {_sql_text(tg) if tg else 'NULL'})" for j, tg, _t in REQUEST_TEMPLATES)
+    return f"""req AS (
+  SELECT r.org_id * 100 + t.j AS request_id, r.org_id,
+         CASE t.target WHEN 'own' THEN r.org_id * 100 + 2 WHEN 'other' THEN ((r.org_id + 1) % 5) * 100 + 2 END AS report_id,
+         CASE t.j
+{cases}
+         END AS body
+  FROM regions r CROSS JOIN (VALUES {targets}) t(j, target)
+)"""
+
+
+VALIDATION_CTES = """
+cat_sections AS (SELECT DISTINCT org_id, section_id FROM catalog WHERE section_id IS NOT NULL AND org_id IS NOT NULL),
+cat_attrs AS (
+  SELECT DISTINCT org_id, section_id, attribute_id FROM catalog
+  WHERE section_id IS NOT NULL AND org_id IS NOT NULL AND attribute_id IS NOT NULL
+),
+cfg AS (
+  SELECT request_id, org_id, pos, json_extract(body, '$.config[' || pos || ']') AS item
+  FROM (SELECT request_id, org_id, body, unnest(range(CAST(json_array_length(body, '$.config') AS BIGINT))) AS pos
+        FROM req WHERE json_type(body, '$.config') = 'ARRAY')
+),
+cfg_attrs AS (
+  SELECT request_id, org_id, pos, sid, attr_pos, json_extract_string(item, '$.attributeIds[' || attr_pos || ']') AS aid
+  FROM (SELECT request_id, org_id, pos, item, json_extract_string(item, '$.sectionId') AS sid,
+               unnest(range(CAST(coalesce(json_array_length(item, '$.attributeIds'), 0) AS BIGINT))) AS attr_pos
+        FROM cfg WHERE json_extract_string(item, '$.sectionId') IS NOT NULL)
+),
+filt AS (
+  SELECT request_id, org_id, pos, json_extract(body, '$.filters[' || pos || ']') AS item
+  FROM (SELECT request_id, org_id, body, unnest(range(CAST(json_array_length(body, '$.filters') AS BIGINT))) AS pos
+        FROM req WHERE json_type(body, '$.filters') = 'ARRAY')
+),
+srt AS (
+  SELECT request_id, org_id, pos, json_extract(body, '$.sorts[' || pos || ']') AS item
+  FROM (SELECT request_id, org_id, body, unnest(range(CAST(json_array_length(body, '$.sorts') AS BIGINT))) AS pos
+        FROM req WHERE json_type(body, '$.sorts') = 'ARRAY')
+),
+filt_ok AS (
+  SELECT *, json_extract_string(item, '$.sectionId') AS sid, json_extract_string(item, '$.attributeId') AS aid
+  FROM filt WHERE json_exists(item, '$.sectionId') AND json_exists(item, '$.attributeId') AND json_exists(item, '$.operator')
+),
+srt_ok AS (
+  SELECT *, json_extract_string(item, '$.sectionId') AS sid, json_extract_string(item, '$.attributeId') AS aid
+  FROM srt WHERE json_exists(item, '$.sectionId') AND json_exists(item, '$.attributeId')
+),
+errors AS (
+  SELECT request_id, org_id, 0 AS stage, 0 AS pos, 0 AS step, 0 AS attr_pos, 'name is required' AS message
+  FROM req WHERE coalesce(json_extract_string(body, '$.name'), '') = ''
+  UNION ALL SELECT request_id, org_id, 0, 0, 1, 0, 'config must be a list' FROM req
+  WHERE json_type(body, '$.config') IS NOT NULL AND json_type(body, '$.config') NOT IN ('ARRAY', 'NULL')
+  UNION ALL SELECT request_id, org_id, 0, 0, 2, 0, 'filters must be a list' FROM req
+  WHERE json_type(body, '$.filters') IS NOT NULL AND json_type(body, '$.filters') NOT IN ('ARRAY', 'NULL')
+  UNION ALL SELECT request_id, org_id, 0, 0, 3, 0, 'sorts must be a list' FROM req
+  WHERE json_type(body, '$.sorts') IS NOT NULL AND json_type(body, '$.sorts') NOT IN ('ARRAY', 'NULL')
+  UNION ALL SELECT q.request_id, q.org_id, 1, 0, 0, 0,
+         'Report ' || CAST(q.report_id AS VARCHAR) || ' not found for org_id ' || CAST(q.org_id AS VARCHAR)
+  FROM req q WHERE q.report_id IS NOT NULL
+    AND NOT EXISTS (SELECT 1 FROM reports p WHERE p.report_id = q.report_id AND p.org_id = q.org_id)
+  UNION ALL SELECT request_id, org_id, 2, pos, 0, 0, 'sectionId is required in each config item'
+  FROM cfg WHERE NOT json_exists(item, '$.sectionId')
+  UNION ALL SELECT c.request_id, c.org_id, 2, c.pos, 1, 0,
+         'Invalid sectionId for org_id ' || CAST(c.org_id AS VARCHAR) || ': ' || json_extract_string(c.item, '$.sectionId')
+  FROM cfg c WHERE json_exists(c.item, '$.sectionId') AND NOT EXISTS (
+    SELECT 1 FROM cat_sections s WHERE s.org_id = c.org_id
+      AND s.section_id = TRY_CAST(json_extract_string(c.item, '$.sectionId') AS BIGINT))
+  UNION ALL SELECT a.request_id, a.org_id, 2, a.pos, 2, a.attr_pos,
+         'Invalid attributeId ' || a.aid || ' for sectionId ' || a.sid || ' and org_id ' || CAST(a.org_id AS VARCHAR)
+  FROM cfg_attrs a WHERE NOT EXISTS (
+    SELECT 1 FROM cat_attrs k WHERE k.org_id = a.org_id AND k.section_id = TRY_CAST(a.sid AS BIGINT)
+      AND k.attribute_id = TRY_CAST(a.aid AS BIGINT))
+  UNION ALL SELECT request_id, org_id, 3, pos, 0, 0, 'Each filter must contain sectionId, attributeId, and operator'
+  FROM filt WHERE NOT (json_exists(item, '$.sectionId') AND json_exists(item, '$.attributeId') AND json_exists(item, '$.operator'))
+  UNION ALL SELECT f.request_id, f.org_id, 3, f.pos, 1, 0,
+         'Invalid filter sectionId for org_id ' || CAST(f.org_id AS VARCHAR) || ': ' || f.sid
+  FROM filt_ok f WHERE NOT EXISTS (SELECT 1 FROM cat_sections s WHERE s.org_id = f.org_id AND s.section_id = TRY_CAST(f.sid AS BIGINT))
+  UNION ALL SELECT f.request_id, f.org_id, 3, f.pos, 2, 0,
+         'Invalid filter attributeId ' || f.aid || ' for sectionId ' || f.sid || ' and org_id ' || CAST(f.org_id AS VARCHAR)
+  FROM filt_ok f WHERE NOT EXISTS (
+    SELECT 1 FROM cat_attrs k WHERE k.org_id = f.org_id AND k.section_id = TRY_CAST(f.sid AS BIGINT)
+      AND k.attribute_id = TRY_CAST(f.aid AS BIGINT))
+  UNION ALL SELECT request_id, org_id, 3, pos, 3, 0, 'Invalid filter operator: ' || trim(json_extract_string(item, '$.operator'))
+  FROM filt_ok WHERE upper(trim(json_extract_string(item, '$.operator'))) NOT IN (OPERATOR_LIST)
+  UNION ALL SELECT request_id, org_id, 4, pos, 0, 0, 'Each sort must contain sectionId and attributeId'
+  FROM srt WHERE NOT (json_exists(item, '$.sectionId') AND json_exists(item, '$.attributeId'))
+  UNION ALL SELECT f.request_id, f.org_id, 4, f.pos, 1, 0,
+         'Invalid sort sectionId for org_id ' || CAST(f.org_id AS VARCHAR) || ': ' || f.sid
+  FROM srt_ok f WHERE NOT EXISTS (SELECT 1 FROM cat_sections s WHERE s.org_id = f.org_id AND s.section_id = TRY_CAST(f.sid AS BIGINT))
+  UNION ALL SELECT f.request_id, f.org_id, 4, f.pos, 2, 0,
+         'Invalid sort attributeId ' || f.aid || ' for sectionId ' || f.sid || ' and org_id ' || CAST(f.org_id AS VARCHAR)
+  FROM srt_ok f WHERE NOT EXISTS (
+    SELECT 1 FROM cat_attrs k WHERE k.org_id = f.org_id AND k.section_id = TRY_CAST(f.sid AS BIGINT)
+      AND k.attribute_id = TRY_CAST(f.aid AS BIGINT))
+  UNION ALL SELECT request_id, org_id, 4, pos, 3, 0,
+         'Invalid sort direction: ' || lower(coalesce(json_extract_string(item, '$.direction'), 'asc'))
+  FROM srt_ok WHERE lower(coalesce(json_extract_string(item, '$.direction'), 'asc')) NOT IN ('asc', 'desc')
+)
+"""
+
+
+def validation_ctes() -> str:
+    from sectora.operators.predicates import OPERATORS
+
+    return VALIDATION_CTES.replace("OPERATOR_LIST", ", ".join(_sql_text(o) for o in OPERATORS))

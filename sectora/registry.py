@@ -52,7 +52,7 @@ def report(spark: SparkSession, sf: str, report_id: int, org_id: int, *, filters
     plan = plan_from_tables(definitions(spark, sf), report_id, org_id)
     if not filters:
         plan = type(plan)(plan.report_id, plan.org_id, plan.sections, (), plan.sorts)
-    return build_report(section_records(spark, sf), plan, **opts)
+    return build_report(sec.snapshot(section_records(spark, sf)), plan, **opts)
 
 
 def wide(spark: SparkSession, sf: str, org: int, section: int) -> DataFrame:
@@ -314,3 +314,255 @@ FROM catalog WHERE org_id = 1 ORDER BY section_id, attribute_id
 """, CATALOG_CTE))
 def q_order_catalog(spark, sf):
     return cat.ordered_catalog(cat.attribute_catalog(eav(spark, sf)), 1)
+
+
+# ---------------------------------------------------------------------------
+# Definition management
+# ---------------------------------------------------------------------------
+
+from sectora.oracle import requests_cte, validation_ctes  # noqa: E402
+from sectora.operators import definitions as dfn  # noqa: E402
+
+NOW = "2026-06-01 12:00:00"
+
+
+def now_col():
+    return F.to_timestamp_ntz(F.lit(NOW))
+
+
+def requests(spark, sf):
+    return fixtures.requests(spark, sf)
+
+
+def catalog(spark, sf):
+    return cat.attribute_catalog(eav(spark, sf))
+
+
+def errors(spark, sf):
+    return dfn.validate_definitions(requests(spark, sf), catalog(spark, sf), definitions(spark, sf)["reports"])
+
+
+REQ = requests_cte()
+VAL = CATALOG_CTE.strip() + ",\n" + REQ + ",\n" + validation_ctes().strip()
+
+
+@register("fn_json_parse", with_fixture("""
+SELECT request_id, org_id, json_extract_string(body, '$.name') AS name,
+       json_extract_string(body, '$.description') AS description,
+       CASE WHEN json_type(body, '$.config') = 'ARRAY' THEN CAST(json_array_length(body, '$.config') AS INTEGER) END AS n_config
+FROM req
+""", REQ))
+def q_fn_json_parse(spark, sf):
+    p = dfn.parse_requests(requests(spark, sf))
+    return p.select("request_id", "org_id", F.col("doc.name").alias("name"), F.col("doc.description").alias("description"),
+                    F.when(F.col("doc.config").isNotNull(), F.size("doc.config")).alias("n_config"))
+
+
+@register("flatten_sections", with_fixture("""
+SELECT request_id, org_id, CAST(pos AS INTEGER) AS pos, TRY_CAST(json_extract_string(item, '$.sectionId') AS BIGINT) AS section_id
+FROM cfg
+""", VAL))
+def q_flatten_sections(spark, sf):
+    return dfn.flatten_sections(dfn.parse_requests(requests(spark, sf)))
+
+
+@register("flatten_attributes", with_fixture("""
+SELECT request_id, org_id, CAST(pos AS INTEGER) AS pos, CAST(attr_pos AS INTEGER) AS attr_pos,
+       TRY_CAST(json_extract_string(item, '$.sectionId') AS BIGINT) AS section_id,
+       TRY_CAST(json_extract_string(item, '$.attributeIds[' || attr_pos || ']') AS BIGINT) AS attribute_id
+FROM (SELECT request_id, org_id, pos, item,
+             unnest(range(CAST(coalesce(json_array_length(item, '$.attributeIds'), 0) AS BIGINT))) AS attr_pos FROM cfg)
+""", VAL))
+def q_flatten_attributes(spark, sf):
+    return dfn.flatten_attributes(dfn.parse_requests(requests(spark, sf)))
+
+
+@register("flatten_filters", with_fixture("""
+SELECT request_id, org_id, CAST(pos AS INTEGER) AS pos,
+       TRY_CAST(json_extract_string(item, '$.sectionId') AS BIGINT) AS section_id,
+       TRY_CAST(json_extract_string(item, '$.attributeId') AS BIGINT) AS attribute_id,
+       trim(json_extract_string(item, '$.operator')) AS operator,
+       coalesce(json_extract_string(item, '$.value'), '') AS value
+FROM filt
+""", VAL))
+def q_flatten_filters(spark, sf):
+    return dfn.flatten_filters(dfn.parse_requests(requests(spark, sf)))
+
+
+@register("flatten_sorts", with_fixture("""
+SELECT request_id, org_id, CAST(pos AS INTEGER) AS pos,
+       TRY_CAST(json_extract_string(item, '$.sectionId') AS BIGINT) AS section_id,
+       TRY_CAST(json_extract_string(item, '$.attributeId') AS BIGINT) AS attribute_id,
+       lower(coalesce(json_extract_string(item, '$.direction'), 'asc')) AS direction,
+       coalesce(TRY_CAST(json_extract_string(item, '$.sortOrder') AS INTEGER), 1) AS sort_order
+FROM srt
+""", VAL))
+def q_flatten_sorts(spark, sf):
+    return dfn.flatten_sorts(dfn.parse_requests(requests(spark, sf)))
+
+
+def _stage(stage: int):
+    def q(spark, sf):
+        return errors(spark, sf).where(F.col("stage") == stage).select("request_id", "org_id", "pos", "message")
+    return q
+
+
+def _stage_sql(stage: int) -> str:
+    return with_fixture(f"SELECT request_id, org_id, CAST(pos AS INTEGER) AS pos, message FROM errors WHERE stage = {stage}", VAL)
+
+
+register("validate_request_shape", _stage_sql(0))(_stage(0))
+register("anti_invalid_config", _stage_sql(2))(_stage(2))
+register("validate_filters", _stage_sql(3))(_stage(3))
+register("validate_sorts", _stage_sql(4))(_stage(4))
+
+
+@register("semi_report_exists", with_fixture("""
+SELECT q.request_id, q.org_id, q.report_id FROM req q
+WHERE EXISTS (SELECT 1 FROM reports p WHERE p.report_id = q.report_id AND p.org_id = q.org_id)
+""", REQ))
+def q_semi_report_exists(spark, sf):
+    return dfn.existing_targets(requests(spark, sf), definitions(spark, sf)["reports"])
+
+
+@register("first_error", with_fixture("""
+SELECT request_id, org_id, arg_min(message, (stage, pos, step, attr_pos)) AS message FROM errors GROUP BY request_id, org_id
+""", VAL))
+def q_first_error(spark, sf):
+    return dfn.first_error(errors(spark, sf))
+
+
+UPSERT_CTES = VAL + f""",
+valid AS (
+  SELECT q.*, coalesce(q.report_id, 1000000 + q.request_id) AS target_id FROM req q
+  WHERE NOT EXISTS (SELECT 1 FROM errors e WHERE e.request_id = q.request_id)
+),
+latest AS (SELECT target_id, org_id, max(request_id) AS request_id FROM valid GROUP BY target_id, org_id),
+v AS (SELECT valid.* FROM valid JOIN latest USING (target_id, org_id, request_id)),
+upserted AS (
+  SELECT v.target_id AS report_id, v.org_id, json_extract_string(v.body, '$.name') AS name,
+         coalesce(json_extract_string(v.body, '$.description'), '') AS description, 'created' AS status,
+         coalesce(p.created_at, TIMESTAMP '{NOW}') AS created_at, TIMESTAMP '{NOW}' AS updated_at, p.last_run_date
+  FROM v LEFT JOIN reports p ON p.report_id = v.target_id AND p.org_id = v.org_id
+),
+new_reports AS (
+  SELECT * FROM reports p WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.target_id = p.report_id AND v.org_id = p.org_id)
+  UNION ALL SELECT * FROM upserted
+),
+new_attrs AS (
+  SELECT * FROM rattr p WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.target_id = p.report_id AND v.org_id = p.org_id)
+  UNION ALL SELECT v.target_id, a.org_id, TRY_CAST(a.sid AS BIGINT), TRY_CAST(a.aid AS BIGINT)
+  FROM cfg_attrs a JOIN v ON v.request_id = a.request_id
+)
+"""
+
+
+def upserted(spark, sf):
+    reqs = requests(spark, sf)
+    state = definitions(spark, sf)
+    errs = dfn.validate_definitions(reqs, catalog(spark, sf), state["reports"])
+    return dfn.apply_definitions(state, reqs, errs, now_col(), new_id=F.lit(1000000) + F.col("request_id"))
+
+
+@register("upsert_definition", with_fixture("SELECT * FROM new_reports", UPSERT_CTES))
+def q_upsert_definition(spark, sf):
+    """Valid creates and edits applied to the reports snapshot (edits keep created_at)."""
+    return upserted(spark, sf)["reports"]
+
+
+@register("upsert_definition_attributes", with_fixture("SELECT * FROM new_attrs", UPSERT_CTES))
+def q_upsert_definition_attributes(spark, sf):
+    """Child rows of edited reports are replaced, those of other reports kept."""
+    return upserted(spark, sf)["report_section_attributes"]
+
+
+@register("join_definition_config", with_fixture("""
+SELECT s.report_id, s.org_id, s.section_id, a.attribute_id
+FROM rsec s LEFT JOIN rattr a ON s.report_id = a.report_id AND s.org_id = a.org_id AND s.section_id = a.section_id
+"""))
+def q_join_definition_config(spark, sf):
+    return dfn.definition_config(definitions(spark, sf))
+
+
+CONFIG_JSON_CTE = """
+cfg_sec AS (
+  SELECT s.report_id, s.org_id, s.section_id,
+         coalesce(list(CAST(a.attribute_id AS VARCHAR) ORDER BY a.attribute_id) FILTER (WHERE a.attribute_id IS NOT NULL), []) AS ids
+  FROM rsec s LEFT JOIN rattr a ON s.report_id = a.report_id AND s.org_id = a.org_id AND s.section_id = a.section_id
+  GROUP BY s.report_id, s.org_id, s.section_id
+),
+cfg_doc AS (
+  SELECT report_id, org_id,
+         to_json(list({'sectionId': CAST(section_id AS VARCHAR), 'attributeIds': ids} ORDER BY section_id)) AS config_json
+  FROM cfg_sec GROUP BY report_id, org_id
+),
+filt_doc AS (
+  SELECT report_id, org_id,
+         to_json(list({'sectionId': CAST(section_id AS VARCHAR), 'attributeId': CAST(attribute_id AS VARCHAR),
+                       'operator': operator, 'value': value}
+                      ORDER BY CAST(section_id AS VARCHAR), CAST(attribute_id AS VARCHAR), operator, value)) AS filters_json
+  FROM rfilt GROUP BY report_id, org_id
+),
+sort_doc AS (
+  SELECT report_id, org_id,
+         to_json(list({'sectionId': CAST(section_id AS VARCHAR), 'attributeId': CAST(attribute_id AS VARCHAR),
+                       'direction': direction, 'sortOrder': sort_order}
+                      ORDER BY sort_order, CAST(section_id AS VARCHAR), CAST(attribute_id AS VARCHAR))) AS sorts_json
+  FROM rsort GROUP BY report_id, org_id
+)
+"""
+
+JSON_OPTS = {"ignoreNullFields": "false"}
+
+
+@register("nest_definition_config", with_fixture("SELECT * FROM cfg_doc", CONFIG_JSON_CTE))
+def q_nest_definition_config(spark, sf):
+    return dfn.nest_config(definitions(spark, sf)).select("report_id", "org_id", F.to_json("config").alias("config_json"))
+
+
+@register("nest_definition_filters", with_fixture("SELECT * FROM filt_doc", CONFIG_JSON_CTE))
+def q_nest_definition_filters(spark, sf):
+    return dfn.nest_filters(definitions(spark, sf)).select(
+        "report_id", "org_id", F.to_json("filters", JSON_OPTS).alias("filters_json"))
+
+
+@register("nest_definition_sorts", with_fixture("SELECT * FROM sort_doc", CONFIG_JSON_CTE))
+def q_nest_definition_sorts(spark, sf):
+    return dfn.nest_sorts(definitions(spark, sf)).select(
+        "report_id", "org_id", F.to_json("sorts", JSON_OPTS).alias("sorts_json"))
+
+
+@register("get_definition", with_fixture("""
+SELECT p.report_id, p.org_id, p.name, p.description, p.status, p.created_at, p.updated_at,
+       coalesce(c.config_json, '[]') AS config_json, coalesce(f.filters_json, '[]') AS filters_json,
+       coalesce(s.sorts_json, '[]') AS sorts_json
+FROM reports p
+LEFT JOIN cfg_doc c ON c.report_id = p.report_id AND c.org_id = p.org_id
+LEFT JOIN filt_doc f ON f.report_id = p.report_id AND f.org_id = p.org_id
+LEFT JOIN sort_doc s ON s.report_id = p.report_id AND s.org_id = p.org_id
+""", CONFIG_JSON_CTE))
+def q_get_definition(spark, sf):
+    d = dfn.get_definition(definitions(spark, sf))
+    return d.select(
+        "report_id", "org_id", "name", "description", "status", "created_at", "updated_at",
+        F.to_json("config").alias("config_json"), F.to_json("filters", JSON_OPTS).alias("filters_json"),
+        F.to_json("sorts", JSON_OPTS).alias("sorts_json"),
+    )
+
+
+@register("pending_reports", with_fixture("SELECT * FROM reports WHERE status = 'created'"))
+def q_pending_reports(spark, sf):
+    return dfn.pending_reports(definitions(spark, sf)["reports"])
+
+
+@register("report_status", with_fixture(f"""
+SELECT report_id, org_id, name, description,
+       CASE WHEN status = 'created' THEN 'running' ELSE status END AS status, created_at,
+       CASE WHEN status = 'created' THEN TIMESTAMP '{NOW}' ELSE updated_at END AS updated_at, last_run_date
+FROM reports
+"""))
+def q_report_status(spark, sf):
+    """Pending reports move to ``running`` (updated_at = now, last_run_date untouched)."""
+    reports = definitions(spark, sf)["reports"]
+    changes = dfn.pending_reports(reports).select("report_id", "org_id", F.lit("running").alias("status"))
+    return dfn.set_status(reports, changes, now_col())

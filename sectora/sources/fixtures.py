@@ -322,33 +322,37 @@ def definition_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
     }
 
 
-# Fixed values of the fixture: request bodies, one valid create, one valid edit and one per
-# violation. %1$s is the org's region name, %2$d..%5$d the org's attribute ids of bases
-# 101, 102, 201 and 203.
+# Fixed values of the fixture: request bodies (j, target, template): one valid create, one
+# valid edit of the org's report 2, one edit of another org's report and one per violation.
+# %1$s is the org's region name, %2$d..%5$d the org's attribute ids of bases 101, 102, 201, 203.
 REQUEST_TEMPLATES = [
-    (1, False, '{"name":"Quarterly %1$s","description":"by segment","config":[{"sectionId":"1","attributeIds":[%2$d,%3$d]},{"sectionId":2,"attributeIds":["%4$d"]}],"filters":[{"sectionId":"1","attributeId":%2$d,"operator":" in ","value":"BUILDING,MACHINERY"}],"sorts":[{"sectionId":"2","attributeId":"%4$d"}]}'),
-    (2, False, '{"description":"no name","config":[{"sectionId":"1","attributeIds":[%2$d]}]}'),
-    (3, False, '{"name":"Bad config %1$s","config":{"sectionId":"1"}}'),
-    (4, False, '{"name":"Archived %1$s","config":[{"sectionId":"3","attributeIds":[]}]}'),
-    (5, False, '{"name":"Foreign %1$s","config":[{"sectionId":"1","attributeIds":[%4$d]}]}'),
-    (6, False, '{"name":"Between %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}],"filters":[{"sectionId":"1","attributeId":"%2$d","operator":"BETWEEN","value":"a"}]}'),
-    (7, False, '{"name":"Upward %1$s","config":[{"sectionId":"2","attributeIds":[%5$d]}],"sorts":[{"sectionId":"2","attributeId":%5$d,"direction":"UP"}]}'),
-    (8, False, '{"name":"Partial %1$s","config":[{"sectionId":"2","attributeIds":[%5$d]}],"filters":[{"sectionId":"2","attributeId":%5$d,"value":"1"}]}'),
-    (9, True, '{"name":"Edited %1$s","config":[{"sectionId":"2","attributeIds":[%5$d,%4$d]},{"sectionId":"5"}],"filters":[{"sectionId":"2","attributeId":"%4$d","operator":"<>","value":"F"}],"sorts":[{"sectionId":"2","attributeId":"%5$d","direction":"DESC","sortOrder":"2"},{"sectionId":"2","attributeId":"%4$d","sortOrder":1}]}'),
+    (1, None, '{"name":"Quarterly %1$s","description":"by segment","config":[{"sectionId":"1","attributeIds":[%2$d,%3$d]},{"sectionId":2,"attributeIds":["%4$d"]}],"filters":[{"sectionId":"1","attributeId":%2$d,"operator":" in ","value":"BUILDING,MACHINERY"}],"sorts":[{"sectionId":"2","attributeId":"%4$d"}]}'),
+    (2, None, '{"description":"no name","config":[{"sectionId":"1","attributeIds":[%2$d]}]}'),
+    (3, None, '{"name":"Bad config %1$s","config":{"sectionId":"1"}}'),
+    (4, None, '{"name":"Archived %1$s","config":[{"sectionId":"3","attributeIds":[]}]}'),
+    (5, None, '{"name":"Foreign %1$s","config":[{"sectionId":"1","attributeIds":[%4$d]}]}'),
+    (6, None, '{"name":"Between %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}],"filters":[{"sectionId":"1","attributeId":"%2$d","operator":"BETWEEN","value":"a"}]}'),
+    (7, None, '{"name":"Upward %1$s","config":[{"sectionId":"2","attributeIds":[%5$d]}],"sorts":[{"sectionId":"2","attributeId":%5$d,"direction":"UP"}]}'),
+    (8, None, '{"name":"Partial %1$s","config":[{"sectionId":"2","attributeIds":[%5$d]}],"filters":[{"sectionId":"2","attributeId":%5$d,"value":"1"}]}'),
+    (9, "own", '{"name":"Edited %1$s","config":[{"sectionId":"2","attributeIds":[%5$d,%4$d]}],"filters":[{"sectionId":"2","attributeId":"%4$d","operator":"<>","value":"F"}],"sorts":[{"sectionId":"2","attributeId":"%5$d","direction":"DESC","sortOrder":"2"},{"sectionId":"2","attributeId":"%4$d","sortOrder":1}]}'),
+    (10, "other", '{"name":"Not mine %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}]}'),
+    (11, None, '{"name":"Loose %1$s","config":[{"attributeIds":[%2$d]}],"filters":"none","sorts":[{"sectionId":"1"}]}'),
 ]
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Definition requests ``(request_id, org_id, report_id, body)``; edits target report k=2."""
+    """Definition requests ``(request_id, org_id, report_id, body)``; ``report_id`` null = create."""
     regions = _regions(spark, sf_dir)
     rt = T.StructType([
-        T.StructField("j", T.LongType()), T.StructField("edit", T.BooleanType()), T.StructField("tmpl", T.StringType()),
+        T.StructField("j", T.LongType()), T.StructField("target", T.StringType()), T.StructField("tmpl", T.StringType()),
     ])
     rows = expand(regions, REQUEST_TEMPLATES, rt)
     return rows.select(
         (F.col("org_id") * 100 + F.col("j")).cast("long").alias("request_id"),
         "org_id",
-        F.when(F.col("edit"), (F.col("org_id") * 100 + 2).cast("long")).alias("report_id"),
+        F.when(F.col("target") == "own", F.col("org_id") * 100 + 2)
+        .when(F.col("target") == "other", F.pmod(F.col("org_id") + 1, F.lit(5)) * 100 + 2)
+        .cast("long").alias("report_id"),
         _format_body().alias("body"),
     )
 
