@@ -188,3 +188,42 @@ def rebuild(
         [(o.report_id, o.org_id, o.status, o.snapshot_path, o.error) for o in outcomes],
         "report_id long, org_id long, status string, snapshot_path string, error string",
     )
+
+
+def report_attribute_order(attrs: DataFrame) -> DataFrame:
+    """Attributes of each report with their position in numeric (section, attribute) order."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("report_id", "org_id").orderBy("section_id", "attribute_id")
+    return attrs.select("report_id", "org_id", "section_id", "attribute_id",
+                        F.row_number().over(w).cast("int").alias("position"))
+
+
+def report_section_groups(attrs: DataFrame) -> DataFrame:
+    """Per report and section: alias ``s<section>``, whether it drives the joins (smallest id)
+    and its distinct attribute ids in order."""
+    per = attrs.groupBy("report_id", "org_id", "section_id").agg(
+        F.array_sort(F.collect_set("attribute_id")).alias("attribute_ids")
+    )
+    first = attrs.groupBy("report_id", "org_id").agg(F.min("section_id").alias("_first"))
+    return per.join(first, ["report_id", "org_id"]).select(
+        "report_id", "org_id", "section_id",
+        F.concat(F.lit("s"), F.col("section_id").cast("string")).alias("alias"),
+        (F.col("section_id") == F.col("_first")).alias("is_driver"),
+        "attribute_ids",
+    )
+
+
+def query_texts(spark: SparkSession, definitions: dict[str, DataFrame], org_id: int) -> DataFrame:
+    """SQL text of every report of an org (one bounded definition read per report)."""
+    from sectora.plans.report_plan import plan_from_tables, render_sql
+
+    ids = [r["report_id"] for r in definitions["reports"].where(F.col("org_id") == F.lit(int(org_id)))
+           .select("report_id").orderBy("report_id").collect()]
+    rows = []
+    for report_id in ids:
+        try:
+            rows.append((int(report_id), render_sql(plan_from_tables(definitions, report_id, org_id))))
+        except DefinitionError as exc:
+            rows.append((int(report_id), f"-- {exc}"))
+    return spark.createDataFrame(rows, "report_id long, query string")

@@ -286,3 +286,28 @@ def validation_ctes() -> str:
     from sectora.operators.predicates import OPERATORS
 
     return VALIDATION_CTES.replace("OPERATOR_LIST", ", ".join(_sql_text(o) for o in OPERATORS))
+
+
+TASKS_CTE = """
+ev AS (
+  SELECT *, CASE event_type WHEN 'purchase' THEN 'document' WHEN 'signup' THEN 'profile' ELSE 'signature' END AS type
+  FROM events
+),
+tasks AS (
+  SELECT CAST(event_id AS VARCHAR) AS id, user_id AS provider_id, type,
+         CASE event_id % 3 WHEN 0 THEN 'pending' WHEN 1 THEN 'in_progress' ELSE 'completed' END AS status,
+         event_type AS title, props AS description, strftime(ts, '%Y-%m-%d') AS dueDate,
+         CASE WHEN type = 'signature' THEN 'Enrollment Team' ELSE 'Credentialing Admin' END AS requestedBy,
+         CASE WHEN type = 'profile' THEN CASE WHEN event_id % 5 = 0 THEN '' ELSE 'Profile' END END AS sectionName,
+         CASE WHEN type = 'document' THEN CASE WHEN event_id % 5 = 0 THEN '' ELSE 'doc_' || CAST(event_id AS VARCHAR) || '.pdf' END END AS documentName,
+         CASE WHEN type = 'signature' THEN 'form_' || CAST(event_id AS VARCHAR) || '.pdf' END AS formName,
+         CASE WHEN type = 'profile' THEN [
+           {'label': 'Event', 'value': event_type, 'required': true, 'placeholder': 'Type'},
+           {'label': 'Amount', 'value': CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END,
+            'required': NULL::BOOLEAN, 'placeholder': NULL::VARCHAR},
+           {'label': 'Note', 'value': CASE WHEN event_id % 2 = 0 THEN '' ELSE props END, 'required': false, 'placeholder': 'Note'},
+           {'label': 'User', 'value': CAST(user_id AS VARCHAR), 'required': true, 'placeholder': NULL::VARCHAR}
+         ] END AS fields
+  FROM ev
+)
+"""

@@ -566,3 +566,424 @@ def q_report_status(spark, sf):
     reports = definitions(spark, sf)["reports"]
     changes = dfn.pending_reports(reports).select("report_id", "org_id", F.lit("running").alias("status"))
     return dfn.set_status(reports, changes, now_col())
+
+
+# ---------------------------------------------------------------------------
+# Predicates, one per operator, on wide section tables
+# ---------------------------------------------------------------------------
+
+from sectora.operators.predicates import Filter, predicate, report_filter  # noqa: E402
+from sectora.oracle import TASKS_CTE  # noqa: E402
+
+PRED_CASES = {
+    # name: (org, section, attribute, operator, value, SQL condition)
+    "pred_eq": (0, 1, 101, "=", "BUILDING", "attr_101 = 'BUILDING'"),
+    "pred_ne": (0, 2, 201, "!=", "F", "attr_201 <> 'F'"),
+    "pred_gt": (0, 1, 102, ">", "5000", "attr_102 > '5000'"),
+    "pred_lt": (0, 2, 203, "<", "150000", "attr_203 < '150000'"),
+    "pred_ge": (0, 1, 102, ">=", "5000.00", "attr_102 >= '5000.00'"),
+    "pred_le": (0, 1, 102, "<=", "1000", "attr_102 <= '1000'"),
+    "pred_contains": (0, 1, 103, " contains ", "n_2", "attr_103 ILIKE '%n_2%'"),
+    "pred_like": (0, 2, 202, "LIKE", "%URGENT", "attr_202 LIKE '%URGENT'"),
+    "pred_in": (0, 1, 101, "IN", " BUILDING, ,MACHINERY,,O'Brien ", "attr_101 IN ('BUILDING', 'MACHINERY', 'O''Brien')"),
+}
+
+
+def _pred_query(org, section, attribute, operator, value):
+    def q(spark, sf):
+        return wide(spark, sf, org, section).where(predicate(F.col(f"attr_{attribute}"), operator, value))
+    return q
+
+
+for _name, (_o, _s, _a, _op, _v, _cond) in PRED_CASES.items():
+    register(_name, with_fixture(f"SELECT * FROM w WHERE {_cond}", wide_cte("w", _o, _s, ids_of(_o, _s))))(
+        _pred_query(_o, _s, _a, _op, _v))
+
+
+@register("pred_conjunction", with_fixture(
+    "SELECT * FROM w WHERE attr_201 <> 'F' AND attr_202 ILIKE '%high%'", wide_cte("w", 0, 2, ids_of(0, 2))))
+def q_pred_conjunction(spark, sf):
+    """AND of the applicable filters; a filter on another section and one with a null value are skipped."""
+    df = wide(spark, sf, 0, 2)
+    cols = {(2, a): f"attr_{a}" for a in ids_of(0, 2)}
+    pred, _ignored = report_filter(
+        [Filter(2, 201, "!=", "F"), Filter(2, 202, "Contains", " high "), Filter(1, 101, "=", "X"), Filter(2, 203, "=", None)],
+        cols,
+    )
+    return df.where(pred)
+
+
+# ---------------------------------------------------------------------------
+# Reads, listings, ordering
+# ---------------------------------------------------------------------------
+
+from sectora.operators import reports as rep  # noqa: E402
+from sectora.session import scratch_path  # noqa: E402
+
+REPORT_101_CORE = REPORT_101_SQL  # WITH ... SELECT <report rows>
+ORDER_101 = ("attr_1102 DESC NULLS FIRST, attr_1203 ASC NULLS LAST, provider_id ASC NULLS LAST, attr_1101 ASC NULLS LAST, "
+             "attr_1102 ASC NULLS LAST, attr_1103 ASC NULLS LAST, attr_1201 ASC NULLS LAST, attr_1203 ASC NULLS LAST")
+
+
+def _wrap(sql_with: str, outer: str) -> str:
+    """Put the final SELECT of a WITH query into a CTE ``base`` and select ``outer`` from it."""
+    head, _, tail = sql_with.rpartition("\nSELECT")
+    return f"{head},\nbase AS (SELECT{tail})\n{outer}"
+
+
+def materialized_101(spark, sf):
+    defs = definitions(spark, sf)
+    plan = plan_from_tables(defs, 101, 1)
+    df = build_report(sec.snapshot(section_records(spark, sf)), plan)
+    path = rep.materialize(df, scratch_path(spark, "reports"), 101)
+    return spark.read.parquet(path), plan
+
+
+@register("materialize_report", REPORT_101_SQL)
+def q_materialize_report(spark, sf):
+    return materialized_101(spark, sf)[0]
+
+
+@register("read_report", _wrap(REPORT_101_SQL, f"SELECT * FROM base ORDER BY {ORDER_101} LIMIT 100"))
+def q_read_report(spark, sf):
+    snap, plan = materialized_101(spark, sf)
+    return rep.read_report(snap, plan.sorts, 100)
+
+
+@register("apply_report_sorts", REPORT_101_SQL)
+def q_apply_report_sorts(spark, sf):
+    snap, plan = materialized_101(spark, sf)
+    return rep.order_report(snap, plan.sorts)
+
+
+@register("result_count", _wrap(REPORT_101_SQL, f"SELECT count(*) AS count FROM (SELECT * FROM base ORDER BY {ORDER_101} LIMIT 100)"))
+def q_result_count(spark, sf):
+    snap, plan = materialized_101(spark, sf)
+    return rep.result_count(rep.read_report(snap, plan.sorts, 100))
+
+
+@register("report_metadata", with_fixture(
+    "SELECT report_id, name, description, last_run_date FROM reports WHERE org_id = 1 AND report_id = 101 LIMIT 1"))
+def q_report_metadata(spark, sf):
+    return rep.report_metadata(definitions(spark, sf)["reports"], 1, 101)
+
+
+@register("list_reports", with_fixture("""
+SELECT report_id, name, description, created_at, updated_at, status, last_run_date FROM reports
+WHERE org_id = 1 ORDER BY updated_at DESC NULLS FIRST, report_id DESC
+"""))
+def q_list_reports(spark, sf):
+    return rep.list_reports(definitions(spark, sf)["reports"], 1)
+
+
+@register("list_reports_by_created", with_fixture("""
+SELECT report_id, name, description, created_at, updated_at, status FROM reports
+WHERE org_id = 1 ORDER BY created_at DESC NULLS FIRST, report_id DESC
+"""))
+def q_list_reports_by_created(spark, sf):
+    return rep.list_reports(definitions(spark, sf)["reports"], 1, by="created_at")
+
+
+@register("order_report_attributes", with_fixture("""
+SELECT report_id, org_id, section_id, attribute_id,
+       CAST(row_number() OVER (PARTITION BY report_id, org_id ORDER BY section_id, attribute_id) AS INTEGER) AS position
+FROM rattr
+"""))
+def q_order_report_attributes(spark, sf):
+    return rep.report_attribute_order(definitions(spark, sf)["report_section_attributes"])
+
+
+@register("report_section_grouping", with_fixture("""
+SELECT report_id, org_id, section_id, 's' || CAST(section_id AS VARCHAR) AS alias,
+       section_id = min(section_id) OVER (PARTITION BY report_id, org_id) AS is_driver,
+       attribute_ids_json
+FROM (SELECT report_id, org_id, section_id, to_json(list(DISTINCT attribute_id ORDER BY attribute_id)) AS attribute_ids_json
+      FROM rattr GROUP BY report_id, org_id, section_id)
+"""))
+def q_report_section_grouping(spark, sf):
+    g = rep.report_section_groups(definitions(spark, sf)["report_section_attributes"])
+    return g.select("report_id", "org_id", "section_id", "alias", "is_driver",
+                    F.to_json("attribute_ids").alias("attribute_ids_json"))
+
+
+@register("report_query_text")
+def q_report_query_text(spark, sf):
+    """Generated SQL text of each report of org 1 (display only; rows-only check)."""
+    return rep.query_texts(spark, definitions(spark, sf), org_id=1)
+
+
+@register("rebuild_all_pending", with_fixture("""
+SELECT p.report_id, p.org_id,
+       CASE WHEN NOT EXISTS (SELECT 1 FROM rattr a WHERE a.report_id = p.report_id AND a.org_id = p.org_id)
+              OR EXISTS (SELECT 1 FROM rfilt f WHERE f.report_id = p.report_id AND f.org_id = p.org_id AND f.value IS NOT NULL
+                           AND upper(trim(f.operator)) NOT IN ('=', '!=', '<>', '>', '<', '>=', '<=', 'CONTAINS', 'LIKE', 'IN')
+                           AND f.section_id IN (SELECT a.section_id FROM rattr a WHERE a.report_id = p.report_id AND a.org_id = p.org_id))
+            THEN 'failed' ELSE 'completed' END AS status
+FROM reports p WHERE p.status = 'created'
+"""))
+def q_rebuild_all_pending(spark, sf):
+    """Every pending report built from one shared snapshot; a failing definition does not stop the rest."""
+    out = rep.rebuild(spark, sec.snapshot(section_records(spark, sf)), definitions(spark, sf),
+                      scratch_path(spark, "reports"))
+    return out.select("report_id", "org_id", "status")
+
+
+# ---------------------------------------------------------------------------
+# Scalar functions
+# ---------------------------------------------------------------------------
+
+from sectora.functions import text as fx  # noqa: E402
+from sectora.operators import tasks as tk  # noqa: E402
+
+
+@register("fn_cast_string", with_fixture("""
+SELECT record_id, CAST(record_id AS VARCHAR) AS record_text, CAST(record_is_deleted AS VARCHAR) AS deleted_text FROM records
+"""))
+def q_fn_cast_string(spark, sf):
+    r = eav(spark, sf).records
+    return r.select("record_id", F.col("record_id").cast("string").alias("record_text"),
+                    F.col("record_is_deleted").cast("string").alias("deleted_text"))
+
+
+@register("fn_trim_upper", with_fixture("""
+SELECT report_id, org_id, section_id, attribute_id, upper(trim(operator)) AS operator_norm FROM rfilt
+"""))
+def q_fn_trim_upper(spark, sf):
+    f = definitions(spark, sf)["report_filters"]
+    return f.select("report_id", "org_id", "section_id", "attribute_id", fx.normalise_operator(F.col("operator")).alias("operator_norm"))
+
+
+@register("fn_split_csv", with_fixture("""
+SELECT report_id, org_id, section_id, attribute_id,
+       to_json(list_filter(list_transform(string_split(value, ','), x -> trim(x)), x -> x <> '')) AS items_json
+FROM rfilt WHERE value IS NOT NULL
+"""))
+def q_fn_split_csv(spark, sf):
+    f = definitions(spark, sf)["report_filters"].where(F.col("value").isNotNull())
+    return f.select("report_id", "org_id", "section_id", "attribute_id", F.to_json(fx.split_csv(F.col("value"))).alias("items_json"))
+
+
+@register("fn_concat_ws", with_fixture("""
+SELECT org_id, section_id, string_agg(attribute_name, ',' ORDER BY attribute_name) AS attribute_names
+FROM catalog GROUP BY org_id, section_id
+""", CATALOG_CTE))
+def q_fn_concat_ws(spark, sf):
+    c = catalog(spark, sf)
+    return c.groupBy("org_id", "section_id").agg(fx.csv_of_sorted(F.collect_list("attribute_name")).alias("attribute_names"))
+
+
+@register("fn_regex_name", with_fixture("""
+SELECT attribute_id, org_id,
+       lower(CASE WHEN regexp_matches(substr(n, 1, 1), '^[0-9]$') THEN 'attr_' || n ELSE n END) AS column_name
+FROM (SELECT attribute_id, org_id,
+             CASE WHEN regexp_replace(trim(attribute_name), '[^A-Za-z0-9_]', '_', 'g') = '' THEN 'col'
+                  ELSE regexp_replace(trim(attribute_name), '[^A-Za-z0-9_]', '_', 'g') END AS n
+      FROM catalog)
+""", CATALOG_CTE))
+def q_fn_regex_name(spark, sf):
+    c = catalog(spark, sf)
+    return c.select("attribute_id", "org_id", fx.sanitize_name_col(F.col("attribute_name")).alias("column_name"))
+
+
+@register("fn_table_name", with_fixture("""
+SELECT DISTINCT org_id, section_id, 'org_' || CAST(org_id AS VARCHAR) || '_section_' || CAST(section_id AS VARCHAR) AS table_name
+FROM ctx
+"""))
+def q_fn_table_name(spark, sf):
+    s = rec.org_sections(rec.section_context(eav(spark, sf)))
+    return s.select("org_id", "section_id", fx.section_table_name(F.col("org_id"), F.col("section_id")).alias("table_name"))
+
+
+@register("fn_now", with_fixture(f"SELECT report_id, org_id, TIMESTAMP '{NOW}' AS checked_at FROM reports"))
+def q_fn_now(spark, sf):
+    return definitions(spark, sf)["reports"].select("report_id", "org_id", now_col().alias("checked_at"))
+
+
+@register("fn_report_id")
+def q_fn_report_id(spark, sf):
+    """Ids of new reports: a 63-bit hash of org, request and save time (rows-only check)."""
+    reqs = requests(spark, sf).where(F.col("report_id").isNull())
+    return reqs.select("request_id", "org_id", F.abs(F.xxhash64("org_id", "request_id", now_col())).alias("report_id"))
+
+
+def tasks(spark, sf):
+    return fixtures.tasks(spark, sf)
+
+
+@register("fn_coalesce_display", with_fixture("""
+SELECT id, coalesce(nullif(documentName, ''), nullif(formName, ''), nullif(sectionName, '')) AS display_name FROM tasks
+""", TASKS_CTE))
+def q_fn_coalesce_display(spark, sf):
+    return tk.display_columns(tasks(spark, sf)).select("id", "display_name")
+
+
+@register("fn_label_map", with_fixture("""
+SELECT id,
+  CASE type WHEN 'document' THEN 'Document Upload' WHEN 'profile' THEN 'Profile Information' WHEN 'signature' THEN 'PDF Signature' END AS type_label,
+  CASE status WHEN 'pending' THEN 'Pending' WHEN 'in_progress' THEN 'In Progress' WHEN 'completed' THEN 'Completed' END AS status_label,
+  CASE type WHEN 'document' THEN 'Upload Document' WHEN 'profile' THEN 'Complete Section' WHEN 'signature' THEN 'Open Form' ELSE 'Open' END AS action
+FROM tasks
+""", TASKS_CTE))
+def q_fn_label_map(spark, sf):
+    return tk.display_columns(tasks(spark, sf)).select("id", "type_label", "status_label", "action")
+
+
+@register("fn_array_head", with_fixture("""
+SELECT id, to_json(list_transform(coalesce(fields, [])[1:3], f -> {'label': f.label, 'value': coalesce(nullif(f.value, ''), '—')})) AS preview_json
+FROM tasks
+""", TASKS_CTE))
+def q_fn_array_head(spark, sf):
+    return tk.field_preview(tasks(spark, sf)).select("id", F.to_json("preview").alias("preview_json"))
+
+
+# ---------------------------------------------------------------------------
+# Task analytics
+# ---------------------------------------------------------------------------
+
+
+@register("tasks_split", with_fixture("""
+SELECT id, provider_id, type, status, CASE WHEN status = 'completed' THEN 'completed' ELSE 'open' END AS bucket FROM tasks
+""", TASKS_CTE))
+def q_tasks_split(spark, sf):
+    return tk.split_tasks(tasks(spark, sf)).select("id", "provider_id", "type", "status", "bucket")
+
+
+@register("tasks_search", with_fixture("""
+SELECT id, title, description, type, status FROM tasks
+WHERE contains(lower(coalesce(title, '')), 'ur') OR contains(lower(coalesce(description, '')), 'ur')
+""", TASKS_CTE))
+def q_tasks_search(spark, sf):
+    return tk.search_tasks(tasks(spark, sf), "UR").select("id", "title", "description", "type", "status")
+
+
+@register("tasks_search_typed", with_fixture("""
+SELECT id, title, description, type, status FROM tasks
+WHERE (contains(lower(coalesce(title, '')), '": 4') OR contains(lower(coalesce(description, '')), '": 4')) AND type = 'signature'
+""", TASKS_CTE))
+def q_tasks_search_typed(spark, sf):
+    """Literal search (quotes and digits are not patterns) restricted to one task type."""
+    return tk.search_tasks(tasks(spark, sf), '": 4', "signature").select("id", "title", "description", "type", "status")
+
+
+@register("tasks_kpi", with_fixture("""
+SELECT provider_id, count(*) AS total, count(*) FILTER (WHERE status <> 'completed') AS pending,
+       count(*) FILTER (WHERE status = 'completed') AS completed,
+       count(*) FILTER (WHERE status = 'completed' AND type = 'document') AS completed_documents,
+       count(*) FILTER (WHERE status = 'completed' AND type = 'profile') AS completed_profiles,
+       count(*) FILTER (WHERE status = 'completed' AND type = 'signature') AS completed_signatures,
+       CAST(floor(100.0 * count(*) FILTER (WHERE status = 'completed') / count(*) + 0.5) AS BIGINT) AS completion_rate
+FROM tasks GROUP BY provider_id
+""", TASKS_CTE))
+def q_tasks_kpi(spark, sf):
+    return tk.task_kpis(tasks(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks
+# ---------------------------------------------------------------------------
+
+from sectora.functions.types import warehouse_columns  # noqa: E402
+from sectora.sinks import tables as sink  # noqa: E402
+from sectora.sources.files import read_parquet  # noqa: E402
+
+
+@register("scan_parquet", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def q_scan_parquet(spark, sf):
+    return read_parquet(spark, f"{sf.rstrip('/')}/orders.parquet", ["o_orderkey", "o_custkey", "o_orderstatus"])
+
+
+@register("sink_table_overwrite", with_fixture("SELECT * FROM catalog", CATALOG_CTE))
+def q_sink_table_overwrite(spark, sf):
+    c = catalog(spark, sf)
+    path = scratch_path(spark, "attribute_section")
+    sink.write_table(c.limit(1), path, "overwrite")
+    sink.write_table(c, path, "overwrite")
+    return spark.read.parquet(path)
+
+
+@register("sink_table_append", with_fixture("""
+SELECT CAST(attribute_id AS VARCHAR) AS attribute_id, CAST(section_id AS VARCHAR) AS section_id, attribute_name, section_name,
+       CAST(org_id AS VARCHAR) AS org_id, attribute_type, attribute_options FROM catalog
+UNION ALL
+SELECT CAST(attribute_id AS VARCHAR), CAST(section_id AS VARCHAR), attribute_name, section_name,
+       CAST(org_id AS VARCHAR), attribute_type, attribute_options FROM catalog
+""", CATALOG_CTE))
+def q_sink_table_append(spark, sf):
+    c = catalog(spark, sf)
+    path = scratch_path(spark, "attribute_section")
+    sink.write_table(c, path, "append")
+    sink.write_table(c, path, "append")
+    return spark.read.parquet(path)
+
+
+@register("sink_skip_empty", with_fixture("SELECT * FROM catalog", CATALOG_CTE))
+def q_sink_skip_empty(spark, sf):
+    c = catalog(spark, sf)
+    path = scratch_path(spark, "attribute_section")
+    sink.write_table(c, path, "overwrite")
+    wrote = sink.write_table(c.where(F.lit(False)), path, "overwrite", skip_empty=True)
+    assert not wrote
+    return spark.read.parquet(path)
+
+
+@register("sink_parquet_sections", with_fixture("""
+SELECT record_id, provider_id, attr_1201 AS "1201", attr_1202 AS "1202", attr_1203 AS "1203" FROM w
+""", wide_cte("w", 1, 2, ids_of(1, 2))))
+def q_sink_parquet_sections(spark, sf):
+    """Export all sections partitioned by org and section, then read one section back (unprefixed ids)."""
+    path = scratch_path(spark, "sections")
+    sink.export_sections(section_records(spark, sf), path)
+    back = spark.read.parquet(path)
+    return sec.wide_section(back, 1, 2, ids_of(1, 2), prefix="")
+
+
+@register("sink_name_sanitize", with_fixture("""
+SELECT record_id, provider_id, attr_1101 AS segment, attr_1102 AS balance, attr_1103 AS nation, attr_1104 AS never_filled FROM w
+""", wide_cte("w", 1, 1, ids_of(1, 1))))
+def q_sink_name_sanitize(spark, sf):
+    names = {1000 + b: n for b, n, s, _ in fixtures.ATTRIBUTE_TEMPLATES if s == 1}
+    df = wide(spark, sf, 1, 1)
+    renamed = df.toDF(*[("Record ID" if c == "record_id" else names.get(int(c[5:]), c) if c.startswith("attr_") else c)
+                        for c in df.columns])
+    return sink.sanitize_columns(renamed)
+
+
+@register("sink_type_map")
+def q_sink_type_map(spark, sf):
+    """Warehouse column types of the catalog table (rows-only: derived from a schema)."""
+    cols = warehouse_columns(catalog(spark, sf).schema)
+    return spark.createDataFrame(cols, "column_name string, warehouse_type string")
+
+
+# ---------------------------------------------------------------------------
+# Streaming
+# ---------------------------------------------------------------------------
+
+from sectora.streaming import change_events, start_rebuild_stream  # noqa: E402
+
+
+@register("stream_rebuild", with_fixture("SELECT target_id AS report_id, org_id, 'completed' AS status FROM v", UPSERT_CTES))
+def q_stream_rebuild(spark, sf):
+    """Saved definitions emit change events; the stream rebuilds each changed report once."""
+    reqs = requests(spark, sf)
+    state = definitions(spark, sf)
+    errs = dfn.validate_definitions(reqs, catalog(spark, sf), state["reports"])
+    new_state = dfn.apply_definitions(state, reqs, errs, now_col(), new_id=F.lit(1000000) + F.col("request_id"))
+    base = scratch_path(spark, "stream")
+    state_path = f"{base}/definitions"
+    for name, df in new_state.items():
+        df.write.parquet(f"{state_path}/{name}")
+    applied = (
+        reqs.join(errs.select("request_id").distinct(), "request_id", "left_anti")
+        .select("org_id", F.coalesce("report_id", F.lit(1000000) + F.col("request_id")).alias("report_id"))
+    )
+    change_events(applied).union(change_events(applied)).write.json(f"{base}/events")  # duplicates on purpose
+    records = sec.snapshot(section_records(spark, sf), f"{base}/section_records")
+    q = start_rebuild_stream(
+        spark, f"{base}/events", f"{base}/checkpoint", f"{base}/outcomes",
+        records=lambda: records,
+        definitions=lambda: {n: spark.read.parquet(f"{state_path}/{n}") for n in new_state},
+        snapshots_path=f"{base}/reports",
+    )
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/outcomes").select("report_id", "org_id", "status")
