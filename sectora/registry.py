@@ -755,7 +755,7 @@ def q_fn_trim_upper(spark, sf):
 
 @register("fn_split_csv", with_fixture("""
 SELECT report_id, org_id, section_id, attribute_id,
-       to_json(list_filter(list_transform(string_split(value, ','), x -> trim(x)), x -> x <> '')) AS items_json
+       to_json(list_filter(list_transform(string_split(value, ','), lambda x: trim(x)), lambda x: x <> '')) AS items_json
 FROM rfilt WHERE value IS NOT NULL
 """))
 def q_fn_split_csv(spark, sf):
@@ -829,7 +829,7 @@ def q_fn_label_map(spark, sf):
 
 
 @register("fn_array_head", with_fixture("""
-SELECT id, to_json(list_transform(coalesce(fields, [])[1:3], f -> {'label': f.label, 'value': coalesce(nullif(f.value, ''), '—')})) AS preview_json
+SELECT id, to_json(list_transform(coalesce(fields, [])[1:3], lambda f: {'label': f.label, 'value': coalesce(nullif(f.value, ''), '—')})) AS preview_json
 FROM tasks
 """, TASKS_CTE))
 def q_fn_array_head(spark, sf):
