@@ -53,3 +53,9 @@ def ordered_catalog(catalog: DataFrame, org_id: int) -> DataFrame:
     return for_org(catalog, org_id).select(
         "section_id", "section_name", "attribute_id", "attribute_name", "attribute_type", "attribute_options"
     ).orderBy("section_id", "attribute_id")
+
+
+def catalog_keys_table(eav: Eav) -> DataFrame:
+    """``org_id, section_id, attribute_id`` of the catalog (what validation needs; no options)."""
+    sections = active_sections(eav.sections).select("section_id")
+    return eav.attributes.join(sections, "section_id", "inner").select("org_id", "section_id", "attribute_id")

@@ -137,35 +137,66 @@ def _raw_items(parsed: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _checked_items(parsed: DataFrame, key: str, sections_ok: DataFrame, attrs_ok: DataFrame) -> DataFrame:
+    """Raw items of one list with catalog flags: ``sec_ok`` and ``attr_ok`` (one pass, two left joins)."""
+    items = _raw_items(parsed, key).select(
+        "request_id", "org_id", "pos", "m",
+        F.col("m")["sectionId"].alias("sid"), F.col("m")["attributeId"].alias("aid"),
+        F.col("m")["sectionId"].try_cast("long").alias("section_id"),
+        F.col("m")["attributeId"].try_cast("long").alias("attribute_id"),
+    )
+    return (
+        items.join(sections_ok.withColumn("sec_ok", F.lit(True)), ["org_id", "section_id"], "left")
+        .join(attrs_ok.withColumn("attr_ok", F.lit(True)), ["org_id", "section_id", "attribute_id"], "left")
+        .withColumn("sec_ok", F.coalesce("sec_ok", F.lit(False)))
+        .withColumn("attr_ok", F.coalesce("attr_ok", F.lit(False)))
+    )
+
+
+def _explode_errors(df: DataFrame, stage: int, checks: list[tuple[int, Column, Column]], attr_pos: Column | None = None) -> DataFrame:
+    """One row per failed check: ``checks`` are ``(step, failed, message)``."""
+    candidates = F.array(*[
+        F.when(failed, F.struct(F.lit(step).alias("step"), msg.alias("message"))) for step, failed, msg in checks
+    ])
+    return df.select(
+        "request_id", "org_id", F.lit(stage).alias("stage"), F.col("pos").cast("int").alias("pos"),
+        (attr_pos if attr_pos is not None else F.lit(0)).cast("int").alias("attr_pos"),
+        F.explode(F.filter(candidates, lambda x: x.isNotNull())).alias("e"),
+    ).select("request_id", "org_id", "stage", "pos", F.col("e.step").alias("step"), "attr_pos", F.col("e.message").alias("message"))
+
+
 def validate_definitions(requests: DataFrame, catalog: DataFrame, reports: DataFrame | None = None) -> DataFrame:
-    """All violations of a batch of requests: ``request_id, org_id, stage, pos, step, attr_pos, message``."""
+    """All violations of a batch of requests: ``request_id, org_id, stage, pos, step, attr_pos, message``.
+
+    Each list (config, filters, sorts) is exploded once and checked against the tenant's
+    catalog with two left joins; all checks of a stage become rows in one projection.
+    """
     parsed = parse_requests(requests)
     sections_ok, attrs_ok = catalog_keys(catalog)
     org = F.col("org_id").cast("string")
     body = F.col("body")
-    errors = [
-        _err(parsed.where(F.coalesce(F.col("doc.name"), F.lit("")) == ""), 0, 0, 0, 0, F.lit("name is required")),
-        _err(parsed.where(~_is_list_or_missing(body, "config")), 0, 0, 1, 0, F.lit("config must be a list")),
-        _err(parsed.where(~_is_list_or_missing(body, "filters")), 0, 0, 2, 0, F.lit("filters must be a list")),
-        _err(parsed.where(~_is_list_or_missing(body, "sorts")), 0, 0, 3, 0, F.lit("sorts must be a list")),
-    ]
+    shape = parsed.withColumn("pos", F.lit(0))
+    errors = [_explode_errors(shape, 0, [
+        (0, F.coalesce(F.col("doc.name"), F.lit("")) == "", F.lit("name is required")),
+        (1, ~_is_list_or_missing(body, "config"), F.lit("config must be a list")),
+        (2, ~_is_list_or_missing(body, "filters"), F.lit("filters must be a list")),
+        (3, ~_is_list_or_missing(body, "sorts"), F.lit("sorts must be a list")),
+    ])]
     if reports is not None:
         edits = requests.where(F.col("report_id").isNotNull())
         missing = edits.join(reports.select("report_id", "org_id"), ["report_id", "org_id"], "left_anti")
         errors.append(_err(missing, 1, 0, 0, 0, F.concat(
             F.lit("Report "), F.col("report_id").cast("string"), F.lit(" not found for org_id "), org)))
 
-    # config
-    cfg = _raw_items(parsed, "config")
-    errors.append(_err(cfg.where(~F.map_contains_key("m", "sectionId")), 2, F.col("pos"), 0, 0,
-                       F.lit("sectionId is required in each config item")))
-    cfg_sec = cfg.where(F.map_contains_key("m", "sectionId")).select(
-        "request_id", "org_id", "pos", F.col("m")["sectionId"].alias("sid"),
-        F.col("m")["sectionId"].try_cast("long").alias("section_id"),
-    )
-    bad_sec = cfg_sec.join(sections_ok, ["org_id", "section_id"], "left_anti")
-    errors.append(_err(bad_sec, 2, F.col("pos"), 1, 0, F.concat(
-        F.lit("Invalid sectionId for org_id "), org, F.lit(": "), F.col("sid"))))
+    # config items: section present and known
+    cfg = _checked_items(parsed, "config", sections_ok, attrs_ok)
+    has_sid = F.map_contains_key("m", "sectionId")
+    errors.append(_explode_errors(cfg, 2, [
+        (0, ~has_sid, F.lit("sectionId is required in each config item")),
+        (1, has_sid & ~F.col("sec_ok"),
+         F.concat(F.lit("Invalid sectionId for org_id "), org, F.lit(": "), F.coalesce("sid", F.lit("None")))),
+    ]))
+    # config attributes
     attrs = (
         parsed.select("request_id", "org_id", F.posexplode("doc.config").alias("pos", "item"))
         .where(F.col("item.sectionId").isNotNull())
@@ -179,38 +210,32 @@ def validate_definitions(requests: DataFrame, catalog: DataFrame, reports: DataF
         F.lit("Invalid attributeId "), F.col("aid"), F.lit(" for sectionId "), F.col("sid"),
         F.lit(" and org_id "), org)))
 
-    # filters and sorts share the key/section/attribute checks
-    def item_checks(key: str, stage: int, required: list[str], missing_msg: str, label: str) -> DataFrame:
-        items = _raw_items(parsed, key)
+    def item_checks(key: str, stage: int, required: list[str], missing_msg: str, label: str, last: tuple[Column, Column]):
+        items = _checked_items(parsed, key, sections_ok, attrs_ok)
         has_all = F.lit(True)
         for k in required:
             has_all = has_all & F.map_contains_key("m", k)
-        out = [_err(items.where(~has_all), stage, F.col("pos"), 0, 0, F.lit(missing_msg))]
-        ok = items.where(has_all).select(
-            "request_id", "org_id", "pos", "m",
-            F.col("m")["sectionId"].alias("sid"), F.col("m")["attributeId"].alias("aid"),
-            F.col("m")["sectionId"].try_cast("long").alias("section_id"),
-            F.col("m")["attributeId"].try_cast("long").alias("attribute_id"),
-        )
-        out.append(_err(ok.join(sections_ok, ["org_id", "section_id"], "left_anti"), stage, F.col("pos"), 1, 0,
-                        F.concat(F.lit(f"Invalid {label} sectionId for org_id "), org, F.lit(": "), F.col("sid"))))
-        out.append(_err(ok.join(attrs_ok, ["org_id", "section_id", "attribute_id"], "left_anti"), stage, F.col("pos"), 2, 0,
-                        F.concat(F.lit(f"Invalid {label} attributeId "), F.col("aid"), F.lit(" for sectionId "),
-                                 F.col("sid"), F.lit(" and org_id "), org)))
-        return out, ok
-
-    f_errs, f_ok = item_checks("filters", 3, ["sectionId", "attributeId", "operator"],
-                               "Each filter must contain sectionId, attributeId, and operator", "filter")
-    errors += f_errs
+        return _explode_errors(items, stage, [
+            (0, ~has_all, F.lit(missing_msg)),
+            (1, has_all & ~F.col("sec_ok"),
+             F.concat(F.lit(f"Invalid {label} sectionId for org_id "), org, F.lit(": "), F.col("sid"))),
+            (2, has_all & ~F.col("attr_ok"),
+             F.concat(F.lit(f"Invalid {label} attributeId "), F.col("aid"), F.lit(" for sectionId "),
+                      F.col("sid"), F.lit(" and org_id "), org)),
+            (3, has_all & last[0], last[1]),
+        ])
+
     op = F.trim(F.col("m")["operator"])
-    errors.append(_err(f_ok.where(~F.upper(op).isin(list(OPERATORS))), 3, F.col("pos"), 3, 0,
-                       F.concat(F.lit("Invalid filter operator: "), op)))
-    s_errs, s_ok = item_checks("sorts", 4, ["sectionId", "attributeId"],
-                               "Each sort must contain sectionId and attributeId", "sort")
-    errors += s_errs
+    errors.append(item_checks(
+        "filters", 3, ["sectionId", "attributeId", "operator"],
+        "Each filter must contain sectionId, attributeId, and operator", "filter",
+        (~F.upper(op).isin(list(OPERATORS)), F.concat(F.lit("Invalid filter operator: "), op)),
+    ))
     direction = F.lower(F.coalesce(F.col("m")["direction"], F.lit("asc")))
-    errors.append(_err(s_ok.where(~direction.isin(list(DIRECTIONS))), 4, F.col("pos"), 3, 0,
-                       F.concat(F.lit("Invalid sort direction: "), direction)))
+    errors.append(item_checks(
+        "sorts", 4, ["sectionId", "attributeId"], "Each sort must contain sectionId and attributeId", "sort",
+        (~direction.isin(list(DIRECTIONS)), F.concat(F.lit("Invalid sort direction: "), direction)),
+    ))
 
     out = errors[0]
     for e in errors[1:]:
@@ -247,7 +272,9 @@ def apply_definitions(
     valid = requests.join(errors.select("request_id").distinct(), "request_id", "left_anti")
     valid = valid.withColumn("target_id", F.coalesce(F.col("report_id"), rid))
     latest = valid.groupBy("target_id", "org_id").agg(F.max("request_id").alias("request_id"))
-    valid = parse_requests(valid.join(latest, ["target_id", "org_id", "request_id"], "left_semi"))
+    # The valid batch feeds five outputs: checkpoint it (reliably, in spark.checkpoint.dir) so
+    # validation runs once and a lost executor does not replay it.
+    valid = parse_requests(valid.join(latest, ["target_id", "org_id", "request_id"], "left_semi")).checkpoint()
 
     old = state["reports"]
     touched = valid.select(F.col("target_id").alias("report_id"), "org_id")

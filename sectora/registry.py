@@ -339,7 +339,8 @@ def catalog(spark, sf):
 
 
 def errors(spark, sf):
-    return dfn.validate_definitions(requests(spark, sf), catalog(spark, sf), definitions(spark, sf)["reports"])
+    return dfn.validate_definitions(requests(spark, sf), cat.catalog_keys_table(eav(spark, sf)),
+                                    definitions(spark, sf)["reports"])
 
 
 REQ = requests_cte()
@@ -460,7 +461,7 @@ new_attrs AS (
 def upserted(spark, sf):
     reqs = requests(spark, sf)
     state = definitions(spark, sf)
-    errs = dfn.validate_definitions(reqs, catalog(spark, sf), state["reports"])
+    errs = dfn.validate_definitions(reqs, cat.catalog_keys_table(eav(spark, sf)), state["reports"])
     return dfn.apply_definitions(state, reqs, errs, now_col(), new_id=F.lit(1000000) + F.col("request_id"))
 
 
@@ -967,7 +968,7 @@ def q_stream_rebuild(spark, sf):
     """Saved definitions emit change events; the stream rebuilds each changed report once."""
     reqs = requests(spark, sf)
     state = definitions(spark, sf)
-    errs = dfn.validate_definitions(reqs, catalog(spark, sf), state["reports"])
+    errs = dfn.validate_definitions(reqs, cat.catalog_keys_table(eav(spark, sf)), state["reports"])
     new_state = dfn.apply_definitions(state, reqs, errs, now_col(), new_id=F.lit(1000000) + F.col("request_id"))
     base = scratch_path(spark, "stream")
     state_path = f"{base}/definitions"
