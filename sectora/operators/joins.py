@@ -24,15 +24,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _hot_keys(df: DataFrame, key: str, rows_per_task: int, max_splits: int, name: str) -> DataFrame:
+def hot_key_table(left: DataFrame, right: DataFrame, key: str, rows_per_task: int, max_splits: int) -> DataFrame:
+    """``_hk, _sl, _sr``: keys with more than ``rows_per_task`` rows on either side and the number
+    of buckets for each side. One aggregation over both sides' key columns (partial counts
+    map-side), so the probe costs a key-column scan and one small shuffle."""
+    tagged = left.select(F.col(key).alias("_hk"), F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
+        right.select(F.col(key).alias("_hk"), F.lit(0).alias("_a"), F.lit(1).alias("_b"))
+    )
+
+    def buckets(n: str) -> F.Column:
+        return F.greatest(F.lit(1), F.least(F.ceil(F.col(n) / F.lit(rows_per_task)), F.lit(max_splits))).cast("int")
+
     return (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > F.lit(rows_per_task))
-        .select(
-            F.col(key).alias("_hk"),
-            F.least(F.ceil(F.col("_n") / F.lit(rows_per_task)), F.lit(max_splits)).cast("int").alias(name),
-        )
+        tagged.where(F.col("_hk").isNotNull())
+        .groupBy("_hk").agg(F.sum("_a").alias("_nl"), F.sum("_b").alias("_nr"))
+        .where((F.col("_nl") > F.lit(rows_per_task)) | (F.col("_nr") > F.lit(rows_per_task)))
+        .select("_hk", buckets("_nl").alias("_sl"), buckets("_nr").alias("_sr"))
     )
 
 
@@ -63,11 +70,7 @@ def skew_join(
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
 
-    hot_l = _hot_keys(left, key, rows_per_task, max_splits, "_sl")
-    hot_r = _hot_keys(right, key, rows_per_task, max_splits, "_sr")
-    hot = hot_l.join(hot_r, "_hk", "full_outer").select(
-        "_hk", F.coalesce("_sl", F.lit(1)).alias("_sl"), F.coalesce("_sr", F.lit(1)).alias("_sr")
-    )
+    hot = hot_key_table(left, right, key, rows_per_task, max_splits)
     if check_first and not hot.take(1):
         # No hot key: a plain join (AQE still coalesces and splits moderately skewed partitions).
         return left.join(right, key, how)

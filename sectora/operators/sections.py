@@ -134,17 +134,20 @@ def records_as_json(records: DataFrame) -> DataFrame:
     )
 
 
-def snapshot(records: DataFrame, path: str | None = None) -> DataFrame:
+def snapshot(records: DataFrame, path: str | None = None, files_per_section: int = 8) -> DataFrame:
     """Write ``section_records`` partitioned by org and section and read it back.
 
     Reports then read only their (org, section) partitions, and the lineage of the build is
     cut by a table in the shared checkpoint folder (``spark.checkpoint.dir``), so a lost
-    executor never forces the whole EAV fold to be recomputed.
+    executor never forces the whole EAV fold to be recomputed. Rows are clustered by
+    (org, section, hash(record) mod ``files_per_section``): a large section is written by
+    that many tasks, and no section is scattered into one file per task.
     """
     spark = records.sparkSession
     target = path or scratch_path(spark, "section_records")
+    bucket = F.pmod(F.xxhash64("record_id"), F.lit(int(files_per_section)))
     (
-        records.repartition("org_id", "section_id", "record_id")
+        records.repartition("org_id", "section_id", bucket)
         .write.mode("overwrite").partitionBy("org_id", "section_id")
         .option("compression", "snappy").parquet(target)
     )
