@@ -169,17 +169,20 @@ def rebuild(
     ``report_id, org_id, status, snapshot_path, error``.
     """
     from sectora.operators.definitions import pending_reports  # local: avoid an import cycle
-    from sectora.plans.report_plan import plan_from_tables
+    from sectora.plans.report_plan import plans_from_tables
 
     if report_ids is None:
         report_ids = [
             (r["org_id"], r["report_id"])
             for r in pending_reports(definitions["reports"]).select("org_id", "report_id").orderBy("report_id").collect()
         ]
+    plans = plans_from_tables(definitions, report_ids) if report_ids else {}
     outcomes = []
     for org_id, report_id in report_ids:
         try:
-            plan = plan_from_tables(definitions, report_id, org_id)
+            plan = plans[(int(org_id), int(report_id))]
+            if isinstance(plan, Exception):
+                raise plan
             path = materialize(build_report(records, plan, **build_options), base_path, report_id)
             outcomes.append(BuildOutcome(int(report_id), int(org_id), "completed", path, None))
         except Exception as exc:  # one bad definition must not stop the run

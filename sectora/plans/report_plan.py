@@ -121,3 +121,34 @@ def render_sql(plan: ReportPlan) -> str:
     if where:
         lines += ["WHERE", "    " + "\n    AND ".join(where)]
     return "\n".join(lines)
+
+
+def plans_from_tables(
+    defs: dict[str, DataFrame], pairs: Sequence[tuple[int, int]]
+) -> dict[tuple[int, int], ReportPlan | DefinitionError]:
+    """Plans of many reports with one read per definition table (``(org_id, report_id)`` pairs).
+
+    The rows read are the definitions of the listed reports only (tens per report)."""
+    wanted = {(int(o), int(r)) for o, r in pairs}
+    ids = sorted({r for _, r in wanted})
+
+    def rows(name: str, cols: Sequence[str]) -> dict[tuple[int, int], list[tuple]]:
+        out: dict[tuple[int, int], list[tuple]] = {}
+        df = defs[name].where(F.col("report_id").isin(ids)).select("org_id", "report_id", *cols)
+        for r in df.collect():
+            k = (int(r["org_id"]), int(r["report_id"]))
+            if k in wanted:
+                out.setdefault(k, []).append(tuple(r[c] for c in cols))
+        return out
+
+    attrs = rows("report_section_attributes", ["section_id", "attribute_id"])
+    filters = rows("report_filters", ["section_id", "attribute_id", "operator", "value"])
+    sorts = rows("report_sorts", ["section_id", "attribute_id", "direction", "sort_order"])
+    plans: dict[tuple[int, int], ReportPlan | DefinitionError] = {}
+    for org_id, report_id in wanted:
+        key = (org_id, report_id)
+        try:
+            plans[key] = plan_report(report_id, org_id, attrs.get(key, []), filters.get(key, []), sorts.get(key, []))
+        except DefinitionError as exc:
+            plans[key] = exc
+    return plans
