@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sectora.llm import bpe
+from sectora.llm import bpe, secret_scan
 from sectora.llm.common import read
 
 QUERIES = {}
@@ -20,3 +20,9 @@ def query(f):
 @query
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests_only=True)
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
