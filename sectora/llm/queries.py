@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sectora.llm import bpe, secret_scan
+from sectora.llm import bpe, quality_knn, secret_scan
 from sectora.llm.common import read
 
 QUERIES = {}
@@ -26,3 +26,8 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read(spark, sf_dir, "documents"))
 
+
+
+@query
+def op10_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_knn.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
