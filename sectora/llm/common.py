@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,7 +113,7 @@ class Bounded(dict):
 
 def word_hash(word: bytes) -> int:
     """A 64-bit hash that is the same in every process."""
-    import xxhash
+
 
     return xxhash.xxh3_64_intdigest(word)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sectora.llm import bpe, quality_knn, secret_scan
+from sectora.llm import bpe, quality_knn, quality_rules, secret_scan
 from sectora.llm.common import read
 
 QUERIES = {}
@@ -31,3 +31,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_knn.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read(spark, sf_dir, "documents"))
