@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sectora.llm import bpe, quality_knn, quality_rules, secret_scan
+from sectora.llm import bpe, near_dedup, quality_knn, quality_rules, secret_scan
 from sectora.llm.common import read
 
 QUERIES = {}
@@ -36,3 +36,8 @@ def op10_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(read(spark, sf_dir, "documents"), size=4, percent=80)
