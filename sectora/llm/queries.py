@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sectora.llm import bpe, decontaminate, near_dedup, quality_knn, quality_rules, secret_scan
+from sectora.llm import bpe, decontaminate, near_dedup, pii, quality_knn, quality_rules, secret_scan
 from sectora.llm.common import read
 
 QUERIES = {}
@@ -46,3 +46,8 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(read(spark, sf_dir, "documents"))
