@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sectora.llm import bpe, decontaminate, near_dedup, pii, quality_knn, quality_rules, secret_scan
+from sectora.llm import bpe, decontaminate, licenses, near_dedup, pii, quality_knn, quality_rules, secret_scan
 from sectora.llm.common import read
 
 QUERIES = {}
@@ -51,3 +52,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(read(spark, sf_dir, "documents"))
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a source is a repository with a directory for each language."""
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    files = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), path.alias("path"), "text")
+    return licenses.scan(files)
