@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sectora.llm import bpe, decontaminate, licenses, near_dedup, pii, quality_knn, quality_rules, secret_scan
+from sectora.llm import bpe, decontaminate, licenses, lm_scoring, near_dedup, pii, quality_knn, quality_rules, secret_scan
 from sectora.llm.common import read
 
 QUERIES = {}
@@ -60,3 +60,8 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
     files = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), path.alias("path"), "text")
     return licenses.scan(files)
+
+
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(read(spark, sf_dir, "documents"))
