@@ -15,7 +15,7 @@ numpy: texts lie in ``LANES`` parallel lanes, the gradient runs back over window
 state is carried from window to window within a text and is zero at its start. In training the state runs over all
 tokens, and one in ``STRIDE`` windows takes a gradient step.
 
-Training. A short start on the ``START`` training texts of smallest id hash (a bound) brings all tasks to one
+Training. ``EPOCHS`` passes over the ``START`` training texts of smallest id hash (a bound) bring all tasks to one
 basin; then in each of ``ROUNDS`` rounds every task goes on from the same weights over its own training texts, and the
 weights are averaged by tokens seen. Each training text is used in one round. Averages are sums over batches in two
 levels, so nobody holds more than two sets of weights at a time, however many tasks there are.
@@ -45,7 +45,7 @@ from sectora.llm import common
 
 VOCABULARY, HEAD, CLASSES = 2048, 200_000, 32
 WIDTH, EMBEDDING, WINDOW, LANES = 16, 16, 16, 192
-START, ROUNDS, STRIDE, RATE = 1500, 2, 2, 0.08
+START, EPOCHS, ROUNDS, STRIDE, RATE = 1500, 3, 2, 2, 0.08
 AVERAGERS = 16
 SLICE = 16_000_000
 FLUSH = 400_000
@@ -310,7 +310,8 @@ def score_texts(v: Vocabulary, w: dict[str, np.ndarray], texts: list[np.ndarray]
 class Trainer:
     """Adagrad over windows of WINDOW steps; the state at a window's start is a constant to its gradient."""
 
-    def __init__(self, v: Vocabulary, w: dict[str, np.ndarray]):
+    def __init__(self, v: Vocabulary, w: dict[str, np.ndarray], stride: int = STRIDE):
+        self.stride = stride
         self.v, self.w = v, {k: x.copy() for k, x in w.items()}
         self.square = {k: np.full(x.shape, 1e-3, np.float32) for k, x in w.items()}
         self.tokens = 0
@@ -325,10 +326,10 @@ class Trainer:
         h = np.zeros((target.shape[1], WIDTH), np.float32)
         for at, stop, count, before in _windows(owner, WINDOW):
             part = source[at:stop, :count], owner[at:stop, :count], before, h[:count]
-            if at // WINDOW % STRIDE == 0:
+            if at // WINDOW % self.stride == 0:
                 h = self._window(target[at:stop, :count], *part)
             else:
-                table = self.w["emb"] @ self.w["wx"] + self.w["bx"] if at // WINDOW % STRIDE == 1 else table
+                table = self.w["emb"] @ self.w["wx"] + self.w["bx"] if at // WINDOW % self.stride == 1 else table
                 h = _advance(self.w, table, *part, np.empty((stop - at, count, WIDTH), np.float32))
         self.tokens += int((owner >= 0).sum())
 
@@ -420,17 +421,24 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["tokens", "weights"])
 
 
-def _trained(texts: DataFrame, shared, key: str, weights: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+def _trained(texts: DataFrame, shared, key: str, weights: dict[str, np.ndarray], start: bool = False) -> dict[str, np.ndarray]:
     """Weights after every task has gone over its texts from ``weights``, averaged by tokens."""
     spark = texts.sparkSession
     begin = spark.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
-        reader, trainer = _reader(key, v), Trainer(v, begin.value)
+        reader, trainer = _reader(key, v), Trainer(v, begin.value, 1 if start else STRIDE)
+        sample = []
         for whole in batches:
             for batch in common.slices(whole, SLICE):
-                trainer.learn([reader.read(t)[1] for t in common.byte_texts(batch.column(1))])
+                ids = [reader.read(t)[1] for t in common.byte_texts(batch.column(1))]
+                if start:  # at most START texts
+                    sample += ids
+                else:
+                    trainer.learn(ids)
+        for _ in range(EPOCHS if sample else 0):
+            trainer.learn(sample)
         if trainer.tokens:
             flat = packed(trainer.w).astype(np.float64) * trainer.tokens
             yield pa.RecordBatch.from_arrays([pa.array([trainer.tokens], pa.int64()), pa.array([flat.tobytes()], pa.binary())], ["tokens", "weights"])
@@ -445,7 +453,7 @@ def train(texts: DataFrame, v: Vocabulary, shared, key: str) -> dict[str, np.nda
     order = F.xxhash64("doc_id", F.lit(1))
     weights = initial(v)
     begin = texts.select("doc_id", "text").orderBy(order, "doc_id").limit(START).coalesce(1)
-    weights = _trained(begin, shared, key, weights)
+    weights = _trained(begin, shared, key, weights, start=True)
     for k in range(ROUNDS):
         weights = _trained(texts.where(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(ROUNDS)) == k), shared, key, weights)
     return weights
