@@ -259,8 +259,8 @@ def loaded(spec: str) -> WordBpe:
     return _LOADED[key]
 
 
-def encode_decode(docs: DataFrame, vocabulary: str, digests_only: bool = False) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text, with ``ids`` and ``decoded`` unless ``digests_only``.
+def encode_decode(docs: DataFrame, vocabulary: str, extra: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text, and those of ``ids, decoded`` named in ``extra``.
 
     ``vocabulary`` is the path of a tokenizer file that the driver can read; its text (under 2 MB) goes to the
     executors as a broadcast. One narrow pass over (doc_id, text): no shuffle, and repeated rows give equal rows.
@@ -274,21 +274,15 @@ def encode_decode(docs: DataFrame, vocabulary: str, digests_only: bool = False)
         bpe = loaded(spec.value)
         for whole in batches:
             for batch in common.slices(whole):
-                n, sha, dec, all_ids, texts = [], [], [], [], []
+                rows, more = [], {name: [] for name in extra}
                 for ids in bpe.encode_all(list(common.byte_texts(batch.column(1)))):
                     back = bpe.decode(ids)
-                    n.append(len(ids))
-                    sha.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
-                    dec.append(hashlib.sha256(back.encode()).hexdigest())
-                    if not digests_only:
-                        all_ids.append(ids.astype(np.int32))
-                        texts.append(back)
-                cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(dec, pa.string())]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                if not digests_only:
-                    cols += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
-                    names += ["ids", "decoded"]
-                yield pa.RecordBatch.from_arrays(cols, names)
-
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, schema if digests_only else schema + ", ids array<int>, decoded string")
+                    rows.append((len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
+                    for name, values in more.items():
+                        values.append(ids.astype(np.int32) if name == "ids" else back)
+                cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True)]
+                cols += [pa.array(v, pa.list_(pa.int32()) if name == "ids" else pa.string()) for name, v in more.items()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *extra])
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + "".join({"ids": ", ids array<int>", "decoded": ", decoded string"}[x] for x in extra)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, schema)

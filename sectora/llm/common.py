@@ -68,9 +68,9 @@ def byte_texts(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-def slices(batch: pa.RecordBatch, most_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch (text in column 1) of about ``most_bytes`` of text, one row at least."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+def slices(batch: pa.RecordBatch, most_bytes: int = 4_000_000, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch (the text in ``column``) of about ``most_bytes`` of text, one row at least."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes, dtype=np.int64) // most_bytes if len(sizes) else sizes
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):

@@ -222,37 +222,44 @@ def recall(n: int, edits: int, trials: int = 200, seed: int = 1) -> float:
     return found / trials
 
 
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
+    """The items in blocks of about BLOCK rows, chosen by hash; one block at a time on the driver."""
+    count = max(1, -(-benchmark.count() // BLOCK))
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
+    for k in range(count):
+        yield [(r.item_id, r.text) for r in benchmark.where(block == k).selectExpr("cast(item_id as long) item_id", "text").collect()]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, edits, item_words, first_word, last_word``: every document and item that it holds.
 
     Words are counted as the normalised words of the document, the last one exclusive.
     """
-    spark = docs.sparkSession
-    common.ship(spark)
-    count = benchmark.count()
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-count // BLOCK))))
-    out = None
-    for k in range(max(1, -(-count // BLOCK))):
-        rows = benchmark.where(block == k).selectExpr("cast(item_id as long) item_id", "text").collect()
-        shared = spark.sparkContext.broadcast([(r.item_id, r.text) for r in rows])
-        found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-            _searcher(shared), "doc_id long, item_id long, edits int, item_words int, first_word int, last_word int"
-        )
+    common.ship(docs.sparkSession)
+    schema = "doc_id long, item_id long, edits int, item_words int, first_word int, last_word int"
+    texts, out = docs.select(F.col("doc_id").cast("long"), "text"), None
+    for items in _blocks(benchmark):
+        found = texts.mapInArrow(_searcher(docs.sparkSession.sparkContext.broadcast(items)), schema)
         out = found if out is None else out.union(found)
     return out
 
 
+def _read(bench: Benchmark, column: pa.Array) -> list[np.ndarray]:
+    """The benchmark's word ids of each text."""
+    texts = []
+    for text in common.byte_texts(column):
+        cut = text.split()
+        words = np.fromiter(map(bench.raw.__getitem__, cut), np.int64, len(cut))
+        texts.append(words[words >= 0])
+    return texts
+
+
 def _searcher(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench = _prepared(shared.value)
         for whole in batches:
             for batch in common.slices(whole, 8_000_000):
-                texts = []
-                for text in common.byte_texts(batch.column(1)):
-                    cut = text.split()
-                    words = np.fromiter(map(bench.raw.__getitem__, cut), np.int64, len(cut))
-                    texts.append(words[words >= 0])
-                found = bench.search(texts)
+                found = bench.search(_read(bench, batch.column(1)))
                 if found:
                     t, item, edits, first, last = zip(*found, strict=True)
                     yield pa.RecordBatch.from_arrays(
@@ -279,6 +286,22 @@ def _prepared(items: list[tuple[int, str | None]]) -> Benchmark:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item."""
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("leak")).distinct()
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col("leak")), "left_anti")
+    """The rows of ``docs`` that hold no benchmark item, all columns: a narrow filter for each block of items."""
+    common.ship(docs.sparkSession)
+    names = docs.columns
+    at = names.index("text")
+
+    def keeper(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bench = _prepared(shared.value)
+            for whole in batches:
+                for batch in common.slices(whole, 8_000_000, at):
+                    keep = np.ones(batch.num_rows, bool)
+                    keep[[t for t, *_ in bench.search(_read(bench, batch.column(at)))]] = False
+                    yield batch.filter(pa.array(keep))
+
+        return run
+
+    for items in _blocks(benchmark):
+        docs = docs.mapInArrow(keeper(docs.sparkSession.sparkContext.broadcast(items)), docs.schema)
+    return docs

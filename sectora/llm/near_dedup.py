@@ -217,3 +217,10 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     result = rows.drop("bands").join(named, "digest", "left")
     component = F.coalesce("component_id", "doc_id")
     return result.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group, that of its smallest doc_id, with all columns of ``docs``."""
+    kept = groups(docs, size, percent).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    # equal rows lie together after the join by doc_id, so dropping repeats needs no other exchange
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id", "text"])

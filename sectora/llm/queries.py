@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sectora.llm import bpe, decontaminate, licenses, lm_scoring, near_dedup, pii, quality_knn, quality_rules, secret_scan
+from sectora.llm import bpe, decontaminate, licenses, lm_scoring, near_dedup, pii, quality_knn, quality_rules, secret_scan, warc
 from sectora.llm.common import read
 
 QUERIES = {}
@@ -20,7 +20,7 @@ def query(f):
 
 @query
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests_only=True)
+    return bpe.encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), extra=())
 
 
 @query
@@ -65,3 +65,8 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(read(spark, sf_dir, "documents"))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
