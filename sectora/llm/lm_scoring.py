@@ -25,7 +25,7 @@ broadcast (a fixed bound); of the rest only (row, token hash, number) is shuffle
 over a hot token's rows are spread by the join, which Spark splits.
 
 Edge cases: a null or empty text is just the end token. With no training text all counts are 0 and the model is
-uniform over its classes. Repeated rows count and score each on their own. An empty table gives no rows. Memory is
+uniform over its classes. Repeated rows count and score each on their own (equal up to single precision). An empty table gives no rows. Memory is
 bounded by a slice of about ``SLICE`` bytes of text, or one text.
 """
 

@@ -10,7 +10,8 @@ The fit uses a bounded sample: the ``SAMPLE`` training labels of smallest hash o
 
 Edge cases: a null or empty text, or one of white space only, has no vector and scores 0.0 (rejected). With no usable label every other text
 scores 0.5. Ties among neighbours go to the first in the order of the sample (hash of the id), so scores do not
-depend on partitions. Several labels of one document: the smallest counts. Repeated rows give equal rows.
+depend on partitions. Several labels of one document: the smallest counts. Repeated rows give equal
+rows, scores up to single precision.
 """
 
 from __future__ import annotations
@@ -147,25 +148,24 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMP
     return Model(raw, got.label.to_numpy(np.int64))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` with ``score``: one narrow pass. An input column ``score`` is replaced."""
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """All columns of ``docs`` and the score as column ``name`` (replacing an input column of that name)."""
     spark = docs.sparkSession
     common.ship(spark)
     shared = spark.sparkContext.broadcast(model)
-    rest = [c for c in docs.columns if c != "text" and c != "score"]
+    rest = [c for c in docs.columns if c != "text" and c != name]
     kinds = dict(docs.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK):
                 batch = whole.slice(at, BLOCK)
-                scores = shared.value.scores(_vectors(batch.column(1)))
-                yield pa.RecordBatch.from_arrays([pa.array(scores, pa.float64()), *batch.columns[1:]], ["score", "text", *rest])
+                scores = shared.value.scores(_vectors(batch.column(0)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], ["text", *rest, name])
 
-    schema = "score double, text string" + "".join(f", `{c}` {kinds[c]}" for c in rest)
-    empty = F.lit(0.0)
-    made = docs.select(empty.alias("score"), "text", *[f"`{c}`" for c in rest]).mapInArrow(run, schema)
-    return made.select(*[f"`{c}`" for c in docs.columns if c != "score"], "score")
+    schema = "text string" + "".join(f", `{c}` {kinds[c]}" for c in rest) + f", `{name}` double"
+    made = docs.select("text", *[f"`{c}`" for c in rest]).mapInArrow(run, schema)
+    return made.select(*[f"`{c}`" for c in docs.columns if c != name], f"`{name}`")
 
 
 def held_out() -> Column:
@@ -182,4 +182,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, with their columns."""
-    return score(docs, fit(docs, labels, ~held_out())).where(F.col("score") >= ACCEPT).drop("score")
+    name = "score"
+    while name in docs.columns:
+        name += "_"
+    return score(docs, fit(docs, labels, ~held_out()), name).where(F.col(name) >= ACCEPT).drop(name)
