@@ -70,3 +70,52 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+
+ORACLE["op5_warc"] = r"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+m AS (SELECT html, max(page_id) AS response FROM p GROUP BY html)
+SELECT page_id, strlen(p.html) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(hex, 5 * (j // 4) + 1, 5))::BIGINT >> (15 - 5 * (j % 4))::BIGINT) & 31)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> response THEN response END AS refers_to,
+  url AS uri, strftime(TIMESTAMP '2001-01-01' + to_seconds(page_id % 600000000), '%Y-%m-%dT%H:%M:%SZ') AS date
+FROM p JOIN m ON p.html = m.html
+"""
+
+ORACLE["op6_quality_rules"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, source,
+    regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws FROM documents),
+l AS (SELECT r, text, source, unnest(string_split(text, chr(10))) AS line FROM d),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+win AS (SELECT r, i, array_to_string(ws[i:i+4], ' ') AS g FROM d, unnest(range(1, len(ws) - 3)) t(i)),
+twice AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM win),
+rep AS (SELECT r, count(DISTINCT k) AS n FROM twice, unnest(range(i, i + 5)) u(k) WHERE twice.n >= 2 GROUP BY r),
+nl AS (SELECT r, text, source, len(regexp_extract_all(line, {_WORDS})) AS n,
+    trim(regexp_replace(regexp_replace(translate(line, '{_UPPER}0123456789', '{_LOWER}0000000000'), '[!-/:-@\[-`{{-~]', '', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM l),
+hosts AS (SELECT source, count(DISTINCT text) AS n FROM d GROUP BY source),
+found AS (SELECT source, line, count(DISTINCT text) AS n FROM nl WHERE line <> '' GROUP BY source, line),
+hot AS (SELECT f.source, f.line FROM found f JOIN hosts h ON f.source IS NOT DISTINCT FROM h.source WHERE f.n > greatest(50, 0.05 * h.n)),
+rem AS (SELECT r, sum(n) AS n FROM nl JOIN hot ON nl.line = hot.line AND nl.source IS NOT DISTINCT FROM hot.source GROUP BY r),
+b AS (SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+    coalesce(rep.n, 0) AS n_repeat_words, coalesce(rem.n, 0)::BIGINT AS n_removed_words
+  FROM d LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN rem USING (r)),
+c AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b)
+SELECT *, NOT base_failed AND NOT (n_removed_words > 0 AND (n_words - n_removed_words < 0.3 * n_words OR n_words - n_removed_words < 5)) AS kept FROM c
+"""
+
+ORACLE["op9_near_dedup"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), {_WORDS}) AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i+3], ' ') AS g FROM d, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) t(i) WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, l.b FROM reach JOIN l ON l.a = reach.other),
+c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)
+"""
