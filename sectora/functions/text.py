@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 
 from pyspark.sql import Column
@@ -26,23 +27,18 @@ def csv_of_sorted(values: Column) -> Column:
     return F.concat_ws(",", F.sort_array(values))
 
 
+#: A warehouse-safe name: these replacements in order, then lower case.
+NAME_RULES = [(r"^\s+|\s+$", ""), ("[^A-Za-z0-9_]", "_"), ("^$", "col"), ("^(?=[0-9])", "attr_")]
+
+
 def sanitize_name(name: str) -> str:
-    """Warehouse-safe column name: strip, non-``[A-Za-z0-9_]`` → ``_``, empty → ``col``,
-    leading digit → ``attr_`` prefix, lower case."""
-    n = re.sub(r"[^A-Za-z0-9_]", "_", str(name).strip())
-    if not n:
-        n = "col"
-    if n[0].isdigit():
-        n = f"attr_{n}"
-    return n.lower()
+    """``NAME_RULES`` for a name known on the driver."""
+    return functools.reduce(lambda n, rule: re.sub(*rule, n), NAME_RULES, str(name)).lower()
 
 
 def sanitize_name_col(c: Column) -> Column:
-    """``sanitize_name`` as a Column expression (for names stored in tables)."""
-    n = F.regexp_replace(F.trim(c), "[^A-Za-z0-9_]", "_")
-    n = F.when(n == "", F.lit("col")).otherwise(n)
-    n = F.when(F.substring(n, 1, 1).rlike("^[0-9]$"), F.concat(F.lit("attr_"), n)).otherwise(n)
-    return F.lower(n)
+    """``NAME_RULES`` for names stored in a table."""
+    return F.lower(functools.reduce(lambda n, rule: F.regexp_replace(n, F.lit(rule[0]), F.lit(rule[1])), NAME_RULES, c))
 
 
 def section_table_name(org_id: Column, section_id: Column) -> Column:

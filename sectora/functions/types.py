@@ -32,8 +32,3 @@ def warehouse_type(spark_type: str) -> str:
 def warehouse_columns(schema: StructType) -> list[tuple[str, str]]:
     """``(sanitised name, warehouse type)`` per field."""
     return [(sanitize_name(f.name), warehouse_type(f.dataType.simpleString())) for f in schema.fields]
-
-
-def warehouse_ddl(table: str, schema: StructType) -> str:
-    cols = ",\n    ".join(f'"{n}" {t}' for n, t in warehouse_columns(schema))
-    return f"CREATE TABLE {table} (\n    {cols}\n);"

@@ -1,19 +1,17 @@
 """Skew-safe equi-joins.
 
-A hot key (one provider holding a large share of the rows) would put all of its rows, and
-all of its join output, into one task. ``skew_join`` finds keys with more than
-``rows_per_task`` rows on either side and splits them: the left side's rows of a hot key are
-spread over ``ceil(n_left / rows_per_task)`` buckets, the right side's over
-``ceil(n_right / rows_per_task)`` buckets, and each side is replicated once per bucket of the
-other side, so every (left bucket, right bucket) pair meets in its own task. Cold keys join
-unchanged with bucket ``(0, 0)``.
-
-The hot-key table has at most ``rows / rows_per_task`` rows on each side, i.e. at most the
-number of tasks the data needs anyway; that bound is why it may be broadcast.
-
-A left outer join is computed as the skew-split inner join plus the left rows whose key has
-no right row (an anti join against the right side's distinct keys, which are aggregated
-map-side first), so splitting the right side cannot produce spurious null-extended rows.
+A hot key (one provider holding a large share of the rows) would put all of its rows, and all of its join output,
+into one task. ``skew_join`` spreads the rows of keys with more than ``rows_per_task`` rows on either side: the left
+side's over ``ceil(n_left / rows_per_task)`` buckets, the right side's over ``ceil(n_right / rows_per_task)``, and
+each side is repeated once for every bucket of the other, so every pair of buckets meets in a task of its own. Other
+keys have bucket (0, 0). The number of buckets follows the counts alone, and the plan has one shape whatever they are.
+
+The hot-key table has at most ``rows / rows_per_task`` rows a side. It is joined without a hint: a written one is
+broadcast when its size allows.
+
+In a left join of a key whose right rows lie in several buckets, a left row may find nothing in some of them. Such
+rows carry a flag that their key has right rows, and are dropped where unmatched; no second pass over the left
+side is needed.
 """
 
 from __future__ import annotations
@@ -24,23 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_key_table(left: DataFrame, right: DataFrame, key: str, rows_per_task: int, max_splits: int) -> DataFrame:
-    """``_hk, _sl, _sr``: keys with more than ``rows_per_task`` rows on either side and the number
-    of buckets for each side. One aggregation over both sides' key columns (partial counts
-    map-side), so the probe costs a key-column scan and one small shuffle."""
-    tagged = left.select(F.col(key).alias("_hk"), F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
-        right.select(F.col(key).alias("_hk"), F.lit(0).alias("_a"), F.lit(1).alias("_b"))
-    )
-
-    def buckets(n: str) -> F.Column:
-        return F.greatest(F.lit(1), F.least(F.ceil(F.col(n) / F.lit(rows_per_task)), F.lit(max_splits))).cast("int")
-
-    return (
-        tagged.where(F.col("_hk").isNotNull())
-        .groupBy("_hk").agg(F.sum("_a").alias("_nl"), F.sum("_b").alias("_nr"))
-        .where((F.col("_nl") > F.lit(rows_per_task)) | (F.col("_nr") > F.lit(rows_per_task)))
-        .select("_hk", buckets("_nl").alias("_sl"), buckets("_nr").alias("_sr"))
-    )
+def hot_key_table(left: DataFrame, right: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """``<key>, n_left, n_right`` of keys with more than ``rows_per_task`` rows on either side: one aggregation over both
+    sides' key columns, with partial counts before its shuffle."""
+    tagged = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(right.select(key, F.lit(0).alias("l"), F.lit(1).alias("r")))
+    counts = tagged.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"))
+    return counts.where(F.greatest("n_left", "n_right") > rows_per_task)
 
 
 def skew_join(
@@ -49,18 +36,16 @@ def skew_join(
     key: str,
     how: str = "inner",
     *,
+    hot: DataFrame | None = None,
     rows_per_task: int = 2_000_000,
-    max_splits: int = 64,
     left_tiebreak: Sequence[str] | None = None,
     right_tiebreak: Sequence[str] | None = None,
-    check_first: bool = True,
 ) -> DataFrame:
-    """Equi-join on ``key`` (same name on both sides) that splits hot keys; ``how`` is inner or left.
+    """Equi-join on ``key`` (same name on both sides) that splits hot keys; ``how`` is inner or left. Lazy.
 
-    ``*_tiebreak`` name columns that make rows of a key distinct (e.g. ``record_id``); their hash
-    picks a row's bucket, so the split is deterministic and survives task retries.
-    With ``check_first`` the hot-key table is probed once (a key-column scan with map-side
-    counting); when it is empty the join is planned as a plain equi-join.
+    ``hot`` is a table like ``hot_key_table``'s with the exact counts of its keys (more keys than needed are
+    fine); without it the counts become part of the plan. ``*_tiebreak`` name columns that make rows of a key
+    distinct (e.g. ``record_id``); their hash picks a row's bucket, so the split is deterministic and survives retries.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports inner and left joins")
@@ -70,30 +55,26 @@ def skew_join(
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
 
-    hot = hot_key_table(left, right, key, rows_per_task, max_splits)
-    if check_first and not hot.take(1):
-        # No hot key: a plain join (AQE still coalesces and splits moderately skewed partitions).
-        return left.join(right, key, how)
+    hot = hot_key_table(left, right, key, rows_per_task) if hot is None else hot
+
+    def buckets(n: str) -> F.Column:
+        return F.greatest(F.lit(1), F.ceil(F.col(n) / F.lit(rows_per_task))).cast("int")
+
+    hot = hot.select(F.col(key).alias("_hk"), buckets("n_left").alias("_sl"), buckets("n_right").alias("_sr"))
 
-    def tag(df: DataFrame, own: str, other: str, tiebreak: Sequence[str] | None, own_col: str, other_col: str) -> DataFrame:
+    def spread(df: DataFrame, own: str, other: str, tiebreak: Sequence[str] | None, own_col: str, other_col: str) -> DataFrame:
         cols = list(tiebreak) if tiebreak else [c for c in df.columns if c != key]
-        tagged = df.join(F.broadcast(hot), df[key] == F.col("_hk"), "left")
-        n_own = F.coalesce(F.col(own), F.lit(1))
-        n_other = F.coalesce(F.col(other), F.lit(1))
-        return tagged.select(
+        n_own, n_other = F.coalesce(F.col(own), F.lit(1)), F.coalesce(F.col(other), F.lit(1))
+        return df.join(hot, df[key] == F.col("_hk"), "left").select(
             *df.columns,
             F.pmod(F.xxhash64(*[F.col(c) for c in cols]), n_own).cast("int").alias(own_col),
             F.explode(F.sequence(F.lit(0), n_other - 1)).alias(other_col),
+            (n_other > 1).alias(f"_several{own_col}"),
         )
 
-    lt = tag(left, "_sl", "_sr", left_tiebreak, "_bl", "_br")
-    rt = tag(right, "_sr", "_sl", right_tiebreak, "_br", "_bl")
-    inner = lt.join(rt, [key, "_bl", "_br"], "inner").drop("_bl", "_br")
-    if how == "inner":
-        return inner
-    right_keys = right.select(key).where(F.col(key).isNotNull()).distinct()
-    unmatched = left.join(right_keys, key, "left_anti")
-    for field in right.schema.fields:
-        if field.name != key:
-            unmatched = unmatched.withColumn(field.name, F.lit(None).cast(field.dataType))
-    return inner.unionByName(unmatched.select(*inner.columns))
+    lt = spread(left, "_sl", "_sr", left_tiebreak, "_bl", "_br")
+    rt = spread(right, "_sr", "_sl", right_tiebreak, "_br", "_bl").drop("_several_br").withColumn("_hit", F.lit(True))
+    joined = lt.join(rt, [key, "_bl", "_br"], how)
+    if how == "left":
+        joined = joined.where(F.col("_hit").isNotNull() | ~F.col("_several_bl"))
+    return joined.select(*left.columns, *[c for c in right.columns if c != key])

@@ -49,31 +49,50 @@ def normalise_operator(operator: str) -> str:
     return str(operator).strip().upper()
 
 
+def _in(col: Column, value: str) -> Column | None:
+    items = split_csv(value)
+    return col.isin(items) if items else None
+
+
+def quoted(value: str) -> str:
+    """A SQL text literal; a backslash is doubled, as it escapes in the engine's literals."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "''") + "'"
+
+
+def _in_text(name: str, value: str) -> str | None:
+    items = split_csv(value)
+    return f"{name} IN ({', '.join(map(quoted, items))})" if items else None
+
+
+def _comparison(build, sign: str):
+    return (lambda col, v: build(col, F.lit(v)), lambda name, v: f"{name} {sign} {quoted(v)}")
+
+
+#: Of each operator: the predicate on a column, and its SQL text. None: it constrains nothing.
+MEANING = {
+    "=": _comparison(op.eq, "="), "!=": _comparison(op.ne, "<>"), "<>": _comparison(op.ne, "<>"), ">": _comparison(op.gt, ">"),
+    "<": _comparison(op.lt, "<"), ">=": _comparison(op.ge, ">="), "<=": _comparison(op.le, "<="),
+    "CONTAINS": (lambda col, v: col.ilike(ilike_literal(v)), lambda name, v: f"{name} ILIKE {quoted(ilike_literal(v))}"),
+    "LIKE": (lambda col, v: col.like(v), lambda name, v: f"{name} LIKE {quoted(v)}"),
+    "IN": (_in, _in_text),
+}
+
+
+def _meaning(operator: str):
+    name = normalise_operator(operator)
+    if name not in MEANING:
+        raise UnsupportedOperator(f"Unsupported operator: {name}")
+    return MEANING[name]
+
+
 def predicate(col: Column, operator: str, value: str) -> Column | None:
     """Predicate for one filter; ``None`` when it constrains nothing (``IN`` of blanks only)."""
-    opr = normalise_operator(operator)
-    v = str(value).strip()
-    lit = F.lit(v)
-    if opr == "=":
-        return col == lit
-    if opr in ("!=", "<>"):
-        return col != lit
-    if opr == ">":
-        return col > lit
-    if opr == "<":
-        return col < lit
-    if opr == ">=":
-        return col >= lit
-    if opr == "<=":
-        return col <= lit
-    if opr == "CONTAINS":
-        return col.ilike(ilike_literal(v))
-    if opr == "LIKE":
-        return col.like(v)
-    if opr == "IN":
-        items = split_csv(v)
-        return col.isin(items) if items else None
-    raise UnsupportedOperator(f"Unsupported operator: {opr}")
+    return _meaning(operator)[0](col, str(value).strip())
+
+
+def predicate_text(name: str, operator: str, value: str) -> str | None:
+    """The same predicate as SQL text on the column ``name``."""
+    return _meaning(operator)[1](name, str(value).strip())
 
 
 def report_filter(filters: Iterable[Filter], columns: Mapping[tuple[int, int], str]) -> tuple[Column, list[Filter]]:

@@ -8,28 +8,32 @@ null-extended rows, which lets the optimizer turn that join into an inner join.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sectora.operators.joins import skew_join
-from sectora.operators.predicates import report_filter
+from sectora.operators.predicates import UnsupportedOperator, report_filter
 from sectora.operators.records import for_org, for_section
-from sectora.operators.sections import attr_col
+from sectora.operators.sections import attr_col, hot_providers
 from sectora.plans.report_plan import DefinitionError, ReportPlan, Sort
 
 DEFAULT_LIMIT = 100
+#: Reports planned at a time, and built at a time, by a rebuild.
+PAGE, BUILDERS = 200, 4
 
 
 def section_frame(records: DataFrame, plan: ReportPlan, section_id: int, attribute_ids: Sequence[int]) -> DataFrame:
-    """One section of a report: provider, a record tag and the attributes it needs."""
-    extra = [f.attribute_id for f in plan.filters if f.section_id == section_id and f.value is not None]
-    ids = list(dict.fromkeys([*attribute_ids, *extra]))
+    """One section of a report: provider, a record tag and attributes named by section and id."""
     return for_section(records, plan.org_id, section_id).select(
-        "provider_id", F.col("record_id").alias(f"_r{section_id}"), *[attr_col(a) for a in ids]
+        "provider_id", F.col("record_id").alias(f"_r{section_id}"),
+        *[attr_col(a, f"s{section_id}_a") for a in dict.fromkeys(attribute_ids)],
     )
 
 
@@ -37,40 +41,65 @@ def build_report(
     records: DataFrame,
     plan: ReportPlan,
     *,
+    hot: DataFrame | None = None,
     rows_per_task: int = 2_000_000,
-    max_splits: int = 64,
-    skew_split: bool = True,
+    keep_sort_keys: bool = False,
 ) -> DataFrame:
     """Definition → joined, filtered, projected DataFrame (lazy).
 
-    ``records`` is ``section_records`` (ideally a snapshot partitioned by org and section,
-    so each section frame reads only its partition). Hot providers are split by
-    ``skew_join`` unless ``skew_split`` is off (then AQE's skew handling is all there is).
+    ``records`` is ``section_records`` (ideally a snapshot partitioned by org and section, so each section frame
+    reads only its partition). ``hot`` is the snapshot's ``hot_providers`` table; without it the counts are part of the plan. Columns keep
+    their section until the final projection, so the same attribute id in two sections is never confused; selecting
+    it twice is refused. With ``keep_sort_keys`` sort attributes that the report doesn't show stay as
+    ``_sort_<section>_<id>`` columns, which ``read_report`` uses and drops.
     """
     if not plan.sections:
         raise DefinitionError(f"No config found for reportId {plan.report_id}")
-    first_id, first_attrs = plan.sections[0]
-    result = section_frame(records, plan, first_id, first_attrs)
-    tags = [f"_r{first_id}"]
-    for section_id, attrs in plan.sections[1:]:
-        right = section_frame(records, plan, section_id, attrs)
-        right = right.drop(*[c for c in right.columns if c in result.columns and c != "provider_id"])
-        if skew_split:
-            result = skew_join(
-                result, right, "provider_id", "left",
-                rows_per_task=rows_per_task, max_splits=max_splits,
-                left_tiebreak=tags, right_tiebreak=[f"_r{section_id}"],
-            )
-        else:
-            result = result.join(right, "provider_id", "left")
-        tags.append(f"_r{section_id}")
-    columns = {(s, a): f"attr_{a}" for s, attrs in plan.sections for a in attrs}
-    in_report = {s for s, _ in plan.sections}
-    for f in plan.filters:
-        if f.section_id in in_report:
-            columns.setdefault((f.section_id, f.attribute_id), f"attr_{f.attribute_id}")
-    pred, _ignored = report_filter(plan.filters, columns)
-    return result.where(pred).select(*plan.columns)
+    if len(set(plan.columns)) < len(plan.columns):
+        raise DefinitionError(f"reportId {plan.report_id} selects an attribute in several sections")
+    shown = [(s, a) for s, attrs in plan.sections for a in attrs]
+    order = [s for s, _ in plan.sections]
+    tests = [(f.section_id, f.attribute_id) for f in plan.filters if f.value is not None and f.section_id in order]
+    sorts = [(s.section_id, s.attribute_id) for s in plan.sorts if s.section_id in order]
+    hidden = [k for k in dict.fromkeys(sorts) if keep_sort_keys and k not in shown]
+    needed = {s: [a for t, a in [*shown, *tests, *hidden] if t == s] for s in order}
+
+    result, before = section_frame(records, plan, order[0], needed[order[0]]), [order[0]]
+    if hot is None and len(order) > 1:
+        hot = provider_counts(records, plan.org_id, order, rows_per_task)
+    for section_id in order[1:]:
+        right = section_frame(records, plan, section_id, needed[section_id])
+        result = skew_join(
+            result, right, "provider_id", "left", hot=join_counts(for_org(hot, plan.org_id), before, section_id), rows_per_task=rows_per_task,
+            left_tiebreak=[f"_r{s}" for s in before], right_tiebreak=[f"_r{section_id}"],
+        )
+        before.append(section_id)
+    pred, _ignored = report_filter(plan.filters, {(s, a): f"s{s}_a{a}" for s, attrs in needed.items() for a in attrs})
+    return result.where(pred).select(
+        "provider_id", *[F.col(f"s{s}_a{a}").alias(f"attr_{a}") for s, a in shown], *[F.col(f"s{s}_a{a}").alias(f"_sort_{s}_{a}") for s, a in hidden]
+    )
+
+
+def provider_counts(records: DataFrame, org_id: int, sections: Sequence[int], rows_per_task: int) -> DataFrame:
+    """``hot_providers`` of some sections of one org, as part of a plan."""
+    own = for_org(records, org_id).where(F.col("section_id").isin(list(sections)) & F.col("provider_id").isNotNull())
+    per = own.groupBy("org_id", "provider_id").agg(*[F.count(F.when(F.col("section_id") == s, 1)).alias(f"n{s}") for s in sections])
+    product = F.lit(1.0)
+    for s in sections:
+        product = product * F.greatest(F.col(f"n{s}"), F.lit(1))
+    counts = F.create_map(*[x for s in sections for x in (F.lit(s).cast("long"), F.col(f"n{s}"))])
+    return per.where(product > rows_per_task).select("org_id", "provider_id", counts.alias("counts"))
+
+
+def join_counts(hot: DataFrame, before: Sequence[int], section_id: int) -> DataFrame:
+    """``provider_id, n_left, n_right`` of the join of ``section_id`` to the joined sections ``before``."""
+    def n(s: int) -> Column:
+        return F.coalesce(F.try_element_at("counts", F.lit(s).cast("long")), F.lit(0))
+
+    left = n(before[0]).cast("double")
+    for s in before[1:]:
+        left = left * F.greatest(n(s), F.lit(1))
+    return hot.select("provider_id", left.alias("n_left"), n(section_id).alias("n_right"))
 
 
 def ignored_filters(plan: ReportPlan) -> list:
@@ -80,14 +109,14 @@ def ignored_filters(plan: ReportPlan) -> list:
 
 
 def sort_columns(sorts: Sequence[Sort], available: Sequence[str]) -> list[Column]:
-    """ASC puts nulls last and DESC puts them first (the warehouse's convention)."""
+    """ASC puts nulls last and DESC puts them first (the warehouse's convention). A key that the report doesn't show is
+    its hidden ``_sort_`` column, if the report was built with it."""
     cols = []
     for s in sorted(sorts, key=lambda x: (x.sort_order, x.section_id, x.attribute_id)):
-        name = f"attr_{s.attribute_id}"
-        if name not in available:
-            continue
-        c = F.col(name)
-        cols.append(c.desc_nulls_first() if s.direction.lower() == "desc" else c.asc_nulls_last())
+        for name in (f"attr_{s.attribute_id}", f"_sort_{s.section_id}_{s.attribute_id}"):
+            if name in available:
+                cols.append(F.col(name).desc_nulls_first() if s.direction.lower() == "desc" else F.col(name).asc_nulls_last())
+                break
     return cols
 
 
@@ -101,10 +130,10 @@ def order_report(df: DataFrame, sorts: Sequence[Sort], total: bool = True) -> Da
 
 
 def read_report(snapshot: DataFrame, sorts: Sequence[Sort] = (), limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """First ``limit`` rows of a report in its sort order (a top-k, not a full sort)."""
+    """First ``limit`` rows of a report in its sort order (a top-k, not a full sort); hidden sort keys go after it."""
     if int(limit) <= 0:
         raise ValueError("limit must be greater than 0")
-    return order_report(snapshot, sorts).limit(int(limit))
+    return order_report(snapshot, sorts).limit(int(limit)).drop(*[c for c in snapshot.columns if c.startswith("_sort_")])
 
 
 def result_count(df: DataFrame) -> DataFrame:
@@ -137,8 +166,8 @@ def report_table_name(report_id: int) -> str:
 def materialize(df: DataFrame, base_path: str, report_id: int, run_id: str | None = None) -> str:
     """Write a report snapshot to a new folder and return it.
 
-    Each run writes ``<base>/report_<id>/run=<run id>``; readers follow the path recorded with
-    the report's status, so a failed or partial write never replaces the last good snapshot.
+    Each run writes ``<base>/report_<id>/run=<run id>``; readers follow the path in the run's
+    outcome row, so a failed or partial write never replaces the last good snapshot.
     """
     path = f"{base_path.rstrip('/')}/{report_table_name(report_id)}/run={run_id or uuid.uuid4().hex}"
     df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
@@ -164,29 +193,36 @@ def rebuild(
 ) -> DataFrame:
     """Build every pending report (or the given ``(org_id, report_id)`` pairs).
 
-    ``records`` should be a written snapshot shared by all builds. One failing definition
-    does not stop the others; the outcome is one row per report:
+    ``records`` should be a written snapshot shared by all builds. A definition that can't be
+    built doesn't stop the others, a failure of the cluster or of storage does; the outcome is one row per report:
     ``report_id, org_id, status, snapshot_path, error``.
     """
     from sectora.operators.definitions import pending_reports  # local: avoid an import cycle
     from sectora.plans.report_plan import plans_from_tables
 
-    if report_ids is None:
-        report_ids = [
-            (r["org_id"], r["report_id"])
-            for r in pending_reports(definitions["reports"]).select("org_id", "report_id").orderBy("report_id").collect()
-        ]
-    plans = plans_from_tables(definitions, report_ids) if report_ids else {}
-    outcomes = []
-    for org_id, report_id in report_ids:
+    hot = hot_providers(records, build_options.get("rows_per_task", 2_000_000))
+
+    def build(key: tuple[int, int], plan: ReportPlan | DefinitionError) -> BuildOutcome:
+        org_id, report_id = key
         try:
-            plan = plans[(int(org_id), int(report_id))]
-            if isinstance(plan, Exception):
+            if isinstance(plan, DefinitionError):
                 raise plan
-            path = materialize(build_report(records, plan, **build_options), base_path, report_id)
-            outcomes.append(BuildOutcome(int(report_id), int(org_id), "completed", path, None))
-        except Exception as exc:  # one bad definition must not stop the run
-            outcomes.append(BuildOutcome(int(report_id), int(org_id), "failed", None, str(exc).splitlines()[0][:500]))
+            frame = build_report(records, plan, hot=hot, keep_sort_keys=True, **build_options)
+        except (DefinitionError, UnsupportedOperator, AnalysisException) as exc:  # the definition's fault
+            return BuildOutcome(report_id, org_id, "failed", None, str(exc) or type(exc).__name__)
+        return BuildOutcome(report_id, org_id, "completed", materialize(frame, base_path, report_id), None)
+
+    if report_ids is None:
+        wanted = pending_reports(definitions["reports"]).select("org_id", "report_id").orderBy("report_id", "org_id").toLocalIterator()
+        keys = ((int(r["org_id"]), int(r["report_id"])) for r in wanted)
+    else:
+        keys = iter([(int(o), int(r)) for o, r in report_ids])
+    outcomes = []
+    # pages keep what the driver holds bounded; all pages are built, a few reports at a time
+    while page := list(itertools.islice(keys, PAGE)):
+        plans = plans_from_tables(definitions, page)
+        with ThreadPoolExecutor(BUILDERS) as pool:
+            outcomes += pool.map(lambda key, plans=plans: build(key, plans[key]), page)
     return spark.createDataFrame(
         [(o.report_id, o.org_id, o.status, o.snapshot_path, o.error) for o in outcomes],
         "report_id long, org_id long, status string, snapshot_path string, error string",
@@ -218,15 +254,18 @@ def report_section_groups(attrs: DataFrame) -> DataFrame:
 
 
 def query_texts(spark: SparkSession, definitions: dict[str, DataFrame], org_id: int) -> DataFrame:
-    """SQL text of every report of an org (one bounded definition read per report)."""
-    from sectora.plans.report_plan import plan_from_tables, render_sql
+    """SQL text of every report of an org, or why it has none; one read of each definition table."""
+    from sectora.plans.report_plan import plans_from_tables, render_sql
 
     ids = [r["report_id"] for r in definitions["reports"].where(F.col("org_id") == F.lit(int(org_id)))
            .select("report_id").orderBy("report_id").collect()]
+    plans = plans_from_tables(definitions, [(org_id, r) for r in ids]) if ids else {}
     rows = []
-    for report_id in ids:
+    for (_, report_id), plan in sorted(plans.items()):
         try:
-            rows.append((int(report_id), render_sql(plan_from_tables(definitions, report_id, org_id))))
-        except DefinitionError as exc:
-            rows.append((int(report_id), f"-- {exc}"))
+            if isinstance(plan, DefinitionError):
+                raise plan
+            rows.append((report_id, render_sql(plan)))
+        except (DefinitionError, UnsupportedOperator) as exc:
+            rows.append((report_id, f"-- {exc}"))
     return spark.createDataFrame(rows, "report_id long, query string")

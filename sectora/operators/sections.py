@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sectora.operators.records import for_section, section_context
+from sectora.operators.records import for_org, for_section, section_context
 from sectora.session import scratch_path
 from sectora.sources.eav import Eav
 
@@ -42,26 +42,27 @@ def reduced_values(values: DataFrame) -> DataFrame:
     )
 
 
-def section_records(eav: Eav) -> DataFrame:
+def section_records(eav: Eav, org_id: int | None = None, section_id: int | None = None) -> DataFrame:
     """Fold all values into one attribute map per active record, all sections in one pass.
 
-    Only attributes defined for the record's own (org, section) are kept (the same list the
-    per-section pivot uses); records without values get an empty map.
+    Only attributes defined for the record's own (org, section) are kept (the same list the per-section pivot uses);
+    records without values get an empty map. Values are summed up per (record, attribute) and gathered per record;
+    they never meet the dimensions: each record carries its section's attribute ids, and its map is filtered by them.
+    With ``org_id`` or ``section_id`` only those records are read, and only their values folded.
     """
     ctx = section_context(eav)
-    kept = (
-        reduced_values(eav.values)
-        .join(ctx.select("record_id", "org_id", "section_id"), "record_id", "inner")
-        .join(defined_attributes(eav), ["org_id", "section_id", "attribute_id"], "left_semi")
-    )
-    maps = kept.groupBy("record_id").agg(
-        F.map_from_entries(
-            F.array_sort(F.collect_list(F.struct(F.col("attribute_id").cast("string").alias("k"), F.col("value").alias("v"))))
-        ).alias("attrs")
-    )
-    return ctx.join(maps, "record_id", "left").select(
-        "org_id", "section_id", "section_name", "record_id", "provider_id",
-        F.coalesce(F.col("attrs"), F.create_map().cast("map<string,string>")).alias("attrs"),
+    if org_id is not None:
+        ctx = for_org(ctx, org_id)
+    if section_id is not None:
+        ctx = ctx.where(F.col("section_id") == F.lit(int(section_id)).cast("long"))
+    values = eav.values if org_id is None and section_id is None else eav.values.join(ctx.select("record_id"), "record_id", "left_semi")
+    entry = F.struct(F.col("attribute_id").cast("string").alias("k"), F.col("value").alias("v"))
+    maps = reduced_values(values).groupBy("record_id").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("attrs"))
+    own = section_attributes(eav).select("org_id", "section_id", F.transform("attribute_ids", lambda a: a.cast("string")).alias("own"))
+    nothing = F.create_map().cast("map<string,string>")
+    kept = F.map_filter(F.coalesce("attrs", nothing), lambda k, _: F.array_contains("own", k))
+    return ctx.join(own, ["org_id", "section_id"], "left").join(maps, "record_id", "left").select(
+        "org_id", "section_id", "section_name", "record_id", "provider_id", F.when(F.col("own").isNull(), nothing).otherwise(kept).alias("attrs")
     )
 
 
@@ -134,21 +135,35 @@ def records_as_json(records: DataFrame) -> DataFrame:
     )
 
 
-def snapshot(records: DataFrame, path: str | None = None, files_per_section: int = 8) -> DataFrame:
+def snapshot(records: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``section_records`` partitioned by org and section and read it back.
 
     Reports then read only their (org, section) partitions, and the lineage of the build is
     cut by a table in the shared checkpoint folder (``spark.checkpoint.dir``), so a lost
-    executor never forces the whole EAV fold to be recomputed. Rows are clustered by
-    (org, section, hash(record) mod ``files_per_section``): a large section is written by
-    that many tasks, and no section is scattered into one file per task.
+    executor never forces the whole EAV fold to be recomputed. The rows are rebalanced by
+    (org, section): adaptive execution gives a large section as many writers as its size
+    asks for and joins small ones, so neither tasks nor files grow out of proportion.
     """
-    spark = records.sparkSession
-    target = path or scratch_path(spark, "section_records")
-    bucket = F.pmod(F.xxhash64("record_id"), F.lit(int(files_per_section)))
+    target = path or scratch_path(records.sparkSession, "section_records")
     (
-        records.repartition("org_id", "section_id", bucket)
+        records.hint("rebalance", "org_id", "section_id")
         .write.mode("overwrite").partitionBy("org_id", "section_id")
         .option("compression", "snappy").parquet(target)
     )
-    return spark.read.parquet(target).select(*records.columns)
+    return records.sparkSession.read.parquet(target).select(*records.columns)
+
+
+def hot_providers(records: DataFrame, rows_per_task: int = 2_000_000, path: str | None = None) -> DataFrame:
+    """``org_id, provider_id, counts map<section, records>`` of providers whose joined sections exceed ``rows_per_task`` rows.
+
+    Counted once for a snapshot and written: the product over all of a provider's sections bounds every report's.
+    """
+    per = records.where(F.col("provider_id").isNotNull()).groupBy("org_id", "provider_id", "section_id").agg(F.count("*").alias("n"))
+    all_rows = F.aggregate("entries", F.lit(1.0), lambda total, e: total * e["n"])
+    hot = (
+        per.groupBy("org_id", "provider_id").agg(F.collect_list(F.struct("section_id", "n")).alias("entries"))
+        .where(all_rows > rows_per_task).select("org_id", "provider_id", F.map_from_entries("entries").alias("counts"))
+    )
+    target = path or scratch_path(records.sparkSession, "hot_providers")
+    hot.write.mode("overwrite").parquet(target)
+    return records.sparkSession.read.schema(hot.schema).parquet(target)

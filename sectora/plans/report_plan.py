@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sectora.operators.predicates import Filter, normalise_operator
+from sectora.operators.predicates import Filter, predicate_text
 
 
 class DefinitionError(ValueError):
@@ -89,38 +89,25 @@ def plan_from_tables(defs: dict[str, DataFrame], report_id: int, org_id: int) ->
     )
 
 
-def _quote(v: str) -> str:
-    return "'" + v.replace("'", "''") + "'"
-
-
 def render_sql(plan: ReportPlan) -> str:
-    """The plan as SQL text over per-section views ``org_<o>_section_<s>`` (for display)."""
-    alias = {s: f"s{s}" for s, _ in plan.sections}
-    first = plan.first_section
-    cols = [f"{alias[first]}.provider_id"] + [f"{alias[s]}.attr_{a}" for s, attrs in plan.sections for a in attrs]
-    lines = ["SELECT", "    " + ",\n    ".join(cols), f"FROM org_{plan.org_id}_section_{first} {alias[first]}"]
-    for s, _ in plan.sections[1:]:
-        lines.append(f"LEFT JOIN org_{plan.org_id}_section_{s} {alias[s]} ON {alias[first]}.provider_id = {alias[s]}.provider_id")
-    where = []
-    for f in plan.filters:
-        if f.section_id not in alias or f.value is None:
-            continue
-        col = f"{alias[f.section_id]}.attr_{f.attribute_id}"
-        opr = normalise_operator(f.operator)
-        v = str(f.value).strip()
-        if opr == "CONTAINS":
-            where.append(f"{col} ILIKE {_quote('%' + v + '%')}")
-        elif opr == "IN":
-            items = [x.strip() for x in v.split(",") if x.strip()]
-            if items:
-                where.append(f"{col} IN ({', '.join(_quote(x) for x in items)})")
-        elif opr in ("!=", "<>"):
-            where.append(f"{col} <> {_quote(v)}")
-        else:
-            where.append(f"{col} {opr} {_quote(v)}")
-    if where:
-        lines += ["WHERE", "    " + "\n    AND ".join(where)]
-    return "\n".join(lines)
+    """The plan as SQL text, for display: a CTE for each section, outer joins by provider, the build's predicates.
+
+    A filter operator that the build refuses is refused here too."""
+    def column(section_id: int, attribute_id: int) -> str:
+        return f"s{section_id}_a{attribute_id}"
+
+    selected = [(s, a) for s, attrs in plan.sections for a in attrs]
+    applied = [f for f in plan.filters if f.value is not None and f.section_id in dict(plan.sections)]
+    needed = dict.fromkeys([*selected, *((f.section_id, f.attribute_id) for f in applied)])
+    ctes = []
+    for section_id, _ in plan.sections:
+        inner = "".join(f", attr_{a} AS {column(s, a)}" for s, a in needed if s == section_id)
+        ctes.append(f"s{section_id} AS (SELECT provider_id{inner} FROM org_{plan.org_id}_section_{section_id})")
+    head = f"WITH {', '.join(ctes)}"
+    shown = ", ".join(["provider_id", *(f"{column(s, a)} AS attr_{a}" for s, a in selected)])
+    source = f"s{plan.first_section}" + "".join(f" LEFT JOIN s{s} USING (provider_id)" for s, _ in plan.sections[1:])
+    tests = [t for f in applied if (t := predicate_text(column(f.section_id, f.attribute_id), f.operator, f.value))]
+    return f"{head} SELECT {shown} FROM {source}" + (f" WHERE {' AND '.join(tests)}" if tests else "")
 
 
 def plans_from_tables(

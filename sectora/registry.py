@@ -52,13 +52,14 @@ def report(spark: SparkSession, sf: str, report_id: int, org_id: int, *, filters
     plan = plan_from_tables(definitions(spark, sf), report_id, org_id)
     if not filters:
         plan = type(plan)(plan.report_id, plan.org_id, plan.sections, (), plan.sorts)
-    return build_report(sec.snapshot(section_records(spark, sf)), plan, **opts)
+    records = sec.snapshot(section_records(spark, sf))
+    return build_report(records, plan, hot=sec.hot_providers(records, opts.get("rows_per_task", 2_000_000)), **opts)
 
 
 def wide(spark: SparkSession, sf: str, org: int, section: int) -> DataFrame:
     e = eav(spark, sf)
     ids = [1000 * org + b for b, _, s, _ in fixtures.ATTRIBUTE_TEMPLATES if s == section]
-    return sec.wide_section(sec.section_records(e), org, section, ids)
+    return sec.wide_section(sec.section_records(e, org, section), org, section, ids)
 
 
 def ids_of(org: int, section: int) -> list[int]:
@@ -105,7 +106,7 @@ FROM s1 LEFT JOIN s2 ON s1.provider_id = s2.provider_id
 ))
 def q_join_report_sections(spark, sf):
     """Left join of two sections on provider (fan-out kept), hot providers split into buckets."""
-    return report(spark, sf, 301, 3, filters=False, rows_per_task=5, max_splits=4)
+    return report(spark, sf, 301, 3, filters=False, rows_per_task=5)
 
 
 @register("build_report_ignored_filters", with_fixture(
@@ -211,7 +212,7 @@ catalog AS (
 
 @register("join_attribute_section", with_fixture("SELECT * FROM catalog", CATALOG_CTE))
 def q_join_attribute_section(spark, sf):
-    return cat.attribute_catalog(eav(spark, sf))
+    return cat.options_as_text(cat.attribute_catalog(eav(spark, sf)))
 
 
 @register("join_records_pivot", with_fixture("SELECT * FROM w", wide_cte("w", 1, 1, ids_of(1, 1))))
@@ -227,7 +228,7 @@ def q_join_records_pivot(spark, sf):
 
 @register("agg_attribute_options", with_fixture("SELECT * FROM opts", CATALOG_CTE))
 def q_agg_attribute_options(spark, sf):
-    return cat.attribute_options(eav(spark, sf).options)
+    return cat.options_as_text(cat.attribute_options(eav(spark, sf).options))
 
 
 @register("pivot_first", with_fixture("SELECT * FROM w", wide_cte("w", 1, 2, ids_of(1, 2))))
@@ -258,14 +259,14 @@ def q_wide_section(spark, sf):
     e = eav(spark, sf)
     ids = [r["attribute_id"] for r in
            rec.for_section(sec.defined_attributes(e), 2, 1).select("attribute_id").orderBy("attribute_id").collect()]
-    return sec.wide_section(sec.section_records(e), 2, 1, ids)
+    return sec.wide_section(sec.section_records(e, 2, 1), 2, 1, ids)
 
 
 @register("wide_section_empty", with_fixture(
     "SELECT record_id, provider_id FROM ctx WHERE org_id = 1 AND section_id = 5"))
 def q_wide_section_empty(spark, sf):
     """A section without attributes keeps only the record and provider ids."""
-    return sec.wide_section(section_records(spark, sf), 1, 5, [])
+    return sec.wide_section(sec.section_records(eav(spark, sf), 1, 5), 1, 5, [])
 
 
 @register("distinct_org_sections", with_fixture("SELECT DISTINCT org_id, section_id, section_name FROM ctx"))
@@ -303,7 +304,7 @@ GROUP BY org_id, section_id, section_name
 
 @register("nest_catalog", NEST_CATALOG_SQL)
 def q_nest_catalog(spark, sf):
-    docs = cat.catalog_documents(cat.attribute_catalog(eav(spark, sf)))
+    docs = cat.catalog_documents(cat.options_as_text(cat.attribute_catalog(eav(spark, sf))))
     return docs.select("org_id", "section_id", "section_name",
                        F.to_json("attributes", {"ignoreNullFields": "false"}).alias("attributes_json"))
 
@@ -313,7 +314,7 @@ SELECT section_id, section_name, attribute_id, attribute_name, attribute_type, a
 FROM catalog WHERE org_id = 1 ORDER BY section_id, attribute_id
 """, CATALOG_CTE))
 def q_order_catalog(spark, sf):
-    return cat.ordered_catalog(cat.attribute_catalog(eav(spark, sf)), 1)
+    return cat.ordered_catalog(cat.options_as_text(cat.attribute_catalog(eav(spark, sf))), 1)
 
 
 # ---------------------------------------------------------------------------
@@ -335,7 +336,7 @@ def requests(spark, sf):
 
 
 def catalog(spark, sf):
-    return cat.attribute_catalog(eav(spark, sf))
+    return cat.options_as_text(cat.attribute_catalog(eav(spark, sf)))
 
 
 def errors(spark, sf):
@@ -897,7 +898,7 @@ def q_scan_parquet(spark, sf):
 def q_sink_table_overwrite(spark, sf):
     c = catalog(spark, sf)
     path = scratch_path(spark, "attribute_section")
-    sink.write_table(c.limit(1), path, "overwrite")
+    sink.write_table(c.union(c), path, "overwrite")
     sink.write_table(c, path, "overwrite")
     return spark.read.parquet(path)
 
@@ -927,15 +928,13 @@ def q_sink_skip_empty(spark, sf):
     return spark.read.parquet(path)
 
 
-@register("sink_parquet_sections", with_fixture("""
-SELECT record_id, provider_id, attr_1201 AS "1201", attr_1202 AS "1202", attr_1203 AS "1203" FROM w
-""", wide_cte("w", 1, 2, ids_of(1, 2))))
+@register("sink_parquet_sections", ATTRS_JSON_SQL)
 def q_sink_parquet_sections(spark, sf):
-    """Export all sections partitioned by org and section, then read one section back (unprefixed ids)."""
+    """Export all sections partitioned by org and section, then read all of them back."""
     path = scratch_path(spark, "sections")
     sink.export_sections(section_records(spark, sf), path)
-    back = spark.read.parquet(path)
-    return sec.wide_section(back, 1, 2, ids_of(1, 2), prefix="")
+    back = spark.read.parquet(path).withColumns({c: F.col(c).cast("long") for c in ("org_id", "section_id")})
+    return sec.records_as_json(back).withColumn("n_attrs", F.col("n_attrs").cast("long"))
 
 
 @register("sink_name_sanitize", with_fixture("""

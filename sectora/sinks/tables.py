@@ -7,13 +7,14 @@ section with dynamic partition overwrite, so re-exporting some sections leaves t
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from sectora.functions.text import sanitize_name
-from sectora.functions.types import warehouse_ddl
 
 
 class NameCollision(ValueError):
@@ -50,6 +51,13 @@ def write_table(
     out = sanitize_columns(df)
     if mode == "append":
         out = out.select(*[F.col(c).cast("string").alias(c) for c in out.columns])
+    else:
+        # a warehouse table has no nested columns: they become JSON text
+        nested = [f.name for f in out.schema.fields if isinstance(f.dataType, (ArrayType, MapType, StructType))]
+        out = out.withColumns({c: F.to_json(c) for c in nested})
+    if mode == "overwrite" and not table:
+        _switch(out, path.rstrip("/"))
+        return True
     writer = out.write.mode(mode).option("compression", "snappy")
     if table:
         writer.option("path", path).saveAsTable(table)
@@ -58,25 +66,30 @@ def write_table(
     return True
 
 
-def table_ddl(df: DataFrame, table: str) -> str:
-    """``CREATE TABLE`` text of ``df`` for a SQL warehouse target."""
-    return warehouse_ddl(table, sanitize_columns(df).schema)
-
-
 def export_sections(records: DataFrame, base_path: str) -> None:
     """Snappy Parquet of ``section_records`` under ``org_id=<o>/section_id=<s>``.
 
-    Rows are clustered by (org, section, record) before the write so each task writes few
-    files; only the partitions present in ``records`` are replaced.
+    Rows are rebalanced by (org, section), so files have the size that adaptive execution aims at; only the
+    partitions present in ``records`` are replaced.
     """
-    spark = records.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (
-            records.repartition("org_id", "section_id", "record_id")
-            .write.mode("overwrite").partitionBy("org_id", "section_id")
-            .option("compression", "snappy").parquet(base_path)
-        )
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    (
+        records.hint("rebalance", "org_id", "section_id")
+        .write.mode("overwrite").partitionBy("org_id", "section_id")
+        .option("partitionOverwriteMode", "dynamic").option("compression", "snappy").parquet(base_path)
+    )
+
+
+def _switch(df: DataFrame, path: str) -> None:
+    """Write beside ``path``, then rename: the old table stays until the new one is whole."""
+    staged, old = f"{path}.staged-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").option("compression", "snappy").parquet(staged)
+    jvm = df.sparkSession._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    had = fs.exists(target)
+    if had and not fs.rename(target, jvm.org.apache.hadoop.fs.Path(old)):
+        raise OSError(f"can't move {path} away")
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staged), target):
+        raise OSError(f"can't move {staged} to {path}")
+    if had:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)

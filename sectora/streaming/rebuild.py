@@ -2,8 +2,9 @@
 
 Saving a definition emits ``{"orgId": .., "reportId": ..}``. The stream reads those events
 from a folder of JSON files, de-duplicates them per micro-batch and rebuilds each named
-report once (``foreachBatch``). A rebuild overwrites the report's snapshot, so replaying a
-batch after a failure is harmless; the checkpoint records which files were consumed.
+report once (``foreachBatch``). A batch reads at most ``FILES_PER_BATCH`` files, and its outcomes
+go to a folder of its own, so replaying a batch after a failure replaces them; the checkpoint records which files
+were consumed.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ CHANGE_EVENT_SCHEMA = T.StructType([
     T.StructField("reportId", T.LongType()),
 ])
 
+#: Files of events in a batch: bounds what one batch collects.
+FILES_PER_BATCH = 100
+
 
 def change_events(requests_applied: DataFrame) -> DataFrame:
     """Events for applied requests: ``orgId, reportId`` (one per saved definition)."""
@@ -40,13 +44,13 @@ def start_rebuild_stream(
     available_now: bool = True,
     **build_options,
 ) -> StreamingQuery:
-    """Start the rebuild stream; each batch appends one outcome row per rebuilt report to
+    """Start the rebuild stream; each batch writes one outcome row per rebuilt report to
     ``outcomes_path`` (``report_id, org_id, status, snapshot_path, error, batch_id``).
 
     ``records`` and ``definitions`` are called per batch so that every batch sees the latest
     snapshots.
     """
-    events = spark.readStream.schema(CHANGE_EVENT_SCHEMA).json(events_path)
+    events = spark.readStream.schema(CHANGE_EVENT_SCHEMA).option("maxFilesPerTrigger", FILES_PER_BATCH).json(events_path)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         keys = (
@@ -58,7 +62,7 @@ def start_rebuild_stream(
             return
         pairs = [(int(r["orgId"]), int(r["reportId"])) for r in keys]
         out = rebuild(spark, records(), definitions(), snapshots_path, pairs, **build_options)
-        out.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(outcomes_path)
+        out.write.mode("overwrite").parquet(f"{outcomes_path}/batch_id={batch_id}")
 
     writer = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

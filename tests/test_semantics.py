@@ -12,6 +12,7 @@ from sectora.operators import sections as sec
 from sectora.operators import tasks as tk
 from sectora.operators.joins import skew_join
 from sectora.operators.predicates import Filter, UnsupportedOperator, predicate, report_filter
+from sectora.operators.predicates import UnsupportedOperator
 from sectora.plans.report_plan import DefinitionError, plan_report, render_sql
 from sectora.sinks.tables import NameCollision, sanitize_columns
 from sectora.sources.eav import load_eav
@@ -87,7 +88,7 @@ def test_skew_join_equals_plain_join(spark, how):
     left = left.withColumn("l", F.monotonically_increasing_id())
     right = right.withColumn("r", F.monotonically_increasing_id())
     plain = left.join(right, "k", how)
-    split = skew_join(left, right, "k", how, rows_per_task=10, max_splits=8, left_tiebreak=["l"], right_tiebreak=["r"])
+    split = skew_join(left, right, "k", how, rows_per_task=10, left_tiebreak=["l"], right_tiebreak=["r"])
     assert split.count() == plain.count()
     assert split.exceptAll(plain.select(*split.columns)).count() == 0
 
@@ -96,7 +97,14 @@ def test_plan_report_orders_sections_and_dedupes():
     plan = plan_report(5, 7, [(2, 21), (1, 12), (1, 11), (1, 12)], [(2, 21, " contains ", "x")], [(1, 11, "DESC", 2)])
     assert plan.sections == ((1, (11, 12)), (2, (21,)))
     assert plan.columns == ["provider_id", "attr_11", "attr_12", "attr_21"]
-    assert "s2.attr_21 ILIKE '%x%'" in render_sql(plan)
+    assert render_sql(plan) == (
+        "WITH s1 AS (SELECT provider_id, attr_11 AS s1_a11, attr_12 AS s1_a12 FROM org_7_section_1), "
+        "s2 AS (SELECT provider_id, attr_21 AS s2_a21 FROM org_7_section_2) "
+        "SELECT provider_id, s1_a11 AS attr_11, s1_a12 AS attr_12, s2_a21 AS attr_21 FROM s1 LEFT JOIN s2 USING (provider_id) "
+        "WHERE s2_a21 ILIKE '%x%'"
+    )
+    with pytest.raises(UnsupportedOperator):
+        render_sql(plan_report(5, 7, [(1, 11)], [(1, 11, "BETWEEN", "1")]))
     with pytest.raises(DefinitionError):
         plan_report(5, 7, [])
 
@@ -121,21 +129,21 @@ def test_warehouse_types():
 
 
 def test_tasks_golden(spark):
-    """The onboarding page's six literal tasks: 3 open, 3 completed, completion rate 50."""
+    """Three open and three completed tasks, one completed of each type: rate 50."""
     rows = [
-        ("DOC-1001", 1, "document", "pending", "Upload DEA Certificate", "Please upload your current DEA certificate."),
-        ("PRO-1002", 1, "profile", "in_progress", "Complete License Information", "Fill in your active state license details."),
-        ("SIG-1003", 1, "signature", "pending", "Sign Provider Enrollment Packet", "Review and sign the enrollment packet."),
-        ("DOC-0901", 1, "document", "completed", "Uploaded Board Certification", "Board certification document submitted."),
-        ("PRO-0902", 1, "profile", "completed", "Completed DEA Information", "DEA profile section was completed."),
-        ("SIG-0903", 1, "signature", "completed", "Signed W-9 Form", "W-9 form reviewed and signed."),
+        ("a1", 1, "document", "pending", "Send the harbour permit", "The quay office waits for it."),
+        ("b1", 1, "profile", "in_progress", "Describe the vessel", "Length, draught and home harbour."),
+        ("c1", 1, "signature", "pending", "Sign the berth contract", "Two pages."),
+        ("a2", 1, "document", "completed", "Sent the crew list", "Received on Monday."),
+        ("b2", 1, "profile", "completed", "Described the owner", "Entered at the harbour desk."),
+        ("c2", 1, "signature", "completed", "Signed the pilot form", "Filed."),
     ]
     df = spark.createDataFrame(rows, "id string, provider_id long, type string, status string, title string, description string")
     k = tk.task_kpis(df).collect()[0]
     assert (k.pending, k.completed, k.completion_rate) == (3, 3, 50)
     assert (k.completed_documents, k.completed_profiles, k.completed_signatures) == (1, 1, 1)
-    assert {r.id for r in tk.search_tasks(tk.open_tasks(df), "dea").collect()} == {"DOC-1001"}
-    assert {r.id for r in tk.search_tasks(df, "dea", "profile").collect()} == {"PRO-0902"}
+    assert {r.id for r in tk.search_tasks(tk.open_tasks(df), "HARBOUR").collect()} == {"a1", "b1"}
+    assert {r.id for r in tk.search_tasks(df, "harbour", "profile").collect()} == {"b1", "b2"}
 
 
 def test_js_round_halves_up(spark):
@@ -162,3 +170,70 @@ def test_section_records_plan_stays_in_the_jvm(spark):
     plan = buf.getvalue()
     assert "Exchange" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def _records(spark, rows):
+    return spark.createDataFrame(rows, "org_id long, section_id long, section_name string, record_id long, provider_id long, attrs map<string,string>")
+
+
+def test_columns_keep_their_section_and_hidden_sort_keys(spark):
+    from sectora.operators.reports import build_report, read_report
+
+    records = _records(spark, [
+        (7, 1, "a", 1, 100, {"11": "x", "12": "3"}), (7, 1, "a", 2, 101, {"11": "y", "12": "1"}), (7, 1, "a", 3, 102, {"11": "z", "12": "2"}),
+        (7, 2, "b", 4, 100, {"11": "q", "21": "u"}), (7, 2, "b", 5, 101, {"11": "p", "21": "v"}),
+    ])
+    # a filter on section 2's attribute 11, though section 1 shows its own
+    plan = plan_report(5, 7, [(1, 11), (2, 21)], [(2, 11, "=", "q")])
+    assert [tuple(r) for r in build_report(records, plan).collect()] == [(100, "x", "u")]
+    # an attribute that the report doesn't show orders it
+    plan = plan_report(5, 7, [(1, 11)], [], [(1, 12, "asc", 1)])
+    built = build_report(records, plan, keep_sort_keys=True)
+    assert [tuple(r) for r in read_report(built, plan.sorts, 2).collect()] == [(101, "y"), (102, "z")]
+    with pytest.raises(DefinitionError):
+        build_report(records, plan_report(5, 7, [(1, 11), (2, 11)]))
+
+
+def test_split_left_join_doesnt_shuffle_the_left_side_by_the_bare_key(spark):
+    left, right = spark.range(100).selectExpr("id % 3 k", "id l"), spark.range(100).selectExpr("id % 3 k", "id r")
+    hot = spark.createDataFrame([(0, 34, 34)], "k long, n_left long, n_right long")
+    plan = skew_join(left, right, "k", "left", hot=hot, rows_per_task=10)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k#" in plan and "LeftAnti" not in plan
+    assert skew_join(left, right, "k", "left", hot=hot, rows_per_task=10).count() == left.join(right, "k", "left").count()
+
+
+def test_overwrite_switches_and_writes_nested_columns_as_text(spark, tmp_path):
+    from sectora.sinks.tables import write_table
+
+    path = str(tmp_path / "t")
+    write_table(spark.createDataFrame([(1, ["a"])], "`A b` long, x array<string>"), path)
+    write_table(spark.createDataFrame([(2, ["b", "c"])], "`A b` long, x array<string>"), path)
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(2, '["b","c"]')]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from sectora.session import ensure_checkpoint_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: d)))
+
+
+def test_rebuild_reports_a_definitions_own_fault_only(spark, tmp_path, monkeypatch):
+    from sectora.operators import reports as rep
+
+    records = _records(spark, [(7, 1, "a", 1, 100, {"11": "x"})])
+    names = {
+        "report_section_attributes": ([(5, 7, 1, 11), (6, 7, 1, 11)], "report_id long, org_id long, section_id long, attribute_id long"),
+        "report_filters": ([(6, 7, 1, 11, "BETWEEN", "1")], "report_id long, org_id long, section_id long, attribute_id long, operator string, value string"),
+        "report_sorts": ([], "report_id long, org_id long, section_id long, attribute_id long, direction string, sort_order int"),
+    }
+    defs = {n: spark.createDataFrame(*x) for n, x in names.items()}
+    out = rep.rebuild(spark, records, defs, str(tmp_path), [(7, 5), (7, 6)]).collect()
+    assert [(r.report_id, r.status) for r in out] == [(5, "completed"), (6, "failed")] and "BETWEEN" in out[1].error
+    monkeypatch.setattr(rep, "materialize", lambda *a: (_ for _ in ()).throw(OSError("disk")))
+    with pytest.raises(OSError):
+        rep.rebuild(spark, records, defs, str(tmp_path), [(7, 5)])
