@@ -49,6 +49,7 @@ START, EPOCHS, ROUNDS, STRIDE, RATE = 1500, 3, 2, 2, 0.08
 AVERAGERS = 16
 SLICE = 16_000_000
 FLUSH = 400_000
+MEMO = 400_000
 
 END = common.word_hash(b"\n")  # no token holds white space
 _SIGNED = 1 << 64
@@ -138,6 +139,7 @@ class Vocabulary:
         self.tokens, self.counts = head.token.to_numpy()[order], head.c.to_numpy()[order]
         model = head[head.token != _signed(END)].head(VOCABULARY - 1)
         ends = int(head.c[head.token == _signed(END)].sum())
+        self.texts = ends
         #: Predicted words by falling frequency, the end token first: (hash, count)
         self.words = np.concatenate([[_signed(END)], model.token.to_numpy()]).astype(np.int64)
         frequency = np.concatenate([[ends], model.c.to_numpy()]).astype(np.float64)
@@ -164,23 +166,36 @@ class Vocabulary:
         return {h: k for k, h in enumerate(self.words.tolist())}
 
 
-class Reader:
-    """Turns texts into ids: the place of a predicted word, or VOCABULARY + form class."""
+class Reader(dict):
+    """Turns texts into numbers of a memo: a word's model id, its log10(c + 1) if that is broadcast (else 0), its hash.
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.v, self.words = vocabulary, vocabulary.index()
-        self.ids = common.Bounded(self._id, 400_000)
+    A model id is the place of a predicted word, or VOCABULARY + form class. The memo empties itself between texts.
+    """
 
-    def _id(self, word: bytes) -> int:
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.words = vocabulary.index()
+        self.head = dict(zip(vocabulary.tokens.tolist(), np.log10(vocabulary.counts + 1.0).tolist(), strict=True))
+        self.ids, self.logs, self.hashes = np.zeros(MEMO, np.int32), np.zeros(MEMO), np.zeros(MEMO, np.int64)
+
+    def __missing__(self, word: bytes) -> int:
+        slot = len(self)
+        if slot == len(self.ids):
+            self.ids, self.logs, self.hashes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.ids, self.logs, self.hashes))
         h, kind = _described(word)
-        return self.words.get(h, VOCABULARY + kind)
-
-    def read(self, text: bytes) -> tuple[list[bytes], np.ndarray]:
-        """The words, and the ids of the words and the end token (0)."""
+        self.ids[slot], self.logs[slot], self.hashes[slot] = self.words.get(h, VOCABULARY + kind), self.head.get(h, 0.0), h
+        self[word] = slot
+        return slot
+
+    def read(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The words' numbers, and the model ids of the words and the end token (0)."""
+        if len(self) > MEMO:
+            self.clear()
         cut = text.lower().split()
+        slots = np.fromiter(map(self.__getitem__, cut), np.int64, len(cut))
         ids = np.zeros(len(cut) + 1, np.int32)
-        ids[:-1] = np.fromiter(map(self.ids.__getitem__, cut), np.int32, len(cut))
-        return cut, ids
+        ids[:-1] = self.ids[slots]
+        return slots, ids
 
 
 # -- the network ---------------------------------------------------------------------------------------------------
@@ -310,10 +325,10 @@ def score_texts(v: Vocabulary, w: dict[str, np.ndarray], texts: list[np.ndarray]
 class Trainer:
     """Adagrad over windows of WINDOW steps; the state at a window's start is a constant to its gradient."""
 
-    def __init__(self, v: Vocabulary, w: dict[str, np.ndarray], stride: int = STRIDE):
+    def __init__(self, v: Vocabulary, w: dict[str, np.ndarray], square: dict[str, np.ndarray] | None = None, stride: int = STRIDE):
         self.stride = stride
         self.v, self.w = v, {k: x.copy() for k, x in w.items()}
-        self.square = {k: np.full(x.shape, 1e-3, np.float32) for k, x in w.items()}
+        self.square = {k: square[k].copy() if square else np.full(x.shape, 1e-3, np.float32) for k, x in w.items()}
         self.tokens = 0
 
     def _update(self, name: str, gradient: np.ndarray, rows=slice(None)) -> None:
@@ -421,14 +436,14 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["tokens", "weights"])
 
 
-def _trained(texts: DataFrame, shared, key: str, weights: dict[str, np.ndarray], start: bool = False) -> dict[str, np.ndarray]:
-    """Weights after every task has gone over its texts from ``weights``, averaged by tokens."""
+def _trained(texts: DataFrame, shared, key: str, state: list[dict[str, np.ndarray]], start: bool = False) -> list[dict[str, np.ndarray]]:
+    """[weights, squared steps] after every task has gone over its texts from ``state``, averaged by tokens."""
     spark = texts.sparkSession
-    begin = spark.sparkContext.broadcast(weights)
+    begin = spark.sparkContext.broadcast(state)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
-        reader, trainer = _reader(key, v), Trainer(v, begin.value, 1 if start else STRIDE)
+        reader, trainer = _reader(key, v), Trainer(v, *begin.value, stride=1 if start else STRIDE)
         sample = []
         for whole in batches:
             for batch in common.slices(whole, SLICE):
@@ -440,23 +455,27 @@ def _trained(texts: DataFrame, shared, key: str, weights: dict[str, np.ndarray],
         for _ in range(EPOCHS if sample else 0):
             trainer.learn(sample)
         if trainer.tokens:
-            flat = packed(trainer.w).astype(np.float64) * trainer.tokens
+            flat = np.concatenate([packed(trainer.w), packed(trainer.square)]).astype(np.float64) * trainer.tokens
             yield pa.RecordBatch.from_arrays([pa.array([trainer.tokens], pa.int64()), pa.array([flat.tobytes()], pa.binary())], ["tokens", "weights"])
 
     schema = "tokens long, weights binary"
     row = texts.mapInArrow(run, schema).repartition(AVERAGERS).mapInArrow(_sum, schema).repartition(1).mapInArrow(_sum, schema).first()
-    return unpacked(np.frombuffer(row.weights, np.float64) / row.tokens, weights) if row else weights
+    if not row:
+        return state
+    return [unpacked(part, state[0]) for part in np.split(np.frombuffer(row.weights, np.float64) / row.tokens, 2)]
 
 
 def train(texts: DataFrame, v: Vocabulary, shared, key: str) -> dict[str, np.ndarray]:
     """The trained weights (about 1 MB) from (doc_id, text)."""
-    order = F.xxhash64("doc_id", F.lit(1))
-    weights = initial(v)
-    begin = texts.select("doc_id", "text").orderBy(order, "doc_id").limit(START).coalesce(1)
-    weights = _trained(begin, shared, key, weights, start=True)
+    state = [initial(v)]
+    # a share of the hashes that START texts are expected in, so that a task sends a few texts to the sort, not START
+    order, space = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 31)), 1 << 31
+    share = F.lit(int(min(space, space * (START + 4 * START**0.5) / max(1, v.texts))))
+    begin = texts.select("doc_id", "text").where(order < share).orderBy(order, "doc_id").limit(START).coalesce(1)
+    state = _trained(begin, shared, key, state, start=True)
     for k in range(ROUNDS):
-        weights = _trained(texts.where(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(ROUNDS)) == k), shared, key, weights)
-    return weights
+        state = _trained(texts.where(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(ROUNDS)) == k), shared, key, state)
+    return state[0]
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -474,40 +493,24 @@ def score(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         reader, w = _reader(key, v), weights.value
-        # log10(c + 1) of a broadcast token, None for a rarer one
-        def find(word: bytes) -> tuple[float | None, int]:
-            h = _signed(common.word_hash(word))
-            at = int(np.searchsorted(v.tokens, h))
-            return (math.log10(v.counts[at] + 1), h) if at < len(v.tokens) and v.tokens[at] == h else (None, h)
-
-        known = common.Bounded(find, 400_000)
-        at = int(np.searchsorted(v.tokens, _signed(END)))
-        end = math.log10(v.counts[at] + 1) if at < len(v.tokens) and v.tokens[at] == _signed(END) else None
+        end = reader.head.get(_signed(END), 0.0)
         for whole in batches:
             for batch in common.slices(whole, SLICE):
                 ids, tokens, found, base, out, rare, rare_n = [], [], [], [], [], [], []
                 for text in common.byte_texts(batch.column(1)):
-                    cut, own = reader.read(text)
+                    slots, own = reader.read(text)
+                    logs, other = reader.logs[slots], own[:-1] >= VOCABULARY
                     ids.append(own)
                     tokens.append(len(own))
-                    total, n, odd = (0.0, 0, Counter()) if end is None else (end, 1, Counter())
-                    if end is None:
-                        odd[_signed(END)] += 1
-                    for word, times in Counter(cut).items():
-                        value, h = known[word]
-                        if value is None:
-                            odd[h] += times
-                        else:
-                            total, n = total + value * times, n + times
-                    base.append(total)
-                    found.append(n)
-                    forms = own[own >= VOCABULARY] - VOCABULARY
+                    found.append(int((logs > 0).sum()) + (end > 0))
+                    base.append(float(logs.sum()) + end)
                     # of words outside the vocabulary: log10(c + 1) of the broadcast ones joins the share here
-                    shares = -float(v.share[forms].sum())
-                    shares += sum(known[x][0] or 0.0 for x, i in zip(cut, own.tolist(), strict=False) if i >= VOCABULARY)
-                    out.append(shares)
-                    rare.append(list(odd))
-                    rare_n.append(list(odd.values()))
+                    out.append(float(logs[other].sum() - v.share[own[:-1][other] - VOCABULARY].sum()))
+                    odd, times = np.unique(reader.hashes[slots[logs == 0]], return_counts=True)
+                    if not end:
+                        odd, times = np.append(odd, _signed(END)), np.append(times, 1)
+                    rare.append(odd)
+                    rare_n.append(times.astype(np.int32))
                 scores = score_texts(v, w, ids) + np.array(out)
                 yield pa.RecordBatch.from_arrays(
                     [
