@@ -187,7 +187,8 @@ def test_arc_versions_and_errors():
 
 
 def test_quality_rules_drop_lines_that_many_documents_of_a_host_share(spark):
-    own = [f"alpha{i} beta{i} gamma{i} delta{i} epsilon{i} zeta{i} eta{i} theta{i} iota{i} kappa{i}" for i in range(40)]
+    names = [chr(97 + i // 10) + chr(97 + i % 10) for i in range(40)]  # digits would count as equal
+    own = [f"alpha{x} beta{x} gamma{x} delta{x} epsilon{x} zeta{x} eta{x} theta{x} iota{x} kappa{x}" for x in names]
     common = "Accept ALL cookies, now 12!"
     docs = [(i, f"{t}\n{common}", "a") for i, t in enumerate(own)]
     docs += [(100 + i, f"{common}\nx{i} one two three four", "a") for i in range(3)] + [(200, f"{common}\nx one two three four", "b")]
