@@ -72,8 +72,9 @@ def flatten_attributes(parsed: DataFrame) -> DataFrame:
 
 
 def _list_value(v: Column) -> Column:
-    """A JSON list sent as a filter value is stored as its items joined with commas."""
-    return F.when(F.trim(v).startswith("["), F.array_join(F.from_json(v, "array<string>"), ",")).otherwise(v)
+    """A JSON list sent as a filter value is stored as its items joined with commas; text that isn't one stays."""
+    items = F.when(F.trim(v).startswith("[") & F.trim(v).endswith("]"), F.from_json(v, "array<string>"))
+    return F.coalesce(F.array_join(items, ","), v)
 
 
 def flatten_filters(parsed: DataFrame) -> DataFrame:
@@ -116,9 +117,29 @@ def _err(df: DataFrame, stage: int, pos: Column | int, step: int, attr_pos: Colu
     )
 
 
+def _kind(body: Column, key: str) -> Column:
+    """JSON type of a member (``ARRAY<...>``, ``OBJECT<...>``, ``STRING``, ``VOID`` for null ...); null if it is missing."""
+    return F.schema_of_variant(F.try_variant_get(F.try_parse_json(body), f"$.{key}", "variant"))
+
+
+#: JSON values that count as nothing where a list may be left out.
+NOTHING = ["", "{}", "[]", "0", "0.0", "false", "null"]
+
+
+def _is_list(body: Column, key: str) -> Column:
+    return F.coalesce(_kind(body, key).startswith("ARRAY"), F.lit(False))
+
+
 def _is_list_or_missing(body: Column, key: str) -> Column:
-    raw = F.get_json_object(body, f"$.{key}")
-    return raw.isNull() | F.trim(raw).startswith("[")
+    """``config`` must be a list if it is there at all; ``filters`` and ``sorts`` may also be empty in any way."""
+    kind = _kind(body, key)
+    allowed = kind.isNull() | kind.startswith("ARRAY")
+    return allowed if key == "config" else allowed | (kind == "VOID") | F.get_json_object(body, f"$.{key}").isin(NOTHING)
+
+
+def _shown(c: Column) -> Column:
+    """A member in a message; null reads ``None``."""
+    return F.coalesce(c, F.lit("None"))
 
 
 def catalog_keys(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -131,9 +152,10 @@ def catalog_keys(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _raw_items(parsed: DataFrame, key: str) -> DataFrame:
     """Items of a list as raw JSON maps, to tell a missing key from a null value."""
-    return parsed.where(_is_list_or_missing(F.col("body"), key)).select(
-        "request_id", "org_id",
-        F.posexplode(F.from_json(F.get_json_object("body", f"$.{key}"), "array<map<string,string>>")).alias("pos", "m"),
+    texts = F.from_json(F.get_json_object("body", f"$.{key}"), "array<string>")
+    return parsed.where(_is_list(F.col("body"), key)).select("request_id", "org_id", F.posexplode(texts).alias("pos", "text")).select(
+        # an item that is no object has no members
+        "request_id", "org_id", "pos", F.coalesce(F.from_json("text", "map<string,string>"), F.create_map().cast("map<string,string>")).alias("m"),
     )
 
 
@@ -148,8 +170,9 @@ def _checked_items(parsed: DataFrame, key: str, sections_ok: DataFrame, attrs_ok
     return (
         items.join(sections_ok.withColumn("sec_ok", F.lit(True)), ["org_id", "section_id"], "left")
         .join(attrs_ok.withColumn("attr_ok", F.lit(True)), ["org_id", "section_id", "attribute_id"], "left")
-        .withColumn("sec_ok", F.coalesce("sec_ok", F.lit(False)))
-        .withColumn("attr_ok", F.coalesce("attr_ok", F.lit(False)))
+        # ids are compared as text: 01 is not 1
+        .withColumn("sec_ok", F.coalesce(F.col("sec_ok") & (F.col("sid") == F.col("section_id").cast("string")), F.lit(False)))
+        .withColumn("attr_ok", F.coalesce(F.col("sec_ok") & F.col("attr_ok") & (F.col("aid") == F.col("attribute_id").cast("string")), F.lit(False)))
     )
 
 
@@ -194,23 +217,25 @@ def validate_definitions(requests: DataFrame, catalog: DataFrame, reports: DataF
     errors.append(_explode_errors(cfg, 2, [
         (0, ~has_sid, F.lit("sectionId is required in each config item")),
         (1, has_sid & ~F.col("sec_ok"),
-         F.concat(F.lit("Invalid sectionId for org_id "), org, F.lit(": "), F.coalesce("sid", F.lit("None")))),
+         F.concat(F.lit("Invalid sectionId for org_id "), org, F.lit(": "), _shown(F.col("sid")))),
     ]))
     # config attributes
     attrs = (
         parsed.select("request_id", "org_id", F.posexplode("doc.config").alias("pos", "item"))
-        .where(F.col("item.sectionId").isNotNull())
+        .where(F.col("item.attributeIds").isNotNull())
         .select("request_id", "org_id", "pos", F.col("item.sectionId").alias("sid"),
                 F.posexplode("item.attributeIds").alias("attr_pos", "aid"))
         .withColumn("section_id", F.col("sid").try_cast("long"))
         .withColumn("attribute_id", F.col("aid").try_cast("long"))
     )
-    bad_attr = attrs.join(attrs_ok, ["org_id", "section_id", "attribute_id"], "left_anti")
+    known = attrs_ok.withColumn("known", F.concat_ws(" ", "section_id", "attribute_id"))
+    bad_attr = attrs.where("sid is not null").join(known, ["org_id", "section_id", "attribute_id"], "left").where(
+        ~F.col("known").eqNullSafe(F.concat_ws(" ", "sid", "aid")))
     errors.append(_err(bad_attr, 2, F.col("pos"), 2, F.col("attr_pos"), F.concat(
-        F.lit("Invalid attributeId "), F.col("aid"), F.lit(" for sectionId "), F.col("sid"),
+        F.lit("Invalid attributeId "), _shown(F.col("aid")), F.lit(" for sectionId "), F.col("sid"),
         F.lit(" and org_id "), org)))
 
-    def item_checks(key: str, stage: int, required: list[str], missing_msg: str, label: str, last: tuple[Column, Column]):
+    def item_checks(key: str, stage: int, required: list[str], missing_msg: str, label: str, last: list[tuple[Column, Column]]):
         items = _checked_items(parsed, key, sections_ok, attrs_ok)
         has_all = F.lit(True)
         for k in required:
@@ -218,23 +243,26 @@ def validate_definitions(requests: DataFrame, catalog: DataFrame, reports: DataF
         return _explode_errors(items, stage, [
             (0, ~has_all, F.lit(missing_msg)),
             (1, has_all & ~F.col("sec_ok"),
-             F.concat(F.lit(f"Invalid {label} sectionId for org_id "), org, F.lit(": "), F.col("sid"))),
+             F.concat(F.lit(f"Invalid {label} sectionId for org_id "), org, F.lit(": "), _shown(F.col("sid")))),
             (2, has_all & ~F.col("attr_ok"),
-             F.concat(F.lit(f"Invalid {label} attributeId "), F.col("aid"), F.lit(" for sectionId "),
-                      F.col("sid"), F.lit(" and org_id "), org)),
-            (3, has_all & last[0], last[1]),
+             F.concat(F.lit(f"Invalid {label} attributeId "), _shown(F.col("aid")), F.lit(" for sectionId "),
+                      _shown(F.col("sid")), F.lit(" and org_id "), org)),
+            *[(3 + k, has_all & failed, message) for k, (failed, message) in enumerate(last)],
         ])
 
-    op = F.trim(F.col("m")["operator"])
+    op = F.trim(_shown(F.col("m")["operator"]))
     errors.append(item_checks(
         "filters", 3, ["sectionId", "attributeId", "operator"],
         "Each filter must contain sectionId, attributeId, and operator", "filter",
-        (~F.upper(op).isin(list(OPERATORS)), F.concat(F.lit("Invalid filter operator: "), op)),
+        [(~F.upper(op).isin(list(OPERATORS)), F.concat(F.lit("Invalid filter operator: "), op))],
     ))
-    direction = F.lower(F.coalesce(F.col("m")["direction"], F.lit("asc")))
+    # a member that is there with null isn't left out
+    direction = F.when(F.map_contains_key("m", "direction"), F.lower(_shown(F.col("m")["direction"]))).otherwise("asc")
+    order = F.col("m")["sortOrder"]
     errors.append(item_checks(
         "sorts", 4, ["sectionId", "attributeId"], "Each sort must contain sectionId and attributeId", "sort",
-        (~direction.isin(list(DIRECTIONS)), F.concat(F.lit("Invalid sort direction: "), direction)),
+        [(~direction.isin(list(DIRECTIONS)), F.concat(F.lit("Invalid sort direction: "), direction)),
+         (F.map_contains_key("m", "sortOrder") & order.try_cast("int").isNull(), F.concat(F.lit("Invalid sort order: "), _shown(order)))],
     ))
 
     out = errors[0]

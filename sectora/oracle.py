@@ -225,18 +225,21 @@ filt_ok AS (
   FROM filt WHERE json_exists(item, '$.sectionId') AND json_exists(item, '$.attributeId') AND json_exists(item, '$.operator')
 ),
 srt_ok AS (
-  SELECT *, json_extract_string(item, '$.sectionId') AS sid, json_extract_string(item, '$.attributeId') AS aid
+  SELECT *, json_extract_string(item, '$.sectionId') AS sid, json_extract_string(item, '$.attributeId') AS aid,
+    CASE WHEN json_exists(item, '$.direction') THEN lower(coalesce(json_extract_string(item, '$.direction'), 'none')) ELSE 'asc' END AS dir
   FROM srt WHERE json_exists(item, '$.sectionId') AND json_exists(item, '$.attributeId')
 ),
 errors AS (
   SELECT request_id, org_id, 0 AS stage, 0 AS pos, 0 AS step, 0 AS attr_pos, 'name is required' AS message
   FROM req WHERE coalesce(json_extract_string(body, '$.name'), '') = ''
   UNION ALL SELECT request_id, org_id, 0, 0, 1, 0, 'config must be a list' FROM req
-  WHERE json_type(body, '$.config') IS NOT NULL AND json_type(body, '$.config') NOT IN ('ARRAY', 'NULL')
+  WHERE json_type(body, '$.config') IS NOT NULL AND json_type(body, '$.config') <> 'ARRAY'
   UNION ALL SELECT request_id, org_id, 0, 0, 2, 0, 'filters must be a list' FROM req
   WHERE json_type(body, '$.filters') IS NOT NULL AND json_type(body, '$.filters') NOT IN ('ARRAY', 'NULL')
+    AND json_extract_string(body, '$.filters') NOT IN ('', '{}', '0', '0.0', 'false')
   UNION ALL SELECT request_id, org_id, 0, 0, 3, 0, 'sorts must be a list' FROM req
   WHERE json_type(body, '$.sorts') IS NOT NULL AND json_type(body, '$.sorts') NOT IN ('ARRAY', 'NULL')
+    AND json_extract_string(body, '$.sorts') NOT IN ('', '{}', '0', '0.0', 'false')
   UNION ALL SELECT q.request_id, q.org_id, 1, 0, 0, 0,
          'Report ' || CAST(q.report_id AS VARCHAR) || ' not found for org_id ' || CAST(q.org_id AS VARCHAR)
   FROM req q WHERE q.report_id IS NOT NULL
@@ -244,48 +247,45 @@ errors AS (
   UNION ALL SELECT request_id, org_id, 2, pos, 0, 0, 'sectionId is required in each config item'
   FROM cfg WHERE NOT json_exists(item, '$.sectionId')
   UNION ALL SELECT c.request_id, c.org_id, 2, c.pos, 1, 0,
-         'Invalid sectionId for org_id ' || CAST(c.org_id AS VARCHAR) || ': ' || json_extract_string(c.item, '$.sectionId')
+         'Invalid sectionId for org_id ' || CAST(c.org_id AS VARCHAR) || ': ' || coalesce(json_extract_string(c.item, '$.sectionId'), 'None')
   FROM cfg c WHERE json_exists(c.item, '$.sectionId') AND NOT EXISTS (
     SELECT 1 FROM cat_sections s WHERE s.org_id = c.org_id
-      AND s.section_id = TRY_CAST(json_extract_string(c.item, '$.sectionId') AS BIGINT))
+      AND CAST(s.section_id AS VARCHAR) = json_extract_string(c.item, '$.sectionId'))
   UNION ALL SELECT a.request_id, a.org_id, 2, a.pos, 2, a.attr_pos,
-         'Invalid attributeId ' || a.aid || ' for sectionId ' || a.sid || ' and org_id ' || CAST(a.org_id AS VARCHAR)
+         'Invalid attributeId ' || coalesce(a.aid, 'None') || ' for sectionId ' || a.sid || ' and org_id ' || CAST(a.org_id AS VARCHAR)
   FROM cfg_attrs a WHERE NOT EXISTS (
-    SELECT 1 FROM cat_attrs k WHERE k.org_id = a.org_id AND k.section_id = TRY_CAST(a.sid AS BIGINT)
-      AND k.attribute_id = TRY_CAST(a.aid AS BIGINT))
+    SELECT 1 FROM cat_attrs k WHERE k.org_id = a.org_id AND CAST(k.section_id AS VARCHAR) = a.sid AND CAST(k.attribute_id AS VARCHAR) = a.aid)
   UNION ALL SELECT request_id, org_id, 3, pos, 0, 0, 'Each filter must contain sectionId, attributeId, and operator'
   FROM filt WHERE NOT (json_exists(item, '$.sectionId') AND json_exists(item, '$.attributeId') AND json_exists(item, '$.operator'))
   UNION ALL SELECT f.request_id, f.org_id, 3, f.pos, 1, 0,
-         'Invalid filter sectionId for org_id ' || CAST(f.org_id AS VARCHAR) || ': ' || f.sid
-  FROM filt_ok f WHERE NOT EXISTS (SELECT 1 FROM cat_sections s WHERE s.org_id = f.org_id AND s.section_id = TRY_CAST(f.sid AS BIGINT))
+         'Invalid filter sectionId for org_id ' || CAST(f.org_id AS VARCHAR) || ': ' || coalesce(f.sid, 'None')
+  FROM filt_ok f WHERE NOT EXISTS (SELECT 1 FROM cat_sections s WHERE s.org_id = f.org_id AND CAST(s.section_id AS VARCHAR) = f.sid)
   UNION ALL SELECT f.request_id, f.org_id, 3, f.pos, 2, 0,
-         'Invalid filter attributeId ' || f.aid || ' for sectionId ' || f.sid || ' and org_id ' || CAST(f.org_id AS VARCHAR)
+         'Invalid filter attributeId ' || coalesce(f.aid, 'None') || ' for sectionId ' || coalesce(f.sid, 'None') || ' and org_id ' || CAST(f.org_id AS VARCHAR)
   FROM filt_ok f WHERE NOT EXISTS (
-    SELECT 1 FROM cat_attrs k WHERE k.org_id = f.org_id AND k.section_id = TRY_CAST(f.sid AS BIGINT)
-      AND k.attribute_id = TRY_CAST(f.aid AS BIGINT))
-  UNION ALL SELECT request_id, org_id, 3, pos, 3, 0, 'Invalid filter operator: ' || trim(json_extract_string(item, '$.operator'))
-  FROM filt_ok WHERE upper(trim(json_extract_string(item, '$.operator'))) NOT IN (OPERATOR_LIST)
+    SELECT 1 FROM cat_attrs k WHERE k.org_id = f.org_id AND CAST(k.section_id AS VARCHAR) = f.sid AND CAST(k.attribute_id AS VARCHAR) = f.aid)
+  UNION ALL SELECT request_id, org_id, 3, pos, 3, 0, 'Invalid filter operator: ' || trim(coalesce(json_extract_string(item, '$.operator'), 'None'))
+  FROM filt_ok WHERE upper(trim(coalesce(json_extract_string(item, '$.operator'), 'None')))
+    NOT IN ('=', '!=', '<>', '>', '<', '>=', '<=', 'CONTAINS', 'LIKE', 'IN')
   UNION ALL SELECT request_id, org_id, 4, pos, 0, 0, 'Each sort must contain sectionId and attributeId'
   FROM srt WHERE NOT (json_exists(item, '$.sectionId') AND json_exists(item, '$.attributeId'))
   UNION ALL SELECT f.request_id, f.org_id, 4, f.pos, 1, 0,
-         'Invalid sort sectionId for org_id ' || CAST(f.org_id AS VARCHAR) || ': ' || f.sid
-  FROM srt_ok f WHERE NOT EXISTS (SELECT 1 FROM cat_sections s WHERE s.org_id = f.org_id AND s.section_id = TRY_CAST(f.sid AS BIGINT))
+         'Invalid sort sectionId for org_id ' || CAST(f.org_id AS VARCHAR) || ': ' || coalesce(f.sid, 'None')
+  FROM srt_ok f WHERE NOT EXISTS (SELECT 1 FROM cat_sections s WHERE s.org_id = f.org_id AND CAST(s.section_id AS VARCHAR) = f.sid)
   UNION ALL SELECT f.request_id, f.org_id, 4, f.pos, 2, 0,
-         'Invalid sort attributeId ' || f.aid || ' for sectionId ' || f.sid || ' and org_id ' || CAST(f.org_id AS VARCHAR)
+         'Invalid sort attributeId ' || coalesce(f.aid, 'None') || ' for sectionId ' || coalesce(f.sid, 'None') || ' and org_id ' || CAST(f.org_id AS VARCHAR)
   FROM srt_ok f WHERE NOT EXISTS (
-    SELECT 1 FROM cat_attrs k WHERE k.org_id = f.org_id AND k.section_id = TRY_CAST(f.sid AS BIGINT)
-      AND k.attribute_id = TRY_CAST(f.aid AS BIGINT))
+    SELECT 1 FROM cat_attrs k WHERE k.org_id = f.org_id AND CAST(k.section_id AS VARCHAR) = f.sid AND CAST(k.attribute_id AS VARCHAR) = f.aid)
   UNION ALL SELECT request_id, org_id, 4, pos, 3, 0,
-         'Invalid sort direction: ' || lower(coalesce(json_extract_string(item, '$.direction'), 'asc'))
-  FROM srt_ok WHERE lower(coalesce(json_extract_string(item, '$.direction'), 'asc')) NOT IN ('asc', 'desc')
+         'Invalid sort direction: ' || dir FROM srt_ok WHERE dir NOT IN ('asc', 'desc')
+  UNION ALL SELECT request_id, org_id, 4, pos, 4, 0, 'Invalid sort order: ' || coalesce(json_extract_string(item, '$.sortOrder'), 'None')
+  FROM srt_ok WHERE json_exists(item, '$.sortOrder') AND TRY_CAST(json_extract_string(item, '$.sortOrder') AS INTEGER) IS NULL
 )
 """
 
 
 def validation_ctes() -> str:
-    from sectora.operators.predicates import OPERATORS
-
-    return VALIDATION_CTES.replace("OPERATOR_LIST", ", ".join(_sql_text(o) for o in OPERATORS))
+    return VALIDATION_CTES
 
 
 TASKS_CTE = """

@@ -652,7 +652,7 @@ def q_read_report(spark, sf):
     return rep.read_report(snap, plan.sorts, 100)
 
 
-@register("apply_report_sorts", REPORT_101_SQL)
+@register("apply_report_sorts", _wrap(REPORT_101_SQL, f"SELECT * FROM base ORDER BY {ORDER_101}"))
 def q_apply_report_sorts(spark, sf):
     snap, plan = materialized_101(spark, sf)
     return rep.order_report(snap, plan.sorts)

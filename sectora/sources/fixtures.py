@@ -337,6 +337,15 @@ REQUEST_TEMPLATES = [
     (9, "own", '{"name":"Edited %1$s","config":[{"sectionId":"2","attributeIds":[%5$d,%4$d]}],"filters":[{"sectionId":"2","attributeId":"%4$d","operator":"<>","value":"F"}],"sorts":[{"sectionId":"2","attributeId":"%5$d","direction":"DESC","sortOrder":"2"},{"sectionId":"2","attributeId":"%4$d","sortOrder":1}]}'),
     (10, "other", '{"name":"Not mine %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}]}'),
     (11, None, '{"name":"Loose %1$s","config":[{"attributeIds":[%2$d]}],"filters":"none","sorts":[{"sectionId":"1"}]}'),
+    (12, None, '{"name":"Null config %1$s","config":null}'),
+    (13, None, '{"name":"Text config %1$s","config":"[abc"}'),
+    (14, None, '{"name":"Empty filters %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}],"filters":{},"sorts":""}'),
+    (15, None, '{"name":"Null operator %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}],"filters":[{"sectionId":"1","attributeId":%2$d,"operator":null,"value":"x"}]}'),
+    (16, None, '{"name":"Null direction %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}],"sorts":[{"sectionId":"1","attributeId":%2$d,"direction":null}]}'),
+    (17, None, '{"name":"Odd order %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}],"sorts":[{"sectionId":"1","attributeId":%2$d,"sortOrder":"abc"}]}'),
+    (18, None, '{"name":"Null ids %1$s","config":[{"sectionId":null,"attributeIds":[%2$d]}],"filters":[{"sectionId":"1","attributeId":null,"operator":"=","value":"x"}]}'),
+    (19, None, '{"name":"Padded id %1$s","config":[{"sectionId":"01","attributeIds":[%2$d]}]}'),
+    (20, None, '{"name":"Bracket %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}],"filters":[{"sectionId":"1","attributeId":%2$d,"operator":"CONTAINS","value":"[draft"}]}'),
 ]
 
 
