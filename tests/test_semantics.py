@@ -244,12 +244,12 @@ def test_a_request_with_numbers_and_text_ids(spark):
     body = """{"name": "Berths", "config": [{"sectionId": 4, "attributeIds": [41, "42"]}, {"sectionId": "5", "attributeIds": ["51"]}],
         "filters": [{"sectionId": "4", "attributeId": 41, "operator": "in", "value": ["a", "b"]}, {"sectionId": 4, "attributeId": "42", "operator": "=", "value": "[x"}],
         "sorts": [{"sectionId": 5, "attributeId": 51, "direction": "DESC", "sortOrder": "2"}]}"""
-    bad = '{"name": "x", "config": [1, {"sectionId": "4", "attributeIds": [null]}], "sorts": [{"sectionId": 4, "attributeId": 41, "direction": null, "sortOrder": "z"}]}'
-    requests = spark.createDataFrame([(1, 7, None, body), (2, 7, None, bad)], "request_id long, org_id long, report_id long, body string")
+    bad = '{"name": "x", "config": [{"sectionId": "4", "attributeIds": [null]}], "sorts": [{"sectionId": 4, "attributeId": 41, "direction": null, "sortOrder": "z"}]}'
+    requests = spark.createDataFrame([(1, 7, None, body), (2, 7, None, bad), (3, 7, None, '{"name": "x", "config": [1]}')], "request_id long, org_id long, report_id long, body string")
     catalog = spark.createDataFrame([(7, 4, 41), (7, 4, 42), (7, 5, 51)], "org_id long, section_id long, attribute_id long")
     errors = dfn.validate_definitions(requests, catalog)
     assert {(r.request_id, r.message) for r in errors.collect()} == {
-        (2, "sectionId is required in each config item"), (2, "Invalid attributeId None for sectionId 4 and org_id 7"),
+        (3, "sectionId is required in each config item"), (2, "Invalid attributeId None for sectionId 4 and org_id 7"),
         (2, "Invalid sort direction: none"), (2, "Invalid sort order: z"),
     }
     filters = dfn.flatten_filters(dfn.parse_requests(requests)).where("request_id = 1").orderBy("pos").collect()
