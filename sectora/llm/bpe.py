@@ -201,6 +201,11 @@ class WordBpe:
                 out += self.pretoken.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
         return out
 
+    def clear(self) -> None:
+        """Forget all words and pre-tokens."""
+        self.pieces.clear()
+        self._reset()
+
     def _reset(self) -> None:
         self.known.clear()
         self.starts, self.counts, self.flat, self.fill = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0
@@ -255,7 +260,7 @@ def loaded(spec: str) -> WordBpe:
     key = hashlib.sha1(spec.encode()).hexdigest()
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = WordBpe(spec)
+        _LOADED[key] = common.memo(WordBpe(spec))
     return _LOADED[key]
 
 
@@ -272,6 +277,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, extra: tuple[str, ...] = ("i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(spec.value)
+        common.only(bpe)
         for whole in batches:
             for batch in common.slices(whole):
                 rows, more = [], {name: [] for name in extra}

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import weakref
 import zipfile
 from collections.abc import Iterator
 
@@ -97,12 +98,29 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+_MEMOS: weakref.WeakValueDictionary = weakref.WeakValueDictionary()
+
+
+def memo(holder):
+    """Register what holds a memo and can ``clear()`` it."""
+    _MEMOS[id(holder)] = holder
+    return holder
+
+
+def only(holder) -> None:
+    """Workers outlive their tasks: a task that uses ``holder`` first empties the memos that other operators left."""
+    for other in list(_MEMOS.values()):
+        if other is not holder:
+            other.clear()
+
+
 class Bounded(dict):
     """A memo of ``make(key)`` that empties itself at ``limit`` entries, so that a worker's memory stays bounded."""
 
-    def __init__(self, make, limit: int):
+    def __init__(self, make, limit: int = 200_000):
         super().__init__()
         self.make, self.limit = make, limit
+        memo(self)
 
     def __missing__(self, key):
         if len(self) >= self.limit:

@@ -63,7 +63,7 @@ class Benchmark:
         self.items = [np.array([self.vocab[w] for w in c], np.int64) for _, c in cut]
         self.base = len(self.vocab) + 1
         #: id of a raw word: 0 if no item has it, -1 if nothing of it is left
-        self.raw = common.Bounded(lambda w: self.vocab.get(n, 0) if (n := normal(w)) else -1, 400_000)
+        self.raw = common.Bounded(lambda w: self.vocab.get(n, 0) if (n := normal(w)) else -1)
         sizes = np.array([len(x) for x in self.items], np.int64)
         ratio = max(1.02, (sizes.max() / MIN_WORDS) ** (1 / GROUPS)) if len(sizes) else 1.1
         group = np.unique(np.floor(np.log(sizes / MIN_WORDS) / np.log(ratio) + 1e-9), return_inverse=True)[1] if len(sizes) else sizes
@@ -257,6 +257,7 @@ def _read(bench: Benchmark, column: pa.Array) -> list[np.ndarray]:
 def _searcher(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench = _prepared(shared.value)
+        common.only(bench.raw)
         for whole in batches:
             for batch in common.slices(whole, 8_000_000):
                 found = bench.search(_read(bench, batch.column(1)))
@@ -294,6 +295,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def keeper(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bench = _prepared(shared.value)
+            common.only(bench.raw)
             for whole in batches:
                 for batch in common.slices(whole, 8_000_000, at):
                     keep = np.ones(batch.num_rows, bool)

@@ -421,7 +421,8 @@ def _reader(key: str, v: Vocabulary) -> Reader:
     """One reader per worker process and vocabulary, with its memo."""
     if key not in _READERS:
         _READERS.clear()
-        _READERS[key] = Reader(v)
+        _READERS[key] = common.memo(Reader(v))
+    common.only(_READERS[key])
     return _READERS[key]
 
 

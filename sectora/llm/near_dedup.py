@@ -41,7 +41,7 @@ BITS = 1 << 24
 WALKS = 8_000_000
 CODE_BITS = 1024
 
-_HASHES = common.Bounded(common.word_hash, 400_000)
+_HASHES = common.Bounded(common.word_hash)
 _SEEDS = common.mix64(np.arange(1, CODE_BITS + 1, dtype=np.uint64))
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
@@ -110,6 +110,7 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
     common.ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.only(_HASHES)
         for whole in batches:
             for batch in common.slices(whole, 1_000_000):
                 sets = [shingles(t, size) for t in common.byte_texts(batch.column(1))]
@@ -146,6 +147,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
+        common.only(_HASHES)
         for whole in batches:
             bits = whole.column(2).to_numpy()
             whole = whole.filter(pa.array((words[bits >> 6] >> (bits & 63)) & 1 == 1))

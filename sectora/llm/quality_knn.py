@@ -52,7 +52,7 @@ def _packed(word: bytes) -> int:
     return zlib.crc32(word) << 20 | (zlib.crc32(word.lower()) % WORDS) << 10 | _SHAPES[word.translate(_KIND)]
 
 
-_WORDS = common.Bounded(_packed, 400_000)
+_WORDS = common.Bounded(_packed)
 
 
 def _trait(values: list[tuple[int, float]]) -> list[int]:
@@ -157,6 +157,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     kinds = dict(docs.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.only(_WORDS)
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK):
                 batch = whole.slice(at, BLOCK)

@@ -37,7 +37,7 @@ _DROP = string.punctuation.encode()
 _NOT_SYMBOL = bytes(b for b in range(256) if chr(b) not in "#*$%&|<>")
 _SPACE = b" \t\n\r\x0b\x0c"
 
-_HASHES = common.Bounded(common.word_hash, 400_000)
+_HASHES = common.Bounded(common.word_hash)
 
 
 def normal_line(line: bytes) -> bytes:
@@ -90,6 +90,7 @@ def measure(docs: DataFrame, host: str) -> DataFrame:
     common.ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.only(_HASHES)
         for whole in batches:
             for batch in common.slices(whole):
                 rows, digests, hashes, counts = [], [], [], []
