@@ -52,8 +52,8 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
     ("proprietary", "All rights reserved"),
 ]
-# Template words that tell nothing on their own.
-PLAIN = "a all and any are at by can form forms in is it may met not of on or sa that the this to under use v with without work you 2 3 4.0 2.0 2.1".split()
+# Template words that tell nothing on their own ("mit" is a German preposition).
+PLAIN = "a all an and any are as at by can code either file form forms free general if in into is it later may met mit not obtain of on or person published sa source subject terms that the this to under use v version with without work you 2 3 4.0 2.0 2.1".split()
 
 
 def words_of(text: Column) -> Column:
