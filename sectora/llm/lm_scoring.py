@@ -12,8 +12,8 @@ Model. The ``VOCABULARY`` most frequent tokens are predicted one by one, the oth
 Frequent words are divided into classes of equal square-root frequency. The output biases start at the logarithms
 of the corpus frequencies, so an untrained model is the class unigram. The state comes from a gated recurrent unit in
 numpy: texts lie in ``LANES`` parallel lanes, the gradient runs back over windows of ``WINDOW`` tokens, and the
-state is carried from window to window within a text and is zero at its start. In training the state runs over all
-tokens, and one in ``STRIDE`` windows takes a gradient step.
+state is carried from window to window within a text and is zero at its start. In training every window takes a
+gradient step.
 
 Training. ``EPOCHS`` passes over the ``START`` training texts of smallest id hash (a bound) bring all tasks to one
 basin; then in each of ``ROUNDS`` rounds every task goes on from the same weights over its own training texts, and the
@@ -45,7 +45,7 @@ from sectora.llm import common
 
 VOCABULARY, HEAD, CLASSES = 2048, 200_000, 32
 WIDTH, EMBEDDING, WINDOW, LANES = 16, 16, 16, 192
-START, EPOCHS, ROUNDS, STRIDE, RATE = 1500, 3, 2, 2, 0.08
+START, EPOCHS, ROUNDS, RATE = 1500, 3, 2, 0.08
 AVERAGERS = 16
 SLICE = 16_000_000
 FLUSH = 400_000
@@ -325,8 +325,7 @@ def score_texts(v: Vocabulary, w: dict[str, np.ndarray], texts: list[np.ndarray]
 class Trainer:
     """Adagrad over windows of WINDOW steps; the state at a window's start is a constant to its gradient."""
 
-    def __init__(self, v: Vocabulary, w: dict[str, np.ndarray], square: dict[str, np.ndarray] | None = None, stride: int = STRIDE):
-        self.stride = stride
+    def __init__(self, v: Vocabulary, w: dict[str, np.ndarray], square: dict[str, np.ndarray] | None = None):
         self.v, self.w = v, {k: x.copy() for k, x in w.items()}
         self.square = {k: square[k].copy() if square else np.full(x.shape, 1e-3, np.float32) for k, x in w.items()}
         self.tokens = 0
@@ -340,12 +339,7 @@ class Trainer:
         target, source, owner = lanes(texts)
         h = np.zeros((target.shape[1], WIDTH), np.float32)
         for at, stop, count, before in _windows(owner, WINDOW):
-            part = source[at:stop, :count], owner[at:stop, :count], before, h[:count]
-            if at // WINDOW % self.stride == 0:
-                h = self._window(target[at:stop, :count], *part)
-            else:
-                table = self.w["emb"] @ self.w["wx"] + self.w["bx"] if at // WINDOW % self.stride == 1 else table
-                h = _advance(self.w, table, *part, np.empty((stop - at, count, WIDTH), np.float32))
+            h = self._window(target[at:stop, :count], source[at:stop, :count], owner[at:stop, :count], before, h[:count])
         self.tokens += int((owner >= 0).sum())
 
     def _window(self, target, source, owner, before, h):
@@ -444,7 +438,7 @@ def _trained(texts: DataFrame, shared, key: str, state: list[dict[str, np.ndarra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
-        reader, trainer = _reader(key, v), Trainer(v, *begin.value, stride=1 if start else STRIDE)
+        reader, trainer = _reader(key, v), Trainer(v, *begin.value)
         sample = []
         for whole in batches:
             for batch in common.slices(whole, SLICE):

@@ -82,6 +82,17 @@ def test_lm_gradient_by_differences(spark, documents):
         assert steps[name][at] == pytest.approx((losses[0] - losses[1]) / 2e-4, rel=2e-2, abs=1e-5)
 
 
+def test_lm_learns_from_every_window(spark):
+    """Every word of a text of two windows is an input that takes a gradient."""
+    table = [(lm_scoring._signed(lm_scoring.END), -1, 2)] + [(*lm_scoring._described(f"word{k}".encode()), 9) for k in range(40)]
+    v = lm_scoring.Vocabulary(spark.createDataFrame(table, "token long, form int, c long"))
+    trainer = lm_scoring.Trainer(v, lm_scoring.initial(v))
+    steps = []
+    trainer._update = lambda name, g, rows=slice(None): steps.extend(rows.tolist()) if name == "emb" else None
+    trainer.learn([np.array([*range(1, 2 * lm_scoring.WINDOW), 0], np.int32)])
+    assert set(steps) == set(range(2 * lm_scoring.WINDOW))
+
+
 def normal(text):
     return [w for w in map(decontaminate.normal, text.encode().split()) if w]
 
