@@ -35,10 +35,18 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "guess")
 
-#: Credential context: a credential word, a separator, a value up to white space or a quote.
-CONTEXT = re.compile(r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth(?:orization)?|api[_-]?key|access[_-]?key|private[_-]?key|bearer)["']?\x20*(?:[:=]|\bis\b)\x20*["']?([^\s"'<>]+)""", re.IGNORECASE | re.ASCII)
-
-#: One of these is in every match of ASSIGN, and of CONTEXT; plain substring searches spare most texts the patterns.
+#: Credential context: a name, a separator, a value up to white space or a quote. A name is looked at from its start only,
+#: so that a long one is read once.
+NAMED = re.compile(r"""(?<![A-Za-z0-9_-])([A-Za-z0-9_-]++)["']?\x20*+([:=]|\bis\b)""", re.IGNORECASE | re.ASCII)
+VALUE = re.compile(r"""\x20*["']?(?:bearer\x20+["']?)?([^\s"'<>]+)""", re.IGNORECASE | re.ASCII)
+AUTH_VALUE = re.compile(r"""\x20*["']?(?:(?:bearer|basic|token)\x20+["']?)?([^\s"'<>]+)""", re.IGNORECASE | re.ASCII)
+#: The credential word of a name: anything may stand before it (but ``compass`` and the like have no ``pass``), and further
+#: parts after it, set off by ``_``, ``-``, a digit or a capital. Before ``is`` the name ends with the word.
+_WORD = r"""(?:pass(?:word|wd|phrase|code)|pwd|secret|token|credentials?|auth(?:orization)?|(?:api|access|private)[_-]?key|(?<!com)(?<!by)(?<!tres)(?<!sur)(?<!over)(?<!under)pass|bearer)"""
+CREDENTIAL = re.compile(_WORD + r"(?:$|[_0-9-]|(?-i:(?<=[a-z])[A-Z]))", re.IGNORECASE | re.ASCII)
+CREDENTIAL_END = re.compile(_WORD + "$", re.IGNORECASE | re.ASCII)
+
+#: One of these is in every match of ASSIGN, and in every credential word; plain substring searches spare most texts the patterns.
 ASSIGN_HINTS = ("passw", "secret", "token", "api")
 CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "cred", "auth", "key", "bearer")
 HEX_MASK = bytes(ord("x") if chr(b) in "0123456789abcdef" else ord(".") for b in range(256))
@@ -123,6 +131,21 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out)
 
 
+def context_values(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of each value in credential context that is long and costly enough, without the punctuation that ends it."""
+    at = 0
+    for m in NAMED.finditer(text):
+        if m.start() < at or not (CREDENTIAL if m[2] in ":=" else CREDENTIAL_END).search(m[1]):
+            continue
+        if value := (AUTH_VALUE if "auth" in m[1].lower() else VALUE).match(text, m.end()):
+            s, e = value.span(1)
+            while e > s and text[e - 1] in ".,;:!?)":
+                e -= 1
+            if e - s >= MIN_LENGTH and guess_cost(text[s:e]) >= MIN_COST:
+                at = e
+                yield s, e
+
+
 def all_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """The base spans, and all spans with those of the guess-cost method."""
     base = base_spans(text)
@@ -130,11 +153,8 @@ def all_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, in
     low = text.lower()
     if any(h in low for h in CONTEXT_HINTS):
         taken = [(s, e) for s, k, e in base if k == 0]
-        for m in CONTEXT.finditer(text):
-            s, e = m.span(1)
-            while e > s and text[e - 1] in ".,;:!?)":
-                e -= 1
-            if e - s >= MIN_LENGTH and not any(a < e and s < b for a, b in taken) and guess_cost(text[s:e]) >= MIN_COST:
+        for s, e in context_values(text):
+            if not any(a < e and s < b for a, b in taken):
                 more.append((s, 3, e))
     return base, sorted(base + more) if more else base
 

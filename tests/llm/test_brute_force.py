@@ -246,6 +246,30 @@ def test_guess_cost():
     assert secret_scan.redacted("a token = 'abcdefghijkl1' b") == "a token = '[SECRET]' b"
 
 
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("DB_PASSWORD=Tr0ub4dor&3xQ!", "Tr0ub4dor&3xQ"), ("dbPassword: Kq9#vT2!mZ", "Kq9#vT2!mZ"),
+        ("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"),
+        ("Authorization: Bearer Zx81kQpLm20VbT7u", "Zx81kQpLm20VbT7u"), ("authorization: basic Zx81kQpLm20VbT7u", "Zx81kQpLm20VbT7u"),
+        ("secret: password: x9$Lq2!vB7zP", "x9$Lq2!vB7zP"), ("log: user_pwd = 'x9$Lq2!vB7zP'", "x9$Lq2!vB7zP"), ("the db_password is x9$Lq2!vB7zP", "x9$Lq2!vB7zP"),
+        ("compass: northwestern, author: alexandrina, tokenizer: sentencepiece", None), ("password-protected is extraordinary", None),
+    ],
+)
+def test_secret_names_with_further_parts(text, value):
+    _, spans = secret_scan.all_spans(text)
+    assert [text[s:e] for s, k, e in spans if k == 3] == ([value] if value else [])
+
+
+def test_secret_names_are_read_once():
+    import time
+
+    began = time.monotonic()
+    for text in ("token_" * 100_000, "token " * 100_000 + ":", "token" + " " * 500_000 + "x", "pass:" * 100_000):
+        secret_scan.all_spans(text)
+    assert time.monotonic() - began < 20
+
+
 def luhn(digits):
     return sum(int(c) if i % 2 == 0 else int(c) * 2 - 9 * (c > "4") for i, c in enumerate(reversed(digits))) % 10 == 0
 
