@@ -8,7 +8,7 @@ Spans are (kind, start, end) in code points, end exclusive:
 
 * ``assign``, ``access``, ``hex``: by their form alone (see ``FORMS``);
 * ``guess``: a value in credential context, of at least ``MIN_LENGTH`` characters, whose cost reaches
-  ``MIN_COST`` and that ``assign`` hasn't reported.
+  ``MIN_COST``, unless one ``assign`` span holds all of it.
 
 Edge cases: a null or empty text has no spans; a text of any length is scanned whole (spans are found by linear
 scans; the dynamic program runs over values cut into pieces of ``PIECE`` characters, whose costs add up); repeated
@@ -154,7 +154,7 @@ def all_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, in
     if any(h in low for h in CONTEXT_HINTS):
         taken = [(s, e) for s, k, e in base if k == 0]
         for s, e in context_values(text):
-            if not any(a < e and s < b for a, b in taken):
+            if not any(a <= s and e <= b for a, b in taken):
                 more.append((s, 3, e))
     return base, sorted(base + more) if more else base
 
@@ -191,12 +191,17 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def redacted(text: str) -> str:
-    """The text with every secret replaced; of an assignment only the value goes, overlapping spans go as one."""
+    """The text with every secret replaced; of an assignment only the value goes, overlapping spans go as one.
+
+    Exclamation and question marks that end a value by guess cost go with it, as they may be part of it.
+    """
     _, spans = all_spans(text)
     if not spans:
         return text
     cuts: list[list[int]] = []
     for s, k, e in sorted((ASSIGN.match(text, s).start(2) if k == 0 else s, k, e) for s, k, e in spans):
+        while k == 3 and e < len(text) and text[e] in "!?":
+            e += 1
         if cuts and s < cuts[-1][1]:
             cuts[-1][1] = max(cuts[-1][1], e)
         else:

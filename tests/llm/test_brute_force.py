@@ -261,6 +261,14 @@ def test_secret_names_with_further_parts(text, value):
     assert [text[s:e] for s, k, e in spans if k == 3] == ([value] if value else [])
 
 
+def test_secret_value_beyond_an_assignment():
+    text = "a password: Sup3rSecretPw@2024! b token=abcdefghijkl1 c"
+    base, spans = secret_scan.all_spans(text)
+    assert secret_scan.spelled(base) == "assign:2:25,assign:34:53"
+    assert secret_scan.spelled(spans) == "assign:2:25,guess:12:30,assign:34:53"
+    assert secret_scan.redacted(text) == "a password: [SECRET] b token=[SECRET] c"
+
+
 def test_secret_names_are_read_once():
     import time
 
