@@ -116,6 +116,11 @@ def test_decontamination_recall_at_the_full_distance(n, edits):
     assert decontaminate.recall(n, edits, 60) >= 0.95
 
 
+@pytest.mark.parametrize("n", [120, 200, 300])
+def test_decontamination_recall_of_long_items(n):
+    assert decontaminate.recall(n, decontaminate.allowed(n), 60) >= 0.95
+
+
 def test_bpe_equals_the_library(spark, documents):
     from tokenizers import Tokenizer
 
