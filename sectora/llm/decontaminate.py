@@ -86,7 +86,9 @@ class Benchmark:
             low, high = int(sizes[members].min()), int(sizes[members].max())
             # positions of the written sequence that each walk samples: while its pointer is inside the item
             at = np.sort(draw.integers(0, 2 * low, effort(high)), axis=1)
-            entry = {"members": members, "size": high, "span": high + allowed(high), "need": max(1, low - 1 - 2 * allowed(low)), "at": at}
+            # the least over all lengths: it falls by one where another edit is allowed
+            need = max(1, min(n - 1 - 2 * allowed(n) for n in set(sizes[members].tolist())))
+            entry = {"members": members, "size": high, "span": high + allowed(high), "need": need, "at": at}
             padded = np.zeros((len(members), high), np.int64)
             for row, m in enumerate(members):
                 padded[row, : sizes[m]] = self.items[m]

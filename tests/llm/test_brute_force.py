@@ -121,6 +121,16 @@ def test_decontamination_recall_of_long_items(n):
     assert decontaminate.recall(n, decontaminate.allowed(n), 60) >= 0.95
 
 
+def test_decontamination_needs_the_least_of_a_group():
+    """50 words with 10 edits may share 29 pairs, fewer than 49 words with 9 edits."""
+    items = [[f"{name}{k}" for k in range(n)] for name, n in (("a", 49), ("b", 50), ("c", 59))]
+    bench = decontaminate.Benchmark([(i, " ".join(x)) for i, x in enumerate(items)])
+    assert any(g["members"].tolist() == [0, 1] for g in bench.groups)
+    words = [bench.raw[w.encode()] for w in items[1]]
+    words[3:49:5] = [0] * 10
+    assert [f[:3] for f in bench.search([np.array([0] * 20 + words + [0] * 20, np.int64)])] == [(0, 1, 10)]
+
+
 def test_bpe_equals_the_library(spark, documents):
     from tokenizers import Tokenizer
 
