@@ -23,5 +23,5 @@ def test_query_matches_sql(spark, name):
 
 
 def test_queries_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in queries.QUERIES}
     assert "pipeline" in entry.queries()
