@@ -2,9 +2,10 @@
 
 Lines are normalised (ASCII lower case, digits as 0, no ASCII punctuation, single spaces) and hashed. For each
 (host, line) the distinct documents that hold it are counted; documents with equal texts count as one, so that
-plain copies, which are the deduplicator's business, don't make boilerplate of their own lines. A line in more
-than ``max(MIN_DOCUMENTS, SHARE * documents of the host)`` documents is removed, and a document is rejected when
-fewer than ``LEAST_LEFT`` of its words, or fewer than ``LEAST_WORDS`` words, remain.
+plain copies, which are the deduplicator's business, don't make boilerplate of their own lines. A line in more than
+``SHARE`` of its host's documents is removed, and a document is rejected when fewer than ``LEAST_LEFT`` of its words, or
+fewer than ``LEAST_WORDS`` words, remain. The share is the limit at every size of a host; ``MIN_DOCUMENTS`` only asks that
+a line is seen in more than that few documents, as a share of a handful of documents says nothing.
 
 Shuffles carry (host, hash, digest) of each distinct line of a document and are summed before they are sent: a host
 or line that holds a third of all rows is spread by the digest first, and its partial counts meet afterwards.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from sectora.llm import common
 
-MIN_DOCUMENTS, SHARE = 50, 0.05
+MIN_DOCUMENTS, SHARE = 3, 0.05
 LEAST_LEFT, LEAST_WORDS = 0.3, 5
 WINDOW = 5
 

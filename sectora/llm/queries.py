@@ -123,7 +123,7 @@ nl AS (SELECT r, text, source, len(regexp_extract_all(line, {_WORDS})) AS n,
     trim(regexp_replace(regexp_replace(translate(line, '{_UPPER}0123456789', '{_LOWER}0000000000'), '[!-/:-@\[-`{{-~]', '', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM l),
 hosts AS (SELECT source, count(DISTINCT text) AS n FROM d GROUP BY source),
 found AS (SELECT source, line, count(DISTINCT text) AS n FROM nl WHERE line <> '' GROUP BY source, line),
-hot AS (SELECT f.source, f.line FROM found f JOIN hosts h ON f.source IS NOT DISTINCT FROM h.source WHERE f.n > greatest(50, 0.05 * h.n)),
+hot AS (SELECT f.source, f.line FROM found f JOIN hosts h ON f.source IS NOT DISTINCT FROM h.source WHERE f.n > greatest(3, 0.05 * h.n)),
 rem AS (SELECT r, sum(n) AS n FROM nl JOIN hot ON nl.line = hot.line AND nl.source IS NOT DISTINCT FROM hot.source GROUP BY r),
 b AS (SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
