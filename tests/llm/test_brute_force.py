@@ -404,3 +404,98 @@ def test_pipeline_is_its_stages(spark, documents):
     library = Tokenizer.from_file(VOCABULARY)
     for i, row in got.items():
         assert list(row.ids) == library.encode(secret_scan.redacted(documents[i]), add_special_tokens=False).ids
+
+
+PROSE = [
+    "Your password is incorrect", "The token is automatically refreshed", "The secret is wonderful", "the passphrase is different now",
+    "auth: disabled-by-default", "password: January2024!", "token: automatically generated", "The api key is mandatory; authentication is important.",
+    "password: ${DB_PASSWORD_9}", "secret=<your-secret-token-here>", "the --password option", "see http://user:pass@host/ and https://example.com:8080/a@b",
+]
+
+
+@pytest.mark.parametrize("text", PROSE)
+def test_prose_about_credentials_stays(text):
+    assert secret_scan.redacted(text) == text
+
+
+def test_a_thousand_prose_texts_keep_all_words():
+    names = ["password", "The secret", "Our token", "a passphrase", "The API key", "Authorization", "my credential", "this pwd", "An access_key", "her passcode"]
+    links = [" is ", ": ", " is now ", " = "]
+    values = """unavailable mandatory confidential temporarily replaceable wonderful incorrect questionable untouchable alphabetically
+        Distinguished ESSENTIAL well-protected hardly-ever-used überflüssig nécessaire intentionally misunderstood case-sensitive thirteen
+        acknowledged communicated state-of-the-art straightforward overwhelming responsible""".split()
+    texts = [f"{n}{link}{v} as of today." for n in names for link in links for v in values]
+    assert len(texts) > 1000
+    kept = [t for t in texts if secret_scan.redacted(t) == t]
+    # an equals sign makes a long value an assignment by its form, which goes whatever it says
+    assert {t for t in texts if t not in kept} <= {t for t in texts if " = " in t and secret_scan.base_spans(t)}
+
+
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ('password := "Tr0ub4dor&3xQ!"', "Tr0ub4dor&3xQ!"), ("password => 'Tr0ub4dor&3xQ!'", "Tr0ub4dor&3xQ!"), ("run --password Tr0ub4dor&3xQ!x now", "Tr0ub4dor&3xQ!x"),
+        ("postgres://admin:Zx81kQpLm20VbT7u@db.host/x", "Zx81kQpLm20VbT7u"), ("password=\"Xk9$'Qz71!mPw\"", "Xk9$'Qz71!mPw"), ("pwd: Xk9$<Qz71!mPw</td>", "Xk9$<Qz71!mPw"),
+        ('{"authorization": "Bearer Zx81kQpLm20VbT7u"}', "Zx81kQpLm20VbT7u"), ("The password is 'Xk9$Qz71!mPw'.", "Xk9$Qz71!mPw"),
+    ],
+)
+def test_secrets_in_every_notation(text, value):
+    assert secret_scan.redacted(text) == text.replace(value, "[SECRET]")
+
+
+def plain_price(span, whole, rank):
+    """log10 guesses of one span in one go, the cheapest of all kinds; infinite if it is of none."""
+    one = math.log10(max(10, 26 * bool(re.search("[a-z]", whole)) + 26 * bool(re.search("[A-Z]", whole)) + 10 * bool(re.search("[0-9]", whole)) + 33 * (not whole.isalnum())))
+    n, low, ways = len(span), span.lower(), []
+    if n == 1:
+        ways.append(one)
+    for text in (low, low.translate(str.maketrans("013457@$!", "oieastasi"))):
+        if 3 <= n <= 14 and text in rank:
+            ways.append(math.log10(rank[text] + 1) + 0.5 * (text != span))
+    if n >= 2 and len(set(span)) == 1:
+        ways.append(one + math.log10(n))
+    for size in range(2, 9):
+        if n >= 2 * size and n % size == 0 and span == span[:size] * (n // size):
+            ways.append(size * one + math.log10(n // size))
+    if re.fullmatch(r"(19|20)\d\d", span):
+        ways.append(math.log10(120))
+    rows = ["`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz"]
+    steps = [(a, b) for a, b in zip(low, low[1:])]
+    if n >= 3 and all(any(a + b in r or b + a in r for r in rows) for a, b in steps):
+        ways_of = [a < b for a, b in steps]
+        ways.append(math.log10(47 * n) + 0.6 * (1 + sum(x != y for x, y in zip(ways_of, ways_of[1:]))))
+    return min(ways, default=math.inf)
+
+
+@pytest.mark.parametrize("value", ["xpassword7", "aaab1212", "qwert!2019", "P4ssw0rdAb", "abcabc7zz", "dragon1999", "zxcasdqwe1", "x9$Lq2!vB", "1234321aa", "adminadmin"])
+def test_guess_cost_is_the_cheapest_of_all_segmentations(value, monkeypatch):
+    monkeypatch.setattr(secret_scan, "wordly", lambda run: False)
+    n = len(value)
+    price = {(i, j): plain_price(value[i:j], value, secret_scan.RANK) for i in range(n) for j in range(i + 1, n + 1)}
+    cheapest = math.inf
+    for cuts in range(2 ** (n - 1)):
+        ends = [0, *(k + 1 for k in range(n - 1) if cuts >> k & 1), n]
+        cheapest = min(cheapest, sum(price[a, b] for a, b in zip(ends, ends[1:])))
+    assert secret_scan.guess_cost(value) == pytest.approx(cheapest)
+
+
+def test_words_are_ranked_by_the_corpus(spark):
+    docs = spark.createDataFrame([(i, f"Zyrtqwx zyrtqwx common{' rarely' if i < 2 else ''} é{i}") for i in range(5)] + [(9, None)], "doc_id long, text string").repartition(3)
+    rank = secret_scan.ranked_words(docs)
+    assert rank["zyrtqwx"] > len(secret_scan.RANK) and rank["common"] < rank["zyrtqwx"] and "rarely" not in rank and rank["password"] == 1
+    assert secret_scan.guess_cost("zyrtqwx", rank) < 3 < secret_scan.guess_cost("zyrtqwx")
+    assert len(secret_scan.ranked_words(docs, most=1)) == len(secret_scan.RANK) + 1
+    value = "Kq9#vT2!mZ"
+    found = {r.doc_id: r for r in secret_scan.scan(spark.createDataFrame([(1, f"pwd: {value}"), (2, "pwd: none of it")], "doc_id long, text string")).collect()}
+    assert found[1].spans == "guess:5:15" and found[1].guess_costs == [round(secret_scan.guess_cost(value), 3)] and found[2].n_guess == 0
+
+
+@pytest.mark.parametrize("hosts", [20, 200])
+def test_registered_limits_remove_a_line_in_a_tenth_of_a_hosts_documents(spark, hosts):
+    """At a host of 50 and of 500 distinct texts, with the registered values; a line in two documents stays."""
+    n = 50 if hosts == 20 else 500
+    def letters(i):
+        return "".join(chr(97 + int(d)) for d in str(i))
+    docs = [(i, f"own words {' '.join(letters(i) + c for c in 'abcdefghijk')}" + ("\nSubscribe to our letter today" if i % 10 == 0 else "") + ("\nSeen here and there only" if i < 2 else ""), "h") for i in range(n)]
+    got = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()}
+    assert all(got[i].n_removed_words == (5 if i % 10 == 0 else 0) and got[i].kept for i in range(n))
