@@ -18,16 +18,12 @@ def normalise_operator(c: Column) -> Column:
     return F.upper(F.trim(c))
 
 
-def normalise_direction(c: Column) -> Column:
-    return F.lower(F.trim(F.coalesce(c, F.lit("asc"))))
-
-
 def csv_of_sorted(values: Column) -> Column:
     """Array → sorted items joined with commas."""
     return F.concat_ws(",", F.sort_array(values))
 
 
-#: A warehouse-safe name: these replacements in order, then lower case.
+# A warehouse-safe name: these replacements in order, then lower case.
 NAME_RULES = [(r"^\s+|\s+$", ""), ("[^A-Za-z0-9_]", "_"), ("^$", "col"), ("^(?=[0-9])", "attr_")]
 
 
@@ -49,10 +45,6 @@ def report_table_name(report_id: Column) -> Column:
     return F.concat(F.lit("report_"), report_id.cast("string"))
 
 
-def attribute_column_name(attribute_id: Column, prefix: str = "attr_") -> Column:
-    return F.concat(F.lit(prefix), attribute_id.cast("string"))
-
-
 def first_present(*cols: Column) -> Column:
     """First value that is neither null nor empty text."""
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in cols])

@@ -9,11 +9,15 @@ five definition tables (old child rows of edited reports are replaced).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+import operator
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sectora.operators.predicates import OPERATORS
 from sectora.schemas import REQUEST_BODY
+from sectora.sinks import versions
 
 # Accepted sort directions.
 DIRECTIONS = ("asc", "desc")
@@ -108,15 +112,6 @@ def flatten_sorts(parsed: DataFrame) -> DataFrame:
 ERROR_COLUMNS = ["request_id", "org_id", "stage", "pos", "step", "attr_pos", "message"]
 
 
-def _err(df: DataFrame, stage: int, pos: Column | int, step: int, attr_pos: Column | int, message: Column) -> DataFrame:
-    def c(v):
-        return v if isinstance(v, Column) else F.lit(v)
-    return df.select(
-        "request_id", "org_id", F.lit(stage).alias("stage"), c(pos).cast("int").alias("pos"), F.lit(step).alias("step"),
-        c(attr_pos).cast("int").alias("attr_pos"), message.alias("message"),
-    )
-
-
 def _kind(body: Column, key: str) -> Column:
     """JSON type of a member (``ARRAY<...>``, ``OBJECT<...>``, ``STRING``, ``VOID`` for null ...); null if it is missing."""
     return F.schema_of_variant(F.try_variant_get(F.try_parse_json(body), f"$.{key}", "variant"))
@@ -142,133 +137,128 @@ def _shown(c: Column) -> Column:
     return F.coalesce(c, F.lit("None"))
 
 
-def catalog_keys(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid ``(org_id, section_id)`` and ``(org_id, section_id, attribute_id)`` from the catalog."""
-    keys = catalog.where(F.col("section_id").isNotNull() & F.col("org_id").isNotNull()).select(
-        "org_id", "section_id", "attribute_id"
-    )
-    return keys.select("org_id", "section_id").distinct(), keys.where(F.col("attribute_id").isNotNull()).distinct()
+def catalog_sections(catalog: DataFrame) -> DataFrame:
+    """``org_id, sid, ids``: the sections of each tenant, as text, with the ids of their attributes."""
+    keys = catalog.where(F.col("section_id").isNotNull() & F.col("org_id").isNotNull())
+    return keys.groupBy("org_id", F.col("section_id").cast("string").alias("sid")).agg(F.collect_set(F.col("attribute_id").cast("string")).alias("ids"))
 
 
-def _raw_items(parsed: DataFrame, key: str) -> DataFrame:
-    """Items of a list as raw JSON maps, to tell a missing key from a null value."""
-    texts = F.from_json(F.get_json_object("body", f"$.{key}"), "array<string>")
-    return parsed.where(_is_list(F.col("body"), key)).select("request_id", "org_id", F.posexplode(texts).alias("pos", "text")).select(
-        # an item that is no object has no members
-        "request_id", "org_id", "pos", F.coalesce(F.from_json("text", "map<string,string>"), F.create_map().cast("map<string,string>")).alias("m"),
-    )
+#: A piece of a request to check: an item of a list, an attribute of a config item, or the request as a whole.
+_ITEM = "struct<stage:int,pos:int,attr_pos:int,sid:string,aid:string,m:map<string,string>,step:int,message:string>"
 
 
-def _checked_items(parsed: DataFrame, key: str, sections_ok: DataFrame, attrs_ok: DataFrame) -> DataFrame:
-    """Raw items of one list with catalog flags: ``sec_ok`` and ``attr_ok`` (one pass, two left joins)."""
-    items = _raw_items(parsed, key).select(
-        "request_id", "org_id", "pos", "m",
-        F.col("m")["sectionId"].alias("sid"), F.col("m")["attributeId"].alias("aid"),
-        F.col("m")["sectionId"].try_cast("long").alias("section_id"),
-        F.col("m")["attributeId"].try_cast("long").alias("attribute_id"),
-    )
-    return (
-        items.join(sections_ok.withColumn("sec_ok", F.lit(True)), ["org_id", "section_id"], "left")
-        .join(attrs_ok.withColumn("attr_ok", F.lit(True)), ["org_id", "section_id", "attribute_id"], "left")
-        # ids are compared as text: 01 is not 1
-        .withColumn("sec_ok", F.coalesce(F.col("sec_ok") & (F.col("sid") == F.col("section_id").cast("string")), F.lit(False)))
-        .withColumn("attr_ok", F.coalesce(F.col("sec_ok") & F.col("attr_ok") & (F.col("aid") == F.col("attribute_id").cast("string")), F.lit(False)))
+def _item(stage: int, pos: Column, attr_pos: Column | None = None, sid: Column | None = None, aid: Column | None = None, m: Column | None = None,
+          step: int | None = None, message: str | None = None) -> Column:
+    none = F.lit(None)
+    return F.struct(
+        F.lit(stage).alias("stage"), pos.cast("int").alias("pos"), (none if attr_pos is None else attr_pos).cast("int").alias("attr_pos"),
+        (none if sid is None else sid).cast("string").alias("sid"), (none if aid is None else aid).cast("string").alias("aid"),
+        (none if m is None else m).cast("map<string,string>").alias("m"), F.lit(step).cast("int").alias("step"), F.lit(message).cast("string").alias("message"),
     )
 
 
-def _explode_errors(df: DataFrame, stage: int, checks: list[tuple[int, Column, Column]], attr_pos: Column | None = None) -> DataFrame:
-    """One row per failed check: ``checks`` are ``(step, failed, message)``."""
-    candidates = F.array(*[
-        F.when(failed, F.struct(F.lit(step).alias("step"), msg.alias("message"))) for step, failed, msg in checks
-    ])
-    return df.select(
-        "request_id", "org_id", F.lit(stage).alias("stage"), F.col("pos").cast("int").alias("pos"),
-        (attr_pos if attr_pos is not None else F.lit(0)).cast("int").alias("attr_pos"),
-        F.explode(F.filter(candidates, lambda x: x.isNotNull())).alias("e"),
-    ).select("request_id", "org_id", "stage", "pos", F.col("e.step").alias("step"), "attr_pos", F.col("e.message").alias("message"))
+def _list_items(key: str, stage: int) -> Column:
+    """Items of a list as raw JSON maps, to tell a missing key from a null value; an item that is no object has no members."""
+    texts = F.when(_is_list(F.col("body"), key), F.from_json(F.get_json_object("body", f"$.{key}"), "array<string>"))
+
+    def item(text: Column, pos: Column) -> Column:
+        m = F.coalesce(F.from_json(text, "map<string,string>"), F.create_map().cast("map<string,string>"))
+        return _item(stage, pos, sid=m["sectionId"], aid=m["attributeId"], m=m)
+
+    return F.coalesce(F.transform(texts, item), F.array().cast(f"array<{_ITEM}>"))
+
+
+def _attribute_items() -> Column:
+    """One item for each attribute id of a config item that names a section."""
+    def of(item: Column, pos: Column) -> Column:
+        ids = F.when(item["sectionId"].isNotNull(), item["attributeIds"])
+        return F.coalesce(F.transform(ids, lambda a, at: _item(2, pos, at, item["sectionId"], a)), F.array().cast(f"array<{_ITEM}>"))
+
+    return F.coalesce(F.flatten(F.transform("doc.config", of)), F.array().cast(f"array<{_ITEM}>"))
+
+
+def _shape_items(body: Column) -> Column:
+    """The failed checks of the request as a whole; they bring their message along."""
+    checks = [
+        (0, F.coalesce(F.col("doc.name"), F.lit("")) == "", "name is required"),
+        (1, ~_is_list_or_missing(body, "config"), "config must be a list"),
+        (2, ~_is_list_or_missing(body, "filters"), "filters must be a list"),
+        (3, ~_is_list_or_missing(body, "sorts"), "sorts must be a list"),
+    ]
+    return F.filter(F.array(*[F.when(failed, _item(0, F.lit(0), step=step, message=text)) for step, failed, text in checks]), lambda x: x.isNotNull())
+
+
+def _failed_checks(org: Column) -> Column:
+    """``array<struct<step, message>>`` of an item with ``sec_ok`` and ``attr_ok``, by its stage."""
+    m, sid, aid, sec_ok, attr_ok = (F.col(c) for c in ("m", "sid", "aid", "sec_ok", "attr_ok"))
+    said_sid, said_aid = _shown(sid), _shown(aid)
+
+    def has(*keys: str) -> Column:
+        return functools.reduce(operator.and_, [F.map_contains_key(m, k) for k in keys])
+
+    def checks(*steps: tuple[int, Column, Column]) -> Column:
+        return F.array(*[F.when(failed, F.struct(F.lit(step).alias("step"), message.alias("message"))) for step, failed, message in steps])
+
+    def of_list(label: str, keys: tuple[str, ...], missing: str, *more: tuple[Column, Column]) -> Column:
+        return checks(
+            (0, ~has(*keys), F.lit(missing)),
+            (1, has(*keys) & ~sec_ok, F.concat(F.lit(f"Invalid {label} sectionId for org_id "), org, F.lit(": "), said_sid)),
+            (2, has(*keys) & ~attr_ok,
+             F.concat(F.lit(f"Invalid {label} attributeId "), said_aid, F.lit(" for sectionId "), said_sid, F.lit(" and org_id "), org)),
+            *[(3 + k, has(*keys) & failed, message) for k, (failed, message) in enumerate(more)],
+        )
+
+    op = F.trim(_shown(m["operator"]))
+    # a member that is there with null isn't left out
+    direction = F.when(has("direction"), F.lower(_shown(m["direction"]))).otherwise("asc")
+    order = m["sortOrder"]
+    # The messages of the source system.
+    of_attribute = checks(
+        (2, ~attr_ok, F.concat(F.lit("Invalid attributeId "), said_aid, F.lit(" for sectionId "), sid, F.lit(" and org_id "), org)))
+    of_config = checks(
+        (0, ~has("sectionId"), F.lit("sectionId is required in each config item")),
+        (1, has("sectionId") & ~sec_ok, F.concat(F.lit("Invalid sectionId for org_id "), org, F.lit(": "), said_sid)))
+    of_filter = of_list(
+        "filter", ("sectionId", "attributeId", "operator"), "Each filter must contain sectionId, attributeId, and operator",
+        (~F.upper(op).isin(list(OPERATORS)), F.concat(F.lit("Invalid filter operator: "), op)))
+    of_sort = of_list(
+        "sort", ("sectionId", "attributeId"), "Each sort must contain sectionId and attributeId",
+        (~direction.isin(list(DIRECTIONS)), F.concat(F.lit("Invalid sort direction: "), direction)),
+        (has("sortOrder") & order.try_cast("int").isNull(), F.concat(F.lit("Invalid sort order: "), _shown(order))))
+    stage = F.col("stage")
+    every = (
+        F.when(stage == 0, F.array(F.struct("step", "message"))).when(F.col("attr_pos").isNotNull(), of_attribute)
+        .when(stage == 2, of_config).when(stage == 3, of_filter).otherwise(of_sort)
+    )
+    return F.filter(every, lambda x: x.isNotNull())
 
 
 def validate_definitions(requests: DataFrame, catalog: DataFrame, reports: DataFrame | None = None) -> DataFrame:
     """All violations of a batch of requests: ``request_id, org_id, stage, pos, step, attr_pos, message``.
 
-    Each list (config, filters, sorts) is exploded once and checked against the tenant's
-    catalog with two left joins; all checks of a stage become rows in one projection.
+    Everything there is to check in a request becomes one stream of tagged items: its failed shape checks, the items of its
+    three lists and the attributes of its config. The stream is joined once to the tenants' sections, each with its
+    attribute ids, and the checks of each item follow in one projection. Items without a section are dealt out by request.
     """
-    parsed = parse_requests(requests)
-    sections_ok, attrs_ok = catalog_keys(catalog)
-    org = F.col("org_id").cast("string")
-    body = F.col("body")
-    shape = parsed.withColumn("pos", F.lit(0))
-    errors = [_explode_errors(shape, 0, [
-        (0, F.coalesce(F.col("doc.name"), F.lit("")) == "", F.lit("name is required")),
-        (1, ~_is_list_or_missing(body, "config"), F.lit("config must be a list")),
-        (2, ~_is_list_or_missing(body, "filters"), F.lit("filters must be a list")),
-        (3, ~_is_list_or_missing(body, "sorts"), F.lit("sorts must be a list")),
-    ])]
-    if reports is not None:
-        edits = requests.where(F.col("report_id").isNotNull())
-        missing = edits.join(reports.select("report_id", "org_id"), ["report_id", "org_id"], "left_anti")
-        errors.append(_err(missing, 1, 0, 0, 0, F.concat(
-            F.lit("Report "), F.col("report_id").cast("string"), F.lit(" not found for org_id "), org)))
-
-    # config items: section present and known
-    cfg = _checked_items(parsed, "config", sections_ok, attrs_ok)
-    has_sid = F.map_contains_key("m", "sectionId")
-    errors.append(_explode_errors(cfg, 2, [
-        (0, ~has_sid, F.lit("sectionId is required in each config item")),
-        (1, has_sid & ~F.col("sec_ok"),
-         F.concat(F.lit("Invalid sectionId for org_id "), org, F.lit(": "), _shown(F.col("sid")))),
-    ]))
-    # config attributes
-    attrs = (
-        parsed.select("request_id", "org_id", F.posexplode("doc.config").alias("pos", "item"))
-        .where(F.col("item.attributeIds").isNotNull())
-        .select("request_id", "org_id", "pos", F.col("item.sectionId").alias("sid"),
-                F.posexplode("item.attributeIds").alias("attr_pos", "aid"))
-        .withColumn("section_id", F.col("sid").try_cast("long"))
-        .withColumn("attribute_id", F.col("aid").try_cast("long"))
-    )
-    known = attrs_ok.withColumn("known", F.concat_ws(" ", "section_id", "attribute_id"))
-    bad_attr = attrs.where("sid is not null").join(known, ["org_id", "section_id", "attribute_id"], "left").where(
-        ~F.col("known").eqNullSafe(F.concat_ws(" ", "sid", "aid")))
-    errors.append(_err(bad_attr, 2, F.col("pos"), 2, F.col("attr_pos"), F.concat(
-        F.lit("Invalid attributeId "), _shown(F.col("aid")), F.lit(" for sectionId "), F.col("sid"),
-        F.lit(" and org_id "), org)))
-
-    def item_checks(key: str, stage: int, required: list[str], missing_msg: str, label: str, last: list[tuple[Column, Column]]):
-        items = _checked_items(parsed, key, sections_ok, attrs_ok)
-        has_all = F.lit(True)
-        for k in required:
-            has_all = has_all & F.map_contains_key("m", k)
-        return _explode_errors(items, stage, [
-            (0, ~has_all, F.lit(missing_msg)),
-            (1, has_all & ~F.col("sec_ok"),
-             F.concat(F.lit(f"Invalid {label} sectionId for org_id "), org, F.lit(": "), _shown(F.col("sid")))),
-            (2, has_all & ~F.col("attr_ok"),
-             F.concat(F.lit(f"Invalid {label} attributeId "), _shown(F.col("aid")), F.lit(" for sectionId "),
-                      _shown(F.col("sid")), F.lit(" and org_id "), org)),
-            *[(3 + k, has_all & failed, message) for k, (failed, message) in enumerate(last)],
-        ])
-
-    op = F.trim(_shown(F.col("m")["operator"]))
-    errors.append(item_checks(
-        "filters", 3, ["sectionId", "attributeId", "operator"],
-        "Each filter must contain sectionId, attributeId, and operator", "filter",
-        [(~F.upper(op).isin(list(OPERATORS)), F.concat(F.lit("Invalid filter operator: "), op))],
-    ))
-    # a member that is there with null isn't left out
-    direction = F.when(F.map_contains_key("m", "direction"), F.lower(_shown(F.col("m")["direction"]))).otherwise("asc")
-    order = F.col("m")["sortOrder"]
-    errors.append(item_checks(
-        "sorts", 4, ["sectionId", "attributeId"], "Each sort must contain sectionId and attributeId", "sort",
-        [(~direction.isin(list(DIRECTIONS)), F.concat(F.lit("Invalid sort direction: "), direction)),
-         (F.map_contains_key("m", "sortOrder") & order.try_cast("int").isNull(), F.concat(F.lit("Invalid sort order: "), _shown(order)))],
-    ))
-
-    out = errors[0]
-    for e in errors[1:]:
-        out = out.unionByName(e)
-    return out
+    body, org = F.col("body"), F.col("org_id").cast("string")
+    items = F.concat(_shape_items(body), _list_items("config", 2), _attribute_items(), _list_items("filters", 3), _list_items("sorts", 4))
+    stream = parse_requests(requests).select("request_id", "org_id", F.explode(items).alias("x")).select("request_id", "org_id", "x.*")
+    # ids are compared as text: 01 is not 1; a section id can't begin with a blank
+    stream = stream.withColumn("key", F.coalesce("sid", F.concat(F.lit(" "), F.col("request_id").cast("string"))))
+    known = catalog_sections(catalog).withColumnRenamed("sid", "key")
+    checked = stream.join(known, ["org_id", "key"], "left").withColumns({
+        "sec_ok": F.col("ids").isNotNull(), "attr_ok": F.coalesce(F.array_contains("ids", F.col("aid")), F.lit(False)),
+    })
+    errors = checked.select("request_id", "org_id", "stage", "pos", F.coalesce("attr_pos", F.lit(0)).alias("attr_pos"), F.explode(_failed_checks(org)).alias("e"))
+    errors = errors.select("request_id", "org_id", "stage", "pos", "e.step", "attr_pos", "e.message")
+    if reports is None:
+        return errors
+    edits = requests.where(F.col("report_id").isNotNull()).select("request_id", "org_id", "report_id")
+    missing = edits.join(reports.select("report_id", "org_id"), ["report_id", "org_id"], "left_anti")
+    text = F.concat(F.lit("Report "), F.col("report_id").cast("string"), F.lit(" not found for org_id "), org)
+    zero = F.lit(0)
+    return errors.unionByName(missing.select(
+        "request_id", "org_id", F.lit(1).alias("stage"), zero.alias("pos"), zero.alias("step"), zero.alias("attr_pos"), text.alias("message")))
 
 
 def first_error(errors: DataFrame) -> DataFrame:
@@ -283,6 +273,41 @@ def first_error(errors: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+def allocate_ids(requests: DataFrame, reports: DataFrame, now: Column, bits: int = 63) -> DataFrame:
+    """``request_id, org_id, report_id``: a new id for each request that creates a report, unique and unlike any stored one.
+
+    An id is a hash of organisation, request, time and round below 2^``bits``. Of the requests that get one id the smallest keeps it,
+    unless it is stored already; the others are hashed again until none is left. The same input gives the same ids.
+    """
+    left = requests.where(F.col("report_id").isNull()).select("request_id", "org_id").distinct().checkpoint()
+    taken, done, again = reports.select("report_id").distinct(), [], 0
+    while not left.isEmpty():
+        hashed = left.withColumn("report_id", F.pmod(F.xxhash64("org_id", "request_id", now, F.lit(again)), F.lit(2**bits - 1)) + 1)
+        won = hashed.groupBy("report_id").agg(F.min(F.struct("org_id", "request_id")).alias("w")).join(taken, "report_id", "left_anti")
+        won = won.select("w.request_id", "w.org_id", "report_id").checkpoint()
+        done.append(won)
+        taken = taken.unionByName(won.select("report_id"))
+        left = left.join(won, ["request_id", "org_id"], "left_anti").checkpoint()
+        again += 1
+    return functools.reduce(DataFrame.unionByName, done) if done else left.withColumn("report_id", F.lit(None).cast("long"))
+
+
+def save_definitions(
+    spark: SparkSession, base: str, requests: DataFrame, catalog: DataFrame, now: Column, new_id: Column | None = None
+) -> tuple[versions.Version, DataFrame]:
+    """Validate a batch of requests and apply the valid ones to the definition tables under ``base``, all five in one commit.
+
+    Returns the new version and each refused request's first error. A failure before the commit leaves the old version; another writer's
+    commit in between raises ``versions.Conflict``, and the batch can be applied again to the version it finds then.
+    """
+    before = versions.current(spark, base)
+    state = versions.read(spark, base, before)
+    errors = validate_definitions(requests, catalog, state["reports"]).checkpoint()
+    after = apply_definitions(state, requests, errors, now, new_id)
+    staged = {name: versions.stage(df, base, name) for name, df in after.items()}
+    return versions.commit(spark, base, before, staged), first_error(errors)
+
+
 def apply_definitions(
     state: dict[str, DataFrame],
     requests: DataFrame,
@@ -292,13 +317,16 @@ def apply_definitions(
 ) -> dict[str, DataFrame]:
     """New snapshots of the five tables after applying the batch's valid requests.
 
-    Creates get ``new_id`` (default: a hash of org, request and time) and status ``created``;
+    Creates get ``new_id`` (default: ``allocate_ids``) and status ``created``;
     edits replace name, description, status (``created``) and ``updated_at`` of their report and
     all its child rows. When several requests of a batch edit one report the latest request wins.
     """
-    rid = new_id if new_id is not None else F.abs(F.xxhash64("org_id", "request_id", now))
     valid = requests.join(errors.select("request_id").distinct(), "request_id", "left_anti")
-    valid = valid.withColumn("target_id", F.coalesce(F.col("report_id"), rid))
+    if new_id is None:
+        ids = allocate_ids(valid, state["reports"], now).withColumnRenamed("report_id", "_new")
+        valid = valid.join(ids, ["request_id", "org_id"], "left")
+        new_id = F.col("_new")
+    valid = valid.withColumn("target_id", F.coalesce(F.col("report_id"), new_id)).drop("_new")
     latest = valid.groupBy("target_id", "org_id").agg(F.max("request_id").alias("request_id"))
     # The valid batch feeds five outputs: checkpoint it (reliably, in spark.checkpoint.dir) so
     # validation runs once and a lost executor does not replay it.

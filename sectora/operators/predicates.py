@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sectora.functions import text
+
 # Operators accepted when a definition is saved, and operators a build
 # understands. Both sets are supported by ``predicate``.
 SAVE_OPERATORS = ("=", "!=", ">", "<", ">=", "<=", "LIKE", "IN")
@@ -95,6 +97,22 @@ def predicate_text(name: str, operator: str, value: str) -> str | None:
     return _meaning(operator)[1](name, str(value).strip())
 
 
+def predicate_column(name: Column, operator: Column, value: Column) -> Column:
+    """``predicate_text`` for filters stored in a table; null where a filter constrains nothing or its operator is unknown."""
+    def quoted_column(c: Column) -> Column:
+        return F.concat(F.lit("'"), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("''")), F.lit("'"))
+
+    op_name, v = text.normalise_operator(operator), F.trim(value)
+    items = text.split_csv(v)
+    sign = F.when(op_name == "!=", F.lit("<>")).otherwise(op_name)
+    pattern = F.concat(F.lit("%"), F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit("%"))
+    return (
+        F.when(op_name == "IN", F.when(F.size(items) > 0, F.concat(name, F.lit(" IN ("), F.array_join(F.transform(items, quoted_column), ", "), F.lit(")"))))
+        .when(op_name == "CONTAINS", F.concat(name, F.lit(" ILIKE "), quoted_column(pattern)))
+        .when(op_name.isin(*OPERATORS), F.concat(name, F.lit(" "), sign, F.lit(" "), quoted_column(v)))
+    )
+
+
 def report_filter(filters: Iterable[Filter], columns: Mapping[tuple[int, int], str]) -> tuple[Column, list[Filter]]:
     """AND of all applicable filters.
 

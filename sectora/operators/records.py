@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sectora.operators.joins import lookup_join
 from sectora.sources.eav import Eav
 
 
@@ -34,15 +35,12 @@ def for_section(df: DataFrame, org_id: int, section_id: int) -> DataFrame:
 def section_context(eav: Eav) -> DataFrame:
     """Active records of active sections: ``record_id, org_id, section_id, section_name, provider_id``.
 
-    The section dimension is small; the optimizer broadcasts it when its size estimate is
-    under the broadcast threshold and falls back to a shuffle join otherwise.
+    Records stay where they are while the sections are under the broadcast threshold; beyond it the records of
+    large sections are salted (``lookup_join``).
     """
     sections = active_sections(eav.sections).select("section_id", "section_name")
-    return (
-        active_records(eav.records)
-        .join(sections, "section_id", "inner")
-        .select("record_id", "org_id", "section_id", "section_name", "provider_id")
-    )
+    joined = lookup_join(active_records(eav.records), sections, ["section_id"], tiebreak=["record_id"])
+    return joined.select("record_id", "org_id", "section_id", "section_name", "provider_id")
 
 
 def values_with_context(eav: Eav, context: DataFrame | None = None) -> DataFrame:

@@ -8,9 +8,12 @@ null-extended rows, which lets the optimizer turn that join into an inner join.
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
 import itertools
+import operator
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -19,26 +22,27 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sectora.operators.joins import skew_join
-from sectora.operators.predicates import UnsupportedOperator, report_filter
+from sectora.operators import runs as run_log
+from sectora.functions.text import normalise_operator as normalise_operator_column
+from sectora.operators.predicates import OPERATORS, UnsupportedOperator, predicate, predicate_column, report_filter
 from sectora.operators.records import for_org, for_section
-from sectora.operators.sections import attr_col, hot_providers
+from sectora.operators.sections import SectionStore, hot_providers
 from sectora.plans.report_plan import DefinitionError, ReportPlan, Sort
 
 DEFAULT_LIMIT = 100
-#: Reports planned at a time, and built at a time, by a rebuild.
-PAGE, BUILDERS = 200, 4
+#: Of a rebuild: reports planned at a time, built at a time, and built before their outcomes are logged.
+PAGE, BUILDERS, LOGGED = 200, 4, 16
 
 
-def section_frame(records: DataFrame, plan: ReportPlan, section_id: int, attribute_ids: Sequence[int]) -> DataFrame:
+def section_frame(records: DataFrame, plan: ReportPlan, section_id: int, columns: dict[int, Column]) -> DataFrame:
     """One section of a report: provider, a record tag and attributes named by section and id."""
     return for_section(records, plan.org_id, section_id).select(
-        "provider_id", F.col("record_id").alias(f"_r{section_id}"),
-        *[attr_col(a, f"s{section_id}_a") for a in dict.fromkeys(attribute_ids)],
+        "provider_id", F.col("record_id").alias(f"_record_{section_id}"), *[c.alias(f"s{section_id}_a{a}") for a, c in columns.items()]
     )
 
 
 def build_report(
-    records: DataFrame,
+    records: DataFrame | SectionStore,
     plan: ReportPlan,
     *,
     hot: DataFrame | None = None,
@@ -47,11 +51,13 @@ def build_report(
 ) -> DataFrame:
     """Definition → joined, filtered, projected DataFrame (lazy).
 
-    ``records`` is ``section_records`` (ideally a snapshot partitioned by org and section, so each section frame
-    reads only its partition). ``hot`` is the snapshot's ``hot_providers`` table; without it the counts are part of the plan. Columns keep
+    ``records`` is a ``SectionStore``, where a report's attributes are Parquet columns and its filters reach the scan, or a
+    ``section_records`` table of maps. Each section is filtered before it is joined; a section with filters is joined inner, as
+    its filters would drop the rows that a left join extends with nulls. ``hot`` is the snapshot's ``hot_providers`` table; without
+    it the counts are part of the plan. Columns keep
     their section until the final projection, so the same attribute id in two sections is never confused; selecting
-    it twice is refused. With ``keep_sort_keys`` sort attributes that the report doesn't show stay as
-    ``_sort_<section>_<id>`` columns, which ``read_report`` uses and drops.
+    it twice is refused. With ``keep_sort_keys`` the row's address (``_record_<section>``) and the sort attributes that the report
+    doesn't show (``_sort_<section>_<id>``) stay, which ``read_report`` uses and drops.
     """
     if not plan.sections:
         raise DefinitionError(f"No config found for reportId {plan.report_id}")
@@ -59,25 +65,39 @@ def build_report(
         raise DefinitionError(f"reportId {plan.report_id} selects an attribute in several sections")
     shown = [(s, a) for s, attrs in plan.sections for a in attrs]
     order = [s for s, _ in plan.sections]
-    tests = [(f.section_id, f.attribute_id) for f in plan.filters if f.value is not None and f.section_id in order]
+    applied = [f for f in plan.filters if f not in ignored_filters(plan)]
+    tests = [(f.section_id, f.attribute_id) for f in applied]
     sorts = [(s.section_id, s.attribute_id) for s in plan.sorts if s.section_id in order]
     hidden = [k for k in dict.fromkeys(sorts) if keep_sort_keys and k not in shown]
-    needed = {s: [a for t, a in [*shown, *tests, *hidden] if t == s] for s in order}
+    needed = {s: list(dict.fromkeys(a for t, a in [*shown, *tests, *hidden] if t == s)) for s in order}
+    names = {(s, a): f"s{s}_a{a}" for s, attrs in needed.items() for a in attrs}
+    if isinstance(records, SectionStore):
+        columns, records = records.columns(plan.org_id, names), records.records
+    else:
+        columns = {(s, a): F.try_element_at("attrs", F.lit(str(a))) for s, a in names}
+
+    def frame(section_id: int) -> tuple[DataFrame, bool]:
+        """A section's rows that pass its own filters, and whether it has any."""
+        own = [f for f in applied if f.section_id == section_id]
+        pred, _ = report_filter(own, names)
+        df = section_frame(records, plan, section_id, {a: columns[section_id, a] for a in needed[section_id]})
+        limits = any(predicate(F.lit(None), f.operator, f.value) is not None for f in own)
+        return (df.where(pred) if limits else df), limits
 
-    result, before = section_frame(records, plan, order[0], needed[order[0]]), [order[0]]
+    result, before = frame(order[0])[0], [order[0]]
     if hot is None and len(order) > 1:
         hot = provider_counts(records, plan.org_id, order, rows_per_task)
     for section_id in order[1:]:
-        right = section_frame(records, plan, section_id, needed[section_id])
+        right, limits = frame(section_id)
         result = skew_join(
-            result, right, "provider_id", "left", hot=join_counts(for_org(hot, plan.org_id), before, section_id), rows_per_task=rows_per_task,
-            left_tiebreak=[f"_r{s}" for s in before], right_tiebreak=[f"_r{section_id}"],
+            result, right, "provider_id", "inner" if limits else "left", hot=join_counts(for_org(hot, plan.org_id), before, section_id),
+            rows_per_task=rows_per_task, left_tiebreak=[f"_record_{s}" for s in before], right_tiebreak=[f"_record_{section_id}"],
         )
         before.append(section_id)
-    pred, _ignored = report_filter(plan.filters, {(s, a): f"s{s}_a{a}" for s, attrs in needed.items() for a in attrs})
-    return result.where(pred).select(
-        "provider_id", *[F.col(f"s{s}_a{a}").alias(f"attr_{a}") for s, a in shown], *[F.col(f"s{s}_a{a}").alias(f"_sort_{s}_{a}") for s, a in hidden]
-    )
+    out = ["provider_id", *[F.col(names[k]).alias(f"attr_{k[1]}") for k in shown]]
+    if keep_sort_keys:
+        out += [F.col(names[k]).alias(f"_sort_{k[0]}_{k[1]}") for k in hidden] + [f"_record_{s}" for s in order]
+    return result.select(*out)
 
 
 def provider_counts(records: DataFrame, org_id: int, sections: Sequence[int], rows_per_task: int) -> DataFrame:
@@ -121,19 +141,90 @@ def sort_columns(sorts: Sequence[Sort], available: Sequence[str]) -> list[Column
 
 
 def order_report(df: DataFrame, sorts: Sequence[Sort], total: bool = True) -> DataFrame:
-    """Apply stored sorts; with ``total`` every column is appended as a tie-breaker so that
-    ``limit`` returns the same rows on every run."""
+    """Apply stored sorts; with ``total`` the row's address (the records it is made of) breaks ties, or every column where the
+    report carries no address, so that ``limit`` returns the same rows on every run."""
     keys = sort_columns(sorts, df.columns)
     if total:
-        keys += [F.col(c).asc_nulls_last() for c in df.columns]
+        keys += [F.col(c).asc_nulls_last() for c in address(df) or df.columns]
     return df.orderBy(*keys) if keys else df
 
 
+def address(df: DataFrame) -> list[str]:
+    """The columns that tell a report's rows apart: the record of each section."""
+    return [c for c in df.columns if c.startswith("_record_")]
+
+
+def visible(df: DataFrame) -> DataFrame:
+    """Without hidden sort keys and addresses."""
+    return df.drop(*[c for c in df.columns if c.startswith(("_sort_", "_record_"))])
+
+
 def read_report(snapshot: DataFrame, sorts: Sequence[Sort] = (), limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """First ``limit`` rows of a report in its sort order (a top-k, not a full sort); hidden sort keys go after it."""
+    """First ``limit`` rows of a report in its sort order, in two phases.
+
+    The first finds the addresses of those rows: a top-k over the sort keys and addresses alone, so neither the scan nor the
+    sort carries the report's other columns. The second fetches the rows of these at most ``limit`` addresses, by
+    a filter on the first section's records that reaches the scan. A snapshot without addresses is sorted whole.
+    """
     if int(limit) <= 0:
         raise ValueError("limit must be greater than 0")
-    return order_report(snapshot, sorts).limit(int(limit)).drop(*[c for c in snapshot.columns if c.startswith("_sort_")])
+    at = address(snapshot)
+    if not at:
+        return visible(order_report(snapshot, sorts).limit(int(limit)))
+    top = top_addresses(snapshot, sorts, limit).collect()
+    if not top:
+        return visible(snapshot.limit(0))
+    places = snapshot.sparkSession.createDataFrame(
+        [(k, *r) for k, r in enumerate(top)], ", ".join(["_place long", *(f"{c} long" for c in at)])
+    )
+    rows = snapshot.where(F.col(at[0]).isin(sorted({r[0] for r in top})))
+    match = functools.reduce(operator.and_, [rows[c].eqNullSafe(places[c]) for c in at])
+    # at most ``limit`` places
+    return visible(rows.join(F.broadcast(places), match).select(*[rows[c] for c in snapshot.columns], "_place").orderBy("_place").drop("_place"))
+
+
+def top_addresses(snapshot: DataFrame, sorts: Sequence[Sort], limit: int) -> DataFrame:
+    """Addresses of the first ``limit`` rows in sort order."""
+    at = address(snapshot)
+    keys = [c for s in sorts for c in (f"attr_{s.attribute_id}", f"_sort_{s.section_id}_{s.attribute_id}") if c in snapshot.columns]
+    return order_report(snapshot.select(*dict.fromkeys([*keys, *at])), sorts).limit(int(limit)).select(*at)
+
+
+@dataclass(frozen=True)
+class ReportPage:
+    """What a user gets for a report: its metadata, the number of rows read and the rows."""
+
+    report_id: int
+    name: str
+    description: str | None
+    last_run_date: dt.datetime | None
+    snapshot: str
+    count: int
+    rows: DataFrame
+
+
+def open_report(
+    spark: SparkSession, base_path: str, definitions: dict[str, DataFrame], org_id: int, report_id: int, limit: int = DEFAULT_LIMIT
+) -> ReportPage:
+    """The newest completed snapshot of a tenant's report, looked up in the run log: metadata, count and rows.
+
+    ``LookupError`` if the tenant has no such report, or if no run of it is complete.
+    """
+    from sectora.plans.report_plan import plan_from_tables
+
+    if int(limit) <= 0:
+        raise ValueError("limit must be greater than 0")
+    runs = run_log.read(spark, f"{base_path}/runs")
+    found = report_metadata(run_log.states(for_org(definitions["reports"], org_id), runs), org_id, report_id).collect()
+    if not found:
+        raise LookupError(f"Report not found for reportId={report_id}")
+    path = run_log.snapshot_of(runs, org_id, report_id)
+    if path is None:
+        raise LookupError(f"reportId={report_id} has no completed run")
+    plan = plan_from_tables(definitions, report_id, org_id)
+    rows = read_report(spark.read.parquet(path), plan.sorts, limit)
+    r = found[0]
+    return ReportPage(r.report_id, r.name, r.description, r.last_run_date, path, rows.count(), rows)
 
 
 def result_count(df: DataFrame) -> DataFrame:
@@ -163,70 +254,82 @@ def report_table_name(report_id: int) -> str:
     return f"report_{int(report_id)}"
 
 
-def materialize(df: DataFrame, base_path: str, report_id: int, run_id: str | None = None) -> str:
-    """Write a report snapshot to a new folder and return it.
+def materialize(df: DataFrame, base_path: str, report_id: int, run_id: str | None = None, org_id: int | None = None) -> str:
+    """Write a report snapshot to its run's folder and return it.
 
-    Each run writes ``<base>/report_<id>/run=<run id>``; readers follow the path in the run's
-    outcome row, so a failed or partial write never replaces the last good snapshot.
+    Each run writes ``<base>/[org_<org>/]report_<id>/run=<run id>``; readers follow the path in the run
+    log, so a failed or partial write never replaces the last good snapshot. A run that is tried again replaces its own folder.
     """
-    path = f"{base_path.rstrip('/')}/{report_table_name(report_id)}/run={run_id or uuid.uuid4().hex}"
-    df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
+    tenant = "" if org_id is None else f"/org_{int(org_id)}"
+    path = f"{base_path.rstrip('/')}{tenant}/{report_table_name(report_id)}/run={run_id or uuid.uuid4().hex}"
+    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
     return path
 
 
-@dataclass(frozen=True)
-class BuildOutcome:
-    report_id: int
-    org_id: int
-    status: str
-    snapshot_path: str | None
-    error: str | None
-
-
 def rebuild(
     spark: SparkSession,
-    records: DataFrame,
+    records: DataFrame | SectionStore,
     definitions: dict[str, DataFrame],
     base_path: str,
     report_ids: Sequence[tuple[int, int]] | None = None,
+    *,
+    run_id: str | None = None,
+    clock: Callable[[], dt.datetime] = dt.datetime.now,
     **build_options,
 ) -> DataFrame:
-    """Build every pending report (or the given ``(org_id, report_id)`` pairs).
+    """Build every pending report (or the given ``(org_id, report_id)`` pairs) and log each run under ``<base>/runs``.
 
-    ``records`` should be a written snapshot shared by all builds. A definition that can't be
-    built doesn't stop the others, a failure of the cluster or of storage does; the outcome is one row per report:
-    ``report_id, org_id, status, snapshot_path, error``.
+    ``records`` should be a written store or snapshot shared by all builds. A definition that can't be
+    built doesn't stop the others, a failure of the cluster or of storage does. The log gets a ``running`` row before a report is built
+    and its outcome a few reports at a time, so a driver that dies repeats those few: reports left ``running`` are pending. A
+    report that this ``run_id`` has completed or failed before is not built again, so a replayed run adds nothing. Returns
+    the outcomes of the run: ``report_id, org_id, status, snapshot_path, error``.
     """
-    from sectora.operators.definitions import pending_reports  # local: avoid an import cycle
     from sectora.plans.report_plan import plans_from_tables
 
-    hot = hot_providers(records, build_options.get("rows_per_task", 2_000_000))
+    base_path, log = base_path.rstrip("/"), f"{base_path.rstrip('/')}/runs"
+    run = run_id or uuid.uuid4().hex
+    runs = run_log.read(spark, log)
+    saved = definitions.get("reports")
+    if report_ids is None:
+        todo = run_log.pending(saved, runs).select("org_id", "report_id")
+    else:
+        todo = spark.createDataFrame([(int(o), int(r)) for o, r in report_ids], "org_id long, report_id long").distinct()
+    told = runs.where((F.col("run_id") == run) & F.col("state").isin("completed", "failed")).select("org_id", "report_id")
+    todo = todo.join(told, ["org_id", "report_id"], "left_anti")
+    todo = todo.withColumn("updated_at", F.lit(None).cast("timestamp_ntz")) if saved is None else todo.join(
+        saved.select("org_id", "report_id", "updated_at"), ["org_id", "report_id"], "left"
+    )
+    # written once: the log changes while the list is read
+    todo = todo.orderBy("report_id", "org_id").checkpoint()
+    counts = provider_hot(records, build_options.get("rows_per_task", 2_000_000)) if not todo.isEmpty() else None
 
-    def build(key: tuple[int, int], plan: ReportPlan | DefinitionError) -> BuildOutcome:
+    def build(key: tuple[int, int], plan: ReportPlan | DefinitionError) -> tuple[str, str | None, str | None]:
         org_id, report_id = key
         try:
             if isinstance(plan, DefinitionError):
                 raise plan
-            frame = build_report(records, plan, hot=hot, keep_sort_keys=True, **build_options)
+            frame = build_report(records, plan, hot=counts, keep_sort_keys=True, **build_options)
         except (DefinitionError, UnsupportedOperator, AnalysisException) as exc:  # the definition's fault
-            return BuildOutcome(report_id, org_id, "failed", None, str(exc) or type(exc).__name__)
-        return BuildOutcome(report_id, org_id, "completed", materialize(frame, base_path, report_id), None)
+            return "failed", None, str(exc) or type(exc).__name__
+        return "completed", materialize(frame, base_path, report_id, run, org_id), None
 
-    if report_ids is None:
-        wanted = pending_reports(definitions["reports"]).select("org_id", "report_id").orderBy("report_id", "org_id").toLocalIterator()
-        keys = ((int(r["org_id"]), int(r["report_id"])) for r in wanted)
-    else:
-        keys = iter([(int(o), int(r)) for o, r in report_ids])
-    outcomes = []
-    # pages keep what the driver holds bounded; all pages are built, a few reports at a time
+    keys = ((int(r.org_id), int(r.report_id), r.updated_at) for r in todo.toLocalIterator())
+    # pages bound what the driver holds; all pages are built
     while page := list(itertools.islice(keys, PAGE)):
-        plans = plans_from_tables(definitions, page)
-        with ThreadPoolExecutor(BUILDERS) as pool:
-            outcomes += pool.map(lambda key, plans=plans: build(key, plans[key]), page)
-    return spark.createDataFrame(
-        [(o.report_id, o.org_id, o.status, o.snapshot_path, o.error) for o in outcomes],
-        "report_id long, org_id long, status string, snapshot_path string, error string",
-    )
+        plans = plans_from_tables(definitions, [k[:2] for k in page])
+        run_log.append(spark, log, [(o, r, run, "running", u, clock(), None, None) for o, r, u in page])
+        for at in range(0, len(page), LOGGED):
+            some = page[at : at + LOGGED]
+            with ThreadPoolExecutor(BUILDERS) as pool:
+                outcomes = list(pool.map(lambda k, plans=plans: build(k[:2], plans[k[:2]]), some))
+            run_log.append(spark, log, [(o, r, run, state, u, clock(), path, error) for (o, r, u), (state, path, error) in zip(some, outcomes, strict=True)])
+    ended = run_log.read(spark, log).where((F.col("run_id") == run) & F.col("state").isin("completed", "failed"))
+    return ended.select("report_id", "org_id", F.col("state").alias("status"), F.col("path").alias("snapshot_path"), "error")
+
+
+def provider_hot(records: DataFrame | SectionStore, rows_per_task: int) -> DataFrame:
+    return hot_providers(records.records if isinstance(records, SectionStore) else records, rows_per_task)
 
 
 def report_attribute_order(attrs: DataFrame) -> DataFrame:
@@ -253,19 +356,40 @@ def report_section_groups(attrs: DataFrame) -> DataFrame:
     )
 
 
-def query_texts(spark: SparkSession, definitions: dict[str, DataFrame], org_id: int) -> DataFrame:
-    """SQL text of every report of an org, or why it has none; one read of each definition table."""
-    from sectora.plans.report_plan import plans_from_tables, render_sql
+def query_texts(definitions: dict[str, DataFrame]) -> DataFrame:
+    """``report_id, org_id, query``: the SQL text of every report, or why it has none; one job for all reports.
 
-    ids = [r["report_id"] for r in definitions["reports"].where(F.col("org_id") == F.lit(int(org_id)))
-           .select("report_id").orderBy("report_id").collect()]
-    plans = plans_from_tables(definitions, [(org_id, r) for r in ids]) if ids else {}
-    rows = []
-    for (_, report_id), plan in sorted(plans.items()):
-        try:
-            if isinstance(plan, DefinitionError):
-                raise plan
-            rows.append((report_id, render_sql(plan)))
-        except (DefinitionError, UnsupportedOperator) as exc:
-            rows.append((report_id, f"-- {exc}"))
-    return spark.createDataFrame(rows, "report_id long, query string")
+    The text is that of ``plans.render_sql``: a CTE for each section, outer joins by provider, the build's predicates in the order of
+    section, attribute, operator and value.
+    """
+    key = ["report_id", "org_id"]
+    attrs = definitions["report_section_attributes"].select(*key, "section_id", "attribute_id").distinct()
+    own = attrs.select(*key, "section_id").distinct()
+    tests = definitions["report_filters"].where("value is not null").join(own, [*key, "section_id"], "left_semi")
+    name = F.concat(F.lit("s"), F.col("section_id"), F.lit("_a"), F.col("attribute_id"))
+    tests = tests.withColumn("text", predicate_column(name, F.col("operator"), F.col("value")))
+    first = F.struct("section_id", "attribute_id", "operator", "value")
+    wrong = tests.withColumn("op", normalise_operator_column("operator")).where(~F.col("op").isin(*OPERATORS))
+    wrong = wrong.groupBy(*key).agg(F.min_by(F.concat(F.lit("-- Unsupported operator: "), "op"), first).alias("wrong"))
+    where = tests.where("text is not null").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(first.alias("at"), "text"))).alias("tests"))
+    where = where.select(*key, F.array_join(F.transform("tests", lambda t: t["text"]), " AND ").alias("tests"))
+    # what a section's CTE selects: shown attributes first, then those that are only tested
+    columns = attrs.withColumn("rank", F.lit(0)).unionByName(tests.select(*key, "section_id", "attribute_id").withColumn("rank", F.lit(1)))
+    columns = columns.groupBy(*key, "section_id", "attribute_id").agg(F.min("rank").alias("rank"))
+    inner = F.concat(F.lit(", attr_"), F.col("attribute_id"), F.lit(" AS "), name)
+    shown = F.when(F.col("rank") == 0, F.concat(F.lit(", "), name, F.lit(" AS attr_"), F.col("attribute_id")))
+    per = columns.groupBy(*key, "section_id").agg(F.array_sort(F.collect_list(F.struct("rank", "attribute_id", inner.alias("inner"), shown.alias("shown")))).alias("c"))
+    cte = F.concat(
+        F.lit("s"), F.col("section_id"), F.lit(" AS (SELECT provider_id"), F.array_join(F.transform("c", lambda x: x["inner"]), ""),
+        F.lit(" FROM org_"), F.col("org_id"), F.lit("_section_"), F.col("section_id"), F.lit(")"),
+    )
+    per = per.select(*key, "section_id", cte.alias("cte"), F.array_join(F.transform("c", lambda x: x["shown"]), "").alias("shown"))
+    whole = per.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("section_id", "cte", "shown"))).alias("s"))
+    joins = F.transform("s", lambda x, i: F.when(i == 0, F.concat(F.lit("s"), x["section_id"])).otherwise(F.concat(F.lit(" LEFT JOIN s"), x["section_id"], F.lit(" USING (provider_id)"))))
+    text = F.concat(
+        F.lit("WITH "), F.array_join(F.transform("s", lambda x: x["cte"]), ", "), F.lit(" SELECT provider_id"), F.array_join(F.transform("s", lambda x: x["shown"]), ""),
+        F.lit(" FROM "), F.array_join(joins, ""), F.coalesce(F.concat(F.lit(" WHERE "), "tests"), F.lit("")),
+    )
+    every = definitions["reports"].select(*key).join(whole, key, "left").join(where, key, "left").join(wrong, key, "left")
+    none = F.concat(F.lit("-- No config found for reportId "), F.col("report_id"))
+    return every.select(*key, F.when(F.col("s").isNull(), none).otherwise(F.coalesce("wrong", text)).alias("query"))

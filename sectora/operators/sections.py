@@ -14,11 +14,13 @@ When a record holds several values for one attribute the smallest non-null value
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sectora.operators.joins import lookup_join
 from sectora.operators.records import for_org, for_section, section_context
 from sectora.session import scratch_path
 from sectora.sources.eav import Eav
@@ -50,6 +52,13 @@ def section_records(eav: Eav, org_id: int | None = None, section_id: int | None
     they never meet the dimensions: each record carries its section's attribute ids, and its map is filtered by them.
     With ``org_id`` or ``section_id`` only those records are read, and only their values folded.
     """
+    folded = _folded(eav, section_attributes(eav).withColumnRenamed("attribute_ids", "own"), org_id, section_id)
+    kept = F.map_filter("attrs", lambda k, _: F.array_contains("own", k))
+    return folded.select("org_id", "section_id", "section_name", "record_id", "provider_id", kept.alias("attrs"))
+
+
+def _folded(eav: Eav, own: DataFrame, org_id: int | None = None, section_id: int | None = None) -> DataFrame:
+    """Context, all values (``attrs``) and the attribute ids of the section as text (``own``) of each active record."""
     ctx = section_context(eav)
     if org_id is not None:
         ctx = for_org(ctx, org_id)
@@ -58,15 +67,96 @@ def section_records(eav: Eav, org_id: int | None = None, section_id: int | None
     values = eav.values if org_id is None and section_id is None else eav.values.join(ctx.select("record_id"), "record_id", "left_semi")
     entry = F.struct(F.col("attribute_id").cast("string").alias("k"), F.col("value").alias("v"))
     maps = reduced_values(values).groupBy("record_id").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("attrs"))
-    own = section_attributes(eav).select("org_id", "section_id", F.transform("attribute_ids", lambda a: a.cast("string")).alias("own"))
-    nothing = F.create_map().cast("map<string,string>")
-    kept = F.map_filter(F.coalesce("attrs", nothing), lambda k, _: F.array_contains("own", k))
-    return ctx.join(own, ["org_id", "section_id"], "left").join(maps, "record_id", "left").select(
-        "org_id", "section_id", "section_name", "record_id", "provider_id", F.when(F.col("own").isNull(), nothing).otherwise(kept).alias("attrs")
+    ids = own.select("org_id", "section_id", F.transform("own", lambda a: a.cast("string")).alias("own"))
+    none = F.array().cast("array<string>")
+    joined = lookup_join(ctx, ids, ["org_id", "section_id"], "left", tiebreak=["record_id"]).join(maps, "record_id", "left")
+    return joined.withColumns({"own": F.coalesce("own", none), "attrs": F.coalesce("attrs", F.create_map().cast("map<string,string>"))})
+
+
+# ---------------------------------------------------------------------------
+# Attributes as columns of their own
+# ---------------------------------------------------------------------------
+
+#: Columns for the attributes of a section; further ones go to a map.
+SLOTS = 64
+
+
+def attribute_slots(eav: Eav, slots: int = SLOTS) -> DataFrame:
+    """``org_id, section_id, attribute_id, place``: the attributes of a section by their number of values, most first.
+
+    Places below ``slots`` are columns ``v<place>`` of a :class:`SectionStore`, the others lie in its map.
+    """
+    counts = eav.values.where(F.col("value").isNotNull()).groupBy("attribute_id").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("org_id", "section_id").orderBy(F.desc_nulls_last("n"), "attribute_id")
+    return defined_attributes(eav).join(counts, "attribute_id", "left").select(
+        "org_id", "section_id", "attribute_id", (F.row_number().over(order) - 1).alias("place")
     )
 
 
-def attr_col(attribute_id: int, prefix: str = "attr_", source: str = "attrs") -> F.Column:
+@dataclass(frozen=True)
+class SectionStore:
+    """The records of all sections with the frequent attributes of each section in columns ``v0``, ``v1``, ... and the rest in a map.
+
+    All sections share one schema, whatever their attributes; ``slots`` says which attribute a section has in which column. So
+    a report reads the Parquet columns of its own attributes only, and its filters reach the scan.
+    """
+
+    records: DataFrame  # org_id, section_id (partitions), section_name, record_id, provider_id, v0 ..., rest
+    slots: DataFrame  # org_id, section_id, attribute_id, place
+
+    @classmethod
+    def write(cls, eav: Eav, path: str | None = None, slots: int = SLOTS) -> SectionStore:
+        """Fold all values and write the store: the slot table, then the records in one job, partitioned by org and section."""
+        spark = eav.records.sparkSession
+        base = path or scratch_path(spark, "section_store")
+        attribute_slots(eav, slots).coalesce(1).write.mode("overwrite").parquet(f"{base}/slots")
+        placed = spark.read.parquet(f"{base}/slots")
+        own = placed.groupBy("org_id", "section_id").agg(F.array_sort(F.collect_list(F.struct("place", "attribute_id"))).alias("own"))
+        # as many columns as the largest section needs
+        width = min(slots, placed.agg(F.coalesce(F.max("place") + 1, F.lit(0))).first()[0])
+        folded = _folded(eav, own.withColumn("own", F.transform("own", lambda x: x["attribute_id"])))
+        columns = [F.try_element_at("attrs", F.get("own", F.lit(k))).alias(f"v{k}") for k in range(width)]
+        beyond = F.slice("own", slots + 1, F.greatest(F.size("own"), F.lit(1)))
+        rest = F.when(F.size("own") > slots, F.map_filter("attrs", lambda k, _: F.array_contains(beyond, k)))
+        records = folded.select("org_id", "section_id", "section_name", "record_id", "provider_id", *columns, rest.alias("rest"))
+        return cls(snapshot(records, f"{base}/records"), placed)
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> SectionStore:
+        return cls(spark.read.parquet(f"{path}/records"), spark.read.parquet(f"{path}/slots"))
+
+    def columns(self, org_id: int, wanted: Iterable[tuple[int, int]]) -> dict[tuple[int, int], Column]:
+        """The column of each wanted (section, attribute); reads one row of the slot table for each of them.
+
+        An attribute that its section doesn't define has no values.
+        """
+        wanted = list(dict.fromkeys((int(s), int(a)) for s, a in wanted))
+        found = for_org(self.slots, org_id).where(F.col("attribute_id").isin([a for _, a in wanted]))
+        places = {(r.section_id, r.attribute_id): r.place for r in found.select("section_id", "attribute_id", "place").collect()}
+        out = {}
+        for key in wanted:
+            place = places.get(key)
+            if place is None:
+                out[key] = F.lit(None).cast("string")
+            else:
+                own = f"v{place}"
+                out[key] = F.col(own) if own in self.records.columns else F.try_element_at("rest", F.lit(str(key[1])))
+        return out
+
+    def as_maps(self) -> DataFrame:
+        """``section_records`` put together again from the columns."""
+        own = self.slots.groupBy("org_id", "section_id").agg(F.array_sort(F.collect_list(F.struct("place", "attribute_id"))).alias("own"))
+        ids = F.transform("own", lambda x: x["attribute_id"].cast("string"))
+        joined = lookup_join(self.records, own.withColumn("own", ids), ["org_id", "section_id"], "left", tiebreak=["record_id"])
+        width = sum(c[1:].isdigit() for c in self.records.columns if c[0] == "v")
+        pairs = F.array(*[F.struct(F.get("own", F.lit(k)).alias("k"), F.col(f"v{k}").alias("v")) for k in range(width)]).cast("array<struct<k:string,v:string>>")
+        entries = F.filter(pairs, lambda x: x["k"].isNotNull() & x["v"].isNotNull())
+        rest = F.coalesce(F.map_entries("rest"), F.array().cast("array<struct<key:string,value:string>>"))
+        every = F.concat(entries, F.transform(rest, lambda x: F.struct(x["key"].alias("k"), x["value"].alias("v"))))
+        return joined.select("org_id", "section_id", "section_name", "record_id", "provider_id", F.map_from_entries(F.array_sort(every)).alias("attrs"))
+
+
+def attr_col(attribute_id: int, prefix: str = "attr_", source: str = "attrs") -> Column:
     """``attrs['<id>'] AS attr_<id>`` (null when the record has no value)."""
     return F.try_element_at(F.col(source), F.lit(str(int(attribute_id)))).alias(f"{prefix}{int(attribute_id)}")
 

@@ -98,37 +98,40 @@ kv AS (
   WHERE v.value IS NOT NULL
   GROUP BY v.record_id, v.org_id, v.section_id, v.attribute_id
 ),
+owners AS (
+  @OWNERS@
+),
 src_reports AS (
-  SELECT r.org_id * 100 + k.k AS report_id, CAST(r.org_id AS VARCHAR) AS org_id,
+  SELECT r.owner * 100 + k.k AS report_id, CAST(r.org_id AS VARCHAR) AS org_id,
          'Report ' || CAST(k.k AS VARCHAR) || ' ' || r.r_name AS name,
          'definition ' || CAST(k.k AS VARCHAR) AS description, k.status,
-         TIMESTAMP '2026-01-01 00:00:00' + to_hours(r.org_id * 100 + k.k) AS created_at,
+         TIMESTAMP '2026-01-01 00:00:00' + to_hours(r.owner % 1000 * 100 + k.k) AS created_at,
          TIMESTAMP '2026-01-01 00:00:00' + to_days(60 + k.k % 3) AS updated_at,
-         CASE WHEN k.status = 'completed' THEN TIMESTAMP '2026-01-01 00:00:00' + to_days(1) + to_hours(r.org_id * 100 + k.k) END AS last_run_date
-  FROM regions r CROSS JOIN (VALUES (1::BIGINT, 'completed'), (2, 'created'), (3, 'created'), (4, 'completed'), (5, 'created')) k(k, status)
+         CASE WHEN k.status = 'completed' THEN TIMESTAMP '2026-01-01 00:00:00' + to_days(1) + to_hours(r.owner % 1000 * 100 + k.k) END AS last_run_date
+  FROM owners r CROSS JOIN (VALUES (1::BIGINT, 'completed'), (2, 'created'), (3, 'created'), (4, 'completed'), (5, 'created')) k(k, status) WHERE r.only IS NULL OR r.only = k.k
 ),
 src_report_sections AS (
-  SELECT r.org_id * 100 + t.k AS report_id, CAST(r.org_id AS VARCHAR) AS org_id, CAST(t.sid AS INTEGER) AS section_id
-  FROM regions r CROSS JOIN (VALUES (1::BIGINT, 1::BIGINT), (1, 2), (2, 2), (2, 5), (3, 1), (4, 1), (5, 1)) t(k, sid)
+  SELECT r.owner * 100 + t.k AS report_id, CAST(r.org_id AS VARCHAR) AS org_id, CAST(t.sid AS INTEGER) AS section_id
+  FROM owners r CROSS JOIN (VALUES (1::BIGINT, 1::BIGINT), (1, 2), (2, 2), (2, 5), (3, 1), (4, 1), (5, 1)) t(k, sid) WHERE r.only IS NULL OR r.only = t.k
 ),
 src_report_attributes AS (
-  SELECT r.org_id * 100 + t.k AS report_id, CAST(r.org_id AS VARCHAR) AS org_id, CAST(t.sid AS INTEGER) AS section_id,
+  SELECT r.owner * 100 + t.k AS report_id, CAST(r.org_id AS VARCHAR) AS org_id, CAST(t.sid AS INTEGER) AS section_id,
          CAST(t.base + r.org_id * 1000 AS INTEGER) AS attribute_id
-  FROM regions r CROSS JOIN (VALUES (1::BIGINT, 1::BIGINT, 101::BIGINT), (1, 1, 102), (1, 1, 103), (1, 2, 201), (1, 2, 203),
-       (2, 2, 201), (2, 2, 202), (2, 2, 203), (3, 1, 101), (3, 1, 103), (4, 1, 101), (4, 1, 102), (5, 1, 103)) t(k, sid, base)
+  FROM owners r CROSS JOIN (VALUES (1::BIGINT, 1::BIGINT, 101::BIGINT), (1, 1, 102), (1, 1, 103), (1, 2, 201), (1, 2, 203),
+       (2, 2, 201), (2, 2, 202), (2, 2, 203), (3, 1, 101), (3, 1, 103), (4, 1, 101), (4, 1, 102), (5, 1, 103)) t(k, sid, base) WHERE r.only IS NULL OR r.only = t.k
 ),
 src_report_filters AS (
-  SELECT r.org_id * 100 + t.k AS report_id, CAST(r.org_id AS VARCHAR) AS org_id, CAST(t.sid AS VARCHAR) AS section_id,
+  SELECT r.owner * 100 + t.k AS report_id, CAST(r.org_id AS VARCHAR) AS org_id, CAST(t.sid AS VARCHAR) AS section_id,
          CAST(t.base + r.org_id * 1000 AS VARCHAR) AS attribute_id, t.op AS operator, t.val AS value
-  FROM regions r CROSS JOIN (VALUES (1::BIGINT, 1::BIGINT, 103::BIGINT, 'CONTAINS', 'ation_1'), (1, 2, 201, '!=', 'P'),
+  FROM owners r CROSS JOIN (VALUES (1::BIGINT, 1::BIGINT, 103::BIGINT, 'CONTAINS', 'ation_1'), (1, 2, 201, '!=', 'P'),
        (3, 2, 201, '=', 'F'), (3, 1, 101, '=', NULL), (3, 1, 102, ' > ', '5000'),
-       (4, 1, 101, 'in', ' BUILDING, ,MACHINERY,,O''Brien '), (5, 1, 103, 'BETWEEN', 'a')) t(k, sid, base, op, val)
+       (4, 1, 101, 'in', ' BUILDING, ,MACHINERY,,O''Brien '), (5, 1, 103, 'BETWEEN', 'a')) t(k, sid, base, op, val) WHERE r.only IS NULL OR r.only = t.k
 ),
 src_report_sorts AS (
-  SELECT r.org_id * 100 + t.k AS report_id, CAST(r.org_id AS VARCHAR) AS org_id, CAST(t.sid AS VARCHAR) AS section_id,
+  SELECT r.owner * 100 + t.k AS report_id, CAST(r.org_id AS VARCHAR) AS org_id, CAST(t.sid AS VARCHAR) AS section_id,
          CAST(t.base + r.org_id * 1000 AS VARCHAR) AS attribute_id, t.dir AS direction, CAST(t.so AS INTEGER) AS sort_order
-  FROM regions r CROSS JOIN (VALUES (1::BIGINT, 1::BIGINT, 102::BIGINT, 'desc', 1), (1, 2, 203, 'asc', 2),
-       (2, 2, 202, 'asc', 1), (4, 1, 101, 'desc', 1)) t(k, sid, base, dir, so)
+  FROM owners r CROSS JOIN (VALUES (1::BIGINT, 1::BIGINT, 102::BIGINT, 'desc', 1), (1, 2, 203, 'asc', 2),
+       (2, 2, 202, 'asc', 1), (4, 1, 101, 'desc', 1)) t(k, sid, base, dir, so) WHERE r.only IS NULL OR r.only = t.k
 ),
 reports AS (
   SELECT report_id, CAST(org_id AS BIGINT) AS org_id, name, description, status, created_at, updated_at, last_run_date
@@ -150,9 +153,14 @@ rsort AS (
 """
 
 
-def with_fixture(sql: str, extra_ctes: str = "") -> str:
-    """``WITH <fixture>[, extra] <sql>``."""
-    ctes = FIXTURE_CTES.strip()
+#: Who owns reports: the regions, and for the growing definitions every customer.
+REGION_OWNERS = "SELECT org_id AS owner, org_id, r_name, NULL::BIGINT AS only FROM regions"
+CUSTOMER_OWNERS = " UNION ALL SELECT c.c_custkey + 1000, c.org_id, r.r_name, c.c_custkey % 5 + 1 FROM cust c JOIN regions r ON r.org_id = c.org_id"
+
+
+def with_fixture(sql: str, extra_ctes: str = "", growing: bool = True) -> str:
+    """``WITH <fixture>[, extra] <sql>``; ``growing``: definitions of all customers, else of the regions alone."""
+    ctes = FIXTURE_CTES.strip().replace("@OWNERS@", REGION_OWNERS + (CUSTOMER_OWNERS if growing else ""))
     if extra_ctes.strip():
         ctes += ",\n" + extra_ctes.strip()
     return f"WITH {ctes}\n{sql.strip()}"
@@ -169,27 +177,46 @@ def wide_cte(name: str, org: int, section: int, attribute_ids: list[int]) -> str
 )"""
 
 
-def _sql_text(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
+# Fixed values of the fixture: kind, target and text of the requests.
+REQUEST_TEXTS = """
+  (1::BIGINT, NULL, '{"name":"Quarterly %1$s","description":"by segment","config":[{"sectionId":"1","attributeIds":[%2$d,%3$d]},{"sectionId":2,"attributeIds":["%4$d"]}],"filters":[{"sectionId":"1","attributeId":%2$d,"operator":" in ","value":"BUILDING,MACHINERY"}],"sorts":[{"sectionId":"2","attributeId":"%4$d"}]}'),
+  (2::BIGINT, NULL, '{"description":"no name","config":[{"sectionId":"1","attributeIds":[%2$d]}]}'),
+  (3::BIGINT, NULL, '{"name":"Bad config %1$s","config":{"sectionId":"1"}}'),
+  (4::BIGINT, NULL, '{"name":"Archived %1$s","config":[{"sectionId":"3","attributeIds":[]}]}'),
+  (5::BIGINT, NULL, '{"name":"Foreign %1$s","config":[{"sectionId":"1","attributeIds":[%4$d]}]}'),
+  (6::BIGINT, NULL, '{"name":"Between %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}],"filters":[{"sectionId":"1","attributeId":"%2$d","operator":"BETWEEN","value":"a"}]}'),
+  (7::BIGINT, NULL, '{"name":"Upward %1$s","config":[{"sectionId":"2","attributeIds":[%5$d]}],"sorts":[{"sectionId":"2","attributeId":%5$d,"direction":"UP"}]}'),
+  (8::BIGINT, NULL, '{"name":"Partial %1$s","config":[{"sectionId":"2","attributeIds":[%5$d]}],"filters":[{"sectionId":"2","attributeId":%5$d,"value":"1"}]}'),
+  (9::BIGINT, 'own', '{"name":"Edited %1$s","config":[{"sectionId":"2","attributeIds":[%5$d,%4$d]}],"filters":[{"sectionId":"2","attributeId":"%4$d","operator":"<>","value":"F"}],"sorts":[{"sectionId":"2","attributeId":"%5$d","direction":"DESC","sortOrder":"2"},{"sectionId":"2","attributeId":"%4$d","sortOrder":1}]}'),
+  (10::BIGINT, 'other', '{"name":"Not mine %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}]}'),
+  (11::BIGINT, NULL, '{"name":"Loose %1$s","config":[{"attributeIds":[%2$d]}],"filters":"none","sorts":[{"sectionId":"1"}]}'),
+  (12::BIGINT, NULL, '{"name":"Null config %1$s","config":null}'),
+  (13::BIGINT, NULL, '{"name":"Text config %1$s","config":"[abc"}'),
+  (14::BIGINT, NULL, '{"name":"Empty filters %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}],"filters":{},"sorts":""}'),
+  (15::BIGINT, NULL, '{"name":"Null operator %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}],"filters":[{"sectionId":"1","attributeId":%2$d,"operator":null,"value":"x"}]}'),
+  (16::BIGINT, NULL, '{"name":"Null direction %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}],"sorts":[{"sectionId":"1","attributeId":%2$d,"direction":null}]}'),
+  (17::BIGINT, NULL, '{"name":"Odd order %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}],"sorts":[{"sectionId":"1","attributeId":%2$d,"sortOrder":"abc"}]}'),
+  (18::BIGINT, NULL, '{"name":"Null ids %1$s","config":[{"sectionId":null,"attributeIds":[%2$d]}],"filters":[{"sectionId":"1","attributeId":null,"operator":"=","value":"x"}]}'),
+  (19::BIGINT, NULL, '{"name":"Padded id %1$s","config":[{"sectionId":"01","attributeIds":[%2$d]}]}'),
+  (20::BIGINT, NULL, '{"name":"Bracket %1$s","config":[{"sectionId":"1","attributeIds":[%2$d]}],"filters":[{"sectionId":"1","attributeId":%2$d,"operator":"CONTAINS","value":"[draft"}]}')
+"""
 
-def requests_cte() -> str:
-    """``req(request_id, org_id, report_id, body)``: the same JSON texts as the Spark fixture."""
-    from sectora.sources.fixtures import REQUEST_TEMPLATES
 
-    cases = "\n".join(
-        f"    WHEN {j} THEN printf({_sql_text(t)}, r_name, 101 + org_id * 1000, 102 + org_id * 1000, "
-        f"201 + org_id * 1000, 203 + org_id * 1000)"
-        for j, _target, t in REQUEST_TEMPLATES
-    )
-    targets = ", ".join(f"({j}::BIGINT, {_sql_text(tg) if tg else 'NULL'})" for j, tg, _t in REQUEST_TEMPLATES)
-    return f"""req AS (
-  SELECT r.org_id * 100 + t.j AS request_id, r.org_id,
-         CASE t.target WHEN 'own' THEN r.org_id * 100 + 2 WHEN 'other' THEN ((r.org_id + 1) % 5) * 100 + 2 END AS report_id,
-         CASE t.j
-{cases}
-         END AS body
-  FROM regions r CROSS JOIN (VALUES {targets}) t(j, target)
+def requests_cte(growing: bool = True) -> str:
+    """``req(request_id, org_id, report_id, body)``: the same JSON texts as the Spark fixture; ``growing``: one for each order."""
+    orders = """
+  UNION ALL
+  SELECT o.o_orderkey + 1000000, o.org_id, r.r_name, t.target, (o.o_custkey + 1000) * 100 + o.o_custkey % 5 + 1, t.body
+  FROM ord o JOIN regions r ON r.org_id = o.org_id JOIN request_texts t ON t.j = o.o_orderkey % 20 + 1"""
+    return f"""request_texts(j, target, body) AS (VALUES {REQUEST_TEXTS}),
+sent(request_id, org_id, r_name, target, own, body) AS (
+  SELECT r.org_id * 100 + t.j, r.org_id, r.r_name, t.target, r.org_id * 100 + 2, t.body FROM regions r CROSS JOIN request_texts t{orders if growing else ""}
+),
+req AS (
+  SELECT request_id, org_id, CASE target WHEN 'own' THEN own WHEN 'other' THEN ((org_id + 1) % 5) * 100 + 2 END AS report_id,
+    replace(replace(replace(replace(replace(body, '%1$s', r_name), '%2$d', CAST(101 + org_id * 1000 AS VARCHAR)),
+      '%3$d', CAST(102 + org_id * 1000 AS VARCHAR)), '%4$d', CAST(201 + org_id * 1000 AS VARCHAR)), '%5$d', CAST(203 + org_id * 1000 AS VARCHAR)) AS body
+  FROM sent
 )"""
 
 
@@ -297,7 +324,7 @@ tasks AS (
   SELECT CAST(event_id AS VARCHAR) AS id, user_id AS provider_id, type,
          CASE event_id % 3 WHEN 0 THEN 'pending' WHEN 1 THEN 'in_progress' ELSE 'completed' END AS status,
          event_type AS title, props AS description, strftime(ts, '%Y-%m-%d') AS dueDate,
-         CASE WHEN type = 'signature' THEN 'Enrollment Team' ELSE 'Credentialing Admin' END AS requestedBy,
+         CASE WHEN type = 'signature' THEN 'Harbour Desk' ELSE 'Quay Office' END AS requestedBy,
          CASE WHEN type = 'profile' THEN CASE WHEN event_id % 5 = 0 THEN '' ELSE 'Profile' END END AS sectionName,
          CASE WHEN type = 'document' THEN CASE WHEN event_id % 5 = 0 THEN '' ELSE 'doc_' || CAST(event_id AS VARCHAR) || '.pdf' END END AS documentName,
          CASE WHEN type = 'signature' THEN 'form_' || CAST(event_id AS VARCHAR) || '.pdf' END AS formName,

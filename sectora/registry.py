@@ -1,13 +1,15 @@
 """Named queries over the driver's tables, each with its DuckDB oracle.
 
-Every query derives the EAV (and definition) tables from the driver's tables, so its work
-grows with them. ``QUERIES[name](spark, sf_dir) -> DataFrame``; ``ORACLE[name]`` is SQL
+Every query derives the EAV (and definition) tables from the driver's tables. Records and values grow with customers and
+orders, definitions with customers, requests with orders, tasks with events; the attribute table has a fixed number of rows for each
+region. Queries that build reports one by one build those of the regions, over records that grow. ``QUERIES[name](spark, sf_dir) -> DataFrame``; ``ORACLE[name]`` is SQL
 that DuckDB runs on the same Parquet files. Nested results (arrays, maps, structs) are
 compared as JSON text.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,15 +47,25 @@ def section_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def definitions(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Reports of all customers and regions."""
     return load_definitions(fixtures.definition_sources(spark, sf))
 
 
+def region_definitions(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Reports of the regions: those that are built."""
+    return load_definitions(fixtures.definition_sources(spark, sf, growing=False))
+
+
+def store(spark: SparkSession, sf: str) -> sec.SectionStore:
+    return sec.SectionStore.write(eav(spark, sf))
+
+
 def report(spark: SparkSession, sf: str, report_id: int, org_id: int, *, filters: bool = True, **opts) -> DataFrame:
-    plan = plan_from_tables(definitions(spark, sf), report_id, org_id)
+    plan = plan_from_tables(region_definitions(spark, sf), report_id, org_id)
     if not filters:
         plan = type(plan)(plan.report_id, plan.org_id, plan.sections, (), plan.sorts)
-    records = sec.snapshot(section_records(spark, sf))
-    return build_report(records, plan, hot=sec.hot_providers(records, opts.get("rows_per_task", 2_000_000)), **opts)
+    records = store(spark, sf)
+    return build_report(records, plan, hot=sec.hot_providers(records.records, opts.get("rows_per_task", 2_000_000)), **opts)
 
 
 def wide(spark: SparkSession, sf: str, org: int, section: int) -> DataFrame:
@@ -323,6 +335,9 @@ def q_order_catalog(spark, sf):
 
 from sectora.oracle import requests_cte, validation_ctes  # noqa: E402
 from sectora.operators import definitions as dfn  # noqa: E402
+from sectora.operators import runs as run_log  # noqa: E402
+from sectora.session import scratch_path  # noqa: E402
+from sectora.sinks import versions  # noqa: E402
 
 NOW = "2026-06-01 12:00:00"
 
@@ -346,6 +361,7 @@ def errors(spark, sf):
 
 REQ = requests_cte()
 VAL = CATALOG_CTE.strip() + ",\n" + REQ + ",\n" + validation_ctes().strip()
+REGION_VAL = CATALOG_CTE.strip() + ",\n" + requests_cte(growing=False) + ",\n" + validation_ctes().strip()
 
 
 @register("fn_json_parse", with_fixture("""
@@ -434,9 +450,9 @@ def q_first_error(spark, sf):
     return dfn.first_error(errors(spark, sf))
 
 
-UPSERT_CTES = VAL + f""",
+_UPSERT = f""",
 valid AS (
-  SELECT q.*, coalesce(q.report_id, 1000000 + q.request_id) AS target_id FROM req q
+  SELECT q.*, coalesce(q.report_id, 1000000000000 + q.request_id) AS target_id FROM req q
   WHERE NOT EXISTS (SELECT 1 FROM errors e WHERE e.request_id = q.request_id)
 ),
 latest AS (SELECT target_id, org_id, max(request_id) AS request_id FROM valid GROUP BY target_id, org_id),
@@ -457,13 +473,22 @@ new_attrs AS (
   FROM cfg_attrs a JOIN v ON v.request_id = a.request_id
 )
 """
+UPSERT_CTES = VAL + _UPSERT
+REGION_UPSERT_CTES = REGION_VAL + _UPSERT
 
 
-def upserted(spark, sf):
-    reqs = requests(spark, sf)
-    state = definitions(spark, sf)
-    errs = dfn.validate_definitions(reqs, cat.catalog_keys_table(eav(spark, sf)), state["reports"])
-    return dfn.apply_definitions(state, reqs, errs, now_col(), new_id=F.lit(1000000) + F.col("request_id"))
+#: Ids of new reports in the queries; the oracle can't compute the hashes of ``allocate_ids``.
+def new_id():
+    return F.lit(1_000_000_000_000) + F.col("request_id")
+
+
+def upserted(spark, sf, growing: bool = True):
+    """The stored definition tables, a batch of requests saved to them in one commit, and the tables read back."""
+    base = scratch_path(spark, "definitions")
+    stored = definitions(spark, sf) if growing else region_definitions(spark, sf)
+    versions.commit(spark, base, versions.current(spark, base), {n: versions.stage(df, base, n) for n, df in stored.items()})
+    dfn.save_definitions(spark, base, fixtures.requests(spark, sf, growing), cat.catalog_keys_table(eav(spark, sf)), now_col(), new_id())
+    return versions.read(spark, base)
 
 
 @register("upsert_definition", with_fixture("SELECT * FROM new_reports", UPSERT_CTES))
@@ -557,17 +582,36 @@ def q_pending_reports(spark, sf):
     return dfn.pending_reports(definitions(spark, sf)["reports"])
 
 
+def runs_of(reports: DataFrame) -> DataFrame:
+    """A stand-in run log: a run of each report by its kind (completed, completed, left running, completed before it was edited, failed)."""
+    kind = F.col("report_id") % 100
+    second = F.when(kind == 5, "failed").when(kind != 3, "completed")
+    row = reports.select(
+        "org_id", "report_id", F.lit("r1").alias("run_id"), F.explode(F.array(F.lit("running"), second)).alias("state"),
+        F.when(kind == 4, F.col("updated_at") - F.expr("interval 1 day")).otherwise(F.col("updated_at")).alias("defined_at"),
+        now_col().alias("at"), F.lit("p").alias("path"), F.lit(None).cast("string").alias("error"),
+    )
+    return row.where("state is not null")
+
+
 @register("report_status", with_fixture(f"""
 SELECT report_id, org_id, name, description,
-       CASE WHEN status = 'created' THEN 'running' ELSE status END AS status, created_at,
-       CASE WHEN status = 'created' THEN TIMESTAMP '{NOW}' ELSE updated_at END AS updated_at, last_run_date
+       CASE report_id % 100 WHEN 3 THEN 'running' WHEN 5 THEN 'failed' WHEN 4 THEN status ELSE 'completed' END AS status, created_at,
+       CASE WHEN report_id % 100 = 4 THEN updated_at ELSE TIMESTAMP '{NOW}' END AS updated_at,
+       CASE WHEN report_id % 100 IN (1, 2, 4) THEN greatest(last_run_date, TIMESTAMP '{NOW}') ELSE last_run_date END AS last_run_date
 FROM reports
 """))
 def q_report_status(spark, sf):
-    """Pending reports move to ``running`` (updated_at = now, last_run_date untouched)."""
+    """Status, time and last run of every report, folded from a log of runs; a run of an older definition moves no status."""
     reports = definitions(spark, sf)["reports"]
-    changes = dfn.pending_reports(reports).select("report_id", "org_id", F.lit("running").alias("status"))
-    return dfn.set_status(reports, changes, now_col())
+    return run_log.states(reports, runs_of(reports))
+
+
+@register("pending_after_runs", with_fixture("SELECT * FROM reports WHERE report_id % 100 = 3"))
+def q_pending_after_runs(spark, sf):
+    """What a rebuild would take up by the same log: reports that a run left unfinished; edited report 4 isn't marked for a build."""
+    reports = definitions(spark, sf)["reports"]
+    return run_log.pending(reports, runs_of(reports))
 
 
 # ---------------------------------------------------------------------------
@@ -578,39 +622,52 @@ from sectora.operators.predicates import Filter, predicate, report_filter  # noq
 from sectora.oracle import TASKS_CTE  # noqa: E402
 
 PRED_CASES = {
-    # name: (org, section, attribute, operator, value, SQL condition)
-    "pred_eq": (0, 1, 101, "=", "BUILDING", "attr_101 = 'BUILDING'"),
-    "pred_ne": (0, 2, 201, "!=", "F", "attr_201 <> 'F'"),
-    "pred_gt": (0, 1, 102, ">", "5000", "attr_102 > '5000'"),
-    "pred_lt": (0, 2, 203, "<", "150000", "attr_203 < '150000'"),
-    "pred_ge": (0, 1, 102, ">=", "5000.00", "attr_102 >= '5000.00'"),
-    "pred_le": (0, 1, 102, "<=", "1000", "attr_102 <= '1000'"),
-    "pred_contains": (0, 1, 103, " contains ", "n_2", "attr_103 ILIKE '%n_2%'"),
-    "pred_like": (0, 2, 202, "LIKE", "%URGENT", "attr_202 LIKE '%URGENT'"),
-    "pred_in": (0, 1, 101, "IN", " BUILDING, ,MACHINERY,,O'Brien ", "attr_101 IN ('BUILDING', 'MACHINERY', 'O''Brien')"),
+    # name: (section, attribute of org 0, operator, value, SQL condition)
+    "pred_eq": (1, 101, "=", "BUILDING", "value = 'BUILDING'"),
+    "pred_ne": (2, 201, "!=", "F", "value <> 'F'"),
+    "pred_gt": (1, 102, ">", "5000", "value > '5000'"),
+    "pred_lt": (2, 203, "<", "150000", "value < '150000'"),
+    "pred_ge": (1, 102, ">=", "5000.00", "value >= '5000.00'"),
+    "pred_le": (1, 102, "<=", "1000", "value <= '1000'"),
+    "pred_contains": (1, 103, " contains ", "n_2", "value ILIKE '%n_2%'"),
+    "pred_like": (2, 202, "LIKE", "%URGENT", "value LIKE '%URGENT'"),
+    "pred_in": (1, 101, "IN", " BUILDING, ,MACHINERY,,O'Brien ", "value IN ('BUILDING', 'MACHINERY', 'O''Brien')"),
 }
 
 
-def _pred_query(org, section, attribute, operator, value):
+def attribute_values(spark, sf, section, *bases):
+    """``org_id, record_id, provider_id`` and the value of each attribute, by its id in org 0, of all tenants' records of a section."""
+    records = section_records(spark, sf).where(F.col("section_id") == section)
+    return records.select("org_id", "record_id", "provider_id", *[
+        F.try_element_at("attrs", fixtures.attr_id(b).cast("string")).alias(f"value_{b}") for b in bases])
+
+
+def tenants_cte(section: int, *bases: int) -> str:
+    columns = "".join(f", min(CASE WHEN kv.attribute_id = {b} + c.org_id * 1000 THEN kv.value END) AS value_{b}" for b in bases)
+    return f"""w AS (SELECT c.org_id, c.record_id, c.provider_id{columns} FROM ctx c LEFT JOIN kv ON kv.record_id = c.record_id
+  WHERE c.section_id = {section} GROUP BY c.org_id, c.record_id, c.provider_id)"""
+
+
+def _pred_query(section, attribute, operator, value):
     def q(spark, sf):
-        return wide(spark, sf, org, section).where(predicate(F.col(f"attr_{attribute}"), operator, value))
+        df = attribute_values(spark, sf, section, attribute).withColumnRenamed(f"value_{attribute}", "value")
+        return df.where(predicate(F.col("value"), operator, value))
     return q
 
 
-for _name, (_o, _s, _a, _op, _v, _cond) in PRED_CASES.items():
-    register(_name, with_fixture(f"SELECT * FROM w WHERE {_cond}", wide_cte("w", _o, _s, ids_of(_o, _s))))(
-        _pred_query(_o, _s, _a, _op, _v))
+for _name, (_s, _a, _op, _v, _cond) in PRED_CASES.items():
+    register(_name, with_fixture(f"SELECT org_id, record_id, provider_id, value_{_a} AS value FROM w WHERE {_cond.replace('value', f'value_{_a}')}", tenants_cte(_s, _a)))(
+        _pred_query(_s, _a, _op, _v))
 
 
 @register("pred_conjunction", with_fixture(
-    "SELECT * FROM w WHERE attr_201 <> 'F' AND attr_202 ILIKE '%high%'", wide_cte("w", 0, 2, ids_of(0, 2))))
+    "SELECT * FROM w WHERE value_201 <> 'F' AND value_202 ILIKE '%high%'", tenants_cte(2, 201, 202, 203)))
 def q_pred_conjunction(spark, sf):
     """AND of the applicable filters; a filter on another section and one with a null value are skipped."""
-    df = wide(spark, sf, 0, 2)
-    cols = {(2, a): f"attr_{a}" for a in ids_of(0, 2)}
+    df = attribute_values(spark, sf, 2, 201, 202, 203)
     pred, _ignored = report_filter(
         [Filter(2, 201, "!=", "F"), Filter(2, 202, "Contains", " high "), Filter(1, 101, "=", "X"), Filter(2, 203, "=", None)],
-        cols,
+        {(2, a): f"value_{a}" for a in (201, 202, 203)},
     )
     return df.where(pred)
 
@@ -620,45 +677,52 @@ def q_pred_conjunction(spark, sf):
 # ---------------------------------------------------------------------------
 
 from sectora.operators import reports as rep  # noqa: E402
-from sectora.session import scratch_path  # noqa: E402
 
-REPORT_101_CORE = REPORT_101_SQL  # WITH ... SELECT <report rows>
-ORDER_101 = ("attr_1102 DESC NULLS FIRST, attr_1203 ASC NULLS LAST, provider_id ASC NULLS LAST, attr_1101 ASC NULLS LAST, "
-             "attr_1102 ASC NULLS LAST, attr_1103 ASC NULLS LAST, attr_1201 ASC NULLS LAST, attr_1203 ASC NULLS LAST")
+ORDER_101 = "attr_1102 DESC NULLS FIRST, attr_1203 ASC NULLS LAST, r1 ASC NULLS LAST, r2 ASC NULLS LAST"
+COLUMNS_101 = "provider_id, attr_1101, attr_1102, attr_1103, attr_1201, attr_1203"
 
 
-def _wrap(sql_with: str, outer: str) -> str:
-    """Put the final SELECT of a WITH query into a CTE ``base`` and select ``outer`` from it."""
-    head, _, tail = sql_with.rpartition("\nSELECT")
+def _base_101(outer: str) -> str:
+    """Report 101 with the records that its rows are made of, as ``base``, and ``outer``."""
+    core = REPORT_101_SQL.replace("SELECT s1.provider_id", "SELECT s1.record_id AS r1, s2.record_id AS r2, s1.provider_id")
+    head, _, tail = core.rpartition("\nSELECT")
     return f"{head},\nbase AS (SELECT{tail})\n{outer}"
 
 
+def built_101(spark, sf):
+    """Report 101 built through the run log; the base folder, the definitions and the plan."""
+    defs, base = region_definitions(spark, sf), scratch_path(spark, "reports")
+    rep.rebuild(spark, store(spark, sf), defs, base, [(1, 101)], clock=lambda: dt.datetime.fromisoformat(NOW))
+    return base, defs, plan_from_tables(defs, 101, 1)
+
+
 def materialized_101(spark, sf):
-    defs = definitions(spark, sf)
-    plan = plan_from_tables(defs, 101, 1)
-    df = build_report(sec.snapshot(section_records(spark, sf)), plan)
-    path = rep.materialize(df, scratch_path(spark, "reports"), 101)
-    return spark.read.parquet(path), plan
+    base, _, plan = built_101(spark, sf)
+    return spark.read.parquet(run_log.snapshot_of(run_log.read(spark, f"{base}/runs"), 1, 101)), plan
 
 
 @register("materialize_report", REPORT_101_SQL)
 def q_materialize_report(spark, sf):
-    return materialized_101(spark, sf)[0]
+    return rep.visible(materialized_101(spark, sf)[0])
 
 
-@register("read_report", _wrap(REPORT_101_SQL, f"SELECT * FROM base ORDER BY {ORDER_101} LIMIT 100"))
+@register("read_report", _base_101(f"""SELECT 'Report 1 ' || r_name AS report_name, TIMESTAMP '{NOW}' AS last_run_date, (SELECT least(count(*), 100) FROM base) AS count, base.* EXCLUDE (r1, r2)
+FROM base, regions WHERE regions.org_id = 1 ORDER BY {ORDER_101} LIMIT 100"""))
 def q_read_report(spark, sf):
-    snap, plan = materialized_101(spark, sf)
-    return rep.read_report(snap, plan.sorts, 100)
+    """One read by tenant, report and limit: the run log names the snapshot; metadata, count and the first 100 rows in sort order."""
+    base, defs, _ = built_101(spark, sf)
+    page = rep.open_report(spark, base, defs, 1, 101, 100)
+    facts = [F.lit(page.name).alias("report_name"), F.lit(page.last_run_date).cast("timestamp_ntz").alias("last_run_date"), F.lit(page.count).cast("long").alias("count")]
+    return page.rows.select(*facts, "*")
 
 
-@register("apply_report_sorts", _wrap(REPORT_101_SQL, f"SELECT * FROM base ORDER BY {ORDER_101}"))
+@register("apply_report_sorts", _base_101(f"SELECT {COLUMNS_101} FROM base ORDER BY {ORDER_101}"))
 def q_apply_report_sorts(spark, sf):
     snap, plan = materialized_101(spark, sf)
-    return rep.order_report(snap, plan.sorts)
+    return rep.visible(rep.order_report(snap, plan.sorts))
 
 
-@register("result_count", _wrap(REPORT_101_SQL, f"SELECT count(*) AS count FROM (SELECT * FROM base ORDER BY {ORDER_101} LIMIT 100)"))
+@register("result_count", _base_101(f"SELECT count(*) AS count FROM (SELECT * FROM base ORDER BY {ORDER_101} LIMIT 100)"))
 def q_result_count(spark, sf):
     snap, plan = materialized_101(spark, sf)
     return rep.result_count(rep.read_report(snap, plan.sorts, 100))
@@ -708,26 +772,70 @@ def q_report_section_grouping(spark, sf):
                     F.to_json("attribute_ids").alias("attribute_ids_json"))
 
 
-@register("report_query_text")
+QUERY_TEXT_SQL = with_fixture("""
+SELECT p.report_id, p.org_id,
+  CASE WHEN c.ctes IS NULL THEN '-- No config found for reportId ' || p.report_id
+       WHEN w.op IS NOT NULL THEN '-- Unsupported operator: ' || w.op
+       ELSE 'WITH ' || c.ctes || ' SELECT provider_id' || c.shown || ' FROM ' || c.joins || coalesce(' WHERE ' || t.tests, '') END AS query
+FROM reports p
+LEFT JOIN (SELECT report_id, org_id, string_agg(cte, ', ' ORDER BY section_id) AS ctes, string_agg(shown, '' ORDER BY section_id) AS shown,
+                  string_agg(j, '' ORDER BY section_id) AS joins FROM ctes GROUP BY report_id, org_id) c USING (report_id, org_id)
+LEFT JOIN (SELECT report_id, org_id, string_agg(test, ' AND ' ORDER BY section_id, attribute_id, operator, value) AS tests FROM tests WHERE test IS NOT NULL GROUP BY report_id, org_id) t USING (report_id, org_id)
+LEFT JOIN (SELECT report_id, org_id, arg_min(op, (section_id, attribute_id, operator, value)) AS op FROM tests
+           WHERE op NOT IN ('=', '!=', '<>', '>', '<', '>=', '<=', 'CONTAINS', 'LIKE', 'IN') GROUP BY report_id, org_id) w USING (report_id, org_id)
+""", """
+tests AS (
+  SELECT f.*, upper(trim(operator)) AS op, 's' || section_id || '_a' || attribute_id || ' ' || CASE upper(trim(operator))
+      WHEN 'IN' THEN 'IN (' || array_to_string(list_transform(list_filter(list_transform(string_split(value, ','), lambda x: trim(x)), lambda x: x <> ''),
+                                                              lambda x: chr(39) || replace(x, chr(39), chr(39) || chr(39)) || chr(39)), ', ') || ')'
+      WHEN 'CONTAINS' THEN 'ILIKE ' || chr(39) || '%' || replace(trim(value), chr(39), chr(39) || chr(39)) || '%' || chr(39)
+      ELSE CASE upper(trim(operator)) WHEN '!=' THEN '<>' ELSE upper(trim(operator)) END || ' ' || chr(39) || replace(trim(value), chr(39), chr(39) || chr(39)) || chr(39) END AS test
+  FROM rfilt f WHERE value IS NOT NULL AND EXISTS (SELECT 1 FROM rattr a WHERE a.report_id = f.report_id AND a.org_id = f.org_id AND a.section_id = f.section_id)
+),
+picked AS (
+  SELECT report_id, org_id, section_id, attribute_id, min(k) AS k FROM (
+    SELECT report_id, org_id, section_id, attribute_id, 0 AS k FROM rattr UNION ALL SELECT report_id, org_id, section_id, attribute_id, 1 FROM tests)
+  GROUP BY report_id, org_id, section_id, attribute_id
+),
+ctes AS (
+  SELECT report_id, org_id, section_id, 's' || section_id || ' AS (SELECT provider_id'
+      || string_agg(', attr_' || attribute_id || ' AS s' || section_id || '_a' || attribute_id, '' ORDER BY k, attribute_id)
+      || ' FROM org_' || org_id || '_section_' || section_id || ')' AS cte,
+    coalesce(string_agg(', s' || section_id || '_a' || attribute_id || ' AS attr_' || attribute_id, '' ORDER BY attribute_id) FILTER (k = 0), '') AS shown,
+    CASE WHEN section_id = min(section_id) OVER (PARTITION BY report_id, org_id) THEN 's' || section_id ELSE ' LEFT JOIN s' || section_id || ' USING (provider_id)' END AS j
+  FROM picked GROUP BY report_id, org_id, section_id
+)
+""")
+
+
+@register("report_query_text", QUERY_TEXT_SQL)
 def q_report_query_text(spark, sf):
-    """Generated SQL text of each report of org 1 (display only; rows-only check)."""
-    return rep.query_texts(spark, definitions(spark, sf), org_id=1)
+    """Generated SQL text of every report of every tenant, or why it has none, in one job."""
+    return rep.query_texts(definitions(spark, sf))
 
 
-@register("rebuild_all_pending", with_fixture("""
-SELECT p.report_id, p.org_id,
-       CASE WHEN NOT EXISTS (SELECT 1 FROM rattr a WHERE a.report_id = p.report_id AND a.org_id = p.org_id)
+REBUILT_SQL = """
+CASE WHEN NOT EXISTS (SELECT 1 FROM rattr a WHERE a.report_id = p.report_id AND a.org_id = p.org_id)
               OR EXISTS (SELECT 1 FROM rfilt f WHERE f.report_id = p.report_id AND f.org_id = p.org_id AND f.value IS NOT NULL
                            AND upper(trim(f.operator)) NOT IN ('=', '!=', '<>', '>', '<', '>=', '<=', 'CONTAINS', 'LIKE', 'IN')
                            AND f.section_id IN (SELECT a.section_id FROM rattr a WHERE a.report_id = p.report_id AND a.org_id = p.org_id))
-            THEN 'failed' ELSE 'completed' END AS status
-FROM reports p WHERE p.status = 'created'
-"""))
+            THEN 'failed' ELSE 'completed' END"""
+
+
+@register("rebuild_all_pending", with_fixture(f"""
+SELECT p.report_id, p.org_id, CASE WHEN p.status = 'created' THEN {REBUILT_SQL} ELSE p.status END AS status,
+       CASE WHEN p.status = 'created' AND {REBUILT_SQL} = 'completed' THEN TIMESTAMP '{NOW}' ELSE p.last_run_date END AS last_run_date
+FROM reports p
+""", growing=False))
 def q_rebuild_all_pending(spark, sf):
-    """Every pending report built from one shared snapshot; a failing definition does not stop the rest."""
-    out = rep.rebuild(spark, sec.snapshot(section_records(spark, sf)), definitions(spark, sf),
-                      scratch_path(spark, "reports"))
-    return out.select("report_id", "org_id", "status")
+    """Every pending report of the regions built from one shared store, a failing definition not stopping the rest; then the
+    status of all reports. A second rebuild finds nothing to do."""
+    defs, base, clock = region_definitions(spark, sf), scratch_path(spark, "reports"), lambda: dt.datetime.fromisoformat(NOW)
+    records = store(spark, sf)
+    rep.rebuild(spark, records, defs, base, clock=clock)
+    assert rep.rebuild(spark, records, defs, base, clock=clock).isEmpty()
+    runs = run_log.read(spark, f"{base}/runs")
+    return run_log.states(defs["reports"], runs).select("report_id", "org_id", "status", "last_run_date")
 
 
 # ---------------------------------------------------------------------------
@@ -801,11 +909,18 @@ def q_fn_now(spark, sf):
     return definitions(spark, sf)["reports"].select("report_id", "org_id", now_col().alias("checked_at"))
 
 
-@register("fn_report_id")
+@register("fn_report_id", with_fixture("""
+SELECT request_id, org_id, true AS is_positive, true AS is_unique, true AS is_new, true AS is_stable FROM req WHERE report_id IS NULL
+""", REQ))
 def q_fn_report_id(spark, sf):
-    """Ids of new reports: a 63-bit hash of org, request and save time (rows-only check)."""
-    reqs = requests(spark, sf).where(F.col("report_id").isNull())
-    return reqs.select("request_id", "org_id", F.abs(F.xxhash64("org_id", "request_id", now_col())).alias("report_id"))
+    """Ids of new reports: positive, unique, unlike all stored ids, and the same when allocated again."""
+    reqs, reports = requests(spark, sf), definitions(spark, sf)["reports"]
+    ids, again = (dfn.allocate_ids(reqs, reports, now_col()) for _ in range(2))
+    shared = ids.groupBy("report_id").agg(F.count("*").alias("n"))
+    stored = reports.select("report_id", F.lit(True).alias("stored")).distinct()
+    out = ids.join(again.withColumnRenamed("report_id", "second"), ["request_id", "org_id"], "left").join(shared, "report_id").join(stored, "report_id", "left")
+    return out.select("request_id", "org_id", (F.col("report_id") > 0).alias("is_positive"), (F.col("n") == 1).alias("is_unique"),
+                      F.col("stored").isNull().alias("is_new"), F.col("report_id").eqNullSafe(F.col("second")).alias("is_stable"))
 
 
 def tasks(spark, sf):
@@ -884,8 +999,8 @@ def q_tasks_kpi(spark, sf):
 # Sources and sinks
 # ---------------------------------------------------------------------------
 
-from sectora.functions.types import warehouse_columns  # noqa: E402
 from sectora.sinks import tables as sink  # noqa: E402
+from sectora.sinks import wide as wide_sink  # noqa: E402
 from sectora.sources.files import read_parquet  # noqa: E402
 
 
@@ -896,11 +1011,12 @@ def q_scan_parquet(spark, sf):
 
 @register("sink_table_overwrite", with_fixture("SELECT * FROM catalog", CATALOG_CTE))
 def q_sink_table_overwrite(spark, sf):
+    """A typed table replaced twice, each time by one commit; readers follow the newest."""
     c = catalog(spark, sf)
     path = scratch_path(spark, "attribute_section")
-    sink.write_table(c.union(c), path, "overwrite")
-    sink.write_table(c, path, "overwrite")
-    return spark.read.parquet(path)
+    sink.replace_table(c.union(c), path)
+    sink.replace_table(c, path)
+    return sink.read_table(spark, path)
 
 
 @register("sink_table_append", with_fixture("""
@@ -928,13 +1044,18 @@ def q_sink_skip_empty(spark, sf):
     return spark.read.parquet(path)
 
 
-@register("sink_parquet_sections", ATTRS_JSON_SQL)
+ALL_IDS = [b + 1000 * o for o in range(5) for b, _, s, _ in fixtures.ATTRIBUTE_TEMPLATES if s in (1, 2)]
+
+
+@register("sink_parquet_sections", with_fixture("SELECT c.record_id, c.org_id, c.section_id, c.section_name" + "".join(
+    f', min(CASE WHEN kv.attribute_id = {a} THEN kv.value END) AS "{a}"' for a in ALL_IDS) + """
+FROM ctx c LEFT JOIN kv ON kv.record_id = c.record_id GROUP BY c.record_id, c.org_id, c.section_id, c.section_name"""))
 def q_sink_parquet_sections(spark, sf):
-    """Export all sections partitioned by org and section, then read all of them back."""
-    path = scratch_path(spark, "sections")
-    sink.export_sections(section_records(spark, sf), path)
-    back = spark.read.parquet(path).withColumns({c: F.col(c).cast("long") for c in ("org_id", "section_id")})
-    return sec.records_as_json(back).withColumn("n_attrs", F.col("n_attrs").cast("long"))
+    """Export every section to a folder with columns of its own, then read all of them back under the union of their columns."""
+    e, base = eav(spark, sf), scratch_path(spark, "sections")
+    wide_sink.export_wide(sec.section_records(e), sec.section_attributes(e), base)
+    back = wide_sink.read_all(spark, base)
+    return back.select("record_id", "org_id", "section_id", "section_name", *[f"`{a}`" for a in ALL_IDS])
 
 
 @register("sink_name_sanitize", with_fixture("""
@@ -948,11 +1069,27 @@ def q_sink_name_sanitize(spark, sf):
     return sink.sanitize_columns(renamed)
 
 
-@register("sink_type_map")
+@register("sink_type_map", with_fixture("""
+SELECT 'record_id' AS column_name, 'INTEGER' AS warehouse_type, 'int' AS stored_type, count(*) FILTER (record_id <= 2147483647) AS n_values,
+       count(*) FILTER (record_id > 2147483647) AS n_rejected FROM vals
+UNION ALL SELECT 'attribute_id', 'BIGINT', 'bigint', count(*) FILTER (record_id <= 2147483647 AND strlen(coalesce(value, '')) <= 12), 0 FROM vals WHERE record_id <= 2147483647
+UNION ALL SELECT 'value', 'VARCHAR(12)', 'string', count(value) FILTER (record_id <= 2147483647 AND strlen(value) <= 12), count(*) FILTER (strlen(value) > 12) FROM vals
+""".replace("count(*) FILTER (record_id <= 2147483647) AS n_values", "count(*) FILTER (record_id <= 2147483647 AND strlen(coalesce(value, '')) <= 12) AS n_values")))
 def q_sink_type_map(spark, sf):
-    """Warehouse column types of the catalog table (rows-only: derived from a schema)."""
-    cols = warehouse_columns(catalog(spark, sf).schema)
-    return spark.createDataFrame(cols, "column_name string, warehouse_type string")
+    """All values written to a typed target: the type map applied as casts, with overflowing ids and texts of too many bytes reported."""
+    path = scratch_path(spark, "typed_values")
+    columns = [("record_id", "INTEGER"), ("attribute_id", "BIGINT"), ("value", "VARCHAR(12)")]
+    done = sink.replace_table(eav(spark, sf).values, path, columns, on_violation="report")
+    table = sink.read_table(spark, path)
+    rejects = spark.read.parquet(done.rejects).select(F.explode("_violations").alias("v")) if done.rejects else None
+    counts = table.agg(*[F.count(c).alias(c) for c, _ in columns]).unpivot([], [c for c, _ in columns], "column_name", "n_values")
+    types = F.create_map(*[F.lit(x) for c, t in columns for x in (c, t)])
+    stored = F.create_map(*[F.lit(x) for c, t in table.dtypes for x in (c, t)])
+    bad = spark.range(0).select(F.lit("").alias("column_name"), F.col("id").alias("n_rejected")) if rejects is None else rejects.groupBy(
+        F.col("v.column").alias("column_name")).agg(F.count("*").alias("n_rejected"))
+    return counts.join(bad, "column_name", "left").select(
+        "column_name", types[F.col("column_name")].alias("warehouse_type"), stored[F.col("column_name")].alias("stored_type"), "n_values",
+        F.coalesce("n_rejected", F.lit(0)).cast("long").alias("n_rejected"))
 
 
 # ---------------------------------------------------------------------------
@@ -962,28 +1099,22 @@ def q_sink_type_map(spark, sf):
 from sectora.streaming import change_events, start_rebuild_stream  # noqa: E402
 
 
-@register("stream_rebuild", with_fixture("SELECT target_id AS report_id, org_id, 'completed' AS status FROM v", UPSERT_CTES))
+@register("stream_rebuild", with_fixture(f"""
+SELECT target_id AS report_id, org_id, 'completed' AS status FROM v
+UNION ALL SELECT p.report_id, p.org_id, {REBUILT_SQL} FROM reports p WHERE p.status = 'created' AND NOT EXISTS (
+  SELECT 1 FROM v WHERE v.target_id = p.report_id AND v.org_id = p.org_id)
+""", REGION_UPSERT_CTES, growing=False))
 def q_stream_rebuild(spark, sf):
-    """Saved definitions emit change events; the stream rebuilds each changed report once."""
-    reqs = requests(spark, sf)
-    state = definitions(spark, sf)
-    errs = dfn.validate_definitions(reqs, cat.catalog_keys_table(eav(spark, sf)), state["reports"])
-    new_state = dfn.apply_definitions(state, reqs, errs, now_col(), new_id=F.lit(1000000) + F.col("request_id"))
+    """Saved definitions and those still pending emit change events, each twice; the stream rebuilds each report once, and one of
+    every region fails by its definition."""
+    state = {n: df for n, df in upserted(spark, sf, growing=False).items()}
     base = scratch_path(spark, "stream")
-    state_path = f"{base}/definitions"
-    for name, df in new_state.items():
-        df.write.parquet(f"{state_path}/{name}")
-    applied = (
-        reqs.join(errs.select("request_id").distinct(), "request_id", "left_anti")
-        .select("org_id", F.coalesce("report_id", F.lit(1000000) + F.col("request_id")).alias("report_id"))
-    )
-    change_events(applied).union(change_events(applied)).write.json(f"{base}/events")  # duplicates on purpose
-    records = sec.snapshot(section_records(spark, sf), f"{base}/section_records")
+    events = change_events(state["reports"].where("status = 'created'"), F.col("updated_at"))
+    events.union(events).write.json(f"{base}/events")  # duplicates on purpose
+    records = store(spark, sf)
     q = start_rebuild_stream(
         spark, f"{base}/events", f"{base}/checkpoint", f"{base}/outcomes",
-        records=lambda: records,
-        definitions=lambda: {n: spark.read.parquet(f"{state_path}/{n}") for n in new_state},
-        snapshots_path=f"{base}/reports",
+        records=lambda: records, definitions=lambda: state, snapshots_path=f"{base}/reports",
     )
     q.awaitTermination()
     return spark.read.parquet(f"{base}/outcomes").select("report_id", "org_id", "status")

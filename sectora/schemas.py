@@ -1,84 +1,7 @@
-"""Fixed schemas of the engine (normalised column names, ids as long)."""
+"""Fixed schemas of the engine."""
 
 from pyspark.sql import types as T
 
-RECORDS = T.StructType([
-    T.StructField("record_id", T.LongType()),
-    T.StructField("section_id", T.LongType()),
-    T.StructField("provider_id", T.LongType()),
-    T.StructField("org_id", T.LongType()),
-    T.StructField("record_is_deleted", T.BooleanType()),
-])
-
-SECTIONS = T.StructType([
-    T.StructField("section_id", T.LongType()),
-    T.StructField("section_name", T.StringType()),
-    T.StructField("section_is_deleted", T.BooleanType()),
-    T.StructField("section_is_active", T.BooleanType()),
-])
-
-ATTRIBUTES = T.StructType([
-    T.StructField("attribute_id", T.LongType()),
-    T.StructField("attribute_name", T.StringType()),
-    T.StructField("section_id", T.LongType()),
-    T.StructField("org_id", T.LongType()),
-    T.StructField("attribute_type", T.StringType()),
-])
-
-OPTIONS = T.StructType([
-    T.StructField("attribute_id", T.LongType()),
-    T.StructField("attribute_option_value", T.StringType()),
-])
-
-VALUES = T.StructType([
-    T.StructField("record_id", T.LongType()),
-    T.StructField("attribute_id", T.LongType()),
-    T.StructField("value", T.StringType()),
-])
-
-# Definition tables after intake (org/section/attribute ids normalised to long).
-REPORTS = T.StructType([
-    T.StructField("report_id", T.LongType()),
-    T.StructField("org_id", T.LongType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("description", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("created_at", T.TimestampNTZType()),
-    T.StructField("updated_at", T.TimestampNTZType()),
-    T.StructField("last_run_date", T.TimestampNTZType()),
-])
-
-REPORT_SECTIONS = T.StructType([
-    T.StructField("report_id", T.LongType()),
-    T.StructField("org_id", T.LongType()),
-    T.StructField("section_id", T.LongType()),
-])
-
-REPORT_ATTRIBUTES = T.StructType([
-    T.StructField("report_id", T.LongType()),
-    T.StructField("org_id", T.LongType()),
-    T.StructField("section_id", T.LongType()),
-    T.StructField("attribute_id", T.LongType()),
-])
-
-REPORT_FILTERS = T.StructType([
-    T.StructField("report_id", T.LongType()),
-    T.StructField("org_id", T.LongType()),
-    T.StructField("section_id", T.LongType()),
-    T.StructField("attribute_id", T.LongType()),
-    T.StructField("operator", T.StringType()),
-    T.StructField("value", T.StringType()),
-])
-
-REPORT_SORTS = T.StructType([
-    T.StructField("report_id", T.LongType()),
-    T.StructField("org_id", T.LongType()),
-    T.StructField("section_id", T.LongType()),
-    T.StructField("attribute_id", T.LongType()),
-    T.StructField("direction", T.StringType()),
-    T.StructField("sort_order", T.IntegerType()),
-])
-
 # A definition request as sent by a client. Ids are read as text (clients mix numbers and
 # strings) and cast at intake.
 REQUEST_BODY = T.StructType([
@@ -101,25 +24,3 @@ REQUEST_BODY = T.StructType([
         T.StructField("sortOrder", T.StringType()),
     ]))),
 ])
-
-TASK_FIELD = T.StructType([
-    T.StructField("label", T.StringType()),
-    T.StructField("value", T.StringType()),
-    T.StructField("required", T.BooleanType()),
-    T.StructField("placeholder", T.StringType()),
-])
-
-TASKS = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("provider_id", T.LongType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("description", T.StringType()),
-    T.StructField("dueDate", T.StringType()),
-    T.StructField("requestedBy", T.StringType()),
-    T.StructField("sectionName", T.StringType()),
-    T.StructField("documentName", T.StringType()),
-    T.StructField("formName", T.StringType()),
-    T.StructField("fields", T.ArrayType(TASK_FIELD)),
-])

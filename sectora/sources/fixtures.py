@@ -21,6 +21,7 @@ Rules (org = the customer's region, provider = the customer):
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -117,9 +118,8 @@ def eav_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     ords = orders(spark, sf_dir)
     region = table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("org_id"))
 
-    section = spark.createDataFrame(
-        SECTION_ROWS, "id long, name string, is_deleted boolean, is_active boolean"
-    )
+    row = T.StructType.fromDDL("id long, name string, is_deleted boolean, is_active boolean")
+    section = expand(spark.range(1).withColumnRenamed("id", "_one"), SECTION_ROWS, row).drop("_one")
 
     sect = T.StructType([T.StructField("section_id", T.LongType())])
     cust_records = expand(cust, [(1,), (3,), (4,), (5,)], sect).select(
@@ -216,7 +216,7 @@ def fixture_eav(spark: SparkSession, sf_dir: str) -> Eav:
 
 
 # ---------------------------------------------------------------------------
-# Report definitions: five per org.
+# Report definitions: five per org, and one per customer (of the kind ``custkey % 5 + 1``), so that their number grows.
 #  1 two sections, a filter on each, two sorts
 #  2 one section (+ a section without attributes), one sort
 #  3 a filter on a section absent from the report, a null value, a text '>' compare
@@ -261,34 +261,49 @@ def _regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def definition_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five definition tables as stored (org and some ids as text), five reports per org."""
+def owners(spark: SparkSession, sf_dir: str, growing: bool = True) -> DataFrame:
+    """Who owns reports: ``owner, org_id, r_name, only``. A region owns one of every kind, a customer the kind ``only``."""
     regions = _regions(spark, sf_dir)
-    rid = (F.col("org_id") * 100 + F.col("k")).cast("long")
+    own = regions.select(F.col("org_id").alias("owner"), "org_id", "r_name", F.lit(None).cast("long").alias("only"))
+    if not growing:
+        return own
+    cust = customers(spark, sf_dir).select("c_custkey", "org_id").join(regions, "org_id")
+    return own.unionByName(cust.select((F.col("c_custkey") + 1000).alias("owner"), "org_id", "r_name", (F.col("c_custkey") % 5 + 1).alias("only")))
+
+
+def definition_sources(spark: SparkSession, sf_dir: str, growing: bool = True) -> dict[str, DataFrame]:
+    """The five definition tables as stored (org and some ids as text): five reports per org, and with ``growing`` one per customer."""
+    owned = owners(spark, sf_dir, growing)
+
+    def per_owner(rows, schema) -> DataFrame:
+        return expand(owned, rows, schema).where(F.col("only").isNull() | (F.col("only") == F.col("k")))
+
+    rid = (F.col("owner") * 100 + F.col("k")).cast("long")
+    hours = (F.col("owner") % 1000 * 100 + F.col("k")).cast("int")
     base_ts = F.to_timestamp_ntz(F.lit(BASE_TIME))
 
     kt = T.StructType([T.StructField("k", T.LongType()), T.StructField("status", T.StringType())])
-    reports = expand(regions, sorted(REPORT_STATUS.items()), kt).select(
+    reports = per_owner(sorted(REPORT_STATUS.items()), kt).select(
         rid.alias("report_id"),
         F.col("org_id").cast("string").alias("org_id"),
         F.concat(F.lit("Report "), F.col("k").cast("string"), F.lit(" "), F.col("r_name")).alias("name"),
         F.concat(F.lit("definition "), F.col("k").cast("string")).alias("description"),
         "status",
-        (base_ts + F.make_dt_interval(F.lit(0), rid)).alias("created_at"),
+        (base_ts + F.make_dt_interval(F.lit(0), hours)).alias("created_at"),
         (base_ts + F.make_dt_interval(F.lit(60) + F.col("k") % 3)).alias("updated_at"),
-        F.when(F.col("status") == "completed", base_ts + F.make_dt_interval(F.lit(1), rid))
+        F.when(F.col("status") == "completed", base_ts + F.make_dt_interval(F.lit(1), hours))
         .alias("last_run_date"),
     )
 
     st = T.StructType([T.StructField("k", T.LongType()), T.StructField("sid", T.LongType())])
-    report_sections = expand(regions, REPORT_SECTION_ROWS, st).select(
+    report_sections = per_owner(REPORT_SECTION_ROWS, st).select(
         rid.alias("report_id"), F.col("org_id").cast("string").alias("org_id"),
         F.col("sid").cast("int").alias("section_id"),
     )
     at = T.StructType([
         T.StructField("k", T.LongType()), T.StructField("sid", T.LongType()), T.StructField("base", T.LongType()),
     ])
-    report_attrs = expand(regions, REPORT_ATTRIBUTE_ROWS, at).select(
+    report_attrs = per_owner(REPORT_ATTRIBUTE_ROWS, at).select(
         rid.alias("report_id"), F.col("org_id").cast("string").alias("org_id"),
         F.col("sid").cast("int").alias("section_id"),
         (F.col("base") + F.col("org_id") * ORG_STRIDE).cast("int").alias("attribute_id"),
@@ -297,7 +312,7 @@ def definition_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
         T.StructField("k", T.LongType()), T.StructField("sid", T.LongType()), T.StructField("base", T.LongType()),
         T.StructField("op", T.StringType()), T.StructField("val", T.StringType()),
     ])
-    report_filters = expand(regions, REPORT_FILTER_ROWS, ft).select(
+    report_filters = per_owner(REPORT_FILTER_ROWS, ft).select(
         rid.alias("report_id"), F.col("org_id").cast("string").alias("org_id"),
         F.col("sid").cast("string").alias("section_id"),
         (F.col("base") + F.col("org_id") * ORG_STRIDE).cast("string").alias("attribute_id"),
@@ -307,7 +322,7 @@ def definition_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
         T.StructField("k", T.LongType()), T.StructField("sid", T.LongType()), T.StructField("base", T.LongType()),
         T.StructField("dir", T.StringType()), T.StructField("so", T.IntegerType()),
     ])
-    report_sorts = expand(regions, REPORT_SORT_ROWS, sot).select(
+    report_sorts = per_owner(REPORT_SORT_ROWS, sot).select(
         rid.alias("report_id"), F.col("org_id").cast("string").alias("org_id"),
         F.col("sid").cast("string").alias("section_id"),
         (F.col("base") + F.col("org_id") * ORG_STRIDE).cast("string").alias("attribute_id"),
@@ -349,17 +364,28 @@ REQUEST_TEMPLATES = [
 ]
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Definition requests ``(request_id, org_id, report_id, body)``; ``report_id`` null = create."""
+def requests(spark: SparkSession, sf_dir: str, growing: bool = True) -> DataFrame:
+    """Definition requests ``(request_id, org_id, report_id, body)``; ``report_id`` null = create.
+
+    Each region sends every template once; with ``growing`` each order sends the template ``orderkey % 20 + 1``, which
+    edits its customer's report where the template edits its own.
+    """
     regions = _regions(spark, sf_dir)
     rt = T.StructType([
         T.StructField("j", T.LongType()), T.StructField("target", T.StringType()), T.StructField("tmpl", T.StringType()),
     ])
-    rows = expand(regions, REQUEST_TEMPLATES, rt)
+    rows = expand(regions, REQUEST_TEMPLATES, rt).select(
+        "org_id", "r_name", "j", "target", (F.col("org_id") * 100 + F.col("j")).alias("request_id"), (F.col("org_id") * 100 + 2).alias("own"))
+    if growing:
+        sent = orders(spark, sf_dir).join(regions, "org_id").withColumn("j", F.col("o_orderkey") % 20 + 1)
+        target = functools.reduce(lambda c, t: c.when(F.col("j") == t[0], F.lit(t[1])), REQUEST_TEMPLATES[1:], F.when(F.col("j") == 1, F.lit(None).cast("string")))
+        rows = rows.unionByName(sent.select(
+            "org_id", "r_name", "j", target.alias("target"), (F.col("o_orderkey") + 1_000_000).alias("request_id"),
+            ((F.col("o_custkey") + 1000) * 100 + F.col("o_custkey") % 5 + 1).alias("own")))
     return rows.select(
-        (F.col("org_id") * 100 + F.col("j")).cast("long").alias("request_id"),
+        F.col("request_id").cast("long").alias("request_id"),
         "org_id",
-        F.when(F.col("target") == "own", F.col("org_id") * 100 + 2)
+        F.when(F.col("target") == "own", F.col("own"))
         .when(F.col("target") == "other", F.pmod(F.col("org_id") + 1, F.lit(5)) * 100 + 2)
         .cast("long").alias("report_id"),
         _format_body().alias("body"),
@@ -417,7 +443,7 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("title"),
         F.col("props").alias("description"),
         F.date_format(F.col("ts"), "yyyy-MM-dd").alias("dueDate"),
-        F.when(t == "signature", "Enrollment Team").otherwise("Credentialing Admin").alias("requestedBy"),
+        F.when(t == "signature", "Harbour Desk").otherwise("Quay Office").alias("requestedBy"),
         F.when(t == "profile", F.when(blank_every_5, F.lit("")).otherwise(F.lit("Profile"))).alias("sectionName"),
         F.when(t == "document", F.when(blank_every_5, F.lit("")).otherwise(F.concat(F.lit("doc_"), name_part, F.lit(".pdf")))).alias("documentName"),
         F.when(t == "signature", F.concat(F.lit("form_"), name_part, F.lit(".pdf"))).alias("formName"),
