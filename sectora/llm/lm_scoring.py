@@ -45,6 +45,8 @@ from sectora.llm import common
 
 VOCABULARY, HEAD, CLASSES = 2048, 200_000, 32
 WIDTH, EMBEDDING, WINDOW, LANES = 16, 16, 16, 192
+#: Scoring takes no steps, so its lanes and windows only fit the caches.
+SCORE_LANES, SCORE_WINDOW = 512, 8
 START, EPOCHS, ROUNDS, RATE = 1500, 3, 2, 0.08
 AVERAGERS = 16
 SLICE = 16_000_000
@@ -60,26 +62,33 @@ _IBERIAN = tuple("ñóíáú".encode()[k : k + 2] for k in range(0, 10, 2))
 FORMS = 64
 
 
+#: Kind of a word's last character, by its byte: letter, punctuation, digit, other.
+_ENDING = bytes(0 if 97 <= b <= 122 or b >= 128 else 1 if b in b".,;:?" else 2 if 48 <= b <= 57 else 3 for b in range(256))
+_PUNCTUATION = b".,;:?!#*$%&|<>\"')"
+
+
 def form(word: bytes) -> int:
     """The form class of a word: alphabet (4) x last character (4) x its last letters (4)."""
     if word.isascii():
         alphabet = 0
     elif any(x in word for x in _GERMANIC):
-        alphabet = 1
+        alphabet = 16
     elif any(x in word for x in _IBERIAN):
-        alphabet = 2
+        alphabet = 32
     else:
-        alphabet = 3
-    last = word[-1]
-    ending = 0 if 97 <= last <= 122 or last >= 128 else 1 if last in b".,;:?" else 2 if 48 <= last <= 57 else 3
-    letters = word.rstrip(b".,;:?!#*$%&|<>\"')")[-2:]
-    return alphabet * 16 + ending * 4 + sum(letters) % 4
+        alphabet = 48
+    return alphabet + 4 * _ENDING[word[-1]] + sum(word.rstrip(_PUNCTUATION)[-2:]) % 4
 
 
 def _signed(h: int) -> int:
     return h - _SIGNED if h >= _SIGNED >> 1 else h
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    """The words' hashes as signed longs."""
+    return np.fromiter(map(common.word_hash, words), np.uint64, len(words)).view(np.int64)
+
+
 def _described(word: bytes) -> tuple[int, int]:
     """(hash as a signed long, form class)."""
     return _signed(common.word_hash(word)), form(word)
@@ -97,12 +106,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ends = 0
 
     def flush():
-        items = list(counts.items())
+        words, numbers = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
         counts.clear()
-        for at in range(0, len(items), 50_000):
-            part = items[at : at + 50_000]
-            told = [_described(w) for w, _ in part]
-            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in told], pa.int64()), pa.array([k for _, k in told], pa.int32()), pa.array([n for _, n in part], pa.int64())], ["token", "form", "n"])
+        for at in range(0, len(words), 50_000):
+            part = words[at : at + 50_000]
+            kinds = np.fromiter(map(form, part), np.int32, len(part))
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(part)), pa.array(kinds), pa.array(numbers[at : at + 50_000])], ["token", "form", "n"])
 
     for batch in batches:
         for text in common.byte_texts(batch.column(1)):
@@ -162,9 +171,6 @@ class Vocabulary:
         self.share = np.log10(self.form_n + self.form_v + 1)
         self.base = math.log10(self.n + self.v + 1)
 
-    def index(self) -> dict[int, int]:
-        return {h: k for k, h in enumerate(self.words.tolist())}
-
 
 class Reader(dict):
     """Turns texts into numbers of a memo: a word's model id, its log10(c + 1) if that is broadcast (else 0), its hash.
@@ -174,28 +180,60 @@ class Reader(dict):
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.words = vocabulary.index()
-        self.head = dict(zip(vocabulary.tokens.tolist(), np.log10(vocabulary.counts + 1.0).tolist(), strict=True))
+        order = np.argsort(vocabulary.words)
+        self.model_hashes, self.model_ids = vocabulary.words[order], order.astype(np.int32)
+        self.tokens, self.token_logs = vocabulary.tokens, np.log10(vocabulary.counts + 1.0)
         self.ids, self.logs, self.hashes = np.zeros(MEMO, np.int32), np.zeros(MEMO), np.zeros(MEMO, np.int64)
 
-    def __missing__(self, word: bytes) -> int:
-        slot = len(self)
-        if slot == len(self.ids):
+    def meet(self, words: set[bytes]) -> None:
+        """Take up the words that aren't known yet, all at once."""
+        new = [w for w in words if w not in self]
+        if not new:
+            return
+        first, stop = len(self), len(self) + len(new)
+        while stop > len(self.ids):
             self.ids, self.logs, self.hashes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.ids, self.logs, self.hashes))
-        h, kind = _described(word)
-        self.ids[slot], self.logs[slot], self.hashes[slot] = self.words.get(h, VOCABULARY + kind), self.head.get(h, 0.0), h
-        self[word] = slot
-        return slot
+        hashes = _hashes(new)
+        self.hashes[first:stop] = hashes
+        at = np.minimum(np.searchsorted(self.model_hashes, hashes), len(self.model_hashes) - 1)
+        kinds = np.fromiter(map(form, new), np.int32, len(new))
+        self.ids[first:stop] = np.where(self.model_hashes[at] == hashes, self.model_ids[at], VOCABULARY + kinds)
+        self.logs[first:stop] = 0.0
+        if len(self.tokens):
+            at = np.minimum(np.searchsorted(self.tokens, hashes), len(self.tokens) - 1)
+            self.logs[first:stop] = np.where(self.tokens[at] == hashes, self.token_logs[at], 0.0)
+        self.update(zip(new, range(first, stop), strict=True))
 
     def read(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """The words' numbers, and the model ids of the words and the end token (0)."""
+        return self.read_all([text])[0]
+
+    def read_all(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``read`` of several texts; the memo empties before them, so the numbers of all hold until the next call."""
         if len(self) > MEMO:
             self.clear()
-        cut = text.lower().split()
-        slots = np.fromiter(map(self.__getitem__, cut), np.int64, len(cut))
-        ids = np.zeros(len(cut) + 1, np.int32)
-        ids[:-1] = self.ids[slots]
-        return slots, ids
+        out = []
+        cuts = [t.lower().split() for t in texts]
+        self.meet(set().union(*cuts))
+        for cut in cuts:
+            slots = np.fromiter(map(self.__getitem__, cut), np.int64, len(cut))
+            ids = np.zeros(len(cut) + 1, np.int32)
+            ids[:-1] = self.ids[slots]
+            out.append((slots, ids))
+        return out
+
+
+def _groups(texts: Iterator[bytes], most: int = 2_000_000) -> Iterator[list[bytes]]:
+    """Texts in lists of about ``most`` bytes, one at least."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 # -- the network ---------------------------------------------------------------------------------------------------
@@ -227,12 +265,12 @@ def unpacked(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndar
     return out
 
 
-def lanes(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def lanes(texts: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(targets, inputs, owners), each (steps, lanes): texts one after another in the least filled lane.
 
     Unused places have owner -1; lanes are ordered by falling length. A text's first input is the end token (0).
     """
-    count = max(1, min(LANES, len(texts)))
+    count = max(1, min(most, len(texts)))
     fill, heap = [[] for _ in range(count)], [(0, k) for k in range(count)]
     for t in sorted(range(len(texts)), key=lambda t: -len(texts[t])):
         load, k = heapq.heappop(heap)
@@ -255,9 +293,35 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _exponents(x: np.ndarray, bound: float) -> np.ndarray:
+    """exp(x) in place, each row scaled by its maximum unless ``bound`` rules an overflow out."""
+    if not bound < 60:
+        x -= x.max(axis=1, keepdims=True)
+    return np.exp(x, out=x)
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
+def _softmax(x: np.ndarray, bound: float) -> np.ndarray:
+    """Rows of x as probabilities, in place."""
+    x = _exponents(x, bound)
+    x /= _row_sums(x)[:, None]
+    return x
+
+
+def _log_at(x: np.ndarray, at: np.ndarray, bound: float) -> np.ndarray:
+    """The logarithm of each row's probability at one place; x is used up."""
+    if not bound < 60:
+        x -= x.max(axis=1, keepdims=True)
+    chosen = x[np.arange(len(x)), at]
+    return chosen - np.log(_row_sums(np.exp(x, out=x)))
+
+
+def _bound(weights: np.ndarray, bias: np.ndarray) -> float:
+    """No output exceeds this, as states lie between -1 and 1."""
+    return float((np.abs(weights).sum(axis=0) + np.abs(bias)).max()) if bias.size else 0.0
 
 
 def _classes(v: Vocabulary, ids: np.ndarray) -> np.ndarray:
@@ -276,10 +340,11 @@ def _by_class(v: Vocabulary, ids: np.ndarray, cls: np.ndarray) -> Iterator[tuple
 def log_probabilities(v: Vocabulary, w: dict[str, np.ndarray], h: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural logarithms of P(class | state), times P(word | class, state) for predicted words."""
     cls = _classes(v, ids)
-    out = _log_softmax(h @ w["wc"] + w["bc"])[np.arange(len(ids)), cls]
+    out = _log_at(h @ w["wc"] + w["bc"], cls, _bound(w["wc"], w["bc"]))
+    most = _bound(w["wo"], w["bo"])
     for k, rows in _by_class(v, ids, cls):
         part = slice(v.starts[k], v.starts[k + 1])
-        out[rows] += _log_softmax(h[rows] @ w["wo"][:, part] + w["bo"][part])[np.arange(len(rows)), v.place[ids[rows]]]
+        out[rows] += _log_at(h[rows] @ w["wo"][:, part] + w["bo"][part], v.place[ids[rows]], most)
     return out
 
 
@@ -307,11 +372,11 @@ def _windows(owner: np.ndarray, size: int) -> Iterator[tuple[int, int, int, np.n
 
 def score_texts(v: Vocabulary, w: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
     """log10 of the model's part of each text's probability: all but the shares inside form classes."""
-    target, source, owner = lanes(texts)
+    target, source, owner = lanes(texts, SCORE_LANES)
     table = w["emb"] @ w["wx"] + w["bx"]
     out = np.zeros(len(texts))
     h = np.zeros((target.shape[1], WIDTH), np.float32)
-    for at, stop, count, before in _windows(owner, 4 * WINDOW):
+    for at, stop, count, before in _windows(owner, SCORE_WINDOW):
         states = np.empty((stop - at, count, WIDTH), np.float32)
         own = owner[at:stop, :count]
         h = _advance(w, table, source[at:stop, :count], own, before, h[:count], states)
@@ -336,7 +401,7 @@ class Trainer:
         self.w[name][rows] -= RATE * g / np.sqrt(self.square[name][rows])
 
     def learn(self, texts: list[np.ndarray]) -> None:
-        target, source, owner = lanes(texts)
+        target, source, owner = lanes(texts, LANES)
         h = np.zeros((target.shape[1], WIDTH), np.float32)
         for at, stop, count, before in _windows(owner, WINDOW):
             h = self._window(target[at:stop, :count], source[at:stop, :count], owner[at:stop, :count], before, h[:count])
@@ -347,60 +412,60 @@ class Trainer:
         steps, count = target.shape
         embedded = w["emb"][source.ravel()]
         x = (embedded @ w["wx"] + w["bx"]).reshape(steps, count, 3 * size)
-        kept, kept_in, gates, news, hn = [], [], [], [], []
-        states = np.empty((steps, count, size), np.float32)
+        kept = np.empty((steps, count, 1), np.float32)
+        entered, gates, news, inner, states = (np.empty((steps, count, k * size), np.float32) for k in (1, 2, 1, 1, 1))
         for t in range(steps):
-            same = (owner[t] == (owner[t - 1] if t else before))[:, None].astype(np.float32)
-            h = h * same
-            g = h @ w["wh"]
-            zr = _sigmoid(x[t, :, : 2 * size] + g[:, : 2 * size])
-            n = np.tanh(x[t, :, 2 * size :] + zr[:, size:] * g[:, 2 * size :])
-            kept.append(same)
-            kept_in.append(h)
-            gates.append(zr)
-            news.append(n)
-            hn.append(g[:, 2 * size :])
-            h = n + zr[:, :size] * (h - n)
-            states[t] = h
+            np.equal(owner[t], owner[t - 1] if t else before, out=kept[t, :, 0], casting="unsafe")
+            np.multiply(h, kept[t], out=entered[t])
+            g = entered[t] @ w["wh"]
+            inner[t] = g[:, 2 * size :]
+            g += x[t]
+            gates[t] = _sigmoid(g[:, : 2 * size])
+            news[t] = np.tanh(x[t, :, 2 * size :] + gates[t, :, size:] * inner[t])
+            h = np.add(news[t], gates[t, :, :size] * (entered[t] - news[t]), out=states[t])
         # output layer, all steps at once; gradients are means over the window's real tokens, times a lane count
         real = np.flatnonzero(owner.ravel() >= 0)
         flat, ids = states.reshape(-1, size)[real], target.ravel()[real]
         scale = np.float32(1.0 / max(1, count))
         cls = _classes(v, ids)
-        p = np.exp(_log_softmax(flat @ w["wc"] + w["bc"]))
+        p = _softmax(flat @ w["wc"] + w["bc"], _bound(w["wc"], w["bc"]))
         p[np.arange(len(ids)), cls] -= 1
         p *= scale
         up = p @ w["wc"].T
-        updates = [("wc", flat.T @ p, slice(None)), ("bc", p.sum(axis=0), slice(None))]
+        out_w, out_b = np.zeros_like(w["wo"]), np.zeros_like(w["bo"])
+        updates = [("wc", flat.T @ p, slice(None)), ("bc", p.sum(axis=0), slice(None)), ("wo", out_w, slice(None)), ("bo", out_b, slice(None))]
+        most = _bound(w["wo"], w["bo"])
         for k, rows in _by_class(v, ids, cls):
-            part = slice(v.starts[k], v.starts[k + 1])
-            q = np.exp(_log_softmax(flat[rows] @ w["wo"][:, part] + w["bo"][part]))
+            part, own = slice(v.starts[k], v.starts[k + 1]), flat[rows]
+            weights = w["wo"][:, part]
+            q = _softmax(own @ weights + w["bo"][part], most)
             q[np.arange(len(rows)), v.place[ids[rows]]] -= 1
             q *= scale
-            up[rows] += q @ w["wo"][:, part].T
-            updates += [("wo", flat[rows].T @ q, (slice(None), part)), ("bo", q.sum(axis=0), part)]
+            up[rows] += q @ weights.T
+            out_w[:, part], out_b[part] = own.T @ q, q.sum(axis=0)
         above = np.zeros((steps * count, size), np.float32)
         above[real] = up
         above = above.reshape(steps, count, size)
-        # back through the window
-        dx = np.empty((steps, count, 3 * size), np.float32)
-        dwh, down = np.zeros_like(w["wh"]), np.zeros((count, size), np.float32)
+        # back through the window; all that doesn't depend on the later steps is made at once
+        z, r = gates[:, :, :size], gates[:, :, size:]
+        of_z, of_n, of_r = (entered - news) * z * (1 - z), (1 - z) * (1 - news * news), inner * r * (1 - r)
+        dg = np.empty((steps, count, 3 * size), np.float32)
+        dn, back, down = np.empty((steps, count, size), np.float32), w["wh"].T.copy(), np.zeros((count, size), np.float32)
         for t in range(steps - 1, -1, -1):
             dh = above[t] + down
-            z, r, n = gates[t][:, :size], gates[t][:, size:], news[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (kept_in[t] - n) * z * (1 - z)
-            dr = dn * hn[t] * r * (1 - r)
-            dx[t, :, :size], dx[t, :, size : 2 * size], dx[t, :, 2 * size :] = dz, dr, dn
-            dg = np.concatenate([dz, dr, dn * r], axis=1)
-            dwh += kept_in[t].T @ dg
-            down = (dh * z + dg @ w["wh"].T) * kept[t]
-        dx = dx.reshape(-1, 3 * size)
+            np.multiply(dh, of_z[t], out=dg[t, :, :size])
+            np.multiply(dh, of_n[t], out=dn[t])
+            np.multiply(dn[t], of_r[t], out=dg[t, :, size : 2 * size])
+            np.multiply(dn[t], r[t], out=dg[t, :, 2 * size :])
+            down = (dh * z[t] + dg[t] @ back) * kept[t]
+        dwh = entered.reshape(-1, size).T @ dg.reshape(-1, 3 * size)
+        dg[:, :, 2 * size :] = dn
+        dx = dg.reshape(-1, 3 * size)
         de = dx @ w["wx"].T
         ids = source.ravel()
-        order = np.argsort(ids, kind="stable")
-        rows, first = np.unique(ids[order], return_index=True)
-        updates += [("wx", embedded.T @ dx, slice(None)), ("bx", dx.sum(axis=0), slice(None)), ("wh", dwh, slice(None)), ("emb", np.add.reduceat(de[order], first), rows)]
+        rows = np.flatnonzero(np.bincount(ids, minlength=len(w["emb"])))
+        summed = np.stack([np.bincount(ids, de[:, k], len(w["emb"]))[rows] for k in range(de.shape[1])], axis=1).astype(np.float32)
+        updates += [("wx", embedded.T @ dx, slice(None)), ("bx", dx.sum(axis=0), slice(None)), ("wh", dwh, slice(None)), ("emb", summed, rows)]
         for name, gradient, part in updates:
             self._update(name, gradient, part)
         return h
@@ -442,7 +507,7 @@ def _trained(texts: DataFrame, shared, key: str, state: list[dict[str, np.ndarra
         sample = []
         for whole in batches:
             for batch in common.slices(whole, SLICE):
-                ids = [reader.read(t)[1] for t in common.byte_texts(batch.column(1))]
+                ids = [own for some in _groups(common.byte_texts(batch.column(1))) for _, own in reader.read_all(some)]
                 if start:  # at most START texts
                     sample += ids
                 else:
@@ -488,12 +553,11 @@ def score(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         reader, w = _reader(key, v), weights.value
-        end = reader.head.get(_signed(END), 0.0)
+        end = float(np.log10(v.counts[v.tokens == _signed(END)] + 1.0).sum())
         for whole in batches:
             for batch in common.slices(whole, SLICE):
                 ids, tokens, found, base, out, rare, rare_n = [], [], [], [], [], [], []
-                for text in common.byte_texts(batch.column(1)):
-                    slots, own = reader.read(text)
+                for slots, own in (x for some in _groups(common.byte_texts(batch.column(1))) for x in reader.read_all(some)):
                     logs, other = reader.logs[slots], own[:-1] >= VOCABULARY
                     ids.append(own)
                     tokens.append(len(own))
