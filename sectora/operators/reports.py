@@ -163,24 +163,16 @@ def read_report(snapshot: DataFrame, sorts: Sequence[Sort] = (), limit: int = DE
     """First ``limit`` rows of a report in its sort order, in two phases.
 
     The first finds the addresses of those rows: a top-k over the sort keys and addresses alone, so neither the scan nor the
-    sort carries the report's other columns. The second fetches the rows of these at most ``limit`` addresses, by
-    a filter on the first section's records that reaches the scan. A snapshot without addresses is sorted whole.
+    sort carries the report's other columns. The second reads the rows of these at most ``limit`` records of the first section, by a
+    filter that reaches the scan, and orders them the same way. A snapshot without addresses is sorted whole.
     """
     if int(limit) <= 0:
         raise ValueError("limit must be greater than 0")
-    at = address(snapshot)
-    if not at:
-        return visible(order_report(snapshot, sorts).limit(int(limit)))
-    top = top_addresses(snapshot, sorts, limit).collect()
-    if not top:
-        return visible(snapshot.limit(0))
-    places = snapshot.sparkSession.createDataFrame(
-        [(k, *r) for k, r in enumerate(top)], ", ".join(["_place long", *(f"{c} long" for c in at)])
-    )
-    rows = snapshot.where(F.col(at[0]).isin(sorted({r[0] for r in top})))
-    match = functools.reduce(operator.and_, [rows[c].eqNullSafe(places[c]) for c in at])
-    # at most ``limit`` places
-    return visible(rows.join(F.broadcast(places), match).select(*[rows[c] for c in snapshot.columns], "_place").orderBy("_place").drop("_place"))
+    rows, at = snapshot, address(snapshot)
+    if at:
+        first = sorted({r[0] for r in top_addresses(snapshot, sorts, limit).collect()})
+        rows = snapshot.where(F.col(at[0]).isin(first)) if first else snapshot.limit(0)
+    return visible(order_report(rows, sorts).limit(int(limit)))
 
 
 def top_addresses(snapshot: DataFrame, sorts: Sequence[Sort], limit: int) -> DataFrame:
