@@ -11,7 +11,8 @@
 * ``write_warc`` and ``read_warc`` write and parse the result; the writer's row separator is the blank line that ends
   each WARC record. Reading recomputes the digest of every payload that is there.
 
-A file holds ``RECORDS`` rows at most and is parsed whole by one task.
+A file is closed at ``FILE_BYTES`` of records (or one record, if that is longer) and at ``RECORDS`` records; a row of the writer is a
+whole file, and one task parses it. A WARC file begins with a ``warcinfo`` record, as an ARC file does with its version block.
 
 Edge cases: a null html is the empty payload, a null url becomes ``about:blank``, white space in a url is
 percent-encoded; a record without page id keeps null and is the smallest among equals; equal page ids with equal
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from sectora.llm import common
 from sectora.session import scratch_path
 
-RECORDS = 2000
+RECORDS, FILE_BYTES = 2000, 16_000_000
 
 # The record definitions of the two ARC versions.
 ARC_FIELDS = {
@@ -71,7 +72,7 @@ def _arc_record(version: int, page_id: int | None, url: str | None, html: bytes)
     return f"{address} 0.0.0.0 {date} {middle} {len(content)}\n".encode() + content
 
 
-def write_arc(pages: DataFrame, path: str, records: int = RECORDS) -> None:
+def write_arc(pages: DataFrame, path: str, records: int = RECORDS, file_bytes: int = FILE_BYTES) -> None:
     """Write (page_id, url, html) as ARC files; odd partitions in version 1, even ones in version 2."""
     common.ship(pages.sparkSession)
 
@@ -79,27 +80,38 @@ def write_arc(pages: DataFrame, path: str, records: int = RECORDS) -> None:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        version, rows = 2 - part % 2, 0
-        for whole in batches:
-            for batch in common.slices(whole):
-                out = []
-                for page_id, html, url in zip(batch.column(0).to_pylist(), common.byte_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                    # the writer starts a new file after that many rows, so each file starts with a version block
-                    if rows % records == 0:
-                        out.append(_version_block(version, f"part-{part}-{rows // records}.arc"))
-                        rows += 1
-                    out.append(_arc_record(version, page_id, url, html))
-                    rows += 1
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
+        version = 2 - part % 2
+
+        def rows() -> Iterator[bytes]:
+            for batch in batches:
+                for page_id, html, url in zip(batch.column(0), common.byte_texts(batch.column(1)), batch.column(2), strict=True):
+                    yield _arc_record(version, page_id.as_py(), url.as_py(), html)
+
+        return _as_files(rows(), lambda n: _version_block(version, f"part-{part}-{n}.arc"), b"\n", records, file_bytes)
 
     rows = pages.select(F.col("page_id").cast("long"), "html", "url").mapInArrow(run, "record binary")
-    _write(rows, path, "\n", records)
+    _write(rows, path, "\n")
+
+
+def _as_files(records: Iterator[bytes], begin, separator: bytes, most: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Rows that are whole files: ``begin(number)`` and records, up to ``most_bytes`` or ``most`` records."""
+    held, size, n = [], 0, 0
+    for record in records:
+        if held and (size + len(record) > most_bytes or len(held) > most):
+            yield pa.RecordBatch.from_arrays([pa.array([separator.join(held)], pa.binary())], ["record"])
+            held, size, n = [], 0, n + 1
+        if not held:
+            held.append(begin(n))
+        held.append(record)
+        size += len(record)
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([separator.join(held)], pa.binary())], ["record"])
 
 
-def _write(rows: DataFrame, path: str, separator: str, most: int) -> None:
-    """One file a task and ``most`` rows; bytes are written as they are."""
+def _write(rows: DataFrame, path: str, separator: str) -> None:
+    """One file a row; bytes are written as they are, with the separator at the end."""
     text = rows.select(F.col("record").cast("string"))
-    text.write.option("lineSep", separator).option("compression", "gzip").option("maxRecordsPerFile", most).text(path)
+    text.write.option("lineSep", separator).option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
 
 
 def parse_arc(data: bytes, name: str) -> Iterator[tuple[int, list[str], bytes]]:
@@ -213,15 +225,26 @@ def _warc_record(row: dict) -> bytes:
     return "\r\n".join([*lines, f"Content-Length: {len(block)}"]).encode() + HTTP_END + block
 
 
-def write_warc(records: DataFrame, path: str, most: int = RECORDS) -> None:
+def write_warc(records: DataFrame, path: str, most: int = RECORDS, file_bytes: int = FILE_BYTES) -> None:
     """Write converted records as WARC files."""
     common.ship(records.sparkSession)
-    schema = pa.schema([("record", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _batched(((_warc_record(row),) for batch in batches for row in _rows(batch)), schema)
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        return _as_files((_warc_record(row) for batch in batches for row in _rows(batch)), lambda n: _info_record(f"part-{part}-{n}.warc"), HTTP_END, most, file_bytes)
+
+    _write(records.mapInArrow(run, "record binary"), path, "\r\n\r\n")
+
 
-    _write(records.mapInArrow(run, "record binary"), path, "\r\n\r\n", most)
+def _info_record(name: str) -> bytes:
+    block = b"format: WARC File Format 1.0\r\ndescription: converted from ARC\r\n"
+    lines = [
+        "WARC/1.0", "WARC-Type: warcinfo", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(NAMESPACE, name)}>", f"WARC-Date: {ARC_FIRST.strftime(WARC_DATE)}",
+        f"WARC-Filename: {name}", "Content-Type: application/warc-fields", f"Content-Length: {len(block)}",
+    ]
+    return "\r\n".join(lines).encode() + HTTP_END + block
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -259,6 +282,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     def rows(batches):
         for name, data in _opened(batches):
             for header, block in parse_warc(data, name):
+                if header["warc-type"] == "warcinfo":
+                    continue
                 _, payload, page, size = _http(block)
                 told = header["warc-payload-digest"].removeprefix("sha1:")
                 kind, refers = header["warc-type"], header.get("warc-refers-to", "").strip("<>") or None
@@ -280,4 +305,6 @@ def round_trip(pages: DataFrame, least_bytes: int = 0, records: int = RECORDS) -
     found = common.written(read_warc(spark, warc), "warc-records")
     # a response that many revisits refer to is one row on its side of this join
     named = found.where("record_type = 'response'").select(F.col("record_id").alias("refers_id"), F.col("page_id").alias("refers_to"))
-    return found.join(named, "refers_id", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri", "date")
+    # responses refer to nothing and don't take part
+    rest = found.where("refers_id is null").withColumn("refers_to", F.lit(None).cast("long"))
+    return found.where("refers_id is not null").join(named, "refers_id", "left").unionByName(rest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri", "date")
