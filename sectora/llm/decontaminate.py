@@ -38,6 +38,8 @@ from pyspark.sql import functions as F
 from sectora.llm import common
 
 EDITS, MIN_WORDS = 0.2, 5
+#: Items below this length drop no document in ``clean``.
+LEAST_WORDS = 3
 GROUPS = 60
 BLOCK = 20_000
 
@@ -66,16 +68,24 @@ def effort(n: int) -> tuple[int, int]:
 class Benchmark:
     """A block of items, ready to be searched for; everything in it is bounded by the block."""
 
-    def __init__(self, items: list[tuple[int, str | None]], seed: int = 0):
+    def __init__(self, items: list[tuple[int, str | None]], seed: int = 0, least_words: int = 1):
         cut = [(i, [w for w in map(normal, (t or "").encode().split()) if w]) for i, t in items]
-        cut = sorted((x for x in cut if len(x[1]) >= MIN_WORDS), key=lambda x: (len(x[1]), x[0] if x[0] is not None else -1))
-        self.ids = [i for i, _ in cut]
-        self.vocab = {w: k + 1 for k, w in enumerate(dict.fromkeys(w for _, c in cut for w in c))}
-        self.items = [np.array([self.vocab[w] for w in c], np.int64) for _, c in cut]
+        order = lambda x: (len(x[1]), x[0] if x[0] is not None else -1)
+        short = sorted((x for x in cut if max(1, least_words) <= len(x[1]) < MIN_WORDS), key=order)
+        cut = sorted((x for x in cut if len(x[1]) >= max(MIN_WORDS, least_words)), key=order)
+        self.ids = [i for i, _ in cut + short]
+        self.vocab = {w: k + 1 for k, w in enumerate(dict.fromkeys(w for _, c in cut + short for w in c))}
+        self.items = [np.array([self.vocab[w] for w in c], np.int64) for _, c in cut + short]
+        #: Items that allow no edit, by length: sorted hashes of their words, and their numbers
+        self.exact: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in sorted({len(c) for _, c in short}):
+            members = np.array([k for k in range(len(cut), len(self.items)) if len(self.items[k]) == n])
+            keys = self.run_hashes(np.concatenate([self.items[k] for k in members]), n)[::n]
+            self.exact[n] = keys[np.argsort(keys, kind="stable")], members[np.argsort(keys, kind="stable")]
         self.base = len(self.vocab) + 1
         #: id of a raw word: 0 if no item has it, -1 if nothing of it is left
         self.raw = common.Bounded(lambda w: self.vocab.get(n, 0) if (n := normal(w)) else -1)
-        sizes = np.array([len(x) for x in self.items], np.int64)
+        sizes = np.array([len(c) for _, c in cut], np.int64)
         ratio = max(1.02, (sizes.max() / MIN_WORDS) ** (1 / GROUPS)) if len(sizes) else 1.1
         group = np.unique(np.floor(np.log(sizes / MIN_WORDS) / np.log(ratio) + 1e-9), return_inverse=True)[1] if len(sizes) else sizes
         self.groups = []
@@ -103,6 +113,28 @@ class Benchmark:
         self.widest = max((g["span"] for g in self.groups), default=0)
         self.least = min((g["need"] for g in self.groups), default=0)
 
+    @staticmethod
+    def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
+        """A hash of each run of n words."""
+        acc = np.zeros(max(0, len(words) - n + 1), np.uint64)
+        for k in range(n):
+            acc = common.mix64(acc ^ words[k : len(words) - n + 1 + k].astype(np.uint64))
+        return acc
+
+    def search_exact(self, words: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(item, 0, first word, last word + 1) of the first place of every short item that the text holds word for word."""
+        for n, (keys, members) in self.exact.items():
+            if len(words) < n:
+                continue
+            runs = self.run_hashes(words, n)
+            seen = set()
+            for s in np.flatnonzero(np.isin(runs, keys)).tolist():
+                for k in range(*np.searchsorted(keys, runs[s : s + 1], "left"), *np.searchsorted(keys, runs[s : s + 1], "right")):
+                    item = int(members[k])
+                    if item not in seen and np.array_equal(self.items[item], words[s : s + n]):
+                        seen.add(item)
+                        yield item, 0, s, s + n
+
     @staticmethod
     def walk(windows: np.ndarray, at: np.ndarray) -> np.ndarray:
         """(walks, windows): hash of each walk's sampled positions. Beyond its end a window reads as 0."""
@@ -163,7 +195,7 @@ class Benchmark:
             step = max(1, min(20_000, 480_000 // len(entry["at"]), 8_000_000 // entry["size"]))  # bounds memory
             for part in range(0, len(starts), step):
                 self._bucket(entry, texts, owner[part : part + step], starts[part : part + step], candidates)
-        out = []
+        out = [(t, *found) for t, words in enumerate(texts) for found in self.search_exact(words)] if self.exact else []
         for (t, item), starts in sorted(candidates.items()):
             if best := self._verify(texts[t], item, sorted(starts)):
                 out.append((t, item, *best))
@@ -291,24 +323,27 @@ def _searcher(shared):
 _PREPARED: dict[int, Benchmark] = {}
 
 
-def _prepared(items: list[tuple[int, str | None]]) -> Benchmark:
+def _prepared(items: list[tuple[int, str | None]], least_words: int = 1) -> Benchmark:
     """The block's search structure, made once per worker process."""
-    key = hash(tuple(items))
+    key = hash((least_words, *items))
     if key not in _PREPARED:
         _PREPARED.clear()
-        _PREPARED[key] = Benchmark(items)
+        _PREPARED[key] = Benchmark(items, least_words=least_words)
     return _PREPARED[key]
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, all columns: a narrow filter for each block of items."""
+def clean(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, all columns: a narrow filter for each block of items.
+
+    Items of fewer than ``least_words`` words drop nothing: one or two words ("New York") stand in many clean texts.
+    """
     common.ship(docs.sparkSession)
     names = docs.columns
     at = names.index("text")
 
     def keeper(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bench = _prepared(shared.value)
+            bench = _prepared(shared.value, least_words)
             common.only(bench.raw)
             for whole in batches:
                 for batch in common.slices(whole, 8_000_000, at):
