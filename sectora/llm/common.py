@@ -57,6 +57,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, with underscores until no column has it in any letter case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(column: str, mod: int):
     """crc32 of the id's decimal text, modulo ``mod``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(mod)

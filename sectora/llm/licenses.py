@@ -119,15 +119,19 @@ def scan(files: DataFrame, text: str = "text", path: str = "path") -> DataFrame:
 
     ``origin`` is ``file`` (a licence file), ``header`` (a statement in the file), ``inherited`` or ``none``.
     """
-    rest = [c for c in files.columns if c not in (text, "row", "units", "licence", "cosine", "origin", "licence_directory")]
-    texts = files.select(F.col(text).alias("text"), *[F.col(f"`{c}`") for c in rest])
+    made = ("licence", "cosine", "origin", "licence_directory")
+    rest = [c for c in files.columns if c != text and c.lower() not in made]
+    # the input's columns travel as one, so that their names meet none of the names used here
+    given = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.struct(F.lit(None).alias("nothing"))
+    texts = files.select(F.col(f"`{text}`").alias("text"), F.col(f"`{path}`").alias("path"), given.alias("given"))
+    path = "path"
     templates = _template_words(files.sparkSession)
     vocabulary = sorted({w for *_, cut in templates for w in cut})
     total, holding = _frequencies(texts, vocabulary)
     units = _units(texts, sorted(set(vocabulary) - set(PLAIN)))
     own = own_licences(units, templates, {w: _idf(total, holding.get(w, 0)) for w in vocabulary})
     n_words = F.size(F.element_at("units", -1)["words"])
-    placed = units.select("row", *[f"`{c}`" for c in rest], F.when(F.col("units").isNotNull(), n_words).alias("n_words")).join(own, "row", "left")
+    placed = units.select("row", "path", "given", F.when(F.col("units").isNotNull(), n_words).alias("n_words")).join(own, "row", "left")
     directory = F.when(F.contains(path, F.lit("/")), F.regexp_extract(path, r"^(.*)/[^/]*$", 1)).when(F.col(path).isNotNull(), F.lit(""))
     named = F.regexp_extract(path, r"([^/]*)$", 1).rlike(r"(?i)^(licen[cs]e|copying|notice)")
     is_file = F.col("licence").isNotNull() & (named | (F.col("licence_words") >= F.col("n_words") * FILE_SHARE))
@@ -148,6 +152,6 @@ def scan(files: DataFrame, text: str = "text", path: str = "path") -> DataFrame:
     mine = F.col("licence").isNotNull()
     origin = F.when(F.col("is_file"), "file").when(mine, "header").when(F.col("its").isNotNull(), "inherited").otherwise("none")
     return out.select(
-        *[f"`{c}`" for c in rest], F.coalesce("licence", "its").alias("licence"), F.when(mine, F.col("cosine")).otherwise(F.col("its_cosine")).alias("cosine"),
+        *[F.col("given").getField(c).alias(c) for c in rest], F.coalesce("licence", "its").alias("licence"), F.when(mine, F.col("cosine")).otherwise(F.col("its_cosine")).alias("cosine"),
         origin.alias("origin"), F.when(~mine, F.col("ancestor")).alias("licence_directory"),
     )

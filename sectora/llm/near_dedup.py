@@ -216,13 +216,18 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         classes.join(found, "node", "left")
         .select("digest", F.coalesce("component", "node").alias("component_id"))
     )
-    result = rows.drop("bands").join(named, "digest", "left")
+    # texts without words have no digest and are linked with nothing: they don't meet in the join
+    rows = rows.drop("bands")
+    result = rows.where("digest is not null").join(named, "digest", "left").unionByName(
+        rows.where("digest is null").withColumn("component_id", F.lit(None).cast("long"))
+    )
     component = F.coalesce("component_id", "doc_id")
     return result.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group, that of its smallest doc_id, with all columns of ``docs``."""
-    kept = groups(docs, size, percent).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    name = common.fresh(docs.columns, "kept_id")
+    kept = groups(docs, size, percent).where("kept").select(F.col("doc_id").alias(name)).distinct()
     # equal rows lie together after the join by doc_id, so dropping repeats needs no other exchange
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi").dropDuplicates(["doc_id", "text"])

@@ -153,7 +153,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     spark = docs.sparkSession
     common.ship(spark)
     shared = spark.sparkContext.broadcast(model)
-    rest = [c for c in docs.columns if c != "text" and c != name]
+    rest = [c for c in docs.columns if c != "text" and c.lower() != name.lower()]
     kinds = dict(docs.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +166,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
     schema = "text string" + "".join(f", `{c}` {kinds[c]}" for c in rest) + f", `{name}` double"
     made = docs.select("text", *[f"`{c}`" for c in rest]).mapInArrow(run, schema)
-    return made.select(*[f"`{c}`" for c in docs.columns if c != name], f"`{name}`")
+    return made.select(*[f"`{c}`" for c in docs.columns if c == "text" or c in rest], f"`{name}`")
 
 
 def held_out() -> Column:
@@ -183,7 +183,5 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, with their columns."""
-    name = "score"
-    while name in docs.columns:
-        name += "_"
+    name = common.fresh(docs.columns, "score")
     return score(docs, fit(docs, labels, ~held_out()), name).where(F.col(name) >= ACCEPT).drop(name)

@@ -499,3 +499,25 @@ def test_registered_limits_remove_a_line_in_a_tenth_of_a_hosts_documents(spark,
     docs = [(i, f"own words {' '.join(letters(i) + c for c in 'abcdefghijk')}" + ("\nSubscribe to our letter today" if i % 10 == 0 else "") + ("\nSeen here and there only" if i < 2 else ""), "h") for i in range(n)]
     got = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()}
     assert all(got[i].n_removed_words == (5 if i % 10 == 0 else 0) and got[i].kept for i in range(n))
+
+
+def test_short_items_are_found_exactly(spark):
+    items = [(1, "What is dark energy?"), (2, "New York"), (3, "yes"), (4, "one two three four five six seven"), (5, "what is dark energy")]
+    docs = [(1, "so: What is DARK energy, they ask"), (2, "in new york, yes!"), (3, "what is energy"), (4, "what is dark matter energy"), (5, "One two three four five six seven."), (6, "")]
+    table, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.edits, r.first_word, r.last_word) for r in decontaminate.contaminated(table, bench).collect()}
+    assert got == {(1, 1, 0, 1, 5), (1, 5, 0, 1, 5), (2, 2, 0, 1, 3), (2, 3, 0, 3, 4), (5, 4, 0, 0, 7)}
+    assert {r.doc_id for r in decontaminate.clean(table, bench).collect()} == {2, 3, 4, 6}
+
+
+def test_archive_files_are_closed_by_bytes(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "x" * 40_000) for i in range(30)] + [(99, "http://h/big", "y" * 300_000)], "page_id long, url string, html string").coalesce(1)
+    warc.write_arc(pages, str(tmp_path / "arc"), file_bytes=200_000)
+    import gzip
+
+    sizes = [len(gzip.decompress(p.read_bytes())) for p in (tmp_path / "arc").glob("*.gz")]
+    assert len(sizes) == 9 and sorted(sizes)[-2] < 210_000 and max(sizes) < 310_000
+    warc.write_warc(warc.convert(spark, str(tmp_path / "arc")), str(tmp_path / "warc"), file_bytes=200_000)
+    files = [gzip.decompress(p.read_bytes()) for p in (tmp_path / "warc").glob("*.gz")]
+    assert all(f.startswith(b"WARC/1.0\r\nWARC-Type: warcinfo") for f in files)
+    assert warc.read_warc(spark, str(tmp_path / "warc")).count() == 31

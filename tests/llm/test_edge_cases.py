@@ -73,6 +73,20 @@ def test_clashing_extra_columns(docs, labels, items, name):
     assert sorted(map(str, plain)) == sorted(map(str, extra))
 
 
+NAMES = ("Row", "SCORE", "Kept_id", "Ancestor", "its", "n_Words", "Licence", "Directory", "is_file", "given", "units", "Text_", "TOKEN", "Item_id", "Component", "rank", "N_CHARS_")
+
+
+@pytest.mark.parametrize("name", ["lm", "decontaminate", "bpe", "licenses", "rules", "secrets", "pii", "dedup", "knn"])
+def test_clashing_names_in_another_letter_case(docs, labels, items, name):
+    """Helper names of the operators, in upper and lower case, as further input columns."""
+    wide = docs.withColumns({c: F.lit("x") for c in NAMES})
+    plain, extra = operators(labels, items)[name](docs).collect(), operators(labels, items)[name](wide).collect()
+    shared = [c for c in extra[0].asDict() if c in plain[0].asDict() and (name, c) not in {("lm", "score"), ("knn", "score")}]
+    assert sorted(str([r[c] for c in shared]) for r in plain) == sorted(str([r[c] for c in shared]) for r in extra)
+    if name == "licenses":
+        assert {"Ancestor", "Directory", "is_file"} <= set(extra[0].asDict()) and extra[0].Ancestor == "x" and extra[0].licence != "x"
+
+
 def by_id(rows):
     return {r.doc_id: r for r in rows if r.doc_id is not None}
 
@@ -126,7 +140,7 @@ def tables(tmp_path_factory, labels, items):
 @pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
 def test_stages(spark, docs, tables, stage):
     name, run = corpus_pipeline.STAGES[stage]
-    wide = docs.withColumns({"score": F.lit("x"), "kept": F.lit("y"), "row": F.lit(1)})
+    wide = docs.withColumns({"SCORE": F.lit("x"), "kept": F.lit("y"), "row": F.lit(1), "Kept_ID": F.lit(1)}).withColumn("n_chars", F.col("n_chars").cast("int"))
     got = run(spark, wide, tables)
     if name != "bpe":
         assert got.columns == wide.columns and [t for _, t in got.dtypes] == [t for _, t in wide.dtypes]
