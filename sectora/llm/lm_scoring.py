@@ -13,7 +13,7 @@ Frequent words are divided into classes of equal square-root frequency. The outp
 of the corpus frequencies, so an untrained model is the class unigram. The state comes from a gated recurrent unit in
 numpy: texts lie in ``LANES`` parallel lanes, the gradient runs back over windows of ``WINDOW`` tokens, and the
 state is carried from window to window within a text and is zero at its start. In training every window takes a
-gradient step.
+gradient step, and texts are learnt in pieces of ``TRAINED`` tokens, all of them; a scored text is never cut.
 
 Training. ``EPOCHS`` passes over the ``START`` training texts of smallest id hash (a bound) bring all tasks to one
 basin; then in each of ``ROUNDS`` rounds every task goes on from the same weights over its own training texts, and the
@@ -47,6 +47,8 @@ VOCABULARY, HEAD, CLASSES = 2048, 200_000, 32
 WIDTH, EMBEDDING, WINDOW, LANES = 16, 16, 16, 192
 #: Scoring takes no steps, so its lanes and windows only fit the caches.
 SCORE_LANES, SCORE_WINDOW = 512, 8
+#: Training texts are learnt in pieces of this many tokens, each from the zero state; a scored text is one piece.
+TRAINED = 2048
 START, EPOCHS, ROUNDS, RATE = 1500, 3, 2, 0.08
 AVERAGERS = 16
 SLICE = 16_000_000
@@ -362,12 +364,15 @@ def _advance(w, table, source, owner, before, h, states) -> np.ndarray:
     return h
 
 
-def _windows(owner: np.ndarray, size: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
-    """(first step, last + 1, lanes still in use, owners of the step before) of consecutive windows."""
-    live = (owner >= 0).sum(axis=0)
-    for at in range(0, len(owner), size):
+def _windows(owner: np.ndarray, size: int, rows: int = 0) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(first step, last + 1, lanes still in use, owners of the step before) of consecutive windows of ``size`` steps, or of as many
+    as hold ``rows`` places, where few lanes are left."""
+    live, at = (owner >= 0).sum(axis=0), 0
+    while at < len(owner):
         count = int((live > at).sum())
-        yield at, min(len(owner), at + size), count, owner[at - 1, :count] if at else np.full(count, -2, np.int32)
+        stop = min(len(owner), at + max(size, rows // count))
+        yield at, stop, count, owner[at - 1, :count] if at else np.full(count, -2, np.int32)
+        at = stop
 
 
 def score_texts(v: Vocabulary, w: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
@@ -376,7 +381,7 @@ def score_texts(v: Vocabulary, w: dict[str, np.ndarray], texts: list[np.ndarray]
     table = w["emb"] @ w["wx"] + w["bx"]
     out = np.zeros(len(texts))
     h = np.zeros((target.shape[1], WIDTH), np.float32)
-    for at, stop, count, before in _windows(owner, SCORE_WINDOW):
+    for at, stop, count, before in _windows(owner, SCORE_WINDOW, SCORE_WINDOW * SCORE_LANES):
         states = np.empty((stop - at, count, WIDTH), np.float32)
         own = owner[at:stop, :count]
         h = _advance(w, table, source[at:stop, :count], own, before, h[:count], states)
@@ -401,6 +406,8 @@ class Trainer:
         self.w[name][rows] -= RATE * g / np.sqrt(self.square[name][rows])
 
     def learn(self, texts: list[np.ndarray]) -> None:
+        # pieces of a long text lie side by side, or it would hold up a few lanes long after the others are done
+        texts = [t[at : at + TRAINED] for t in texts for at in range(0, len(t), TRAINED)]
         target, source, owner = lanes(texts, LANES)
         h = np.zeros((target.shape[1], WIDTH), np.float32)
         for at, stop, count, before in _windows(owner, WINDOW):
