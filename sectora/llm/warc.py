@@ -38,6 +38,8 @@ from sectora.llm import common
 from sectora.session import scratch_path
 
 RECORDS, FILE_BYTES = 2000, 16_000_000
+#: Of gzip's levels: pages get 4 % larger than at level 6, in a third of its time.
+LEVEL = "FOUR"
 
 # The record definitions of the two ARC versions.
 ARC_FIELDS = {
@@ -111,7 +113,7 @@ def _as_files(records: Iterator[bytes], begin, separator: bytes, most: int, most
 def _write(rows: DataFrame, path: str, separator: str) -> None:
     """One file a row; bytes are written as they are, with the separator at the end."""
     text = rows.select(F.col("record").cast("string"))
-    text.write.option("lineSep", separator).option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
+    text.write.option("lineSep", separator).option("compression", "gzip").option("zlib.compress.level", LEVEL).option("maxRecordsPerFile", 1).text(path)
 
 
 def parse_arc(data: bytes, name: str) -> Iterator[tuple[int, list[str], bytes]]:
