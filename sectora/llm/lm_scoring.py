@@ -33,11 +33,12 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +53,8 @@ TRAINED = 2048
 START, EPOCHS, ROUNDS, RATE = 1500, 3, 2, 0.08
 AVERAGERS = 16
 SLICE = 16_000_000
+#: Words are cut and looked up for about this many bytes of text at a time.
+READ = 2_000_000
 FLUSH = 400_000
 MEMO = 400_000
 
@@ -82,13 +85,26 @@ def form(word: bytes) -> int:
     return alphabet + 4 * _ENDING[word[-1]] + sum(word.rstrip(_PUNCTUATION)[-2:]) % 4
 
 
+def forms(words: list[bytes]) -> np.ndarray:
+    """``form`` of each word: at once for ASCII words that end in no punctuation, one by one for the others."""
+    data, sizes = np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes)
+    last, before = data[ends - 1], np.where(sizes > 1, data[np.maximum(ends - 2, 0)], 0)
+    out = (4 * np.frombuffer(_ENDING, np.uint8)[last] + (last.astype(np.int32) + before) % 4).astype(np.int32)
+    beyond = np.concatenate([[0], np.cumsum(data >> 7, dtype=np.int64)])
+    other = (beyond[ends] > beyond[ends - sizes]) | np.isin(last, np.frombuffer(_PUNCTUATION, np.uint8))
+    for k in np.flatnonzero(other).tolist():
+        out[k] = form(words[k])
+    return out
+
+
 def _signed(h: int) -> int:
     return h - _SIGNED if h >= _SIGNED >> 1 else h
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
-    """The words' hashes as signed longs."""
-    return np.fromiter(map(common.word_hash, words), np.uint64, len(words)).view(np.int64)
+    """``common.word_hash`` of the words, as signed longs."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
 def _described(word: bytes) -> tuple[int, int]:
@@ -100,11 +116,27 @@ def held_out(column: str = "doc_id") -> Column:
     return common.crc_mod(column, 7) == 2
 
 
+def cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(number of words of each text, place of each word in the last list, distinct words), A-Z in lower case."""
+    # both functions know ASCII only, as bytes.lower and bytes.split do
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    coded = lists.flatten().dictionary_encode()
+    words, codes = coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy()
+    lengths = pc.list_value_length(lists).fill_null(0).to_numpy()
+    if b"" in words:  # before white space at the beginning, and after white space at the end
+        empty = words.index(b"")
+        del words[empty]
+        lengths = np.bincount(np.repeat(np.arange(len(lengths)), lengths)[codes != empty], minlength=len(lengths))
+        codes = codes[codes != empty]
+        codes = codes - (codes > empty)
+    return lengths, codes, words
+
+
 # -- counting ------------------------------------------------------------------------------------------------------
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+    counts: dict[bytes, int] = {}
     ends = 0
 
     def flush():
@@ -112,13 +144,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts.clear()
         for at in range(0, len(words), 50_000):
             part = words[at : at + 50_000]
-            kinds = np.fromiter(map(form, part), np.int32, len(part))
+            kinds = forms(part)
             yield pa.RecordBatch.from_arrays([pa.array(_hashes(part)), pa.array(kinds), pa.array(numbers[at : at + 50_000])], ["token", "form", "n"])
 
-    for batch in batches:
-        for text in common.byte_texts(batch.column(1)):
-            counts.update(text.lower().split())
-            ends += 1
+    for whole in batches:
+        for batch in common.slices(whole, READ):
+            _, codes, words = cut(batch.column(1))
+            for word, n in zip(words, np.bincount(codes, minlength=len(words)).tolist(), strict=True):
+                counts[word] = counts.get(word, 0) + n
+            ends += batch.num_rows
             if len(counts) > FLUSH:
                 yield from flush()
     yield from flush()
@@ -187,7 +221,7 @@ class Reader(dict):
         self.tokens, self.token_logs = vocabulary.tokens, np.log10(vocabulary.counts + 1.0)
         self.ids, self.logs, self.hashes = np.zeros(MEMO, np.int32), np.zeros(MEMO), np.zeros(MEMO, np.int64)
 
-    def meet(self, words: set[bytes]) -> None:
+    def meet(self, words: list[bytes]) -> None:
         """Take up the words that aren't known yet, all at once."""
         new = [w for w in words if w not in self]
         if not new:
@@ -198,7 +232,7 @@ class Reader(dict):
         hashes = _hashes(new)
         self.hashes[first:stop] = hashes
         at = np.minimum(np.searchsorted(self.model_hashes, hashes), len(self.model_hashes) - 1)
-        kinds = np.fromiter(map(form, new), np.int32, len(new))
+        kinds = forms(new)
         self.ids[first:stop] = np.where(self.model_hashes[at] == hashes, self.model_ids[at], VOCABULARY + kinds)
         self.logs[first:stop] = 0.0
         if len(self.tokens):
@@ -208,34 +242,19 @@ class Reader(dict):
 
     def read(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """The words' numbers, and the model ids of the words and the end token (0)."""
-        return self.read_all([text])[0]
+        return next(self.read_all(pa.array([text.decode()])))
 
-    def read_all(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    def read_all(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``read`` of several texts; the memo empties before them, so the numbers of all hold until the next call."""
         if len(self) > MEMO:
             self.clear()
-        out = []
-        cuts = [t.lower().split() for t in texts]
-        self.meet(set().union(*cuts))
-        for cut in cuts:
-            slots = np.fromiter(map(self.__getitem__, cut), np.int64, len(cut))
-            ids = np.zeros(len(cut) + 1, np.int32)
-            ids[:-1] = self.ids[slots]
-            out.append((slots, ids))
-        return out
-
-
-def _groups(texts: Iterator[bytes], most: int = 2_000_000) -> Iterator[list[bytes]]:
-    """Texts in lists of about ``most`` bytes, one at least."""
-    held, size = [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text)
-        if size >= most:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+        lengths, codes, words = cut(texts)
+        self.meet(words)
+        slots = np.fromiter(map(self.__getitem__, words), np.int64, len(words))[codes]
+        ids, at = self.ids[slots], 0
+        for n in lengths.tolist():
+            yield slots[at : at + n], np.append(ids[at : at + n], np.int32(0))
+            at += n
 
 
 # -- the network ---------------------------------------------------------------------------------------------------
@@ -514,7 +533,7 @@ def _trained(texts: DataFrame, shared, key: str, state: list[dict[str, np.ndarra
         sample = []
         for whole in batches:
             for batch in common.slices(whole, SLICE):
-                ids = [own for some in _groups(common.byte_texts(batch.column(1))) for _, own in reader.read_all(some)]
+                ids = [own for some in common.slices(batch, READ) for _, own in reader.read_all(some.column(1))]
                 if start:  # at most START texts
                     sample += ids
                 else:
@@ -564,7 +583,7 @@ def score(docs: DataFrame) -> DataFrame:
         for whole in batches:
             for batch in common.slices(whole, SLICE):
                 ids, tokens, found, base, out, rare, rare_n = [], [], [], [], [], [], []
-                for slots, own in (x for some in _groups(common.byte_texts(batch.column(1))) for x in reader.read_all(some)):
+                for slots, own in (x for some in common.slices(batch, READ) for x in reader.read_all(some.column(1))):
                     logs, other = reader.logs[slots], own[:-1] >= VOCABULARY
                     ids.append(own)
                     tokens.append(len(own))

@@ -3,10 +3,12 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -82,6 +84,20 @@ def test_lm_gradient_by_differences(spark, documents):
         assert steps[name][at] == pytest.approx((losses[0] - losses[1]) / 2e-4, rel=2e-2, abs=1e-5)
 
 
+def test_words_cut_in_columns():
+    """Whole columns, and slices of them, are cut as each text on its own."""
+    draw = random.Random(3)
+    texts = ["".join(draw.choices("aB\x1c\x1f\x85\u2003ÉZ%. \t\n\x0b\x0c\r\x00", k=draw.randint(0, 14))) for _ in range(400)] + [None, "", " "]
+    for kind in (pa.string(), pa.large_string()):
+        for column in (pa.array(texts, kind), pa.array(texts, kind).slice(17, 300), pa.array([None, ""], kind), pa.array([], kind)):
+            lengths, codes, words = lm_scoring.cut(column)
+            cut = iter([words[c] for c in codes.tolist()])
+            assert [[next(cut) for _ in range(n)] for n in lengths.tolist()] == [(t or "").encode().lower().split() for t in column.to_pylist()]
+            assert len(set(words)) == len(words) and next(cut, None) is None
+            assert lm_scoring.forms(words).tolist() == [lm_scoring.form(w) for w in words]
+            assert lm_scoring._hashes(words).tolist() == [lm_scoring._described(w)[0] for w in words]
+
+
 def test_lm_learns_from_every_window(spark):
     """Every word of a text of two windows is an input that takes a gradient."""
     table = [(lm_scoring._signed(lm_scoring.END), -1, 2)] + [(*lm_scoring._described(f"word{k}".encode()), 9) for k in range(40)]
