@@ -85,17 +85,36 @@ def form(word: bytes) -> int:
     return alphabet + 4 * _ENDING[word[-1]] + sum(word.rstrip(_PUNCTUATION)[-2:]) % 4
 
 
+def _holding(marks: tuple[bytes, ...], data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether each word holds one of the two-byte letters."""
+    pair = data[:-1].astype(np.uint16) << 8 | data[1:]
+    seen = np.concatenate([[0], np.cumsum(np.isin(pair, [int.from_bytes(m) for m in marks]))])
+    return seen[np.maximum(ends - 1, starts)] > seen[starts]
+
+
 def forms(words: list[bytes]) -> np.ndarray:
-    """``form`` of each word: at once for ASCII words that end in no punctuation, one by one for the others."""
+    """``form`` of all words at once; none is empty."""
     data, sizes = np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words))
+    if not len(data):
+        return np.zeros(0, np.int32)
     ends = np.cumsum(sizes)
-    last, before = data[ends - 1], np.where(sizes > 1, data[np.maximum(ends - 2, 0)], 0)
-    out = (4 * np.frombuffer(_ENDING, np.uint8)[last] + (last.astype(np.int32) + before) % 4).astype(np.int32)
+    starts = ends - sizes
+    ending, letters = np.frombuffer(_ENDING, np.uint8)[data[ends - 1]].astype(np.int32), np.zeros(len(words), np.int32)
+    mark, stop = np.isin(np.arange(256), np.frombuffer(_PUNCTUATION, np.uint8)), ends.copy()
+    left = np.flatnonzero(mark[data[ends - 1]])
+    while len(left):
+        stop[left] -= 1
+        left = left[stop[left] > starts[left]]
+        left = left[mark[data[stop[left] - 1]]]
+    for back in (1, 2):
+        letters += np.where(stop - back >= starts, data[np.maximum(stop - back, 0)], 0)
     beyond = np.concatenate([[0], np.cumsum(data >> 7, dtype=np.int64)])
-    other = (beyond[ends] > beyond[ends - sizes]) | np.isin(last, np.frombuffer(_PUNCTUATION, np.uint8))
-    for k in np.flatnonzero(other).tolist():
-        out[k] = form(words[k])
-    return out
+    other = np.flatnonzero(beyond[ends] > beyond[starts])
+    alphabet = np.zeros(len(words), np.int32)
+    if len(other):
+        at, to = starts[other], ends[other]
+        alphabet[other] = np.where(_holding(_GERMANIC, data, at, to), 16, np.where(_holding(_IBERIAN, data, at, to), 32, 48))
+    return alphabet + 4 * ending + letters % 4
 
 
 def _signed(h: int) -> int:
@@ -116,12 +135,22 @@ def held_out(column: str = "doc_id") -> Column:
     return common.crc_mod(column, 7) == 2
 
 
+def _listed(words: pa.Array) -> list[bytes]:
+    """The bytes of an unsliced string array's values, cut from its buffer."""
+    _, offsets, data = words.buffers()
+    if not len(words) or data is None:
+        return [b""] * len(words)
+    at = np.frombuffer(offsets, np.int64 if pa.types.is_large_string(words.type) else np.int32, len(words) + 1)
+    raw, at = data.to_pybytes(), at.tolist()
+    return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+
 def cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """(number of words of each text, place of each word in the last list, distinct words), A-Z in lower case."""
     # both functions know ASCII only, as bytes.lower and bytes.split do
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     coded = lists.flatten().dictionary_encode()
-    words, codes = coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy()
+    words, codes = _listed(coded.dictionary), coded.indices.to_numpy()
     lengths = pc.list_value_length(lists).fill_null(0).to_numpy()
     if b"" in words:  # before white space at the beginning, and after white space at the end
         empty = words.index(b"")

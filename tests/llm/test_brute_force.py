@@ -87,7 +87,7 @@ def test_lm_gradient_by_differences(spark, documents):
 def test_words_cut_in_columns():
     """Whole columns, and slices of them, are cut as each text on its own."""
     draw = random.Random(3)
-    texts = ["".join(draw.choices("aB\x1c\x1f\x85\u2003ÉZ%. \t\n\x0b\x0c\r\x00", k=draw.randint(0, 14))) for _ in range(400)] + [None, "", " "]
+    texts = ["".join(draw.choices("aBäßñúé!)\x1c\x1f\x85\u2003ÉZ%. \t\n\x0b\x0c\r\x00", k=draw.randint(0, 14))) for _ in range(400)] + [None, "", " "]
     for kind in (pa.string(), pa.large_string()):
         for column in (pa.array(texts, kind), pa.array(texts, kind).slice(17, 300), pa.array([None, ""], kind), pa.array([], kind)):
             lengths, codes, words = lm_scoring.cut(column)
