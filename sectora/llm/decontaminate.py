@@ -20,8 +20,9 @@ This condition is necessary, it loses no match.
 The benchmark is read in blocks of ``BLOCK`` items, each broadcast (bounded by the block), each with one pass over
 the documents: no shuffle, no join of documents with anything.
 
-Edge cases: null and empty texts hold nothing; items under ``MIN_WORDS`` words (also null ones) identify nothing
-and are never reported; equal items are each reported; repeated rows give equal rows; ties between stretches go to the first. Empty
+Items under ``MIN_WORDS`` words allow no edit and are searched word for word.
+
+Edge cases: null and empty texts hold nothing; null items and items without words are never reported; equal items are each reported; repeated rows give equal rows; ties between stretches go to the first. Empty
 tables give no rows.
 """
 
@@ -269,7 +270,7 @@ def recall(n: int, edits: int, trials: int = 200, seed: int = 1) -> float:
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
-    """The items in blocks of about BLOCK rows, chosen by hash; one block at a time on the driver."""
+    """The items in blocks of about BLOCK rows, chosen by hash; the broadcasts of all blocks live as long as the plan."""
     count = max(1, -(-benchmark.count() // BLOCK))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
     for k in range(count):

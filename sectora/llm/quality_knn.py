@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from sectora.llm import common
 
 SAMPLE, RANK, NEIGHBOURS, SHARPNESS, ACCEPT = 6000, 64, 25, 4, 0.7
-SHAPES, WORDS, TRAITS = 512, 256, 64
+#: Buckets of shapes, words and traits; a packed word keeps 10 bits for each of the first two.
+SHAPES, WORDS, TRAITS = 512, 1024, 64
 SIZE = SHAPES + WORDS + TRAITS
 BLOCK = 256
 
@@ -40,8 +41,8 @@ _RUN = re.compile(rb"([aA0])\1+")
 
 
 def _shape(kinds: bytes) -> int:
-    """The bucket of a word's shape: runs of one kind count once, the first 12 characters of the shape matter."""
-    return zlib.crc32(_RUN.sub(rb"\1", kinds)[:12]) % SHAPES
+    """The bucket of a word's whole shape: runs of one kind count once."""
+    return zlib.crc32(_RUN.sub(rb"\1", kinds)) % SHAPES
 
 
 _SHAPES = common.Bounded(_shape, 100_000)
