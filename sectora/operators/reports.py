@@ -84,13 +84,15 @@ def build_report(
         limits = any(predicate(F.lit(None), f.operator, f.value) is not None for f in own)
         return (df.where(pred) if limits else df), limits
 
-    result, before = frame(order[0])[0], [order[0]]
-    if hot is None and len(order) > 1:
-        hot = provider_counts(records, plan.org_id, order, rows_per_task)
+    frames = {s: frame(s) for s in order}
+    result, before = frames[order[0]][0], [order[0]]
+    if len(order) > 1:
+        hot = for_org(provider_counts(records, plan.org_id, order, rows_per_task) if hot is None else hot, plan.org_id)
+        hot = filtered_counts(hot, {s: df for s, (df, limits) in frames.items() if limits})
     for section_id in order[1:]:
-        right, limits = frame(section_id)
+        right, limits = frames[section_id]
         result = skew_join(
-            result, right, "provider_id", "inner" if limits else "left", hot=join_counts(for_org(hot, plan.org_id), before, section_id),
+            result, right, "provider_id", "inner" if limits else "left", hot=join_counts(hot, before, section_id),
             rows_per_task=rows_per_task, left_tiebreak=[f"_record_{s}" for s in before], right_tiebreak=[f"_record_{section_id}"],
         )
         before.append(section_id)
@@ -111,6 +113,21 @@ def provider_counts(records: DataFrame, org_id: int, sections: Sequence[int], ro
     return per.where(product > rows_per_task).select("org_id", "provider_id", counts.alias("counts"))
 
 
+def filtered_counts(hot: DataFrame, filtered: dict[int, DataFrame]) -> DataFrame:
+    """``hot`` with the counts of ``filtered`` sections taken from their rows that pass, so that a selective report isn't
+    split as if it had no filters. Of those sections only the hot providers' rows are counted, from key and filter columns."""
+    if not filtered:
+        return hot
+    keys = hot.select("provider_id")
+    tagged = [df.select("provider_id", F.lit(s).cast("long").alias("_section")) for s, df in filtered.items()]
+    passing = functools.reduce(DataFrame.unionByName, tagged).join(keys, "provider_id", "left_semi")
+    per = passing.groupBy("provider_id").agg(*[F.count_if(F.col("_section") == s).alias(f"_n{s}") for s in filtered])
+    ids = [F.lit(s).cast("long") for s in filtered]
+    other = F.map_filter("counts", lambda k, _: ~k.isin(*filtered))
+    now = F.create_map(*[x for k, s in zip(ids, filtered, strict=True) for x in (k, F.coalesce(f"_n{s}", F.lit(0)))])
+    return hot.join(per, "provider_id", "left").select("provider_id", F.map_concat(other, now).alias("counts"))
+
+
 def join_counts(hot: DataFrame, before: Sequence[int], section_id: int) -> DataFrame:
     """``provider_id, n_left, n_right`` of the join of ``section_id`` to the joined sections ``before``."""
     def n(s: int) -> Column:

@@ -302,3 +302,17 @@ def test_query_texts_are_those_of_single_reports(spark):
     assert got[5] == render_sql(plan_report(5, 7, [(1, 11), (2, 21)], [(1, 11, "contains", "x")]))
     assert got[6] == render_sql(plan_report(6, 7, [(1, 11)], [(1, 11, "!=", "x")])) and got[10] == render_sql(plan_report(10, 7, [(1, 11)], [(1, 11, "IN", "x")]))
     assert got[8] == "-- Unsupported operator: BETWEEN" and got[9] == "-- No config found for reportId 9"
+
+
+def test_hot_counts_are_those_of_the_rows_that_pass_the_filters(spark):
+    rows = [(7, 1, "a", i, 100, {"11": "x" if i == 0 else "y"}) for i in range(30)] + [(7, 2, "b", 100 + i, 100, {"21": str(i)}) for i in range(20)]
+    records = _records(spark, [*rows, (7, 1, "a", 200, 101, {"11": "x"})])
+    hot = sec.hot_providers(records, 10)
+    passing = records.where("section_id = 1 and attrs['11'] = 'x'")
+    assert [r.counts for r in rep.filtered_counts(hot, {1: passing}).collect()] == [{1: 1, 2: 20}]
+    assert [r.counts for r in rep.filtered_counts(hot, {1: passing.where("false")}).collect()] == [{1: 0, 2: 20}]
+    assert rep.filtered_counts(hot, {}) is hot
+    for filters, expected in (([(1, 11, "=", "x")], 21), ([(2, 21, "=", "3")], 30), ([(1, 11, "=", "z")], 0), ([], 601)):
+        for table in (hot, None):
+            plan = plan_report(5, 7, [(1, 11), (2, 21)], filters)
+            assert rep.build_report(records, plan, hot=table, rows_per_task=10).count() == expected
