@@ -102,8 +102,14 @@ class Model:
         raw, self.labels = raw[keep], labels[keep].astype(np.float32)
         n = max(1, len(raw))
         self.idf = (1 + np.log((1 + n) / (1 + (raw > 0).sum(axis=0)))).astype(np.float32)
-        weighted = _unit(raw * self.idf)
-        _, axes = np.linalg.eigh(weighted.T.astype(np.float64) @ weighted)
+        weighted = raw * self.idf
+        weighted /= np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
+        # in blocks: the driver holds double precision for one block only
+        gram = np.zeros((SIZE, SIZE))
+        for at in range(0, len(weighted), BLOCK):
+            block = weighted[at : at + BLOCK].astype(np.float64)
+            gram += block.T @ block
+        _, axes = np.linalg.eigh(gram)
         axes = axes[:, ::-1][:, : min(RANK, SIZE)]
         axes *= np.where(np.take_along_axis(axes, np.abs(axes).argmax(axis=0)[None], 0) < 0, -1, 1)
         self.axes = axes.astype(np.float32)
