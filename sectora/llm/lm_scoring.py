@@ -44,10 +44,10 @@ from pyspark.sql import functions as F
 
 from sectora.llm import common
 
-VOCABULARY, HEAD, CLASSES = 2048, 200_000, 32
+VOCABULARY, HEAD, CLASSES = 2048, 200_000, 12
 WIDTH, EMBEDDING, WINDOW, LANES = 16, 16, 16, 192
 #: Scoring takes no steps, so its lanes and windows only fit the caches.
-SCORE_LANES, SCORE_WINDOW = 512, 8
+SCORE_LANES, SCORE_WINDOW = 512, 16
 #: Training texts are learnt in pieces of this many tokens, each from the zero state; a scored text is one piece.
 TRAINED = 2048
 START, EPOCHS, ROUNDS, RATE = 1500, 3, 2, 0.08
