@@ -49,11 +49,16 @@ TEMPLATES = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0"),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0"),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
     ("proprietary", "All rights reserved"),
 ]
 # Template words that tell nothing on their own ("mit" is a German preposition).
-PLAIN = "a all an and any are as at by can code either file form forms free general if in into is it later may met mit not obtain of on or person published sa source subject terms that the this to under use v version with without work you 2 3 4.0 2.0 2.1".split()
+PLAIN = "a above all an and any anyone appear are as at author available by can code copies either extent fee file for form forms free general have if in including into is it later law made materials may met mit not notice obtain of on or person possible program provided public published purpose related s sa source subject terms that the this to under use v version which with without work www you 2 3 4.0 2.0 2.1".split()
 
 
 def words_of(text: Column) -> Column:

@@ -183,6 +183,19 @@ def test_licenses(spark, documents):
         assert not own or got[i].licence in own
 
 
+def test_every_licence_statement_is_told_in_a_comment(spark):
+    """Each template, as one comment line and wrapped over lines, names its own licence; prose with its plain words none."""
+    files = []
+    for k, (_, text) in enumerate(licenses.TEMPLATES):
+        cut = text.split()
+        files += [(k, f"a{k}/x.py", f"# {text}\nx = 1\n"), (100 + k, f"b{k}/LICENSE", "\n".join(" ".join(cut[i : i + 12]) for i in range(0, len(cut), 12)))]
+    files.append((300, "c/y.txt", "It is possible to have any purpose under the law which the author published with or without a fee."))
+    got = {r.id: r.licence for r in licenses.scan(spark.createDataFrame(files, "id int, path string, text string")).collect()}
+    for k, (name, _) in enumerate(licenses.TEMPLATES):
+        assert got[k] == name and got[100 + k] == name, (name, got[k], got[100 + k])
+    assert got[300] is None
+
+
 def test_licence_cosine_and_inheritance(spark):
     apache = licenses.TEMPLATES[1][1]
     files = [
