@@ -428,9 +428,9 @@ def score_texts(v: Vocabulary, w: dict[str, np.ndarray], texts: list[np.ndarray]
     target, source, owner = lanes(texts, SCORE_LANES)
     table = w["emb"] @ w["wx"] + w["bx"]
     out = np.zeros(len(texts))
-    h = np.zeros((target.shape[1], WIDTH), np.float32)
+    h = np.zeros((target.shape[1], WIDTH), table.dtype)
     for at, stop, count, before in _windows(owner, SCORE_WINDOW, SCORE_WINDOW * SCORE_LANES):
-        states = np.empty((stop - at, count, WIDTH), np.float32)
+        states = np.empty((stop - at, count, WIDTH), table.dtype)
         own = owner[at:stop, :count]
         h = _advance(w, table, source[at:stop, :count], own, before, h[:count], states)
         own = own.ravel()
