@@ -54,9 +54,8 @@ START, EPOCHS, ROUNDS, RATE = 1500, 3, 2, 0.08
 AVERAGERS = 16
 SLICE = 16_000_000
 #: Words are cut and looked up for about this many bytes of text at a time.
-READ = 2_000_000
-FLUSH = 400_000
-MEMO = 400_000
+READ = 4_000_000
+FLUSH = 800_000
 
 END = common.word_hash(b"\n")  # no token holds white space
 _SIGNED = 1 << 64
@@ -164,26 +163,38 @@ def cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
 # -- counting ------------------------------------------------------------------------------------------------------
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token, form, n) of several lists as one, each token once."""
+    tokens, kinds, numbers = (np.concatenate(x) for x in zip(*parts, strict=True))
+    tokens, first, place = np.unique(tokens, return_index=True, return_inverse=True)
+    # counts of a task stay far below 2 ** 53
+    return tokens, kinds[first], np.bincount(place, numbers, len(tokens)).astype(np.int64)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[bytes, int] = {}
-    ends = 0
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    ends = size = 0
 
     def flush():
-        words, numbers = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
-        counts.clear()
-        for at in range(0, len(words), 50_000):
-            part = words[at : at + 50_000]
-            kinds = forms(part)
-            yield pa.RecordBatch.from_arrays([pa.array(_hashes(part)), pa.array(kinds), pa.array(numbers[at : at + 50_000])], ["token", "form", "n"])
+        for tokens, kinds, numbers in [_summed(held)] if held else []:
+            for at in range(0, len(tokens), 50_000):
+                part = slice(at, at + 50_000)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[part]), pa.array(kinds[part]), pa.array(numbers[part])], ["token", "form", "n"])
+        held.clear()
 
     for whole in batches:
         for batch in common.slices(whole, READ):
             _, codes, words = cut(batch.column(1))
-            for word, n in zip(words, np.bincount(codes, minlength=len(words)).tolist(), strict=True):
-                counts[word] = counts.get(word, 0) + n
+            held.append((_hashes(words), forms(words), np.bincount(codes, minlength=len(words))))
+            size += len(words)
             ends += batch.num_rows
-            if len(counts) > FLUSH:
-                yield from flush()
+            if size > FLUSH:
+                # what repeats between texts is summed here, and only what doesn't is sent on
+                held[:] = [_summed(held)]
+                size = len(held[0][0])
+                if size > FLUSH // 2:
+                    yield from flush()
+                    size = 0
     yield from flush()
     if ends:
         yield pa.RecordBatch.from_arrays([pa.array([_signed(END)], pa.int64()), pa.array([-1], pa.int32()), pa.array([ends], pa.int64())], ["token", "form", "n"])
@@ -237,52 +248,40 @@ class Vocabulary:
         self.base = math.log10(self.n + self.v + 1)
 
 
-class Reader(dict):
-    """Turns texts into numbers of a memo: a word's model id, its log10(c + 1) if that is broadcast (else 0), its hash.
+class Reader:
+    """Turns texts into places in a list of their distinct words, with each word's model id, its log10(c + 1) if that is
+    broadcast (else 0), and its hash.
 
-    A model id is the place of a predicted word, or VOCABULARY + form class. The memo empties itself between texts.
+    A model id is the place of a predicted word, or VOCABULARY + form class.
     """
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
         order = np.argsort(vocabulary.words)
         self.model_hashes, self.model_ids = vocabulary.words[order], order.astype(np.int32)
         self.tokens, self.token_logs = vocabulary.tokens, np.log10(vocabulary.counts + 1.0)
-        self.ids, self.logs, self.hashes = np.zeros(MEMO, np.int32), np.zeros(MEMO), np.zeros(MEMO, np.int64)
+        self.ids, self.logs, self.hashes = np.zeros(0, np.int32), np.zeros(0), np.zeros(0, np.int64)
 
     def meet(self, words: list[bytes]) -> None:
-        """Take up the words that aren't known yet, all at once."""
-        new = [w for w in words if w not in self]
-        if not new:
-            return
-        first, stop = len(self), len(self) + len(new)
-        while stop > len(self.ids):
-            self.ids, self.logs, self.hashes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.ids, self.logs, self.hashes))
-        hashes = _hashes(new)
-        self.hashes[first:stop] = hashes
+        """Look up all words at once."""
+        self.hashes = hashes = _hashes(words)
         at = np.minimum(np.searchsorted(self.model_hashes, hashes), len(self.model_hashes) - 1)
-        kinds = forms(new)
-        self.ids[first:stop] = np.where(self.model_hashes[at] == hashes, self.model_ids[at], VOCABULARY + kinds)
-        self.logs[first:stop] = 0.0
+        self.ids = np.where(self.model_hashes[at] == hashes, self.model_ids[at], VOCABULARY + forms(words))
+        self.logs = np.zeros(len(words))
         if len(self.tokens):
             at = np.minimum(np.searchsorted(self.tokens, hashes), len(self.tokens) - 1)
-            self.logs[first:stop] = np.where(self.tokens[at] == hashes, self.token_logs[at], 0.0)
-        self.update(zip(new, range(first, stop), strict=True))
+            self.logs = np.where(self.tokens[at] == hashes, self.token_logs[at], 0.0)
 
     def read(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """The words' numbers, and the model ids of the words and the end token (0)."""
+        """The words' places, and the model ids of the words and the end token (0)."""
         return next(self.read_all(pa.array([text.decode()])))
 
     def read_all(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """``read`` of several texts; the memo empties before them, so the numbers of all hold until the next call."""
-        if len(self) > MEMO:
-            self.clear()
+        """``read`` of several texts; the places hold until the next call."""
         lengths, codes, words = cut(texts)
         self.meet(words)
-        slots = np.fromiter(map(self.__getitem__, words), np.int64, len(words))[codes]
-        ids, at = self.ids[slots], 0
+        ids, at = self.ids[codes], 0
         for n in lengths.tolist():
-            yield slots[at : at + n], np.append(ids[at : at + n], np.int32(0))
+            yield codes[at : at + n], np.append(ids[at : at + n], np.int32(0))
             at += n
 
 
@@ -528,18 +527,6 @@ class Trainer:
 
 # -- distributed training and scoring ------------------------------------------------------------------------------
 
-_READERS: dict[str, Reader] = {}
-
-
-def _reader(key: str, v: Vocabulary) -> Reader:
-    """One reader per worker process and vocabulary, with its memo."""
-    if key not in _READERS:
-        _READERS.clear()
-        _READERS[key] = common.memo(Reader(v))
-    common.only(_READERS[key])
-    return _READERS[key]
-
-
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sum of (tokens, tokens * weights) over a partition, row by row."""
     tokens, total = 0, None
@@ -551,14 +538,15 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["tokens", "weights"])
 
 
-def _trained(texts: DataFrame, shared, key: str, state: list[dict[str, np.ndarray]], start: bool = False) -> list[dict[str, np.ndarray]]:
+def _trained(texts: DataFrame, shared, state: list[dict[str, np.ndarray]], start: bool = False) -> list[dict[str, np.ndarray]]:
     """[weights, squared steps] after every task has gone over its texts from ``state``, averaged by tokens."""
     spark = texts.sparkSession
     begin = spark.sparkContext.broadcast(state)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.only(None)
         v = shared.value
-        reader, trainer = _reader(key, v), Trainer(v, *begin.value)
+        reader, trainer = Reader(v), Trainer(v, *begin.value)
         sample = []
         for whole in batches:
             for batch in common.slices(whole, SLICE):
@@ -580,16 +568,16 @@ def _trained(texts: DataFrame, shared, key: str, state: list[dict[str, np.ndarra
     return [unpacked(part, state[0]) for part in np.split(np.frombuffer(row.weights, np.float64) / row.tokens, 2)]
 
 
-def train(texts: DataFrame, v: Vocabulary, shared, key: str) -> dict[str, np.ndarray]:
+def train(texts: DataFrame, v: Vocabulary, shared) -> dict[str, np.ndarray]:
     """The trained weights (about 1 MB) from (doc_id, text)."""
     state = [initial(v)]
     # a share of the hashes that START texts are expected in, so that a task sends a few texts to the sort, not START
     order, space = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 31)), 1 << 31
     share = F.lit(int(min(space, space * (START + 4 * START**0.5) / max(1, v.texts))))
     begin = texts.select("doc_id", "text").where(order < share).orderBy(order, "doc_id").limit(START).coalesce(1)
-    state = _trained(begin, shared, key, state, start=True)
+    state = _trained(begin, shared, state, start=True)
     for k in range(ROUNDS):
-        state = _trained(texts.where(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(ROUNDS)) == k), shared, key, state)
+        state = _trained(texts.where(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(ROUNDS)) == k), shared, state)
     return state[0]
 
 
@@ -601,13 +589,13 @@ def score(docs: DataFrame) -> DataFrame:
     training = texts.where(~held_out())
     counts = count_tokens(training)
     v = Vocabulary(counts)
-    key = f"{spark.sparkContext.applicationId}-{id(v)}-{v.n}-{v.v}"
     shared = spark.sparkContext.broadcast(v)
-    weights = spark.sparkContext.broadcast(train(training, v, shared, key) if v.n else initial(v))
+    weights = spark.sparkContext.broadcast(train(training, v, shared) if v.n else initial(v))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.only(None)
         v = shared.value
-        reader, w = _reader(key, v), weights.value
+        reader, w = Reader(v), weights.value
         end = float(np.log10(v.counts[v.tokens == _signed(END)] + 1.0).sum())
         for whole in batches:
             for batch in common.slices(whole, SLICE):
