@@ -112,24 +112,36 @@ def flatten_sorts(parsed: DataFrame) -> DataFrame:
 ERROR_COLUMNS = ["request_id", "org_id", "stage", "pos", "step", "attr_pos", "message"]
 
 
-def _kind(body: Column, key: str) -> Column:
-    """JSON type of a member (``ARRAY<...>``, ``OBJECT<...>``, ``STRING``, ``VOID`` for null ...); null if it is missing."""
-    return F.schema_of_variant(F.try_variant_get(F.try_parse_json(body), f"$.{key}", "variant"))
-
-
 #: JSON values that count as nothing where a list may be left out.
 NOTHING = ["", "{}", "[]", "0", "0.0", "false", "null"]
 
+#: The lists of a request and the stage that checks their items.
+LISTS = {"config": 2, "filters": 3, "sorts": 4}
+
+
+def _read_requests(requests: DataFrame) -> DataFrame:
+    """Parsed requests with, for each list, its JSON type, its text and its items.
+
+    Every body is parsed once for each of these columns: later steps only name them, as an expression that is repeated in
+    a generator or a lambda function is evaluated again for each mention.
+    """
+    typed = parse_requests(requests).withColumn("json", F.try_parse_json("body"))
+    members = typed.withColumns(
+        {f"{key}_kind": F.schema_of_variant(F.try_variant_get("json", f"$.{key}", "variant")) for key in LISTS}
+        | {f"{key}_text": F.get_json_object("body", f"$.{key}") for key in LISTS})
+    return members.withColumns({f"{key}_maps": _maps(key) for key in LISTS})
 
-def _is_list(body: Column, key: str) -> Column:
-    return F.coalesce(_kind(body, key).startswith("ARRAY"), F.lit(False))
 
+def _is_list(key: str) -> Column:
+    """Whether a member's JSON type (``ARRAY<...>``, ``OBJECT<...>``, ``STRING``, ``VOID`` for null ...; null if missing) is a list."""
+    return F.coalesce(F.col(f"{key}_kind").startswith("ARRAY"), F.lit(False))
 
-def _is_list_or_missing(body: Column, key: str) -> Column:
+
+def _is_list_or_missing(key: str) -> Column:
     """``config`` must be a list if it is there at all; ``filters`` and ``sorts`` may also be empty in any way."""
-    kind = _kind(body, key)
+    kind = F.col(f"{key}_kind")
     allowed = kind.isNull() | kind.startswith("ARRAY")
-    return allowed if key == "config" else allowed | (kind == "VOID") | F.get_json_object(body, f"$.{key}").isin(NOTHING)
+    return allowed if key == "config" else allowed | (kind == "VOID") | F.col(f"{key}_text").isin(NOTHING)
 
 
 def _shown(c: Column) -> Column:
@@ -157,15 +169,18 @@ def _item(stage: int, pos: Column, attr_pos: Column | None = None, sid: Column |
     )
 
 
-def _list_items(key: str, stage: int) -> Column:
+def _maps(key: str) -> Column:
     """Items of a list as raw JSON maps, to tell a missing key from a null value; an item that is no object has no members."""
-    texts = F.when(_is_list(F.col("body"), key), F.from_json(F.get_json_object("body", f"$.{key}"), "array<string>"))
+    texts = F.from_json(F.when(_is_list(key), F.col(f"{key}_text")), "array<string>")
+    return F.transform(texts, lambda text: F.coalesce(F.from_json(text, "map<string,string>"), F.create_map().cast("map<string,string>")))
+
 
-    def item(text: Column, pos: Column) -> Column:
-        m = F.coalesce(F.from_json(text, "map<string,string>"), F.create_map().cast("map<string,string>"))
-        return _item(stage, pos, sid=m["sectionId"], aid=m["attributeId"], m=m)
+def _list_items(key: str) -> Column:
+    """One item for each item of a list."""
+    def item(m: Column, pos: Column) -> Column:
+        return _item(LISTS[key], pos, sid=m["sectionId"], aid=m["attributeId"], m=m)
 
-    return F.coalesce(F.transform(texts, item), F.array().cast(f"array<{_ITEM}>"))
+    return F.coalesce(F.transform(f"{key}_maps", item), F.array().cast(f"array<{_ITEM}>"))
 
 
 def _attribute_items() -> Column:
@@ -177,13 +192,13 @@ def _attribute_items() -> Column:
     return F.coalesce(F.flatten(F.transform("doc.config", of)), F.array().cast(f"array<{_ITEM}>"))
 
 
-def _shape_items(body: Column) -> Column:
+def _shape_items() -> Column:
     """The failed checks of the request as a whole; they bring their message along."""
     checks = [
         (0, F.coalesce(F.col("doc.name"), F.lit("")) == "", "name is required"),
-        (1, ~_is_list_or_missing(body, "config"), "config must be a list"),
-        (2, ~_is_list_or_missing(body, "filters"), "filters must be a list"),
-        (3, ~_is_list_or_missing(body, "sorts"), "sorts must be a list"),
+        (1, ~_is_list_or_missing("config"), "config must be a list"),
+        (2, ~_is_list_or_missing("filters"), "filters must be a list"),
+        (3, ~_is_list_or_missing("sorts"), "sorts must be a list"),
     ]
     return F.filter(F.array(*[F.when(failed, _item(0, F.lit(0), step=step, message=text)) for step, failed, text in checks]), lambda x: x.isNotNull())
 
@@ -240,9 +255,9 @@ def validate_definitions(requests: DataFrame, catalog: DataFrame, reports: DataF
     three lists and the attributes of its config. The stream is joined once to the tenants' sections, each with its
     attribute ids, and the checks of each item follow in one projection. Items without a section are dealt out by request.
     """
-    body, org = F.col("body"), F.col("org_id").cast("string")
-    items = F.concat(_shape_items(body), _list_items("config", 2), _attribute_items(), _list_items("filters", 3), _list_items("sorts", 4))
-    stream = parse_requests(requests).select("request_id", "org_id", F.explode(items).alias("x")).select("request_id", "org_id", "x.*")
+    org = F.col("org_id").cast("string")
+    items = F.concat(_shape_items(), _list_items("config"), _attribute_items(), _list_items("filters"), _list_items("sorts"))
+    stream = _read_requests(requests).select("request_id", "org_id", F.explode(items).alias("x")).select("request_id", "org_id", "x.*")
     # ids are compared as text: 01 is not 1; a section id can't begin with a blank
     stream = stream.withColumn("key", F.coalesce("sid", F.concat(F.lit(" "), F.col("request_id").cast("string"))))
     known = catalog_sections(catalog).withColumnRenamed("sid", "key")

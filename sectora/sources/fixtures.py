@@ -382,7 +382,8 @@ def requests(spark: SparkSession, sf_dir: str, growing: bool = True) -> DataFram
         rows = rows.unionByName(sent.select(
             "org_id", "r_name", "j", target.alias("target"), (F.col("o_orderkey") + 1_000_000).alias("request_id"),
             ((F.col("o_custkey") + 1000) * 100 + F.col("o_custkey") % 5 + 1).alias("own")))
-    return rows.select(
+    # an order of a few bytes becomes a body of some hundred: rows are dealt out before that, as files of orders have few splits
+    return rows.repartition("request_id").select(
         F.col("request_id").cast("long").alias("request_id"),
         "org_id",
         F.when(F.col("target") == "own", F.col("own"))

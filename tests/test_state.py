@@ -14,6 +14,7 @@ from sectora.operators.joins import lookup_join, skew_join
 from sectora.operators.records import section_context
 from sectora.plans.report_plan import plan_report, render_sql
 from sectora.sinks import tables, versions, wide
+from sectora.sources import fixtures
 from sectora.streaming import start_rebuild_stream
 from tests.test_semantics import _eav, _records
 
@@ -316,3 +317,22 @@ def test_hot_counts_are_those_of_the_rows_that_pass_the_filters(spark):
         for table in (hot, None):
             plan = plan_report(5, 7, [(1, 11), (2, 21)], filters)
             assert rep.build_report(records, plan, hot=table, rows_per_task=10).count() == expected
+
+
+def test_requests_are_dealt_out_and_parsed_in_columns(spark, tmp_path):
+    """Bodies are made and checked in as many tasks as there are requests for, not as files of orders; no generator parses them again."""
+    for name, rows, schema in [
+        ("region", [(0, "AFRICA"), (1, "ASIA")], "r_regionkey int, r_name string"),
+        ("nation", [(0, "N0", 0), (1, "N1", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+        ("customer", [(1, 0, 1.0, "A"), (2, 1, 2.0, "B")], "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        ("orders", [(k, k % 2 + 1, "F", 1.0, "1-URGENT") for k in range(400)],
+         "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"),
+    ]:
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    requests = fixtures.requests(spark, str(tmp_path))
+    assert "hashpartitioning(request_id" in plan_of(requests)
+    catalog = spark.createDataFrame([(0, 1, 101), (1, 1, 1101)], "org_id long, section_id long, attribute_id long")
+    errors = dfn.validate_definitions(requests, catalog)
+    generators = [line for line in errors._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Generate explode(" in line]
+    assert generators and not any("from_json(" in line or "get_json_object(" in line for line in generators)
+    assert requests.count() == 440 and dfn.first_error(errors).count() == requests.where("report_id is null").count() - 20 - 2
