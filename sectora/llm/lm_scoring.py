@@ -322,24 +322,32 @@ def lanes(texts: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, n
     count = max(1, min(most, len(texts)))
     fill, heap = [[] for _ in range(count)], [(0, k) for k in range(count)]
     for t in sorted(range(len(texts)), key=lambda t: -len(texts[t])):
-        load, k = heapq.heappop(heap)
+        load, k = heap[0]
         fill[k].append(t)
-        heapq.heappush(heap, (load + len(texts[t]), k))
+        heapq.heapreplace(heap, (load + len(texts[t]), k))
     fill.sort(key=lambda lane: -sum(len(texts[t]) for t in lane))
     steps = sum(len(texts[t]) for t in fill[0])
-    target, source, owner = np.zeros((steps, count), np.int32), np.zeros((steps, count), np.int32), np.full((steps, count), -1, np.int32)
+    # a lane's steps lie side by side, as its texts are copied whole; a window is small enough to be turned
+    target, source, owner = np.zeros((count, steps), np.int32), np.zeros((count, steps), np.int32), np.full((count, steps), -1, np.int32)
     for k, lane in enumerate(fill):
         at = 0
         for t in lane:
             n = len(texts[t])
-            target[at : at + n, k], owner[at : at + n, k] = texts[t], t
-            source[at + 1 : at + n, k] = texts[t][:-1]
+            target[k, at : at + n], owner[k, at : at + n] = texts[t], t
+            source[k, at + 1 : at + n] = texts[t][:-1]
             at += n
-    return target, source, owner
+    return target.T, source.T, owner.T
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def _joined(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """The bias as a last row of the weights: it is added by the product with a last column of ones."""
+    return np.concatenate([weights, bias[None]])
+
+
+def _with_ones(rows: np.ndarray) -> np.ndarray:
+    out = np.ones((*rows.shape[:-1], rows.shape[-1] + 1), rows.dtype)
+    out[..., :-1] = rows
+    return out
 
 
 def _exponents(x: np.ndarray, bound: float) -> np.ndarray:
@@ -353,13 +361,6 @@ def _row_sums(x: np.ndarray) -> np.ndarray:
     return x @ np.ones(x.shape[1], x.dtype)
 
 
-def _softmax(x: np.ndarray, bound: float) -> np.ndarray:
-    """Rows of x as probabilities, in place."""
-    x = _exponents(x, bound)
-    x /= _row_sums(x)[:, None]
-    return x
-
-
 def _log_at(x: np.ndarray, at: np.ndarray, bound: float) -> np.ndarray:
     """The logarithm of each row's probability at one place; x is used up."""
     if not bound < 60:
@@ -368,46 +369,85 @@ def _log_at(x: np.ndarray, at: np.ndarray, bound: float) -> np.ndarray:
     return chosen - np.log(_row_sums(np.exp(x, out=x)))
 
 
-def _bound(weights: np.ndarray, bias: np.ndarray) -> float:
-    """No output exceeds this, as states lie between -1 and 1."""
-    return float((np.abs(weights).sum(axis=0) + np.abs(bias)).max()) if bias.size else 0.0
+def _slopes(x: np.ndarray, at: np.ndarray, bound: float, scale: float) -> tuple[np.ndarray, np.ndarray]:
+    """The softmax gradient of outputs x (used up) for targets ``at``, times ``scale``, as (matrix, factor of each row)."""
+    x = _exponents(x, bound)
+    sums = _row_sums(x)
+    x[np.arange(len(x)), at] -= sums
+    return x, (scale / sums)[:, None]
+
+
+def _bound(weights: np.ndarray) -> float:
+    """No output by these joined weights exceeds this, as states lie between -1 and 1."""
+    return float(np.abs(weights).sum(axis=0).max()) if weights.size else 0.0
 
 
 def _classes(v: Vocabulary, ids: np.ndarray) -> np.ndarray:
     return np.where(ids < VOCABULARY, v.class_of[np.minimum(ids, len(v.class_of) - 1)], len(v.sizes) + ids - VOCABULARY)
 
 
-def _by_class(v: Vocabulary, ids: np.ndarray, cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(class, rows whose target is one of its words), for classes of predicted words that occur."""
-    order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(len(v.sizes) + 1))
+def _by_class(v: Vocabulary, cls: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """(class, rows whose target is one of its words), for classes of predicted words that occur; ``cls`` rises."""
+    cuts = np.searchsorted(cls, np.arange(len(v.sizes) + 1)).tolist()
     for k in range(len(v.sizes)):
         if cuts[k + 1] > cuts[k] and v.sizes[k] > 1:
-            yield k, order[cuts[k] : cuts[k + 1]]
+            yield k, slice(cuts[k], cuts[k + 1])
 
 
 def log_probabilities(v: Vocabulary, w: dict[str, np.ndarray], h: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural logarithms of P(class | state), times P(word | class, state) for predicted words."""
     cls = _classes(v, ids)
-    out = _log_at(h @ w["wc"] + w["bc"], cls, _bound(w["wc"], w["bc"]))
-    most = _bound(w["wo"], w["bo"])
-    for k, rows in _by_class(v, ids, cls):
-        part = slice(v.starts[k], v.starts[k + 1])
-        out[rows] += _log_at(h[rows] @ w["wo"][:, part] + w["bo"][part], v.place[ids[rows]], most)
+    order = np.argsort(cls.astype(np.int16), kind="stable")
+    out = np.empty(len(ids), h.dtype)
+    out[order] = _logs_in_order(v, _joined(w["wc"], w["bc"]), _joined(w["wo"], w["bo"]), _with_ones(h)[order], ids[order], cls[order])
     return out
 
 
-def _advance(w, table, source, owner, before, h, states) -> np.ndarray:
-    """Run the recurrent unit over a window's steps, filling ``states``; the state is carried within a text only."""
-    for t in range(len(source)):
-        same = owner[t] == (owner[t - 1] if t else before)
-        if not same.all():
-            h = h * same[:, None]
-        x, g = table[source[t]], h @ w["wh"]
-        zr = _sigmoid(x[:, : 2 * WIDTH] + g[:, : 2 * WIDTH])
-        n = np.tanh(x[:, 2 * WIDTH :] + zr[:, WIDTH:] * g[:, 2 * WIDTH :])
-        h = n + zr[:, :WIDTH] * (h - n)
-        states[t] = h
+def _logs_in_order(v: Vocabulary, of_class: np.ndarray, of_word: np.ndarray, h: np.ndarray, ids: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """``log_probabilities`` by joined weights, for states with a one behind, in order of their targets' classes."""
+    out = _log_at(h @ of_class, cls, _bound(of_class))
+    most, place = _bound(of_word), v.place[np.minimum(ids, len(v.place) - 1)]
+    for k, rows in _by_class(v, cls):
+        out[rows] += _log_at(h[rows] @ of_word[:, v.starts[k] : v.starts[k + 1]], place[rows], most)
+    return out
+
+
+def _halved(weights: np.ndarray) -> np.ndarray:
+    """The recurrent unit's weights, turned; those of its gates halved, as sigmoid(x) = tanh(x / 2) / 2 + 1 / 2."""
+    out = weights.T.copy()
+    out[: 2 * WIDTH] *= 0.5
+    return out
+
+
+def _kept(owner: np.ndarray, before: np.ndarray, dtype) -> np.ndarray:
+    """1 where a step goes on with the text of the step before, else 0."""
+    return (owner == np.concatenate([before[None], owner[:-1]])).astype(dtype)
+
+
+def _advance(x, inward, kept, h, states) -> np.ndarray:
+    """Run the recurrent unit over a window's steps, filling ``states``; the state is carried within a text only.
+
+    All arrays hold a row for each feature, a column for each lane: parts of the features lie side by side.
+    """
+    g, n = np.empty(x.shape[1:], x.dtype), np.empty(h.shape, x.dtype)
+    gates, inner, z, r = g[: 2 * WIDTH], g[2 * WIDTH :], g[:WIDTH], g[WIDTH : 2 * WIDTH]
+    whole = kept.all(axis=1).tolist()
+    for t in range(len(x)):
+        if not whole[t]:
+            h = h * kept[t]
+        np.matmul(inward, h, out=g)
+        gates += x[t, : 2 * WIDTH]
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
+        np.multiply(r, inner, out=n)
+        n += x[t, 2 * WIDTH :]
+        np.tanh(n, out=n)
+        # n + z * (h - n)
+        to = np.subtract(h, n, out=states[t])
+        to *= z
+        to += n
+        h = to
     return h
 
 
@@ -425,16 +465,21 @@ def _windows(owner: np.ndarray, size: int, rows: int = 0) -> Iterator[tuple[int,
 def score_texts(v: Vocabulary, w: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
     """log10 of the model's part of each text's probability: all but the shares inside form classes."""
     target, source, owner = lanes(texts, SCORE_LANES)
-    table = w["emb"] @ w["wx"] + w["bx"]
+    words, inputs, inward = _with_ones(w["emb"]), _halved(_joined(w["wx"], w["bx"])), _halved(w["wh"])
+    of_class, of_word = _joined(w["wc"], w["bc"]), _joined(w["wo"], w["bo"])
     out = np.zeros(len(texts))
-    h = np.zeros((target.shape[1], WIDTH), table.dtype)
+    h = np.zeros((WIDTH, target.shape[1]), words.dtype)
     for at, stop, count, before in _windows(owner, SCORE_WINDOW, SCORE_WINDOW * SCORE_LANES):
-        states = np.empty((stop - at, count, WIDTH), table.dtype)
-        own = owner[at:stop, :count]
-        h = _advance(w, table, source[at:stop, :count], own, before, h[:count], states)
-        own = own.ravel()
+        own = np.ascontiguousarray(owner[at:stop, :count])
+        x = inputs @ words[source[at:stop, :count]].transpose(0, 2, 1)
+        states = np.empty((stop - at, WIDTH, count), words.dtype)
+        h = _advance(x, inward, _kept(own, before, words.dtype), h[:, :count], states)
+        own, ids = own.ravel(), target[at:stop, :count].ravel()
         real = np.flatnonzero(own >= 0)
-        logs = log_probabilities(v, w, states.reshape(-1, WIDTH)[real], target[at:stop, :count].ravel()[real])
+        cls = _classes(v, ids[real]).astype(np.int16)
+        order = np.argsort(cls, kind="stable")
+        real = real[order]
+        logs = _logs_in_order(v, of_class, of_word, _with_ones(states.transpose(0, 2, 1)).reshape(-1, WIDTH + 1)[real], ids[real], cls[order])
         out += np.bincount(own[real], logs.astype(np.float64), len(texts))
     return out / math.log(10)
 
@@ -445,6 +490,13 @@ class Trainer:
     def __init__(self, v: Vocabulary, w: dict[str, np.ndarray], square: dict[str, np.ndarray] | None = None):
         self.v, self.w = v, {k: x.copy() for k, x in w.items()}
         self.square = {k: square[k].copy() if square else np.full(x.shape, 1e-3, np.float32) for k, x in w.items()}
+        #: Weights with their bias, and embeddings with a one; ``w`` holds views of them.
+        self.joined = {}
+        for weights, bias in (("wx", "bx"), ("wc", "bc"), ("wo", "bo")):
+            self.joined[weights] = both = _joined(w[weights], w[bias])
+            self.w[weights], self.w[bias] = both[:-1], both[-1]
+        self.words = _with_ones(w["emb"])
+        self.w["emb"] = self.words[:, :-1]
         self.tokens = 0
 
     def _update(self, name: str, gradient: np.ndarray, rows=slice(None)) -> None:
@@ -456,72 +508,87 @@ class Trainer:
         # pieces of a long text lie side by side, or it would hold up a few lanes long after the others are done
         texts = [t[at : at + TRAINED] for t in texts for at in range(0, len(t), TRAINED)]
         target, source, owner = lanes(texts, LANES)
-        h = np.zeros((target.shape[1], WIDTH), np.float32)
+        h = np.zeros((WIDTH, target.shape[1]), self.words.dtype)
         for at, stop, count, before in _windows(owner, WINDOW):
-            h = self._window(target[at:stop, :count], source[at:stop, :count], owner[at:stop, :count], before, h[:count])
+            h = self._window(target[at:stop, :count], source[at:stop, :count], owner[at:stop, :count], before, h[:, :count])
         self.tokens += int((owner >= 0).sum())
 
     def _window(self, target, source, owner, before, h):
-        w, v, size = self.w, self.v, WIDTH
+        w, v, size, dtype = self.w, self.v, WIDTH, self.words.dtype
         steps, count = target.shape
-        embedded = w["emb"][source.ravel()]
-        x = (embedded @ w["wx"] + w["bx"]).reshape(steps, count, 3 * size)
-        kept = np.empty((steps, count, 1), np.float32)
-        entered, gates, news, inner, states = (np.empty((steps, count, k * size), np.float32) for k in (1, 2, 1, 1, 1))
+        target, source, owner = target.ravel(), source.ravel(), np.ascontiguousarray(owner)
+        # a row for each feature, a column for each lane: parts of the features lie side by side
+        embedded = self.words[source].reshape(steps, count, -1).transpose(0, 2, 1)
+        x, inward, kept = _halved(self.joined["wx"]) @ embedded, _halved(w["wh"]), _kept(owner, before, dtype)
+        entered, news, apart, states = np.empty((4, steps, size, count), dtype)
+        g = np.empty((steps, 3 * size, count), dtype)
+        gates, inner, z, r = g[:, : 2 * size], g[:, 2 * size :], g[:, :size], g[:, size : 2 * size]
         for t in range(steps):
-            np.equal(owner[t], owner[t - 1] if t else before, out=kept[t, :, 0], casting="unsafe")
             np.multiply(h, kept[t], out=entered[t])
-            g = entered[t] @ w["wh"]
-            inner[t] = g[:, 2 * size :]
-            g += x[t]
-            gates[t] = _sigmoid(g[:, : 2 * size])
-            news[t] = np.tanh(x[t, :, 2 * size :] + gates[t, :, size:] * inner[t])
-            h = np.add(news[t], gates[t, :, :size] * (entered[t] - news[t]), out=states[t])
+            np.matmul(inward, entered[t], out=g[t])
+            both, new = gates[t], news[t]
+            both += x[t, : 2 * size]
+            np.tanh(both, out=both)
+            both *= 0.5
+            both += 0.5
+            np.multiply(r[t], inner[t], out=new)
+            new += x[t, 2 * size :]
+            np.tanh(new, out=new)
+            # new + z * (entered - new)
+            np.subtract(entered[t], new, out=apart[t])
+            h = np.multiply(z[t], apart[t], out=states[t])
+            h += new
         # output layer, all steps at once; gradients are means over the window's real tokens, times a lane count
         real = np.flatnonzero(owner.ravel() >= 0)
-        flat, ids = states.reshape(-1, size)[real], target.ravel()[real]
-        scale = np.float32(1.0 / max(1, count))
-        cls = _classes(v, ids)
-        p = _softmax(flat @ w["wc"] + w["bc"], _bound(w["wc"], w["bc"]))
-        p[np.arange(len(ids)), cls] -= 1
-        p *= scale
-        up = p @ w["wc"].T
-        out_w, out_b = np.zeros_like(w["wo"]), np.zeros_like(w["bo"])
-        updates = [("wc", flat.T @ p, slice(None)), ("bc", p.sum(axis=0), slice(None)), ("wo", out_w, slice(None)), ("bo", out_b, slice(None))]
-        most = _bound(w["wo"], w["bo"])
-        for k, rows in _by_class(v, ids, cls):
+        scale = dtype.type(1.0 / max(1, count))
+        cls = _classes(v, target[real]).astype(np.int16)
+        order = np.argsort(cls, kind="stable")
+        real, cls = real[order], cls[order]
+        flat, ids = _with_ones(states.transpose(0, 2, 1)).reshape(-1, size + 1)[real], target[real]
+        of_class, of_word = self.joined["wc"], self.joined["wo"]
+        p, factor = _slopes(flat @ of_class, cls, _bound(of_class), scale)
+        up, out_c, out_w = p @ w["wc"].T, p.T @ (flat * factor), np.zeros_like(of_word.T)
+        up *= factor
+        most, place = _bound(of_word), v.place[np.minimum(ids, len(v.place) - 1)]
+        for k, rows in _by_class(v, cls):
             part, own = slice(v.starts[k], v.starts[k + 1]), flat[rows]
-            weights = w["wo"][:, part]
-            q = _softmax(own @ weights + w["bo"][part], most)
-            q[np.arange(len(rows)), v.place[ids[rows]]] -= 1
-            q *= scale
-            up[rows] += q @ weights.T
-            out_w[:, part], out_b[part] = own.T @ q, q.sum(axis=0)
-        above = np.zeros((steps * count, size), np.float32)
+            q, factor = _slopes(own @ of_word[:, part], place[rows], most, scale)
+            up[rows] += (q @ w["wo"][:, part].T) * factor
+            np.matmul(q.T, own * factor, out=out_w[part])
+        above = np.zeros((steps * count, size), dtype)
         above[real] = up
-        above = above.reshape(steps, count, size)
+        above = np.ascontiguousarray(above.reshape(steps, count, size).transpose(0, 2, 1))
         # back through the window; all that doesn't depend on the later steps is made at once
-        z, r = gates[:, :, :size], gates[:, :, size:]
-        of_z, of_n, of_r = (entered - news) * z * (1 - z), (1 - z) * (1 - news * news), inner * r * (1 - r)
-        dg = np.empty((steps, count, 3 * size), np.float32)
-        dn, back, down = np.empty((steps, count, size), np.float32), w["wh"].T.copy(), np.zeros((count, size), np.float32)
+        first, then = np.empty((2, steps, 2, size, count), dtype)
+        rest = 1 - z
+        np.multiply(rest, 1 - news * news, out=first[:, 0])
+        np.multiply(apart, z * rest, out=first[:, 1])
+        np.multiply(inner, r * (1 - r), out=then[:, 0])
+        then[:, 1] = r
+        # of the new state, the gates z and r, and what the state adds to the new state
+        down, back = np.zeros((size, count), dtype), np.empty((steps, 4, size, count), dtype)
+        flows = back[:, 1:].reshape(steps, 3 * size, count)
         for t in range(steps - 1, -1, -1):
-            dh = above[t] + down
-            np.multiply(dh, of_z[t], out=dg[t, :, :size])
-            np.multiply(dh, of_n[t], out=dn[t])
-            np.multiply(dn[t], of_r[t], out=dg[t, :, size : 2 * size])
-            np.multiply(dn[t], r[t], out=dg[t, :, 2 * size :])
-            down = (dh * z[t] + dg[t] @ back) * kept[t]
-        dwh = entered.reshape(-1, size).T @ dg.reshape(-1, 3 * size)
-        dg[:, :, 2 * size :] = dn
-        dx = dg.reshape(-1, 3 * size)
-        de = dx @ w["wx"].T
-        ids = source.ravel()
-        rows = np.flatnonzero(np.bincount(ids, minlength=len(w["emb"])))
-        summed = np.stack([np.bincount(ids, de[:, k], len(w["emb"]))[rows] for k in range(de.shape[1])], axis=1).astype(np.float32)
-        updates += [("wx", embedded.T @ dx, slice(None)), ("bx", dx.sum(axis=0), slice(None)), ("wh", dwh, slice(None)), ("emb", summed, rows)]
-        for name, gradient, part in updates:
-            self._update(name, gradient, part)
+            dh = above[t]
+            dh += down
+            np.multiply(dh, first[t], out=back[t, :2])
+            np.multiply(back[t, 0], then[t], out=back[t, 2:])
+            np.matmul(w["wh"], flows[t], out=down)
+            dh *= z[t]
+            down += dh
+            down *= kept[t]
+        dwh = (entered @ flows.transpose(0, 2, 1)).sum(axis=0)
+        # inputs: new state, z, r; the weights' order is z, r, new state
+        flows, turn = back[:, :3].reshape(steps, 3 * size, count), np.roll(np.arange(3 * size), -size)
+        dwx = (embedded @ flows.transpose(0, 2, 1)).sum(axis=0)[:, turn]
+        de = (flows.transpose(0, 2, 1) @ np.roll(w["wx"], size, axis=1).T).reshape(steps * count, -1).T.copy()
+        rows = np.flatnonzero(np.bincount(source, minlength=len(w["emb"])))
+        summed = np.stack([np.bincount(source, d, len(w["emb"]))[rows] for d in de], axis=1).astype(dtype)
+        for name, bias, gradient in (("wc", "bc", out_c.T), ("wo", "bo", out_w.T), ("wx", "bx", dwx)):
+            self._update(name, gradient[:-1])
+            self._update(bias, gradient[-1])
+        self._update("wh", dwh)
+        self._update("emb", summed, rows)
         return h
 
 
