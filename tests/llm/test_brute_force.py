@@ -109,6 +109,51 @@ def test_lm_learns_from_every_window(spark):
     assert set(steps) == set(range(2 * lm_scoring.WINDOW))
 
 
+def test_lm_score_by_plain_steps(spark):
+    """Texts of unlike lengths, in shared lanes, score as each alone, step by step in double precision."""
+    table = [(lm_scoring._signed(lm_scoring.END), -1, 2)] + [(*lm_scoring._described(f"word{k}".encode()), 3 + k) for k in range(40)]
+    v = lm_scoring.Vocabulary(spark.createDataFrame(table, "token long, form int, c long"))
+    draw, size = np.random.default_rng(5), lm_scoring.WIDTH
+    w = {k: (x + 0.3 * draw.standard_normal(x.shape)).astype(np.float32) for k, x in lm_scoring.initial(v).items()}
+    words = [*range(1, 41), *range(lm_scoring.VOCABULARY, lm_scoring.VOCABULARY + lm_scoring.FORMS)]
+    texts = [np.append(draw.choice(words, n), 0).astype(np.int32) for n in (0, 1, 90, 5, 0, 33, 17, 2)]
+    # a lane's steps lie side by side
+    assert all(x.T.flags.c_contiguous for x in lm_scoring.lanes(texts, 3))
+    most, lm_scoring.SCORE_LANES = lm_scoring.SCORE_LANES, 3
+    try:
+        got = lm_scoring.score_texts(v, w, texts)
+    finally:
+        lm_scoring.SCORE_LANES = most
+
+    def log_softmax(x):
+        return x - x.max() - np.log(np.exp(x - x.max()).sum())
+
+    for text, score in zip(texts, got, strict=True):
+        h, before, total = np.zeros(size), 0, 0.0
+        for word in text.tolist():
+            x, g = w["emb"][before].astype(np.float64) @ w["wx"] + w["bx"], h @ w["wh"]
+            z, r = (1 / (1 + np.exp(-(x + g)[k * size : (k + 1) * size])) for k in range(2))
+            new = np.tanh(x[2 * size :] + r * g[2 * size :])
+            h, before = new + z * (h - new), word
+            known = word < lm_scoring.VOCABULARY
+            k = v.class_of[word] if known else len(v.sizes) + word - lm_scoring.VOCABULARY
+            total += log_softmax(h @ w["wc"] + w["bc"])[k]
+            part = slice(v.starts[k], v.starts[k + 1]) if known else None
+            total += log_softmax(h @ w["wo"][:, part] + w["bo"][part])[v.place[word]] if known else 0
+        assert score == pytest.approx(total / math.log(10), rel=1e-5, abs=1e-4)
+
+
+@pytest.mark.parametrize("size", [1.0, 200.0])
+def test_lm_slopes_are_softmax_less_target(size):
+    """Also where outputs are too large for an exponent."""
+    draw = np.random.default_rng(2)
+    x, at = (draw.standard_normal((50, 7)) * size).astype(np.float32), draw.integers(0, 7, 50)
+    p = np.exp(x.astype(np.float64) - x.max(axis=1, keepdims=True))
+    expected = (p / p.sum(axis=1, keepdims=True) - np.eye(7)[at]) / 4
+    slopes, factor = lm_scoring._slopes(x.copy(), at, float(x.max()), np.float32(0.25))
+    assert np.allclose(slopes * factor, expected, atol=1e-6)
+
+
 def normal(text):
     return [w for w in map(decontaminate.normal, text.encode().split()) if w]
 
